@@ -180,24 +180,29 @@ def additive_scorecard(rules: Sequence[tuple[str | Column, int]] = SCORECARD_RUL
     return rnd(clamp(total, lo, hi).cast("double") / F.lit(scale), 4)
 
 
+def _fmt(c: Column, decimals: int, flag: str = "", suffix: str = "") -> Column:
+    """Fixed-decimal text; rounds half away from zero first so formatting never re-rounds."""
+    v = F.round(c.cast("decimal(18,8)"), decimals).cast("double")
+    return F.format_string(f"%{flag}.{decimals}f{suffix}", v)
+
+
 def pct_label(c: Column | str, decimals: int = 1) -> Column:
-    """``0.0%`` style text of a ratio (half away from zero)."""
-    return F.format_string(f"%.{decimals}f%%", F.round((col_(c) * 100).cast("decimal(18,8)"), decimals))
+    """``0.0%`` style text of a ratio."""
+    return _fmt(col_(c) * 100, decimals, suffix="%%")
 
 
 def number_label(c: Column | str, decimals: int = 3) -> Column:
-    return F.format_string(f"%.{decimals}f", F.round(col_(c).cast("decimal(18,8)"), decimals))
+    return _fmt(col_(c), decimals)
 
 
 def signed_label(c: Column | str, decimals: int = 1) -> Column:
-    v = F.round(col_(c).cast("decimal(18,8)"), decimals)
-    return F.format_string(f"%+.{decimals}f", v)
+    return _fmt(col_(c), decimals, flag="+")
 
 
 def trend_label(delta: Column | str, band: float = 0.5) -> Column:
     """Year-over-year trend text of a delta in percentage points."""
     d = col_(delta)
-    absd = F.format_string("%.1f", F.round(F.abs(d).cast("decimal(18,8)"), 1))
+    absd = _fmt(F.abs(d), 1)
     return (F.when(d.isNull(), "N/A")
             .when(d > band, F.concat(F.lit("up +"), absd, F.lit("pp")))
             .when(d < -band, F.concat(F.lit("down "), absd, F.lit("pp")))

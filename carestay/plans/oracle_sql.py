@@ -143,3 +143,104 @@ KPI_DIM_SQL = {
 def kpi_by_sql(dim: str) -> str:
     v, sg, grp = KPI_DIM_SQL[dim]
     return f"SELECT '{dim}' AS dimension, {v} AS valeur, {sg} AS sous_groupe, {KPI_AGGS()} FROM features GROUP BY {grp}"
+
+
+# ------------------------------------------------------------------ measures
+
+SCORECARD = f"""{R('''CAST(LEAST(85, GREATEST(5, 10
+    + CASE WHEN age > 70 THEN 12 ELSE 0 END + CASE WHEN age > 80 THEN 8 ELSE 0 END
+    + CASE WHEN nb_hospitalisations_precedentes >= 2 THEN 15 ELSE 0 END
+    + CASE WHEN nb_hospitalisations_precedentes >= 4 THEN 10 ELSE 0 END
+    + CASE WHEN nb_medicaments >= 8 THEN 8 ELSE 0 END + CASE WHEN duree_sejour >= 10 THEN 6 ELSE 0 END
+    + CASE WHEN upper(mode_sortie) IN ('SSR', 'EHPAD') THEN 7 ELSE 0 END
+    + CASE WHEN pathologie = 'Sepsis' THEN 12 ELSE 0 END
+    + CASE WHEN pathologie = 'Insuffisance cardiaque' THEN 8 ELSE 0 END)) AS DOUBLE) / 100.0E0''', 4)}"""
+
+MB = f"mb AS (SELECT *, {SCORECARD} AS score_risque_modele FROM features)"
+
+
+def CNT(cond: str | None = None) -> str:
+    return "count(*)" if cond is None else f"count(*) FILTER (WHERE {cond})"
+
+
+def base_counts_sql(group: str | None) -> str:
+    g = f"{group}, " if group else ""
+    gb = f" GROUP BY {group}" if group else ""
+    rd = "readmission_30j = 1"
+    return f"""b AS (SELECT {g}{CNT()} AS n, {CNT(rd)} AS n_readm,
+  avg(duree_sejour) AS avg_los, avg(age) AS avg_age, avg(nb_medicaments) AS avg_meds, avg(indice_complexite) AS avg_complexity,
+  {CNT('flag_polymedication = 1')} AS n_poly, {CNT('flag_sortie_complexe = 1')} AS n_complex,
+  avg(score_risque_modele) AS avg_score, max(score_risque_modele) AS max_score,
+  {CNT('score_risque_modele >= 0.7')} AS n_high, {CNT('score_risque_modele >= 0.4 AND score_risque_modele < 0.7')} AS n_moderate,
+  {CNT('score_risque_modele < 0.4')} AS n_low,
+  {CNT('age >= 75')} AS n_senior, {CNT('age >= 75 AND ' + rd)} AS n_senior_readm,
+  {CNT('flag_antecedents_lourds = 1')} AS n_heavy, {CNT('flag_antecedents_lourds = 1 AND ' + rd)} AS n_heavy_readm,
+  {CNT("sexe = 'M'")} AS n_m, {CNT("sexe = 'M' AND " + rd)} AS n_m_readm,
+  {CNT("sexe = 'F'")} AS n_f, {CNT("sexe = 'F' AND " + rd)} AS n_f_readm,
+  {CNT('score_risque_modele < 0.5 AND ' + rd)} AS n_missed,
+  {CNT('score_risque_modele >= 0.5 AND ' + rd)} AS tp,
+  {CNT('score_risque_modele >= 0.5 AND readmission_30j = 0')} AS fp,
+  {CNT('score_risque_modele < 0.5 AND ' + rd)} AS fn,
+  {CNT('score_risque_modele < 0.5 AND readmission_30j = 0')} AS tn
+FROM mb{gb})"""
+
+
+def _band(x: str, bands, default: str, strict: bool = False) -> str:
+    op = ">" if strict else ">="
+    whens = " ".join(f"WHEN {x} {op} {b} THEN '{l}'" for b, l in bands)
+    return f"CASE {whens} ELSE '{default}' END"
+
+
+def measure_exprs() -> dict[str, tuple[str, bool]]:
+    """measure name → (SQL over the base-count CTE, is_double)."""
+    from carestay.operators.measures import (ALERT_COLOURS, ALERT_COLOUR_DEFAULT, FALSE_ALERT_COST,
+                                             FALSE_ALERT_COST_DEFAULT, STATUS_DEFAULT, STATUS_LABELS)
+    rate = SAFE("n_readm", "n")
+    prec = SAFE("tp", "tp + fp")
+    rec = SAFE("tp", "tp + fn")
+    return {
+        "total_sejours": ("n", False),
+        "total_readmissions": ("n_readm", False),
+        "taux_readmission": (rate, True),
+        "taux_readmission_label": (f"printf('%.1f%%', ROUND(CAST({rate} * 100 AS DECIMAL(18,8)), 1))", False),
+        "duree_moyenne_sejour": ("COALESCE(avg_los, 0.0)", True),
+        "age_moyen": ("COALESCE(avg_age, 0.0)", True),
+        "medicaments_moyen": ("COALESCE(avg_meds, 0.0)", True),
+        "taux_polymedication": (SAFE("n_poly", "n"), True),
+        "taux_sortie_complexe": (SAFE("n_complex", "n"), True),
+        "score_risque_moyen": ("avg_score", True),
+        "score_risque_maximum": ("max_score", True),
+        "patients_risque_eleve": ("n_high", False),
+        "patients_risque_modere": ("n_moderate", False),
+        "patients_risque_faible": ("n_low", False),
+        "pct_risque_eleve": (SAFE("n_high", "n"), True),
+        "pct_risque_modere": (SAFE("n_moderate", "n"), True),
+        "pct_risque_faible": (SAFE("n_low", "n"), True),
+        "indice_complexite_moyen": ("avg_complexity", True),
+        "taux_seniors_75": (SAFE("n_senior_readm", "n_senior"), True),
+        "pct_seniors_75": (SAFE("n_senior", "n"), True),
+        "taux_antecedents_lourds": (SAFE("n_heavy_readm", "n_heavy"), True),
+        "taux_sexe_m": (SAFE("n_m_readm", "n_m"), True),
+        "taux_sexe_f": (SAFE("n_f_readm", "n_f"), True),
+        "delta_h_vs_f": (f"{SAFE('n_m_readm', 'n_m')} - {SAFE('n_f_readm', 'n_f')}", True),
+        "couleur_alerte": (_band(rate, ALERT_COLOURS, ALERT_COLOUR_DEFAULT), False),
+        "statut_performance": (_band(rate, STATUS_LABELS, STATUS_DEFAULT), False),
+        "non_alertes_rehospitalises": (SAFE("n_missed", "n_readm"), True),
+        "vrais_positifs": ("tp", False),
+        "faux_positifs": ("fp", False),
+        "faux_negatifs": ("fn", False),
+        "vrais_negatifs": ("tn", False),
+        "precision_modele": (prec, True),
+        "rappel_modele": (rec, True),
+        "f1_modele": (SAFE(f"2 * {prec} * {rec}", f"{prec} + {rec}"), True),
+        "accuracy_modele": (SAFE("tp + tn", "n"), True),
+        "specificite_modele": (SAFE("tn", "tn + fp"), True),
+        "cout_fausses_alertes": (_band("CAST(fp AS DOUBLE) / n", FALSE_ALERT_COST, FALSE_ALERT_COST_DEFAULT, True), False),
+    }
+
+
+def measures_sql(group: str | None, names: list[str], digits: int = 6) -> str:
+    ex = measure_exprs()
+    cols = ", ".join((R(ex[n][0], digits) if ex[n][1] else ex[n][0]) + f" AS {n}" for n in names)
+    g = f"{group}, " if group else ""
+    return with_ctes(BASE + [MB, base_counts_sql(group)], f"SELECT {g}{cols} FROM b")

@@ -110,3 +110,244 @@ SELECT *, {O.R('taux_readmission - avg(taux_readmission) OVER (PARTITION BY dime
 FROM u ORDER BY dimension, taux_readmission DESC"""))
 def q_kpi_mart(spark, sf):
     return gold.kpi_mart(features(spark, sf))
+
+
+# ------------------------------------------------------------------ measures
+
+from carestay.functions.columns import rnd  # noqa: E402
+from carestay.operators import measures as M  # noqa: E402
+
+
+def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.select(*[rnd(f.name, digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def measure_base(spark, sf):
+    return M.measure_base(features(spark, sf, extra=["sexe"]))
+
+
+_MEASURE_QUERIES = {
+    "measures_global": (None, "global"),
+    "measures_by_pathology": ("pathologie", "global"),
+    "measures_risk": ("service", "risk"),
+    "measures_demographics": ("hopital_region", "demographics"),
+    "measures_alerts": ("service", "alerts"),
+    "measures_confusion": (None, "confusion"),
+    "measures_confusion_by_group": ("groupe_clinique", "confusion"),
+}
+
+for _qname, (_grp, _set) in _MEASURE_QUERIES.items():
+    def _mkm(grp, names):
+        def q(spark, sf):
+            return round_doubles(M.measures(measure_base(spark, sf), [grp] if grp else [], names))
+        return q
+    register(_qname, O.measures_sql(_grp, M.MEASURE_GROUPS[_set]))(_mkm(_grp, M.MEASURE_GROUPS[_set]))
+
+
+@register("scorecard", O.with_ctes(O.BASE + [O.MB], """
+SELECT patient_id, score_risque_modele FROM mb"""))
+def q_scorecard(spark, sf):
+    return measure_base(spark, sf).select("patient_id", "score_risque_modele")
+
+
+_TIERS_LEFT = """CASE WHEN {s} >= 0.70 THEN 'Eleve' WHEN {s} >= 0.40 THEN 'Modere' WHEN {s} >= 0.20 THEN 'Faible' ELSE 'Tres faible' END"""
+_TIERS_RIGHT = """CASE WHEN {s} > 0 AND {s} <= 0.20 THEN 'Tres faible' WHEN {s} > 0.20 AND {s} <= 0.40 THEN 'Faible'
+  WHEN {s} > 0.40 AND {s} <= 0.70 THEN 'Modere' WHEN {s} > 0.70 AND {s} <= 1.0 THEN 'Eleve' END"""
+
+
+@register("risk_tiers_left", O.with_ctes(O.BASE + [O.MB], f"""
+SELECT {_TIERS_LEFT.format(s='score_risque_modele')} AS categorie_risque, count(*) AS nb_sejours
+FROM mb GROUP BY 1"""))
+def q_risk_tiers_left(spark, sf):
+    from carestay.functions.columns import classify_risk
+    return (measure_base(spark, sf).groupBy(classify_risk("score_risque_modele").alias("categorie_risque"))
+            .agg(F.count(F.lit(1)).alias("nb_sejours")))
+
+
+@register("risk_tiers_right", O.with_ctes(O.BASE + [O.MB], f"""
+SELECT {_TIERS_RIGHT.format(s='score_risque_modele')} AS categorie_risque, count(*) AS nb_sejours,
+  {O.R('count(*) / sum(count(*)) OVER ()', 6)} AS part
+FROM mb GROUP BY 1"""))
+def q_risk_tiers_right(spark, sf):
+    from pyspark.sql import Window
+    from carestay.functions.columns import risk_tier_cut
+    t = (measure_base(spark, sf).groupBy(risk_tier_cut("score_risque_modele").alias("categorie_risque"))
+         .agg(F.count(F.lit(1)).alias("nb_sejours")))
+    return t.withColumn("part", rnd(F.col("nb_sejours") / F.sum("nb_sejours").over(Window.partitionBy()), 6))
+
+
+@register("pathology_rank", O.with_ctes(O.BASE + [O.MB, """
+per AS (SELECT pathologie, count(*) AS n, count(*) FILTER (WHERE readmission_30j = 1) AS n_readm,
+  avg(indice_complexite) AS icm FROM mb GROUP BY pathologie),
+pr AS (SELECT pathologie, n, CAST(n_readm AS DOUBLE) / n AS rate,
+  (CAST(n_readm AS DOUBLE) / n - CAST(sum(n_readm) OVER () AS DOUBLE) / sum(n) OVER ()) * 100 AS dev, icm FROM per)"""], f"""
+SELECT pathologie, n AS total_sejours, {O.R('rate', 6)} AS taux_readmission_pathologie,
+  {O.R('dev', 6)} AS ecart_vs_moyenne_globale_pp, {O.R('icm', 6)} AS indice_complexite_moy,
+  dense_rank() OVER (ORDER BY rate DESC) AS rang_pathologie
+FROM pr"""))
+def q_pathology_rank(spark, sf):
+    r = M.pathology_ranking(measure_base(spark, sf))
+    return round_doubles(r).withColumn("rang_pathologie", F.col("rang_pathologie"))
+
+
+@register("top_pathology", O.with_ctes(O.BASE + [O.MB, """
+per AS (SELECT pathologie, CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*) AS rate
+  FROM mb GROUP BY pathologie)"""], f"""
+SELECT pathologie, {O.R('rate', 6)} AS taux_readmission_pathologie FROM per WHERE rate = (SELECT max(rate) FROM per)"""))
+def q_top_pathology(spark, sf):
+    return round_doubles(M.top_pathology(measure_base(spark, sf)))
+
+
+@register("services_above_threshold", O.with_ctes(O.BASE + [O.MB, """
+per AS (SELECT service, CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*) AS rate
+  FROM mb GROUP BY service)"""], """
+SELECT count(*) FILTER (WHERE rate >= 0.20) AS services_au_dessus_seuil FROM per"""))
+def q_services_above(spark, sf):
+    return M.services_above_threshold(measure_base(spark, sf))
+
+
+@register("ks_approx", O.with_ctes(O.BASE + [O.MB, """
+q AS (SELECT quantile_cont(score_risque_modele, 0.9) FILTER (WHERE readmission_30j = 1) AS p90,
+  quantile_cont(score_risque_modele, 0.1) FILTER (WHERE readmission_30j = 0) AS p10 FROM mb)"""], f"""
+SELECT {O.R('p90', 6)} AS p90, {O.R('p10', 6)} AS p10, {O.R('p90 - p10', 6)} AS ks_approx,
+  printf('%.3f', ROUND(CAST(p90 - p10 AS DECIMAL(18,8)), 3)) AS ks_approx_label FROM q"""))
+def q_ks_approx(spark, sf):
+    return round_doubles(M.ks_approx(measure_base(spark, sf)))
+
+
+@register("percentiles_by_pathology", O.with_ctes(O.BASE, f"""
+SELECT pathologie, {O.R('quantile_cont(indice_complexite, 0.25)', 6)} AS p25,
+  {O.R('quantile_cont(indice_complexite, 0.5)', 6)} AS p50, {O.R('quantile_cont(indice_complexite, 0.9)', 6)} AS p90
+FROM features GROUP BY pathologie"""))
+def q_percentiles_by_pathology(spark, sf):
+    return round_doubles(M.exact_percentiles(features(spark, sf), "indice_complexite", [0.25, 0.5, 0.9], ["pathologie"]))
+
+
+# ------------------------------------------------------------------ time intelligence
+
+from carestay.operators import timeintel as TI  # noqa: E402
+
+MONTHLY_SQL = """monthly AS (
+  SELECT CAST(year(date_admission) AS INTEGER) AS year, CAST(month(date_admission) AS INTEGER) AS month,
+    count(*) AS sejours, count(*) FILTER (WHERE readmission_30j = 1) AS readmissions,
+    CAST(year(date_admission) AS INTEGER) * 12 + CAST(month(date_admission) AS INTEGER) AS month_index
+  FROM features GROUP BY 1, 2)"""
+
+
+def _trend_sql(d: str) -> str:
+    a = f"printf('%.1f', CAST(ROUND(CAST(abs({d}) AS DECIMAL(18,8)), 1) AS DOUBLE))"
+    sgn = f"printf('%+.1f', CAST(ROUND(CAST({d} AS DECIMAL(18,8)), 1) AS DOUBLE))"
+    return (f"CASE WHEN {d} IS NULL THEN 'N/A' WHEN {d} > 0.5 THEN 'up +' || {a} || 'pp' "
+            f"WHEN {d} < -0.5 THEN 'down ' || {a} || 'pp' ELSE 'stable ' || {sgn} || 'pp' END")
+
+
+_PY = """py AS (
+  SELECT p.year, p.month, p.sejours, p.month_index,
+    CASE WHEN p.sejours = 0 THEN 0.0 ELSE CAST(p.readmissions AS DOUBLE) / p.sejours END AS rate,
+    CASE WHEN COALESCE(q.sejours, 0) = 0 THEN 0.0 ELSE CAST(q.readmissions AS DOUBLE) / q.sejours END AS prev,
+    COALESCE(q.sejours, 0) AS sejours_prev
+  FROM monthly p LEFT JOIN monthly q ON p.month_index = q.month_index + 12)"""
+
+
+@register("prior_year", O.with_ctes(O.BASE + [MONTHLY_SQL, _PY], f"""
+SELECT year, month, sejours, {O.R('rate', 6)} AS taux_readmission, {O.R('prev', 6)} AS taux_annee_precedente,
+  {O.R('(rate - prev) * 100', 6)} AS delta_pp, {_trend_sql('(rate - prev) * 100')} AS tendance,
+  sejours_prev AS sejours_annee_precedente
+FROM py"""))
+def q_prior_year(spark, sf):
+    return round_doubles(TI.prior_year(features(spark, sf)))
+
+
+@register("prior_month", O.with_ctes(O.BASE + [MONTHLY_SQL, """pm AS (
+  SELECT p.year, p.month,
+    CASE WHEN p.sejours = 0 THEN 0.0 ELSE CAST(p.readmissions AS DOUBLE) / p.sejours END AS rate,
+    CASE WHEN COALESCE(q.sejours, 0) = 0 THEN 0.0 ELSE CAST(q.readmissions AS DOUBLE) / q.sejours END AS prev
+  FROM monthly p LEFT JOIN monthly q ON p.month_index = q.month_index + 1)"""], f"""
+SELECT year, month, {O.R('rate', 6)} AS taux_readmission, {O.R('prev', 6)} AS taux_mois_precedent,
+  {O.R('rate - prev', 6)} AS delta_mois FROM pm"""))
+def q_prior_month(spark, sf):
+    return round_doubles(TI.prior_month(features(spark, sf)))
+
+
+@register("ytd", O.with_ctes(O.BASE + [MONTHLY_SQL, """y AS (
+  SELECT year, month,
+    sum(sejours) OVER (PARTITION BY year ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs,
+    sum(readmissions) OVER (PARTITION BY year ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cr
+  FROM monthly)"""], f"""
+SELECT year, month, CAST(cs AS BIGINT) AS sejours_ytd, CAST(cr AS BIGINT) AS readmissions_ytd,
+  {O.R('CASE WHEN cs = 0 THEN 0.0 ELSE CAST(cr AS DOUBLE) / cs END', 6)} AS taux_readmission_ytd FROM y"""))
+def q_ytd(spark, sf):
+    return round_doubles(TI.ytd_rate(features(spark, sf)))
+
+
+_CAL = """bounds AS (SELECT min(date_admission) AS lo, max(date_admission) AS hi FROM features),
+cal AS (
+  SELECT CAST(d AS DATE) AS date FROM bounds,
+    unnest(generate_series(make_date(CAST(year(lo) AS INTEGER), 1, 1), make_date(CAST(year(hi) AS INTEGER), 12, 31), INTERVAL 1 DAY)) AS t(d)),
+daily AS (SELECT date_admission AS date, count(*) AS sejours, count(*) FILTER (WHERE readmission_30j = 1) AS readmissions
+  FROM features GROUP BY 1),
+cd AS (SELECT c.date, date_diff('day', DATE '1970-01-01', c.date) AS day_number,
+  COALESCE(d.sejours, 0) AS sejours, COALESCE(d.readmissions, 0) AS readmissions
+  FROM cal c LEFT JOIN daily d ON c.date = d.date)"""
+
+
+@register("rolling_30d", O.with_ctes(O.BASE + [_CAL], """
+SELECT date,
+  CAST(sum(readmissions) OVER (ORDER BY day_number RANGE BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS readmissions_30j,
+  CAST(sum(sejours) OVER (ORDER BY day_number RANGE BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS sejours_30j
+FROM cd"""))
+def q_rolling_30d(spark, sf):
+    return TI.rolling_readmissions(features(spark, sf), 30)
+
+
+@register("rolling_30d_as_of", O.with_ctes(O.BASE, """
+SELECT count(*) FILTER (WHERE readmission_30j = 1 AND date_admission BETWEEN (SELECT max(date_admission) FROM features) - 29
+  AND (SELECT max(date_admission) FROM features)) AS readmissions_30j FROM features"""))
+def q_rolling_as_of(spark, sf):
+    return TI.rolling_as_of(features(spark, sf), None, 30)
+
+
+# ------------------------------------------------------------------ row-level security
+
+from carestay.operators import security as SEC  # noqa: E402
+from carestay.sources.reference import users_by_service  # noqa: E402
+
+_USERS_SQL = """svc AS (SELECT DISTINCT service FROM mb WHERE service IS NOT NULL),
+users AS (
+  SELECT 'resp.' || regexp_replace(lower(service), '[^\\p{L}\\p{N}]+', '_', 'g') AS user_name, 'Responsable_Service' AS role, service FROM svc
+  UNION ALL SELECT 'dr.' || regexp_replace(lower(service), '[^\\p{L}\\p{N}]+', '_', 'g'), 'Medecin_Traitant', service FROM svc
+  UNION ALL SELECT 'direction', 'Direction_Hopital', NULL
+  UNION ALL SELECT 'analyste', 'Analyste_Risques', NULL)"""
+
+
+@register("row_level_service", O.with_ctes(O.BASE + [O.MB, _USERS_SQL], """
+SELECT patient_id, service, readmission_30j FROM mb
+WHERE service IN (SELECT service FROM users WHERE user_name = 'resp.cardiologie' AND role = 'Responsable_Service')"""))
+def q_row_level_service(spark, sf):
+    mb = measure_base(spark, sf)
+    users = users_by_service(mb)
+    return SEC.row_level_filter(mb, users, "resp.cardiologie", "Responsable_Service").select(
+        "patient_id", "service", "readmission_30j")
+
+
+@register("row_level_analyst", O.with_ctes(O.BASE + [O.MB], """
+SELECT patient_id, service, score_risque_modele FROM mb WHERE score_risque_modele >= 0.40"""))
+def q_row_level_analyst(spark, sf):
+    mb = measure_base(spark, sf)
+    return SEC.row_level_filter(mb, users_by_service(mb), "analyste", "Analyste_Risques").select(
+        "patient_id", "service", "score_risque_modele")
+
+
+@register("rls_visible_counts", O.with_ctes(O.BASE + [O.MB, _USERS_SQL], """
+SELECT u.user_name, u.role,
+  CAST(CASE WHEN u.role = 'Direction_Hopital' THEN (SELECT count(*) FROM mb)
+       WHEN u.role = 'Analyste_Risques' THEN (SELECT count(*) FROM mb WHERE score_risque_modele >= 0.40)
+       ELSE (SELECT count(*) FROM mb WHERE mb.service = u.service) END AS BIGINT) AS sejours_visibles,
+  CAST(CASE WHEN u.role = 'Direction_Hopital' THEN (SELECT count(*) FROM mb WHERE readmission_30j = 1)
+       WHEN u.role = 'Analyste_Risques' THEN (SELECT count(*) FROM mb WHERE score_risque_modele >= 0.40 AND readmission_30j = 1)
+       ELSE (SELECT count(*) FROM mb WHERE mb.service = u.service AND readmission_30j = 1) END AS BIGINT) AS readmissions_visibles
+FROM users u"""))
+def q_rls_visible_counts(spark, sf):
+    mb = measure_base(spark, sf)
+    return SEC.visible_counts(mb, users_by_service(mb))
