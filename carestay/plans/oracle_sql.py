@@ -244,3 +244,39 @@ def measures_sql(group: str | None, names: list[str], digits: int = 6) -> str:
     cols = ", ".join((R(ex[n][0], digits) if ex[n][1] else ex[n][0]) + f" AS {n}" for n in names)
     g = f"{group}, " if group else ""
     return with_ctes(BASE + [MB, base_counts_sql(group)], f"SELECT {g}{cols} FROM b")
+
+
+# ------------------------------------------------------------------ quality
+
+def expectation_sql(e, table: str, model: str) -> str:
+    c = e.column
+    if e.kind == "unique":
+        body = f"(SELECT count(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
+    elif e.kind == "not_null":
+        body = f"(SELECT count(*) FROM {table} WHERE {c} IS NULL)"
+    elif e.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in e.values)
+        body = f"(SELECT count(*) FROM {table} WHERE NOT ({c} IN ({vals})))"
+    elif e.kind == "range":
+        conds = []
+        if e.min_value is not None:
+            conds.append(f"{c} >= {e.min_value}")
+        if e.max_value is not None:
+            conds.append(f"{c} <= {e.max_value}")
+        body = f"(SELECT count(*) FROM {table} WHERE NOT ({' AND '.join(conds)}))"
+    elif e.kind == "date_order":
+        body = f"(SELECT count(*) FROM {table} WHERE {c} < {e.other})"
+    elif e.kind == "positive":
+        body = f"(SELECT count(*) FROM {table} WHERE {c} <= 0)"
+    elif e.kind == "rate_within":
+        body = (f"(SELECT CASE WHEN avg(CAST({c} AS DOUBLE)) < {e.min_value} OR avg(CAST({c} AS DOUBLE)) > {e.max_value} "
+                f"THEN 1 ELSE 0 END FROM {table})")
+    else:
+        raise ValueError(e.kind)
+    return (f"SELECT '{model}' AS model, '{e.kind}' AS \"check\", '{c}' AS \"column\", CAST({body} AS BIGINT) AS failing_rows")
+
+
+def quality_report_sql(suites: list[tuple[str, str, list]]) -> str:
+    parts = [expectation_sql(e, t, m) for m, t, suite in suites for e in suite]
+    return ("SELECT model, \"check\", \"column\", failing_rows, CASE WHEN failing_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ("
+            + "\nUNION ALL\n".join(parts) + ")")

@@ -351,3 +351,38 @@ FROM users u"""))
 def q_rls_visible_counts(spark, sf):
     mb = measure_base(spark, sf)
     return SEC.visible_counts(mb, users_by_service(mb))
+
+
+# ------------------------------------------------------------------ data quality
+
+from carestay.operators import quality as QC  # noqa: E402
+
+_KPI_U = "kpis AS (" + " UNION ALL ".join(O.kpi_by_sql(d) for d in gold.KPI_DIMENSIONS) + ")"
+_SEJ = f"""sejours AS (SELECT p.patient_id, {O.SEJOUR_COLS} FROM clean p LEFT JOIN pstats s ON p.pathologie = s.pathologie)"""
+_DIAG = f"""diags AS (SELECT p.patient_id, {O.DIAG_COLS} FROM clean p LEFT JOIN icd10 m ON p.diagnostic_principal = m.code_cim10)"""
+
+
+def _quality_suites():
+    return [("source", "stays_raw", QC.source_suite()), ("stg_patients", "clean", QC.clean_suite()),
+            ("stg_sejours", "sejours", QC.stay_suite()), ("stg_diagnostics", "diags", QC.diagnostic_suite()),
+            ("mart_patient_features", "features", QC.feature_suite()), ("mart_readmission_kpis", "kpis", QC.kpi_suite())]
+
+
+@register("quality_report", O.with_ctes(O.BASE + [_KPI_U, _SEJ, _DIAG], O.quality_report_sql(_quality_suites())))
+def q_quality_report(spark, sf):
+    raw = stays_raw(spark, sf)
+    c = silver.clean_stays(raw)
+    f = gold.with_features(c)
+    frames = {"stays_raw": raw, "clean": c, "sejours": silver.stay_metrics(c), "diags": silver.enrich_diagnostics(c),
+              "features": f, "kpis": gold.kpi_mart(f, ordered=False)}
+    out = None
+    for model, table, suite in _quality_suites():
+        r = QC.run_expectations(frames[table], suite, model)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("quality_duplicates", O.with_ctes(O.BASE, """
+SELECT patient_id, count(*) AS nb_occurrences FROM features GROUP BY patient_id HAVING count(*) > 1"""))
+def q_quality_duplicates(spark, sf):
+    return QC.duplicates(features(spark, sf), "patient_id")
