@@ -386,3 +386,218 @@ def q_quality_report(spark, sf):
 SELECT patient_id, count(*) AS nb_occurrences FROM features GROUP BY patient_id HAVING count(*) > 1"""))
 def q_quality_duplicates(spark, sf):
     return QC.duplicates(features(spark, sf), "patient_id")
+
+
+# ------------------------------------------------------------------ exploration
+
+from carestay import schema as S  # noqa: E402
+from carestay.operators import explore as X  # noqa: E402
+
+
+def _unpivot_sql(cols, table="features", extra="", cast="DOUBLE") -> str:
+    sel = ", ".join([extra] if extra else []) + (", " if extra else "") + ", ".join(f"CAST({c} AS {cast}) AS {c}" for c in cols)
+    return f"(UNPIVOT (SELECT {sel} FROM {table}) ON {', '.join(cols)} INTO NAME feature VALUE value)"
+
+
+@register("describe", O.with_ctes(O.BASE, f"""
+SELECT feature, count(value) AS count, {O.R('avg(value)', 2)} AS mean, {O.R('stddev_samp(value)', 2)} AS std,
+  {O.R('min(value)', 2)} AS min, {O.R('quantile_cont(value, 0.25)', 2)} AS p25, {O.R('quantile_cont(value, 0.5)', 2)} AS p50,
+  {O.R('quantile_cont(value, 0.75)', 2)} AS p75, {O.R('max(value)', 2)} AS max
+FROM {_unpivot_sql(S.EXPLORE_NUMERICAL)} GROUP BY feature"""))
+def q_describe(spark, sf):
+    return X.describe_numeric(features(spark, sf))
+
+
+@register("class_balance", O.with_ctes(O.BASE, f"""
+SELECT readmission_30j, count(*) AS n, {O.R('count(*) / sum(count(*)) OVER ()', 3)} AS share FROM features GROUP BY 1"""))
+def q_class_balance(spark, sf):
+    return X.class_balance(features(spark, sf))
+
+
+def _missing_sql():
+    from carestay.schema import BRONZE_COLUMNS
+    parts = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS missing FROM stays_raw"
+                               for c in BRONZE_COLUMNS)
+    return f"SELECT * FROM ({parts}) WHERE missing > 0"
+
+
+@register("missing_counts", O.with_ctes([], _missing_sql()))
+def q_missing_counts(spark, sf):
+    return X.missing_counts(stays_raw(spark, sf))
+
+
+_RATE_DIMS = ["tranche_age", "service", "mode_sortie", "groupe_clinique"]
+
+
+@register("group_rates", O.with_ctes(O.BASE, " UNION ALL ".join(f"""
+SELECT '{d}' AS dimension, {d} AS level, count(*) AS n, {O.R('avg(CAST(readmission_30j AS DOUBLE))', 6)} AS rate,
+  {O.R('(SELECT avg(CAST(readmission_30j AS DOUBLE)) FROM features)', 6)} AS global_rate FROM features GROUP BY {d}""" for d in _RATE_DIMS)))
+def q_group_rates(spark, sf):
+    f = features(spark, sf)
+    out = None
+    for d in _RATE_DIMS:
+        r = X.group_rate(f, d).select(F.lit(d).alias("dimension"), F.col(d).alias("level"), "n",
+                                      rnd("rate", 6).alias("rate"), rnd("global_rate", 6).alias("global_rate"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def _hist_sql(col: str, bins: int = 30) -> str:
+    return O.with_ctes(O.BASE + [f"""rng AS (SELECT readmission_30j AS y, min({col}) AS lo, max({col}) AS hi FROM features GROUP BY 1),
+hb AS (SELECT f.readmission_30j, r.lo, r.hi,
+  CAST(CASE WHEN r.hi > r.lo THEN LEAST(floor((f.{col} - r.lo) * {float(bins)} / (r.hi - r.lo)), {bins - 1}) ELSE 0 END AS INTEGER) AS bin
+  FROM features f JOIN rng r ON f.readmission_30j = r.y WHERE f.{col} IS NOT NULL)"""], f"""
+SELECT readmission_30j, bin, count(*) AS n, {O.R(f'any_value(lo) + bin * (any_value(hi) - any_value(lo)) / {float(bins)}', 6)} AS bin_lo,
+  {O.R(f'any_value(lo) + (bin + 1) * (any_value(hi) - any_value(lo)) / {float(bins)}', 6)} AS bin_hi
+FROM hb GROUP BY readmission_30j, bin""")
+
+
+for _hc in ["duree_sejour", "ratio_meds_duree"]:
+    def _mkh(col):
+        def q(spark, sf):
+            h = X.histogram_by_class(features(spark, sf), col)
+            return round_doubles(h)
+        return q
+    register(f"histogram_{_hc}", _hist_sql(_hc))(_mkh(_hc))
+
+
+def _corr_sql():
+    cols = S.CORRELATION_COLS
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, {O.R(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))', 4)} AS corr FROM features"
+        for a, b in pairs)
+
+
+@register("correlation", O.with_ctes(O.BASE, _corr_sql()))
+def q_correlation(spark, sf):
+    return X.correlation_matrix(features(spark, sf))
+
+
+@register("dataset_summary", O.with_ctes(O.BASE, f"""
+SELECT count(*) AS n_stays, {O.R('avg(CAST(readmission_30j AS DOUBLE))', 3)} AS readmission_rate,
+  {O.R('avg(age)', 1)} AS mean_age, {O.R('avg(duree_sejour)', 1)} AS mean_los, {O.R('avg(nb_medicaments)', 1)} AS mean_medications,
+  {O.R('avg(nb_hospitalisations_precedentes)', 2)} AS mean_prior_hosp FROM features"""))
+def q_dataset_summary(spark, sf):
+    return X.dataset_summary(features(spark, sf))
+
+
+@register("crosstab", O.with_ctes(O.BASE, """
+SELECT mode_sortie, readmission_30j, count(*) AS n FROM features
+WHERE mode_sortie IS NOT NULL AND readmission_30j IS NOT NULL GROUP BY 1, 2"""))
+def q_crosstab(spark, sf):
+    return X.crosstab(features(spark, sf), "mode_sortie", "readmission_30j")
+
+
+# ------------------------------------------------------------------ statistical tests
+
+from carestay.operators import stats as ST  # noqa: E402
+
+
+def _normality_sql() -> str:
+    lg = _unpivot_sql(S.SCREEN_NUMERICAL)
+    n = "n"
+    y0 = "g1 * sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))"
+    beta2 = "3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))"
+    return O.with_ctes(O.BASE + [
+        f"lg AS (SELECT * FROM {lg} WHERE value IS NOT NULL)",
+        "mu AS (SELECT feature, avg(value) AS m, CAST(count(*) AS DOUBLE) AS n FROM lg GROUP BY feature)",
+        """mo AS (SELECT l.feature, any_value(mu.n) AS n, avg(power(value - mu.m, 2)) AS m2, avg(power(value - mu.m, 3)) AS m3,
+          avg(power(value - mu.m, 4)) AS m4 FROM lg l JOIN mu ON l.feature = mu.feature GROUP BY l.feature)""",
+        "mm AS (SELECT feature, n, m3 / power(m2, 1.5) AS g1, m4 / (m2 * m2) AS b2 FROM mo)",
+        f"""s1 AS (SELECT *, CASE WHEN {y0} = 0 THEN 1.0 ELSE {y0} END AS y, sqrt(2.0 * ({beta2} - 1)) - 1 AS w2,
+          3.0 * (n - 1) / (n + 1) AS e, 24.0 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5)) AS var,
+          6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS sb1 FROM mm)""",
+        """s2 AS (SELECT *, 1.0 / sqrt(0.5 * ln(w2)) AS delta, sqrt(2.0 / (w2 - 1)) AS alpha, (b2 - e) / sqrt(var) AS x,
+          6.0 + 8.0 / sb1 * (2.0 / sb1 + sqrt(1 + 4.0 / (sb1 * sb1))) AS a FROM s1)""",
+        """s3 AS (SELECT feature, delta * asinh(y / alpha) AS z1,
+          ((1 - 2.0 / (9.0 * a)) - sign(1 + x * sqrt(2.0 / (a - 4.0))) * power((1 - 2.0 / a) / abs(1 + x * sqrt(2.0 / (a - 4.0))), 1.0 / 3.0))
+            / sqrt(2.0 / (9.0 * a)) AS z2 FROM s2)"""],
+        f"""SELECT feature, {O.R('z1 * z1 + z2 * z2', 4)} AS statistic, {O.R('exp(-(z1 * z1 + z2 * z2) / 2)', 6)} AS p_value,
+  CASE WHEN exp(-(z1 * z1 + z2 * z2) / 2) > 0.05 THEN 'Yes' ELSE 'No' END AS normal FROM s3""")
+
+
+@register("normality_test", _normality_sql())
+def q_normality(spark, sf):
+    return ST.normality_test(features(spark, sf, extra=["sexe"]))
+
+
+def _chi_sql() -> str:
+    cols = S.SCREEN_CATEGORICAL
+    lg = _unpivot_sql(cols, extra="CAST(readmission_30j AS VARCHAR) AS y", cast="VARCHAR").replace("INTO NAME feature VALUE value", "INTO NAME feature VALUE level")
+    return O.with_ctes(O.BASE + [
+        f"lg AS (SELECT * FROM {lg} WHERE level IS NOT NULL AND y IS NOT NULL)",
+        "obs AS (SELECT feature, level, y, count(*) AS o FROM lg GROUP BY ALL)",
+        """grid AS (SELECT l.feature, l.level, c.y, COALESCE(obs.o, 0) AS o
+          FROM (SELECT DISTINCT feature, level FROM obs) l JOIN (SELECT DISTINCT feature, y FROM obs) c ON l.feature = c.feature
+          LEFT JOIN obs ON obs.feature = l.feature AND obs.level = l.level AND obs.y = c.y)""",
+        """m AS (SELECT *, sum(o) OVER (PARTITION BY feature, level) AS rw, sum(o) OVER (PARTITION BY feature, y) AS cl,
+          sum(o) OVER (PARTITION BY feature) AS n, count(*) OVER (PARTITION BY feature, y) AS r, count(*) OVER (PARTITION BY feature, level) AS c FROM grid)""",
+        """e AS (SELECT *, CAST(rw AS DOUBLE) * cl / n AS ex, (r - 1) * (c - 1) AS dof FROM m)""",
+        """per AS (SELECT feature, sum(power(abs(o - ex) - CASE WHEN dof = 1 THEN LEAST(0.5, abs(o - ex)) ELSE 0.0 END, 2) / ex) AS chi2,
+          any_value(dof) AS dof, any_value(n) AS n, any_value(LEAST(r, c) - 1) AS k FROM e GROUP BY feature)"""],
+        f"""SELECT feature, {O.R('chi2', 2)} AS chi2, CAST(dof AS INTEGER) AS dof,
+  {O.R('CASE WHEN k > 0 THEN sqrt(chi2 / (n * k)) ELSE 0.0 END', 4)} AS cramers_v FROM per""")
+
+
+@register("chi_square_stat", _chi_sql())
+def q_chi_square_stat(spark, sf):
+    return ST.chi_square_stat(features(spark, sf, extra=["sexe"])).drop("_chi2_raw")
+
+
+def _mw_sql() -> str:
+    lg = _unpivot_sql(S.SCREEN_NUMERICAL, extra="readmission_30j AS y")
+    return O.with_ctes(O.BASE + [
+        f"vc AS (SELECT feature, value, count(*) FILTER (WHERE y = 0) AS n0, count(*) FILTER (WHERE y = 1) AS n1 FROM {lg} WHERE value IS NOT NULL GROUP BY ALL)",
+        """cw AS (SELECT *, COALESCE(sum(n1) OVER (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below1 FROM vc)""",
+        """per AS (SELECT feature, sum(n0 * (below1 + 0.5 * n1)) AS u, CAST(sum(n0) AS DOUBLE) AS n0, CAST(sum(n1) AS DOUBLE) AS n1,
+          sum(CAST(n0 + n1 AS DOUBLE) * (n0 + n1) * (n0 + n1) - (n0 + n1)) AS ties,
+          sum(value * n0) / sum(n0) AS mean0, sum(value * n1) / sum(n1) AS mean1 FROM cw GROUP BY feature)"""],
+        f"""SELECT feature, {O.R('u', 2)} AS u_statistic,
+  {O.R('(GREATEST(u, n0 * n1 - u) - n0 * n1 / 2 - 0.5) / sqrt(n0 * n1 / 12.0 * ((n0 + n1 + 1) - ties / ((n0 + n1) * (n0 + n1 - 1))))', 6)} AS z,
+  {O.R('u / (n0 * n1)', 6)} AS effect_r, {O.R('mean0', 6)} AS mean0, {O.R('mean1', 6)} AS mean1,
+  CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1 FROM per""")
+
+
+@register("mann_whitney_u", _mw_sql())
+def q_mann_whitney_u(spark, sf):
+    m = ST.mann_whitney_u(features(spark, sf))
+    return round_doubles(m.withColumn("u_statistic", rnd("u_statistic", 2)))
+
+
+@register("kruskal_h", O.with_ctes(O.BASE + [
+    "vg AS (SELECT CAST(age AS DOUBLE) AS v, pathologie AS g, count(*) AS n FROM features WHERE age IS NOT NULL AND pathologie IS NOT NULL GROUP BY ALL)",
+    "vv AS (SELECT v, sum(n) AS t FROM vg GROUP BY v)",
+    "rk AS (SELECT v, t, sum(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - t + (t + 1) / 2.0 AS rank FROM vv)",
+    "per AS (SELECT g, sum(n * rank) AS r, sum(n) AS nj FROM vg JOIN rk USING (v) GROUP BY g)",
+    "tot AS (SELECT sum(r * r / nj) AS s, CAST(sum(nj) AS DOUBLE) AS nn, count(*) AS k FROM per)",
+    "tie AS (SELECT sum(power(CAST(t AS DOUBLE), 3) - t) AS tie FROM vv)"], f"""
+SELECT {O.R('(12.0 / (nn * (nn + 1)) * s - 3 * (nn + 1)) / (1 - tie / (nn * nn * nn - nn))', 6)} AS h,
+  CAST(k - 1 AS INTEGER) AS dof, CAST(nn AS BIGINT) AS n FROM tot, tie"""))
+def q_kruskal_h(spark, sf):
+    return round_doubles(ST.kruskal_h(features(spark, sf)))
+
+
+@register("chi_square")
+def q_chi_square(spark, sf):
+    return ST.chi_square(features(spark, sf, extra=["sexe"]))
+
+
+@register("mann_whitney")
+def q_mann_whitney(spark, sf):
+    return ST.mann_whitney(features(spark, sf))
+
+
+@register("kruskal_wallis")
+def q_kruskal_wallis(spark, sf):
+    return ST.kruskal_wallis(features(spark, sf))
+
+
+@register("vif")
+def q_vif(spark, sf):
+    return ST.vif(features(spark, sf))
+
+
+@register("feature_screen")
+def q_feature_screen(spark, sf):
+    return ST.feature_screen(features(spark, sf, extra=["sexe"]))
