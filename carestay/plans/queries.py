@@ -601,3 +601,138 @@ def q_vif(spark, sf):
 @register("feature_screen")
 def q_feature_screen(spark, sf):
     return ST.feature_screen(features(spark, sf, extra=["sexe"]))
+
+
+# ------------------------------------------------------------------ risk model
+
+from carestay.operators import model as MD  # noqa: E402
+from carestay.plans.joins import materialize  # noqa: E402
+
+_SPLIT_SQL = O.with_ctes(O.BASE + ["""rk AS (
+  SELECT patient_id, readmission_30j,
+    row_number() OVER (PARTITION BY readmission_30j ORDER BY md5(concat(patient_id, '-', '42')), patient_id) AS rn,
+    count(*) OVER (PARTITION BY readmission_30j) AS nc FROM features)"""], """
+SELECT patient_id, readmission_30j, CASE WHEN rn <= floor(nc * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split,
+  CASE WHEN rn > floor(nc * 0.2 + 0.5) THEN CAST((rn - floor(nc * 0.2 + 0.5) - 1) % 5 AS INTEGER) END AS fold
+FROM rk""")
+
+
+@register("stratified_split", _SPLIT_SQL)
+def q_stratified_split(spark, sf):
+    return MD.stratified_split(features(spark, sf).select("patient_id", "readmission_30j"))
+
+
+@register("fold_ids", O.with_ctes([], "SELECT split, fold, readmission_30j, count(*) AS n FROM (" + _SPLIT_SQL[len("WITH "):].join(["WITH ", ""]) + ") GROUP BY ALL"))
+def q_fold_ids(spark, sf):
+    s = MD.stratified_split(features(spark, sf).select("patient_id", "readmission_30j"))
+    return s.groupBy("split", "fold", "readmission_30j").agg(F.count(F.lit(1)).alias("n"))
+
+
+_SCORE_COUNTS = """sc AS (SELECT score_risque_modele AS s, count(*) FILTER (WHERE readmission_30j = 0) AS n0,
+  count(*) FILTER (WHERE readmission_30j = 1) AS n1 FROM mb GROUP BY 1),
+cum AS (SELECT *, sum(n0) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c0,
+  sum(n1) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c1,
+  sum(n0) OVER () AS t0, sum(n1) OVER () AS t1 FROM sc)"""
+
+
+@register("exact_auc", O.with_ctes(O.BASE + [O.MB, _SCORE_COUNTS], f"""
+SELECT {O.R('sum(n1 * (c0 - n0 + 0.5 * n0)) / (sum(n0) * sum(n1))', 8)} AS auc,
+  CAST(sum(n0) AS DOUBLE) AS n0, CAST(sum(n1) AS DOUBLE) AS n1 FROM cum"""))
+def q_exact_auc(spark, sf):
+    return round_doubles(MD.exact_auc(measure_base(spark, sf), "score_risque_modele"), 8)
+
+
+@register("auc_by_service", O.with_ctes(O.BASE + [O.MB, """sc AS (SELECT service, score_risque_modele AS s,
+  count(*) FILTER (WHERE readmission_30j = 0) AS n0, count(*) FILTER (WHERE readmission_30j = 1) AS n1 FROM mb GROUP BY 1, 2),
+cum AS (SELECT *, sum(n0) OVER (PARTITION BY service ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c0 FROM sc)"""], f"""
+SELECT service, {O.R('sum(n1 * (c0 - n0 + 0.5 * n0)) / (sum(n0) * sum(n1))', 8)} AS auc,
+  CAST(sum(n0) AS DOUBLE) AS n0, CAST(sum(n1) AS DOUBLE) AS n1 FROM cum GROUP BY service"""))
+def q_auc_by_service(spark, sf):
+    return round_doubles(MD.exact_auc(measure_base(spark, sf), "score_risque_modele", group_by=["service"]), 8)
+
+
+@register("roc_points", O.with_ctes(O.BASE + [O.MB, _SCORE_COUNTS], f"""
+SELECT s AS threshold, {O.R('(t0 - c0 + n0) / t0', 8)} AS fpr, {O.R('(t1 - c1 + n1) / t1', 8)} AS tpr,
+  CAST(t1 - c1 + n1 AS BIGINT) AS tp, CAST(t0 - c0 + n0 AS BIGINT) AS fp FROM cum"""))
+def q_roc_points(spark, sf):
+    r = MD.roc_points(measure_base(spark, sf), "score_risque_modele")
+    return round_doubles(r, 8).withColumn("tp", F.col("tp").cast("bigint")).withColumn("fp", F.col("fp").cast("bigint"))
+
+
+@register("pr_points", O.with_ctes(O.BASE + [O.MB, _SCORE_COUNTS], f"""
+SELECT s AS threshold, {O.R('CAST(t1 - c1 + n1 AS DOUBLE) / ((t1 - c1 + n1) + (t0 - c0 + n0))', 8)} AS precision,
+  {O.R('(t1 - c1 + n1) / t1', 8)} AS recall FROM cum"""))
+def q_pr_points(spark, sf):
+    return round_doubles(MD.pr_points(measure_base(spark, sf), "score_risque_modele"), 8)
+
+
+@register("classification_report", O.with_ctes(O.BASE + [O.MB, """c AS (SELECT
+  count(*) FILTER (WHERE readmission_30j = 1 AND score_risque_modele >= 0.5) AS tp,
+  count(*) FILTER (WHERE readmission_30j = 0 AND score_risque_modele >= 0.5) AS fp,
+  count(*) FILTER (WHERE readmission_30j = 1 AND score_risque_modele < 0.5) AS fn,
+  count(*) FILTER (WHERE readmission_30j = 0 AND score_risque_modele < 0.5) AS tn FROM mb),
+m AS (SELECT CAST(tn AS DOUBLE) / (tn + fn) AS p0, CAST(tn AS DOUBLE) / (tn + fp) AS r0, tn + fp AS s0,
+  CAST(tp AS DOUBLE) / (tp + fp) AS p1, CAST(tp AS DOUBLE) / (tp + fn) AS r1, tp + fn AS s1,
+  CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS acc, tp + tn + fp + fn AS n FROM c),
+m2 AS (SELECT *, 2 * p0 * r0 / (p0 + r0) AS f0, 2 * p1 * r1 / (p1 + r1) AS f1 FROM m)"""], f"""
+SELECT 'No readmission' AS class, {O.R('p0', 6)} AS precision, {O.R('r0', 6)} AS recall, {O.R('f0', 6)} AS f1_score, s0 AS support FROM m2
+UNION ALL SELECT 'Readmitted', {O.R('p1', 6)}, {O.R('r1', 6)}, {O.R('f1', 6)}, s1 FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, {O.R('acc', 6)}, n FROM m2
+UNION ALL SELECT 'macro avg', {O.R('(p0 + p1) / 2', 6)}, {O.R('(r0 + r1) / 2', 6)}, {O.R('(f0 + f1) / 2', 6)}, n FROM m2
+UNION ALL SELECT 'weighted avg', {O.R('(p0 * s0 + p1 * s1) / n', 6)}, {O.R('(r0 * s0 + r1 * s1) / n', 6)}, {O.R('(f0 * s0 + f1 * s1) / n', 6)}, n FROM m2"""))
+def q_classification_report(spark, sf):
+    mb = measure_base(spark, sf).withColumn("prediction", (F.col("score_risque_modele") >= 0.5).cast("int"))
+    return round_doubles(MD.classification_report(mb))
+
+
+def _fitted(spark, sf):
+    """Features materialised once (lineage cut) → split → model fit on the training rows."""
+    f = materialize(features(spark, sf))
+    split = MD.stratified_split(f)
+    train = split.where(F.col("split") == "train")
+    return f, split, train, MD.fit_logistic(train)
+
+
+@register("fit_logistic_scores")
+def q_fit_logistic_scores(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    return MD.score(split, m).select("patient_id", "split", "readmission_30j", "score_risque_modele", "prediction")
+
+
+@register("model_evaluation")
+def q_model_evaluation(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    test = MD.score(split.where(F.col("split") == "test"), m)
+    auc = MD.exact_auc(test).select("auc")
+    return auc.select("auc", MD.f1_at(test).scalar().alias("f1"))
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    return MD.cross_validate(materialize(train))
+
+
+@register("bootstrap_ci")
+def q_bootstrap_ci(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    test = materialize(MD.score(split.where(F.col("split") == "test"), m))
+    return MD.bootstrap_ci(test)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    return MD.feature_importance(m, 15)
+
+
+@register("score_export")
+def q_score_export(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    return MD.score_export(MD.score(f, m))
+
+
+@register("risk_tier_shares")
+def q_risk_tier_shares(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    return MD.tier_shares(MD.score_export(MD.score(f, m)))
