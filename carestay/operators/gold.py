@@ -93,14 +93,19 @@ def _kpi_aggs() -> list[Column]:
 KPI_METRICS = ["nb_sejours", "nb_readmissions", "taux_readmission", "duree_sejour_moy", "nb_medicaments_moy",
                "indice_complexite_moy", "taux_polymedication", "taux_sortie_complexe", "age_moyen"]
 
-# dimension name → (grouping columns, value expression, sub-group expression)
+def _none() -> Column:
+    return F.lit(None).cast("string")
+
+
+# dimension name → (grouping columns, value expression, sub-group expression); expressions are
+# built lazily because Columns need a live session
 KPI_DIMENSIONS = {
-    "pathologie": (["pathologie", "groupe_clinique"], F.col("pathologie"), F.col("groupe_clinique")),
-    "service": (["service"], F.col("service"), F.lit(None).cast("string")),
-    "region": (["hopital_region"], F.col("hopital_region"), F.lit(None).cast("string")),
-    "tranche_age": (["tranche_age"], F.col("tranche_age"), F.lit(None).cast("string")),
+    "pathologie": (["pathologie", "groupe_clinique"], lambda: F.col("pathologie"), lambda: F.col("groupe_clinique")),
+    "service": (["service"], lambda: F.col("service"), _none),
+    "region": (["hopital_region"], lambda: F.col("hopital_region"), _none),
+    "tranche_age": (["tranche_age"], lambda: F.col("tranche_age"), _none),
     "mois": (["annee_admission", "mois_admission", "saison_admission"],
-             C.month_key("annee_admission", "mois_admission"), F.col("saison_admission")),
+             lambda: C.month_key("annee_admission", "mois_admission"), lambda: F.col("saison_admission")),
 }
 
 
@@ -108,7 +113,7 @@ def kpi_by(features: DataFrame, dimension: str) -> DataFrame:
     """KPIs of one dimension: one group-by with map-side partial aggregation."""
     cols, value, sub = KPI_DIMENSIONS[dimension]
     agg = features.groupBy(*cols).agg(*_kpi_aggs())
-    return agg.select(F.lit(dimension).alias("dimension"), value.alias("valeur"), sub.alias("sous_groupe"),
+    return agg.select(F.lit(dimension).alias("dimension"), value().alias("valeur"), sub().alias("sous_groupe"),
                       *KPI_METRICS)
 
 
@@ -147,8 +152,8 @@ def kpi_mart(features: DataFrame, dimensions: Sequence[str] = tuple(KPI_DIMENSIO
     for d in dimensions:
         _, v, s = KPI_DIMENSIONS[d]
         cond = F.col("dimension") == d
-        value = F.when(cond, v) if value is None else value.when(cond, v)
-        sub = F.when(cond, s) if sub is None else sub.when(cond, s)
+        value = F.when(cond, v()) if value is None else value.when(cond, v())
+        sub = F.when(cond, s()) if sub is None else sub.when(cond, s())
     out = deviation_from_dimension_mean(
         agg.select("dimension", value.alias("valeur"), sub.alias("sous_groupe"), *KPI_METRICS))
     return out.orderBy("dimension", F.desc("taux_readmission")) if ordered else out

@@ -124,7 +124,7 @@ def derive_measures(b: DataFrame, group_by: Sequence[str] = (), null_on_empty: b
         "f1_modele": _ratio(2 * prec * rec, prec + rec, null_on_empty),
         "accuracy_modele": r(F.col("tp") + F.col("tn"), "n"),
         "specificite_modele": r("tn", F.col("tn") + F.col("fp")),
-        "cout_fausses_alertes": C.threshold_label(F.col("fp") / F.col("n"), FALSE_ALERT_COST,
+        "cout_fausses_alertes": C.threshold_label(C.safe_ratio("fp", "n"), FALSE_ALERT_COST,
                                                   FALSE_ALERT_COST_DEFAULT, strict=True),
     }
     return b.select(*group_by, *[v.alias(k) for k, v in cols.items()])

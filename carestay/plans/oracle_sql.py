@@ -235,7 +235,7 @@ def measure_exprs() -> dict[str, tuple[str, bool]]:
         "f1_modele": (SAFE(f"2 * {prec} * {rec}", f"{prec} + {rec}"), True),
         "accuracy_modele": (SAFE("tp + tn", "n"), True),
         "specificite_modele": (SAFE("tn", "tn + fp"), True),
-        "cout_fausses_alertes": (_band("CAST(fp AS DOUBLE) / n", FALSE_ALERT_COST, FALSE_ALERT_COST_DEFAULT, True), False),
+        "cout_fausses_alertes": (_band(SAFE("fp", "n"), FALSE_ALERT_COST, FALSE_ALERT_COST_DEFAULT, True), False),
     }
 
 

@@ -1,0 +1,53 @@
+"""Materialised layers, as in the source's medallion layout: silver stays views (lazy
+DataFrames), gold is written once as a table and read by every downstream analysis.
+
+The gold feature table is built once per session and input fingerprint and written to the
+shared folder named by ``spark.checkpoint.dir`` (a reliable, cluster-visible location), so
+executor loss never forces a recomputation from the raw tables.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+
+from carestay.operators import gold, silver
+from carestay.session import ensure_checkpoint_dir
+from carestay.sources.fixture import stays_raw
+
+SOURCE_TABLES = ("orders", "lineitem", "customer")
+_BUILT: dict[tuple[str, str], str] = {}
+GOLD_EXTRA = ["sexe"]
+
+
+def _fingerprint(sf_dir: str) -> str:
+    parts = [os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
+    for t in SOURCE_TABLES:
+        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        try:
+            st = os.stat(p)
+            parts.append(f"{t}:{st.st_size}:{st.st_mtime_ns}")
+        except OSError:
+            parts.append(t)
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def build_gold_features(spark: SparkSession, sf_dir: str) -> str:
+    """Write the gold feature table (plus ``sexe`` for the measure layer) and return its path."""
+    key = (spark.sparkContext.applicationId, _fingerprint(sf_dir))
+    if key in _BUILT:
+        return _BUILT[key]
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/gold/{key[0]}/{key[1]}/mart_patient_features"
+    f = gold.with_features(silver.clean_stays(stays_raw(spark, sf_dir)), extra=GOLD_EXTRA)
+    f.write.mode("overwrite").parquet(path)
+    _BUILT[key] = path
+    return path
+
+
+def gold_features(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
+    """The gold feature table for ``sf_dir`` (built on first use in this session)."""
+    df = spark.read.parquet(build_gold_features(spark, sf_dir))
+    return df.select(*gold.FEATURE_TABLE_COLUMNS, *[c for c in extra if c in GOLD_EXTRA])

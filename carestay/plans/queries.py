@@ -18,7 +18,9 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str, extra=()) -> DataFrame:
-    return gold.with_features(clean(spark, sf), extra=extra)
+    """The gold feature table (materialised once per session, then read)."""
+    from carestay.plans.pipeline import gold_features
+    return gold_features(spark, sf, extra)
 
 
 # ------------------------------------------------------------------ silver
@@ -85,7 +87,7 @@ def q_dedup_latest(spark, sf):
 
 @register("with_features", O.with_ctes(O.BASE, f"SELECT {FEATURE_COLS_SQL} FROM features"))
 def q_with_features(spark, sf):
-    return features(spark, sf)
+    return gold.with_features(clean(spark, sf))
 
 
 @register("feature_store_join", O.with_ctes(O.BASE, f"SELECT {FEATURE_COLS_SQL} FROM features"))
@@ -686,8 +688,8 @@ def q_classification_report(spark, sf):
 
 
 def _fitted(spark, sf):
-    """Features materialised once (lineage cut) → split → model fit on the training rows."""
-    f = materialize(features(spark, sf))
+    """Gold features → split → model fit on the training rows."""
+    f = features(spark, sf)
     split = MD.stratified_split(f)
     train = split.where(F.col("split") == "train")
     return f, split, train, MD.fit_logistic(train)
@@ -736,3 +738,14 @@ def q_score_export(spark, sf):
 def q_risk_tier_shares(spark, sf):
     f, split, train, m = _fitted(spark, sf)
     return MD.tier_shares(MD.score_export(MD.score(f, m)))
+
+
+# ------------------------------------------------------------------ ingestion log
+
+@register("ingestion_log", O.with_ctes([], """
+SELECT CAST(count(*) AS INTEGER) AS nb_lignes, CAST(ROUND(CAST(avg(CAST(readmission_30j AS DOUBLE)) AS DECIMAL(18,8)), 4) AS DOUBLE) AS taux_readmission,
+  'SUCCESS' AS statut FROM stays_raw"""))
+def q_ingestion_log(spark, sf):
+    from carestay.sources.io import ingestion_log
+    log = ingestion_log(stays_raw(spark, sf), "SUCCESS", "fixture load")
+    return log.select("nb_lignes", F.col("taux_readmission").cast("double").alias("taux_readmission"), "statut")

@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from carestay.plans.joins import materialize
+
 
 def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[Column | str],
                    sum_cols: Sequence[str], partition_cols: Sequence[str] = (), buckets: int = 64,
@@ -30,7 +32,9 @@ def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[
     """
     key = F.col(bucket_key) if isinstance(bucket_key, str) else bucket_key
     part = list(partition_cols)
-    g = g.withColumn("_bk", key.cast("double"))
+    # g feeds three branches (bounds, bucket totals, running sums): write it once to the
+    # reliable checkpoint folder so the upstream plan is not recomputed per branch
+    g = materialize(g.withColumn("_bk", key.cast("double")))
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
         bounds_agg = F.percentile_approx("_bk", probs, 10_000).alias("_bounds")
