@@ -52,9 +52,7 @@ def with_features(clean: DataFrame, reference: DataFrame | None = None, stats: D
     Equal to the three-way join on ``patient_id`` whenever ids are unique, without its
     two shuffles. ``extra`` keeps further clean columns (e.g. ``sexe``) for measures.
     """
-    j = silver.attach_icd10(silver.attach_pathology_stats(clean, stats), reference)
-    wide = j.select(*[F.col(c) for c in clean.columns], *silver._sejour_columns(), *silver._diag_columns())
-    return wide.select(*_feature_select(extra))
+    return silver.silver_wide(clean, reference, stats).select(*_feature_select(extra))
 
 
 def feature_store_join(clean: DataFrame, reference: DataFrame | None = None) -> DataFrame:

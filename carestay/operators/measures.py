@@ -184,7 +184,7 @@ def services_above_threshold(df: DataFrame, threshold: float = 0.20, key: str =
 # ------------------------------------------------------------ exact percentiles
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], group_by: Sequence[str] = (),
-                      buckets: int = 64, prefix: str = "p") -> DataFrame:
+                      buckets: int | None = None, prefix: str = "p") -> DataFrame:
     """Exact percentiles with linear interpolation (inclusive definition), distributed.
 
     Values are counted per distinct value, ranked with bucketed running totals and the

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from carestay import schema as S
 from carestay.functions import columns as C
+from carestay.plans.joins import materialize
 from carestay.plans.ranking import running_totals
 
 PROB = "score_risque_modele"
@@ -37,7 +38,7 @@ def hash_order(key: str, seed: int) -> tuple[Column, Column]:
 
 
 def stratified_split(df: DataFrame, label: str = S.TARGET, key: str = S.KEY, test: float = 0.2,
-                     seed: int = 42, folds: int = 5, buckets: int = 64) -> DataFrame:
+                     seed: int = 42, folds: int = 5, buckets: int | None = None) -> DataFrame:
     """Exact per-class split and stratified folds.
 
     Rows are ranked within their class by md5(key-seed); the first round(test·n_c) ranks
@@ -83,26 +84,33 @@ def _scaled(means: dict, stds: dict) -> list[Column]:
              F.lit(stds[c] if stds[c] and stds[c] > 0 else 1.0)).alias(f"{c}_z") for c in means]
 
 
+def _class_weights(n: int, n1: int) -> tuple[float, float]:
+    n0 = n - n1
+    return (n / (2.0 * n0) if n0 else 0.0, n / (2.0 * n1) if n1 else 0.0)
+
+
 def balanced_weights(train: DataFrame, label: str = S.TARGET) -> Column:
     """n / (2·n_c) per class, from one aggregate of the training rows."""
-    counts = train.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("n1")).first()
-    n, n1 = counts["n"], counts["n1"]
-    n0 = n - n1
-    w1 = n / (2.0 * n1) if n1 else 0.0
-    w0 = n / (2.0 * n0) if n0 else 0.0
+    c = train.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("n1")).first()
+    w0, w1 = _class_weights(c["n"], c["n1"])
     return F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0))
 
 
 def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000, label: str = S.TARGET,
                  numeric: Sequence[str] = S.NUMERICAL_FEATURES, binary: Sequence[str] = S.BINARY_FEATURES,
                  categorical: Sequence[str] = S.CATEGORICAL_FEATURES, tol: float = 1e-6) -> RiskModel:
-    stats = train.agg(*[F.avg(x).alias(f"m_{x}") for x in numeric],
+    # the training rows are read by several passes (moments, indexers, every L-BFGS step):
+    # checkpoint them once so no pass recomputes the upstream plan
+    train = materialize(train.select(*numeric, *binary, *categorical, label))
+    stats = train.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(label) == 1).alias("_n1"),
+                      *[F.avg(x).alias(f"m_{x}") for x in numeric],
                       *[F.stddev_pop(x).alias(f"s_{x}") for x in numeric]).first()
     means = {x: float(stats[f"m_{x}"]) for x in numeric}
     stds = {x: float(stats[f"s_{x}"] or 0.0) for x in numeric}
-    w = balanced_weights(train, label)
+    n = stats["_n"]
+    w0, w1 = _class_weights(n, stats["_n1"])
+    w = F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0))
     prepared = train.select("*", *_scaled(means, stds), w.alias("_w"))
-    n = prepared.count()
     idx = [StringIndexer(inputCol=x, outputCol=f"{x}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
            for x in categorical]
     ohe = OneHotEncoder(inputCols=[f"{x}_idx" for x in categorical], outputCols=[f"{x}_ohe" for x in categorical],
@@ -135,7 +143,7 @@ def score_label_counts(df: DataFrame, score: str, label: str = S.TARGET, group_b
 
 
 def exact_auc(df: DataFrame, score: str = PROB, label: str = S.TARGET, group_by: Sequence[str] = (),
-              buckets: int = 64, weights: tuple[str, str] | None = None) -> DataFrame:
+              buckets: int | None = None, weights: tuple[str, str] | None = None) -> DataFrame:
     """Tie-aware AUC = P(score of a positive > score of a negative) + ½·P(tie)."""
     g = score_label_counts(df, score, label, group_by) if weights is None else df
     n0, n1 = weights or ("n0", "n1")
@@ -148,7 +156,7 @@ def exact_auc(df: DataFrame, score: str = PROB, label: str = S.TARGET, group_by:
                       F.col("_n1").cast("double").alias("n1"))
 
 
-def roc_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets: int = 64) -> DataFrame:
+def roc_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets: int | None = None) -> DataFrame:
     """One point per distinct score t: rates of scores ≥ t (no intermediate points dropped)."""
     g = score_label_counts(df, score, label)
     r = running_totals(g, score, [score], ["n0", "n1"], (), buckets)
@@ -158,7 +166,7 @@ def roc_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets:
                     (tp / F.col("tot_n1")).alias("tpr"), tp.alias("tp"), fp.alias("fp"))
 
 
-def pr_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets: int = 64) -> DataFrame:
+def pr_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets: int | None = None) -> DataFrame:
     roc = roc_points(df, score, label, buckets)
     return roc.select("threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
                       F.col("tpr").alias("recall"))
@@ -231,7 +239,7 @@ def _poisson1(u: Column, kmax: int = 12) -> Column:
 
 
 def bootstrap_ci(df: DataFrame, key: str = S.KEY, score: str = PROB, pred: str = "prediction",
-                 label: str = S.TARGET, n: int = 200, seed: int = 42, buckets: int = 16) -> DataFrame:
+                 label: str = S.TARGET, n: int = 200, seed: int = 42, buckets: int | None = None) -> DataFrame:
     """2.5 / 97.5 % intervals of AUC and F1 over ``n`` Poisson-bootstrap replicates.
 
     Each row gets an independent Poisson(1) weight per replicate from a hash of

@@ -70,24 +70,34 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
             .where(F.col("nb_occurrences") > 1))
 
 
-def run_expectations(df: DataFrame, suite: Sequence[Expectation], model: str = "") -> DataFrame:
-    row_checks = [e for e in suite if e.kind != "unique"]
-    key_checks = [e for e in suite if e.kind == "unique"]
+def run_suites(df: DataFrame, suites: Sequence[tuple[str, Sequence[Expectation]]]) -> DataFrame:
+    """Several suites over one relation: every row-level check of every suite in ONE aggregate,
+    and one keyed aggregate per distinct uniqueness column (shared by the suites that ask)."""
+    row_checks = [(m, e) for m, suite in suites for e in suite if e.kind != "unique"]
+    key_checks = [(m, e) for m, suite in suites for e in suite if e.kind == "unique"]
     parts = []
     if row_checks:
-        agg = df.agg(*[_failing(e).cast("bigint").alias(f"c{i}") for i, e in enumerate(row_checks)])
-        stack = ", ".join(f"'{e.kind}', '{e.column}', c{i}" for i, e in enumerate(row_checks))
-        parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) AS (check, column, failing_rows)"))
-    for e in key_checks:
-        parts.append(duplicates(df, e.column).agg(F.count(F.lit(1)).alias("failing_rows"))
-                     .select(F.lit(e.kind).alias("check"), F.lit(e.column).alias("column"), "failing_rows"))
+        agg = df.agg(*[_failing(e).cast("bigint").alias(f"c{i}") for i, (_, e) in enumerate(row_checks)])
+        stack = ", ".join(f"'{m}', '{e.kind}', '{e.column}', c{i}" for i, (m, e) in enumerate(row_checks))
+        parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) AS (model, check, column, failing_rows)"))
+    for col in dict.fromkeys(e.column for _, e in key_checks):
+        n_dup = duplicates(df, col).agg(F.count(F.lit(1)).alias("failing_rows"))
+        for m, e in key_checks:
+            if e.column == col:
+                parts.append(n_dup.select(F.lit(m).alias("model"), F.lit(e.kind).alias("check"),
+                                          F.lit(col).alias("column"), "failing_rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(F.lit(model).alias("model"), "check", "column", "failing_rows",
+    return out.select("model", "check", "column", "failing_rows",
                       F.when(F.col("failing_rows") == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
+def run_expectations(df: DataFrame, suite: Sequence[Expectation], model: str = "") -> DataFrame:
+    """One suite over one relation (see ``run_suites``)."""
+    return run_suites(df, [(model, suite)])
+
+
 # Suites restating the source's declarative tests (accepted values and bounds are fixed values).
 def source_suite() -> list[Expectation]:
     return [expect_not_null("patient_id"), expect_not_null("age"), expect_not_null("readmission_30j"),

@@ -182,3 +182,9 @@ def enrich_diagnostics(clean: DataFrame, reference: DataFrame | None = None) ->
     j = attach_icd10(clean, reference)
     return j.select("patient_id", F.col("diagnostic_principal").alias("code_cim10"), "pathologie",
                     *_diag_columns(), "readmission_30j")
+
+
+def silver_wide(clean: DataFrame, reference: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """Clean columns plus the stay-metric and diagnostic columns, one row per clean row."""
+    j = attach_icd10(attach_pathology_stats(clean, stats), reference)
+    return j.select(*[F.col(c) for c in clean.columns], *_sejour_columns(), *_diag_columns())

@@ -145,7 +145,7 @@ def value_class_counts(df: DataFrame, cols: Sequence[str], target: str = S.TARGE
 
 
 def mann_whitney_u(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL, target: str = S.TARGET,
-                   buckets: int = 64) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """U of class 0 against class 1, tie-corrected z, effect U/(n0·n1), class means."""
     vc = value_class_counts(df, cols, target)
     r = running_totals(vc, "value", ["value"], ["n0", "n1"], ["feature"], buckets)
@@ -175,7 +175,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL, target
                     F.when(p < 0.001, "Yes").otherwise("No").alias("significant"))
 
 
-def kruskal_h(df: DataFrame, value: str = "age", group: str = "pathologie", buckets: int = 64) -> DataFrame:
+def kruskal_h(df: DataFrame, value: str = "age", group: str = "pathologie", buckets: int | None = None) -> DataFrame:
     """Kruskal-Wallis H with tie correction and its degrees of freedom."""
     base = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).select(
         F.col(value).cast("double").alias("v"), F.col(group).alias("g"))

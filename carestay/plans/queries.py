@@ -373,14 +373,19 @@ def _quality_suites():
 @register("quality_report", O.with_ctes(O.BASE + [_KPI_U, _SEJ, _DIAG], O.quality_report_sql(_quality_suites())))
 def q_quality_report(spark, sf):
     raw = stays_raw(spark, sf)
-    c = silver.clean_stays(raw)
-    f = gold.with_features(c)
-    frames = {"stays_raw": raw, "clean": c, "sejours": silver.stay_metrics(c), "diags": silver.enrich_diagnostics(c),
-              "features": f, "kpis": gold.kpi_mart(f, ordered=False)}
-    out = None
+    # the three silver views are 1:1 with the clean rows (left joins on unique keys), so their
+    # suites run together over one wide silver frame
+    wide = silver.silver_wide(silver.clean_stays(raw))
+    f = features(spark, sf)
+    by_table = {}
     for model, table, suite in _quality_suites():
-        r = QC.run_expectations(frames[table], suite, model)
-        out = r if out is None else out.unionByName(r)
+        by_table.setdefault(table, []).append((model, suite))
+    silver_suites = by_table["clean"] + by_table["sejours"] + by_table["diags"]
+    parts = [QC.run_suites(raw, by_table["stays_raw"]), QC.run_suites(wide, silver_suites),
+             QC.run_suites(f, by_table["features"]), QC.run_suites(gold.kpi_mart(f, ordered=False), by_table["kpis"])]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

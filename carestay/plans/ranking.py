@@ -15,6 +15,7 @@ that holds a third of all rows is one row here and cannot skew a task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,21 +24,37 @@ from pyspark.sql import functions as F
 from carestay.plans.joins import materialize
 
 
+TARGET_ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 100_000
+
+
+def choose_buckets(rows: int, groups: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
+    """Buckets per group so that one (group, bucket) window holds about ``target`` rows."""
+    per_group = rows / max(groups, 1)
+    return int(min(MAX_BUCKETS, max(1, math.ceil(per_group / target))))
+
+
 def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[Column | str],
-                   sum_cols: Sequence[str], partition_cols: Sequence[str] = (), buckets: int = 64,
+                   sum_cols: Sequence[str], partition_cols: Sequence[str] = (), buckets: int | None = None,
                    prefix: str = "cum_") -> DataFrame:
     """Add inclusive running sums ``{prefix}{c}`` and group totals ``tot_{c}`` for ``sum_cols``.
 
-    ``bucket_key`` must be numeric and non-decreasing along ``order_cols``.
+    ``bucket_key`` must be numeric and non-decreasing along ``order_cols``. With
+    ``buckets=None`` the bucket count follows the data: about 2M rows per window task.
     """
     key = F.col(bucket_key) if isinstance(bucket_key, str) else bucket_key
     part = list(partition_cols)
     # g feeds three branches (bounds, bucket totals, running sums): write it once to the
     # reliable checkpoint folder so the upstream plan is not recomputed per branch
     g = materialize(g.withColumn("_bk", key.cast("double")))
+    if buckets is None:
+        stats = g.agg(F.count(F.lit(1)).alias("n"),
+                      (F.count_distinct(*part) if part else F.lit(1)).alias("k")).first()
+        buckets = choose_buckets(stats["n"], stats["k"])
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
-        bounds_agg = F.percentile_approx("_bk", probs, 10_000).alias("_bounds")
+        # rank error of the bounds ~ 1/accuracy: keep it well under one bucket
+        bounds_agg = F.percentile_approx("_bk", probs, max(10_000, 20 * buckets)).alias("_bounds")
         if part:
             # one row per partition group: bounded by the number of groups
             bounds = g.groupBy(*part).agg(bounds_agg)
