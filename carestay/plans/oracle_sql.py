@@ -280,3 +280,24 @@ def quality_report_sql(suites: list[tuple[str, str, list]]) -> str:
     parts = [expectation_sql(e, t, m) for m, t, suite in suites for e in suite]
     return ("SELECT model, \"check\", \"column\", failing_rows, CASE WHEN failing_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ("
             + "\nUNION ALL\n".join(parts) + ")")
+
+
+DASHBOARD_SQL = {
+    "readmissions_by_date": ("date_admission", "count(*) FILTER (WHERE readmission_30j = 1) AS total_readmissions"),
+    "stays_by_tier": ("CASE WHEN score_risque_modele >= 0.70 THEN 'Eleve' WHEN score_risque_modele >= 0.40 THEN 'Modere' "
+                      "WHEN score_risque_modele >= 0.20 THEN 'Faible' ELSE 'Tres faible' END AS categorie_risque",
+                      "count(*) AS total_sejours"),
+    "stays_by_season": ("saison_admission", "count(*) AS total_sejours"),
+    "stays_by_discharge": ("mode_sortie", "count(*) AS total_sejours"),
+    "pathology_rate_score": ("pathologie", f"{R('CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*)', 6)} AS taux_readmission, "
+                                           f"{R('avg(score_risque_modele)', 6)} AS score_risque_moyen"),
+    "age_complexity_by_pathology": ("pathologie", f"{R('avg(age)', 6)} AS age_moyen, {R('avg(indice_complexite)', 6)} AS indice_complexite_moyen"),
+    "prior_by_group": ("groupe_clinique", f"{R('avg(nb_hospitalisations_precedentes)', 6)} AS hospitalisations_precedentes_moy"),
+    "meds_by_pathology": ("pathologie", f"{R('avg(nb_medicaments)', 6)} AS medicaments_moyen"),
+    "complexity_by_service": ("service", f"{R('avg(indice_complexite)', 6)} AS indice_complexite_moyen"),
+}
+
+
+def dashboard_sql(name: str) -> str:
+    key, aggs = DASHBOARD_SQL[name]
+    return with_ctes(BASE + [MB], f"SELECT {key}, {aggs} FROM mb GROUP BY 1")

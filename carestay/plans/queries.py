@@ -754,3 +754,48 @@ def q_ingestion_log(spark, sf):
     from carestay.sources.io import ingestion_log
     log = ingestion_log(stays_raw(spark, sf), "SUCCESS", "fixture load")
     return log.select("nb_lignes", F.col("taux_readmission").cast("double").alias("taux_readmission"), "statut")
+
+
+# ------------------------------------------------------------------ dashboards, labels, filters
+
+from carestay.operators import dashboards as DB  # noqa: E402
+from carestay.sources.reference import LABELS_FR_EN, label_dictionary  # noqa: E402
+
+for _dname in DB.DASHBOARDS:
+    def _mkd(name):
+        def q(spark, sf):
+            return round_doubles(DB.dashboard(measure_base(spark, sf), name))
+        return q
+    register(f"dashboard_{_dname}", O.dashboard_sql(_dname))(_mkd(_dname))
+
+
+def _labels_values_sql() -> str:
+    rows = ", ".join("('{}', '{}')".format(a.replace("'", "''"), b.replace("'", "''")) for a, b in LABELS_FR_EN)
+    return f"labels(label_fr, label_en) AS (VALUES {rows})"
+
+
+@register("labels_en_by_pathology", O.with_ctes(O.BASE + [_labels_values_sql()], """
+SELECT f.pathologie, COALESCE(l.label_en, f.pathologie) AS pathologie_en, count(*) AS total_sejours
+FROM features f LEFT JOIN labels l ON f.pathologie = l.label_fr GROUP BY 1, 2"""))
+def q_labels_en(spark, sf):
+    per = features(spark, sf).groupBy("pathologie").agg(F.count(F.lit(1)).alias("total_sejours"))
+    return DB.translate_labels(per, label_dictionary(spark), "pathologie").select("pathologie", "pathologie_en", "total_sejours")
+
+
+@register("pathology_rate_allexcept", O.with_ctes(O.BASE, f"""
+SELECT s.pathologie, s.n AS total_sejours, {O.R('s.rate', 6)} AS taux_readmission, {O.R('a.rate', 6)} AS taux_readmission_sans_filtre
+FROM (SELECT pathologie, count(*) AS n, CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*) AS rate
+      FROM features WHERE service = 'Cardiologie' GROUP BY 1) s
+LEFT JOIN (SELECT pathologie, CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*) AS rate
+      FROM features GROUP BY 1) a ON s.pathologie = a.pathologie"""))
+def q_rate_allexcept(spark, sf):
+    f = features(spark, sf)
+    return round_doubles(DB.rate_ignoring_filters(f.where(F.col("service") == "Cardiologie"), f))
+
+
+@register("top_services_by_rate", O.with_ctes(O.BASE, f"""
+SELECT service, {O.R('CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*)', 6)} AS taux_readmission
+FROM features GROUP BY service ORDER BY taux_readmission DESC, service LIMIT 3"""))
+def q_top_services(spark, sf):
+    per = features(spark, sf).groupBy("service").agg(rnd(DB._rate(), 6).alias("taux_readmission"))
+    return per.orderBy(F.desc("taux_readmission"), "service").limit(3)
