@@ -21,6 +21,23 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (~1000 executors, ~100 TB of input). Shuffles start wide and AQE
+# coalesces them to the advisory size, so a partition stays well inside executor memory
+# whatever the scale; scans split files at 256 MB; a partition over 5x the median (and
+# over 512 MB) is split by the skew-join rule.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, app: str = "carestay",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
