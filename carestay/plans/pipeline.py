@@ -34,17 +34,34 @@ def _fingerprint(sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def _layer_path(spark: SparkSession, sf_dir: str, layer: str, table: str) -> tuple[tuple, str]:
+    key = (spark.sparkContext.applicationId, _fingerprint(sf_dir), layer)
+    root = ensure_checkpoint_dir(spark)
+    return key, f"{root.rstrip('/')}/{layer}/{key[0]}/{key[1]}/{table}"
+
+
+def build_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """Write the typed bronze stay table (the projection of the source tables) once."""
+    key, path = _layer_path(spark, sf_dir, "bronze", "patients_raw")
+    if key not in _BUILT:
+        stays_raw(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _BUILT[key] = path
+    return _BUILT[key]
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed bronze stays; filters on it reach the Parquet scan as pushed predicates."""
+    return spark.read.parquet(build_bronze(spark, sf_dir))
+
+
 def build_gold_features(spark: SparkSession, sf_dir: str) -> str:
     """Write the gold feature table (plus ``sexe`` for the measure layer) and return its path."""
-    key = (spark.sparkContext.applicationId, _fingerprint(sf_dir))
-    if key in _BUILT:
-        return _BUILT[key]
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/gold/{key[0]}/{key[1]}/mart_patient_features"
-    f = gold.with_features(silver.clean_stays(stays_raw(spark, sf_dir)), extra=GOLD_EXTRA)
-    f.write.mode("overwrite").parquet(path)
-    _BUILT[key] = path
-    return path
+    key, path = _layer_path(spark, sf_dir, "gold", "mart_patient_features")
+    if key not in _BUILT:
+        f = gold.with_features(silver.clean_stays(bronze(spark, sf_dir)), extra=GOLD_EXTRA)
+        f.write.mode("overwrite").parquet(path)
+        _BUILT[key] = path
+    return _BUILT[key]
 
 
 def gold_features(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:

@@ -13,8 +13,14 @@ from carestay.sources.fixture import stays_raw
 FEATURE_COLS_SQL = ", ".join(gold.FEATURE_TABLE_COLUMNS)
 
 
+def raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed bronze stays (the fixture projection, stored once per session)."""
+    from carestay.plans.pipeline import bronze
+    return bronze(spark, sf)
+
+
 def clean(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.clean_stays(stays_raw(spark, sf))
+    return silver.clean_stays(raw(spark, sf))
 
 
 def features(spark: SparkSession, sf: str, extra=()) -> DataFrame:
@@ -38,7 +44,7 @@ SELECT patient_id, age, readmission_30j,
 FROM stays_raw
 WHERE NOT COALESCE(patient_id IS NOT NULL AND age IS NOT NULL AND age BETWEEN 18 AND 95 AND readmission_30j IN (0, 1), FALSE)"""))
 def q_quarantine(spark, sf):
-    _, bad = silver.quarantine(stays_raw(spark, sf))
+    _, bad = silver.quarantine(raw(spark, sf))
     return bad.select("patient_id", "age", "readmission_30j", "reject_reason")
 
 
@@ -372,16 +378,16 @@ def _quality_suites():
 
 @register("quality_report", O.with_ctes(O.BASE + [_KPI_U, _SEJ, _DIAG], O.quality_report_sql(_quality_suites())))
 def q_quality_report(spark, sf):
-    raw = stays_raw(spark, sf)
+    raw_ = raw(spark, sf)
     # the three silver views are 1:1 with the clean rows (left joins on unique keys), so their
     # suites run together over one wide silver frame
-    wide = silver.silver_wide(silver.clean_stays(raw))
+    wide = silver.silver_wide(silver.clean_stays(raw_))
     f = features(spark, sf)
     by_table = {}
     for model, table, suite in _quality_suites():
         by_table.setdefault(table, []).append((model, suite))
     silver_suites = by_table["clean"] + by_table["sejours"] + by_table["diags"]
-    parts = [QC.run_suites(raw, by_table["stays_raw"]), QC.run_suites(wide, silver_suites),
+    parts = [QC.run_suites(raw_, by_table["stays_raw"]), QC.run_suites(wide, silver_suites),
              QC.run_suites(f, by_table["features"]), QC.run_suites(gold.kpi_mart(f, ordered=False), by_table["kpis"])]
     out = parts[0]
     for p in parts[1:]:
@@ -430,7 +436,7 @@ def _missing_sql():
 
 @register("missing_counts", O.with_ctes([], _missing_sql()))
 def q_missing_counts(spark, sf):
-    return X.missing_counts(stays_raw(spark, sf))
+    return X.missing_counts(raw(spark, sf))
 
 
 _RATE_DIMS = ["tranche_age", "service", "mode_sortie", "groupe_clinique"]
