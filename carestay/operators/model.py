@@ -99,8 +99,7 @@ def balanced_weights(train: DataFrame, label: str = S.TARGET) -> Column:
 def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000, label: str = S.TARGET,
                  numeric: Sequence[str] = S.NUMERICAL_FEATURES, binary: Sequence[str] = S.BINARY_FEATURES,
                  categorical: Sequence[str] = S.CATEGORICAL_FEATURES, tol: float = 1e-6) -> RiskModel:
-    # the training rows are read by several passes (moments, indexers, every L-BFGS step):
-    # checkpoint them once so no pass recomputes the upstream plan
+    # the training rows are read by several passes (moments, indexers): checkpoint them once
     train = materialize(train.select(*numeric, *binary, *categorical, label))
     stats = train.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(label) == 1).alias("_n1"),
                       *[F.avg(x).alias(f"m_{x}") for x in numeric],
@@ -117,11 +116,15 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000, label:
                         dropLast=True)
     asm = VectorAssembler(inputCols=[f"{x}_z" for x in numeric] + list(binary) + [f"{x}_ohe" for x in categorical],
                           outputCol="features_vec")
+    prep = Pipeline(stages=[*idx, ohe, asm]).fit(prepared)
+    # every L-BFGS step is a pass over the assembled vectors: checkpoint those, not the rows
+    vectors = materialize(prep.transform(prepared)
+                          .select("features_vec", F.col(label).cast("double").alias(label), "_w"))
     # Σw = n with balanced weights, so λ = 1 / (C·n)
     lr = LogisticRegression(featuresCol="features_vec", labelCol=label, weightCol="_w", regParam=1.0 / (c * n),
                             elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol,
                             probabilityCol="_prob", rawPredictionCol="_raw", predictionCol="_pred")
-    model = Pipeline(stages=[*idx, ohe, asm, lr]).fit(prepared.withColumn(label, F.col(label).cast("double")))
+    model = PipelineModel(stages=[*prep.stages, lr.fit(vectors)])
     return RiskModel(model, means, stds, list(numeric), list(binary), list(categorical))
 
 
