@@ -47,7 +47,8 @@ def stratified_split(df: DataFrame, label: str = S.TARGET, key: str = S.KEY, tes
     """
     h, hnum = hash_order(key, seed)
     g = df.withColumn("_h", h).withColumn("_hn", hnum).withColumn("_one", F.lit(1))
-    r = running_totals(g, "_hn", ["_h", key], ["_one"], [label], buckets)
+    # rows come straight from a stored table: each branch re-reads two columns
+    r = running_totals(g, "_hn", ["_h", key], ["_one"], [label], buckets, materialize_input=False)
     n_test = F.floor(F.col("tot__one") * F.lit(test) + 0.5)
     rank = F.col("cum__one")
     out = r.select("*", F.when(rank <= n_test, "test").otherwise("train").alias("split"),

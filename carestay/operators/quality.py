@@ -159,3 +159,23 @@ def kpi_suite() -> list[Expectation]:
             expect_not_null("nb_readmissions"), expect_not_null("taux_readmission"),
             expect_range("taux_readmission", 0, 1), expect_not_null("indice_complexite_moy"),
             expect_range("indice_complexite_moy", 0, 10)]
+
+
+# Singular tests: each returns its failing rows (an empty result passes).
+
+def date_order_violations(df: DataFrame, key: str = "patient_id") -> DataFrame:
+    """Stays discharged before admission, with the computed stay length."""
+    return (df.where(F.col("date_sortie") < F.col("date_admission"))
+            .select(key, "date_admission", "date_sortie",
+                    F.datediff("date_sortie", "date_admission").alias("duree_calculee")))
+
+
+def non_positive_ages(df: DataFrame, key: str = "patient_id") -> DataFrame:
+    """Ages ≤ 0 (a null age is not caught, as in the source test)."""
+    return df.where(F.col("age") <= 0).select(key, "age")
+
+
+def implausible_rate(df: DataFrame, target: str = S.TARGET, lo: float = 0.05, hi: float = 0.40) -> DataFrame:
+    """One row holding the global rate when it lies outside [lo, hi]; empty otherwise."""
+    return (df.agg(F.avg(F.col(target).cast("double")).alias("taux_global"))
+            .where((F.col("taux_global") < lo) | (F.col("taux_global") > hi)))

@@ -805,3 +805,32 @@ FROM features GROUP BY service ORDER BY taux_readmission DESC, service LIMIT 3""
 def q_top_services(spark, sf):
     per = features(spark, sf).groupBy("service").agg(rnd(DB._rate(), 6).alias("taux_readmission"))
     return per.orderBy(F.desc("taux_readmission"), "service").limit(3)
+
+
+# ------------------------------------------------------------------ singular tests
+
+@register("assert_date_order", O.with_ctes([O.CLEAN], """
+SELECT patient_id, date_admission, date_sortie, CAST(date_diff('day', date_admission, date_sortie) AS INTEGER) AS duree_calculee
+FROM clean WHERE date_sortie < date_admission"""))
+def q_assert_date_order(spark, sf):
+    return QC.date_order_violations(clean(spark, sf))
+
+
+@register("assert_no_negative_age", O.with_ctes([O.CLEAN], "SELECT patient_id, age FROM clean WHERE age <= 0"))
+def q_assert_age(spark, sf):
+    return QC.non_positive_ages(clean(spark, sf))
+
+
+@register("assert_rate_plausible", O.with_ctes(O.BASE, """
+SELECT taux_global FROM (SELECT avg(CAST(readmission_30j AS DOUBLE)) AS taux_global FROM features)
+WHERE taux_global < 0.05 OR taux_global > 0.40"""))
+def q_assert_rate(spark, sf):
+    return QC.implausible_rate(features(spark, sf))
+
+
+@register("assert_rate_band_strict", O.with_ctes(O.BASE, f"""
+SELECT {O.R('taux_global', 6)} AS taux_global FROM (SELECT avg(CAST(readmission_30j AS DOUBLE)) AS taux_global FROM features)
+WHERE taux_global < 0.05 OR taux_global > 0.30"""))
+def q_assert_rate_strict(spark, sf):
+    # the same singular test with a tighter band, so a non-empty (failing) result is exercised too
+    return round_doubles(QC.implausible_rate(features(spark, sf), hi=0.30))

@@ -36,17 +36,21 @@ def choose_buckets(rows: int, groups: int, target: int = TARGET_ROWS_PER_BUCKET)
 
 def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[Column | str],
                    sum_cols: Sequence[str], partition_cols: Sequence[str] = (), buckets: int | None = None,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", materialize_input: bool = True) -> DataFrame:
     """Add inclusive running sums ``{prefix}{c}`` and group totals ``tot_{c}`` for ``sum_cols``.
 
     ``bucket_key`` must be numeric and non-decreasing along ``order_cols``. With
     ``buckets=None`` the bucket count follows the data: about 2M rows per window task.
+    ``materialize_input=False`` skips the checkpoint when ``g`` is a cheap, deterministic
+    read (a narrow projection of a stored table): re-reading two columns beats rewriting them.
     """
     key = F.col(bucket_key) if isinstance(bucket_key, str) else bucket_key
     part = list(partition_cols)
     # g feeds three branches (bounds, bucket totals, running sums): write it once to the
     # reliable checkpoint folder so the upstream plan is not recomputed per branch
-    g = materialize(g.withColumn("_bk", key.cast("double")))
+    g = g.withColumn("_bk", key.cast("double"))
+    if materialize_input:
+        g = materialize(g)
     if buckets is None:
         stats = g.agg(F.count(F.lit(1)).alias("n"),
                       (F.count_distinct(*part) if part else F.lit(1)).alias("k")).first()
