@@ -27,7 +27,8 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] = S.EXPLORE_NUMERICAL, d
                                     F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
                                     F.max("value").alias("max"))
     q = exact_percentiles(lg, "value", [0.25, 0.5, 0.75], ["feature"])
-    j = mom.join(q, "feature", "left")
+    # both sides hold one row per described column (a bound fixed by the call)
+    j = mom.join(F.broadcast(q), "feature", "left")
     return j.select("feature", "count", *[C.rnd(c, digits).alias(c) for c in ["mean", "std", "min"]],
                     C.rnd("p25", digits).alias("p25"), C.rnd("p50", digits).alias("p50"),
                     C.rnd("p75", digits).alias("p75"), C.rnd("max", digits).alias("max"))

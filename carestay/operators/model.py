@@ -264,7 +264,8 @@ def bootstrap_ci(df: DataFrame, key: str = S.KEY, score: str = PROB, pred: str =
                      2 * F.sum(F.when((y == 1) & (p == 1), w).otherwise(0))
                      + F.sum(F.when((y == 0) & (p == 1), w).otherwise(0))
                      + F.sum(F.when((y == 1) & (p == 0), w).otherwise(0))).alias("f1"))
-    per = auc.where(F.col("auc").isNotNull()).join(f1, "_rep")
+    # one row per replicate on each side (n rows, fixed by the call)
+    per = auc.where(F.col("auc").isNotNull()).join(F.broadcast(f1), "_rep")
     return per.agg(F.percentile("auc", 0.025).alias("auc_lo"), F.percentile("auc", 0.975).alias("auc_hi"),
                    F.percentile("f1", 0.025).alias("f1_lo"), F.percentile("f1", 0.975).alias("f1_hi"),
                    F.count(F.lit(1)).alias("replicates"))
