@@ -68,3 +68,46 @@ def gold_features(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     """The gold feature table for ``sf_dir`` (built on first use in this session)."""
     df = spark.read.parquet(build_gold_features(spark, sf_dir))
     return df.select(*gold.FEATURE_TABLE_COLUMNS, *[c for c in extra if c in GOLD_EXTRA])
+
+
+def run_all(spark: SparkSession, sf_dir: str, out_dir: str, fit_model: bool = True) -> dict:
+    """The whole flow in one call, writing every table the source produces:
+
+    bronze (typed stays) → silver (views) → gold ``mart_patient_features`` and
+    ``mart_readmission_kpis`` → quality report → risk model scores (CSV) and run log.
+    Returns the written paths. Every write is a distributed, task-atomic job.
+    """
+    import time as _time
+
+    from carestay.operators import model as MD
+    from carestay.operators import quality as QC
+    from carestay.sources import io as IO
+
+    t0 = _time.time()
+    out = out_dir.rstrip("/")
+    paths = {}
+    raw = bronze(spark, sf_dir)
+    clean = silver.clean_stays(raw)
+    IO.register_silver(clean, "stg_patients")
+    IO.register_silver(silver.stay_metrics(clean), "stg_sejours")
+    IO.register_silver(silver.enrich_diagnostics(clean), "stg_diagnostics")
+    feats = gold_features(spark, sf_dir)
+    paths["mart_patient_features"] = f"{out}/gold/mart_patient_features"
+    IO.write_gold(feats, paths["mart_patient_features"])
+    paths["mart_readmission_kpis"] = f"{out}/gold/mart_readmission_kpis"
+    IO.write_gold(gold.kpi_mart(feats, ordered=False), paths["mart_readmission_kpis"])
+    wide = silver.silver_wide(clean)
+    report = (QC.run_suites(raw, [("source", QC.source_suite())])
+              .unionByName(QC.run_suites(wide, [("stg_patients", QC.clean_suite()), ("stg_sejours", QC.stay_suite()),
+                                                ("stg_diagnostics", QC.diagnostic_suite())]))
+              .unionByName(QC.run_suites(feats, [("mart_patient_features", QC.feature_suite())])))
+    paths["quality_report"] = f"{out}/quality_report"
+    report.write.mode("overwrite").parquet(paths["quality_report"])
+    if fit_model:
+        split = MD.stratified_split(feats)
+        model = MD.fit_logistic(split.where("split = 'train'"))
+        paths["scores"] = f"{out}/scores_risque_patients"
+        IO.export_scores(MD.score_export(MD.score(feats, model)), paths["scores"])
+    paths["ingestion_logs"] = f"{out}/bronze/ingestion_logs"
+    IO.append_log(IO.ingestion_log(raw, "SUCCESS", "run_all", _time.time() - t0), paths["ingestion_logs"])
+    return paths

@@ -53,3 +53,19 @@ def test_stream_ingestion_exactly_once(spark):
     q = stream_bronze(spark, landing, bronze, log, checkpoint=ckpt)
     q.awaitTermination(120)
     assert spark.read.parquet(bronze).count() == 500
+
+
+def test_run_all_writes_every_table(spark):
+    from carestay.plans.pipeline import run_all
+    out = tempfile.mkdtemp(prefix="carestay-run-")
+    paths = run_all(spark, SF_SMALL, out)
+    assert spark.read.parquet(paths["mart_patient_features"]).count() > 1000
+    kpis = spark.read.parquet(paths["mart_readmission_kpis"])
+    assert {r.dimension for r in kpis.select("dimension").distinct().collect()} == {"pathologie", "service", "region", "tranche_age", "mois"}
+    scores = spark.read.option("header", True).csv(paths["scores"])
+    assert scores.columns == ["patient_id", "pathologie", "service", "age", "tranche_age", "score_risque_modele",
+                              "categorie_risque", "readmission_30j"]
+    fails = {(r.model, r.check, r.column) for r in spark.read.parquet(paths["quality_report"]).where("status = 'FAIL'").collect()}
+    # the fixture plants null ages and targets in bronze; silver and gold pass
+    assert fails == {("source", "not_null", "age"), ("source", "not_null", "readmission_30j")}
+    assert spark.read.parquet(paths["ingestion_logs"]).count() == 1
