@@ -2,7 +2,7 @@
 
 import sys
 
-from carestay.plans.pipeline import run_all
+from carestay.plans.layers import run_all
 from carestay.session import build_session
 
 

@@ -1,4 +1,4 @@
-"""Scalar Column functions of the stay pipeline.
+"""Scalar Column functions of the stay analytics.
 
 All are compositions of built-in ``pyspark.sql.functions`` so they stay inside
 whole-stage codegen. Rounding follows one rule everywhere: pass through

@@ -1 +1 @@
-"""DataFrame → DataFrame operators of the stay pipeline."""
+"""DataFrame → DataFrame operators of the stay analytics."""

@@ -15,7 +15,7 @@ FEATURE_COLS_SQL = ", ".join(gold.FEATURE_TABLE_COLUMNS)
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     """Typed bronze stays (the fixture projection, stored once per session)."""
-    from carestay.plans.pipeline import bronze
+    from carestay.plans.layers import bronze
     return bronze(spark, sf)
 
 
@@ -25,7 +25,7 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def features(spark: SparkSession, sf: str, extra=()) -> DataFrame:
     """The gold feature table (materialised once per session, then read)."""
-    from carestay.plans.pipeline import gold_features
+    from carestay.plans.layers import gold_features
     return gold_features(spark, sf, extra)
 
 

@@ -1,4 +1,4 @@
-"""Fixed schemas, column lists and accepted value sets of the stay pipeline."""
+"""Fixed schemas, column lists and accepted value sets of the stay analytics."""
 
 from __future__ import annotations
 

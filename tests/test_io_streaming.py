@@ -56,7 +56,7 @@ def test_stream_ingestion_exactly_once(spark):
 
 
 def test_run_all_writes_every_table(spark):
-    from carestay.plans.pipeline import run_all
+    from carestay.plans.layers import run_all
     out = tempfile.mkdtemp(prefix="carestay-run-")
     paths = run_all(spark, SF_SMALL, out)
     assert spark.read.parquet(paths["mart_patient_features"]).count() > 1000
