@@ -55,6 +55,17 @@ def with_features(clean: DataFrame, reference: DataFrame | None = None, stats: D
     return silver.silver_wide(clean, reference, stats).select(*_feature_select(extra))
 
 
+def with_features_train_stats(clean: DataFrame, split: DataFrame, reference: DataFrame | None = None,
+                              extra: Sequence[str] = ()) -> DataFrame:
+    """Feature table whose per-pathology statistics (incl. the target mean) come from the
+    training rows only, so the target-mean feature does not leak the test labels.
+
+    ``split`` carries ``patient_id`` and ``split`` ('train'/'test') for the clean rows.
+    """
+    train = clean.join(split.where(F.col("split") == "train").select("patient_id"), "patient_id", "left_semi")
+    return with_features(clean, reference, silver.pathology_stats(train), extra)
+
+
 def feature_store_join(clean: DataFrame, reference: DataFrame | None = None) -> DataFrame:
     """Strict form: inner join of the patient, stay and diagnostic views on ``patient_id``.
 

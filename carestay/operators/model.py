@@ -259,15 +259,17 @@ def bootstrap_ci(df: DataFrame, key: str = S.KEY, score: str = PROB, pred: str =
     g = reps.groupBy("_rep", score).agg(F.sum(F.when(y == 0, w).otherwise(0)).alias("w0"),
                                         F.sum(F.when(y == 1, w).otherwise(0)).alias("w1"))
     auc = exact_auc(g, score, label, ["_rep"], buckets, weights=("w0", "w1"))
-    f1 = reps.groupBy("_rep").agg(
-        C.safe_ratio(2 * F.sum(F.when((y == 1) & (p == 1), w).otherwise(0)),
-                     2 * F.sum(F.when((y == 1) & (p == 1), w).otherwise(0))
-                     + F.sum(F.when((y == 0) & (p == 1), w).otherwise(0))
-                     + F.sum(F.when((y == 1) & (p == 0), w).otherwise(0))).alias("f1"))
+    tp = F.sum(F.when((y == 1) & (p == 1), w).otherwise(0))
+    fp = F.sum(F.when((y == 0) & (p == 1), w).otherwise(0))
+    fn = F.sum(F.when((y == 1) & (p == 0), w).otherwise(0))
+    cls = reps.groupBy("_rep").agg(C.safe_ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+                                   C.safe_ratio(tp, tp + fp).alias("precision"), C.safe_ratio(tp, tp + fn).alias("recall"))
     # one row per replicate on each side (n rows, fixed by the call)
-    per = auc.where(F.col("auc").isNotNull()).join(F.broadcast(f1), "_rep")
+    per = auc.where(F.col("auc").isNotNull()).join(F.broadcast(cls), "_rep")
     return per.agg(F.percentile("auc", 0.025).alias("auc_lo"), F.percentile("auc", 0.975).alias("auc_hi"),
                    F.percentile("f1", 0.025).alias("f1_lo"), F.percentile("f1", 0.975).alias("f1_hi"),
+                   F.percentile("precision", 0.025).alias("precision_lo"), F.percentile("precision", 0.975).alias("precision_hi"),
+                   F.percentile("recall", 0.025).alias("recall_lo"), F.percentile("recall", 0.975).alias("recall_hi"),
                    F.count(F.lit(1)).alias("replicates"))
 
 

@@ -834,3 +834,20 @@ WHERE taux_global < 0.05 OR taux_global > 0.30"""))
 def q_assert_rate_strict(spark, sf):
     # the same singular test with a tighter band, so a non-empty (failing) result is exercised too
     return round_doubles(QC.implausible_rate(features(spark, sf), hi=0.30))
+
+
+@register("features_train_stats", O.with_ctes(O.BASE + ["""rk AS (
+  SELECT patient_id, row_number() OVER (PARTITION BY readmission_30j ORDER BY md5(concat(patient_id, '-', '42')), patient_id) AS rn,
+    count(*) OVER (PARTITION BY readmission_30j) AS nc FROM features)""", """trs AS (SELECT c.pathologie,
+    avg(CAST(c.readmission_30j AS DOUBLE)) AS t, avg(c.duree_sejour) AS m, stddev_samp(c.duree_sejour) AS sd
+  FROM clean c JOIN rk ON c.patient_id = rk.patient_id WHERE rk.rn > floor(rk.nc * 0.2 + 0.5) GROUP BY c.pathologie)"""], f"""
+SELECT f.pathologie, {O.R('trs.t', 4)} AS taux_readmission_patho,
+  CASE WHEN trs.sd > 0 THEN {O.R('(f.duree_sejour - trs.m) / trs.sd', 4)} ELSE 0.0 END AS duree_zscore_patho,
+  count(*) AS n
+FROM features f LEFT JOIN trs ON f.pathologie = trs.pathologie GROUP BY 1, 2, 3"""))
+def q_features_train_stats(spark, sf):
+    from carestay.operators import model as MD_
+    c = clean(spark, sf)
+    split = MD_.stratified_split(features(spark, sf).select("patient_id", "readmission_30j"))
+    f = gold.with_features_train_stats(c, split)
+    return f.groupBy("pathologie", "taux_readmission_patho", "duree_zscore_patho").agg(F.count(F.lit(1)).alias("n"))

@@ -48,3 +48,14 @@ def test_bootstrap_and_report_shapes(spark):
     assert set(rep) == {"No readmission", "Readmitted", "accuracy", "macro avg", "weighted avg"}
     imp = MD.feature_importance(m, 15).collect()
     assert len(imp) == 15
+
+
+def test_train_only_target_mean(spark):
+    c = silver.clean_stays(stays_raw(spark, SF_SMALL))
+    full = gold.with_features(c)
+    split = MD.stratified_split(full.select("patient_id", "readmission_30j"))
+    tr = gold.with_features_train_stats(c, split)
+    assert tr.count() == full.count()
+    a = {r.pathologie: r.taux_readmission_patho for r in full.select("pathologie", "taux_readmission_patho").distinct().collect()}
+    b = {r.pathologie: r.taux_readmission_patho for r in tr.select("pathologie", "taux_readmission_patho").distinct().collect()}
+    assert a.keys() == b.keys() and a != b
