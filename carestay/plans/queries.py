@@ -102,7 +102,7 @@ def q_feature_store_join(spark, sf):
 
 
 for _dim in gold.KPI_DIMENSIONS:
-    _key = {"tranche_age": "age", "mois": "month"}.get(_dim, _dim)
+    _key = {"tranche_age": "age", "mois": "month", "pathologie": "pathology"}.get(_dim, _dim)
 
     def _mk(dim):
         def q(spark, sf):
@@ -195,8 +195,7 @@ SELECT pathologie, n AS total_sejours, {O.R('rate', 6)} AS taux_readmission_path
   dense_rank() OVER (ORDER BY rate DESC) AS rang_pathologie
 FROM pr"""))
 def q_pathology_rank(spark, sf):
-    r = M.pathology_ranking(measure_base(spark, sf))
-    return round_doubles(r).withColumn("rang_pathologie", F.col("rang_pathologie"))
+    return round_doubles(M.pathology_ranking(measure_base(spark, sf)))
 
 
 @register("top_pathology", O.with_ctes(O.BASE + [O.MB, """
@@ -621,21 +620,21 @@ def q_feature_screen(spark, sf):
 from carestay.operators import model as MD  # noqa: E402
 from carestay.plans.joins import materialize  # noqa: E402
 
-_SPLIT_SQL = O.with_ctes(O.BASE + ["""rk AS (
+_SPLIT_CTES = O.BASE + ["""rk AS (
   SELECT patient_id, readmission_30j,
     row_number() OVER (PARTITION BY readmission_30j ORDER BY md5(concat(patient_id, '-', '42')), patient_id) AS rn,
-    count(*) OVER (PARTITION BY readmission_30j) AS nc FROM features)"""], """
-SELECT patient_id, readmission_30j, CASE WHEN rn <= floor(nc * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split,
-  CASE WHEN rn > floor(nc * 0.2 + 0.5) THEN CAST((rn - floor(nc * 0.2 + 0.5) - 1) % 5 AS INTEGER) END AS fold
-FROM rk""")
+    count(*) OVER (PARTITION BY readmission_30j) AS nc FROM features)""", """split AS (
+  SELECT patient_id, readmission_30j, CASE WHEN rn <= floor(nc * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split,
+    CASE WHEN rn > floor(nc * 0.2 + 0.5) THEN CAST((rn - floor(nc * 0.2 + 0.5) - 1) % 5 AS INTEGER) END AS fold
+  FROM rk)"""]
 
 
-@register("stratified_split", _SPLIT_SQL)
+@register("stratified_split", O.with_ctes(_SPLIT_CTES, "SELECT * FROM split"))
 def q_stratified_split(spark, sf):
     return MD.stratified_split(features(spark, sf).select("patient_id", "readmission_30j"))
 
 
-@register("fold_ids", O.with_ctes([], "SELECT split, fold, readmission_30j, count(*) AS n FROM (" + _SPLIT_SQL[len("WITH "):].join(["WITH ", ""]) + ") GROUP BY ALL"))
+@register("fold_ids", O.with_ctes(_SPLIT_CTES, "SELECT split, fold, readmission_30j, count(*) AS n FROM split GROUP BY ALL"))
 def q_fold_ids(spark, sf):
     s = MD.stratified_split(features(spark, sf).select("patient_id", "readmission_30j"))
     return s.groupBy("split", "fold", "readmission_30j").agg(F.count(F.lit(1)).alias("n"))
