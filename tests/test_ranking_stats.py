@@ -92,3 +92,23 @@ def test_normality_rejects_skewed_and_accepts_normal(spark):
     r = {x.feature: x for x in ST.normality_test(df, ["nrm", "expo"]).collect()}
     assert r["expo"].normal == "No" and r["expo"].p_value < 1e-6
     assert r["nrm"].statistic < 20
+
+
+def test_many_buckets_give_the_same_ranks(spark, monkeypatch):
+    from carestay.operators import gold, silver
+    from carestay.plans import ranking
+    from carestay.sources.fixture import stays_raw
+    from tests.conftest import SF_SMALL
+    f = gold.with_features(silver.clean_stays(stays_raw(spark, SF_SMALL)))
+    mb = M.measure_base(f)
+
+    def run():
+        s = MD.stratified_split(f.select("patient_id", "readmission_30j"))
+        split = sorted((r.patient_id, r.split, r.fold) for r in s.collect())
+        return split, MD.exact_auc(mb, "score_risque_modele").first().auc, tuple(
+            M.exact_percentiles(f, "ratio_meds_duree", [0.1, 0.5, 0.9]).first())
+
+    one = run()
+    monkeypatch.setattr(ranking, "TARGET_ROWS_PER_BUCKET", 40)   # ~30 buckets per class
+    many = run()
+    assert one == many
