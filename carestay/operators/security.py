@@ -47,9 +47,10 @@ def visible_counts(df: DataFrame, users: DataFrame, score_col: str = "score_risq
                     F.count_if(F.col(score_col) >= ANALYST_MIN_SCORE).alias("n_an"),
                     F.count_if((F.col(score_col) >= ANALYST_MIN_SCORE) & (F.col("readmission_30j") == 1)).alias("r_an"))
     fixed = users.where(F.col("role").isin(*(ALL_ROWS_ROLES | ANALYST_ROLES))).select("user_name", "role")
-    t = totals.first()  # one row of four counts
+    # four totals as scalar subqueries (merged by the optimizer into one scan of df)
+    t = {c: totals.select(c).scalar() for c in ["n_all", "r_all", "n_an", "r_an"]}
     is_all = F.col("role").isin(*ALL_ROWS_ROLES)
     fixed = fixed.select("user_name", "role",
-                         F.when(is_all, F.lit(t["n_all"])).otherwise(F.lit(t["n_an"])).cast("bigint").alias("sejours_visibles"),
-                         F.when(is_all, F.lit(t["r_all"])).otherwise(F.lit(t["r_an"])).cast("bigint").alias("readmissions_visibles"))
+                         F.when(is_all, t["n_all"]).otherwise(t["n_an"]).cast("bigint").alias("sejours_visibles"),
+                         F.when(is_all, t["r_all"]).otherwise(t["r_an"]).cast("bigint").alias("readmissions_visibles"))
     return by_service.unionByName(fixed)
