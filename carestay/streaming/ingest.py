@@ -3,8 +3,11 @@
 The source loads generated stays in fixed-size batches, committing each and logging the
 run. Here new raw CSV files landing in a folder are picked up by a file stream; each
 micro-batch is schema-enforced, written to bronze (partitioned by ingestion date) and
-logged. The checkpoint makes the file → batch assignment exactly-once across restarts
-and executor loss; ``maxFilesPerTrigger`` plays the role of the batch size.
+logged. The checkpoint makes the file → batch assignment stable across restarts;
+``foreachBatch`` itself is at-least-once, so every write of batch N goes to its own
+``batch_id=N`` folder in overwrite mode: a batch replayed after a failure or an executor
+loss replaces its own output instead of appending it twice. ``maxFilesPerTrigger`` plays the
+role of the batch size.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from carestay import schema as S
 from carestay.session import ensure_checkpoint_dir
-from carestay.sources.io import append_bronze, append_log, ingestion_log
+from carestay.sources.io import append_bronze, ingestion_log
 
 
 def _checkpoint_location(spark: SparkSession, name: str) -> str:
@@ -36,8 +39,10 @@ def stream_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, log_p
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("source_fichier", F.coalesce("source_fichier", F.lit(f"batch_{batch_id}")))
-        append_bronze(batch, bronze_path, mode="append")
-        append_log(ingestion_log(batch, "SUCCESS", f"micro-batch {batch_id}"), log_path)
+        # idempotent per batch: a replay of batch N overwrites batch N only
+        append_bronze(batch, f"{bronze_path.rstrip('/')}/batch_id={batch_id}", mode="overwrite")
+        (ingestion_log(batch, "SUCCESS", f"micro-batch {batch_id}")
+         .write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch_id={batch_id}"))
 
     w = (raw_stream(spark, landing_dir, files_per_batch).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint or _checkpoint_location(spark, "bronze_ingest")))
