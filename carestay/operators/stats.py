@@ -169,7 +169,8 @@ def mann_whitney_u(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL, targ
 def mann_whitney(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL, target: str = S.TARGET) -> DataFrame:
     m = mann_whitney_u(df, cols, target)
     p = normal_two_sided_p(F.col("z"))
-    return m.select("feature", F.round("u_statistic", 0).alias("U_statistic"), C.rnd(p, 8).alias("p_value"),
+    # U is often a .5 value: round half to even, as numpy does when the report rounds it
+    return m.select("feature", F.bround("u_statistic", 0).alias("U_statistic"), C.rnd(p, 8).alias("p_value"),
                     C.rnd("effect_r", 4).alias("effect_r"), C.rnd("mean0", 3).alias("mean_readmit0"),
                     C.rnd("mean1", 3).alias("mean_readmit1"),
                     F.when(p < 0.001, "Yes").otherwise("No").alias("significant"))
