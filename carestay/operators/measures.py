@@ -47,7 +47,7 @@ def _n(cond: Column | None = None) -> Column:
     return F.count(F.lit(1)) if cond is None else F.count_if(cond)
 
 
-def base_counts(df: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
+def _base_aggs() -> list[Column]:
     sc, age = F.col(SCORE), F.col("age")
     sexe = F.col("sexe")
     aggs = [
@@ -70,6 +70,11 @@ def base_counts(df: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
         _readm(sc < ALERT).alias("fn"),
         _n((sc < ALERT) & (F.col("readmission_30j") == 0)).alias("tn"),
     ]
+    return aggs
+
+
+def base_counts(df: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
+    aggs = _base_aggs()
     return df.groupBy(*group_by).agg(*aggs) if group_by else df.agg(*aggs)
 
 
@@ -228,3 +233,26 @@ def ks_approx(df: DataFrame, score: str = SCORE, group_by: Sequence[str] = ()) -
         j = pos.select(F.col("p90"), neg.select("p10").scalar().alias("p10"))
     sep = F.col("p90") - F.col("p10")
     return j.select(*group_by, "p90", "p10", sep.alias("ks_approx"), C.number_label(sep, 3).alias("ks_approx_label"))
+
+
+def measures_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], names: Sequence[str] | None = None,
+                           null_on_empty: bool = False) -> DataFrame:
+    """Measures for several group sets (e.g. overall, by service, by pathology) in ONE scan.
+
+    One GROUPING SETS aggregate computes the base counts of every set; ``grouping()`` flags
+    label each row with its set (``group_set``), so a real null member is never confused
+    with a rolled-up one. Columns not in a row's set are null.
+    """
+    cols = list(dict.fromkeys(c for s in sets for c in s))
+    flags = [F.grouping(c).alias(f"_g_{c}") for c in cols]
+    b = df.groupingSets([list(s) for s in sets], *cols).agg(*_base_aggs(), *flags)
+    label = None
+    for s in sets:
+        cond = F.lit(True)
+        for c in cols:
+            cond = cond & (F.col(f"_g_{c}") == (0 if c in s else 1))
+        name = "+".join(s) if s else "all"
+        label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
+    b = b.withColumn("group_set", label)
+    out = derive_measures(b, ["group_set", *cols], null_on_empty)
+    return out.select("group_set", *cols, *names) if names else out

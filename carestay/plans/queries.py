@@ -850,3 +850,27 @@ def q_features_train_stats(spark, sf):
     split = MD_.stratified_split(features(spark, sf).select("patient_id", "readmission_30j"))
     f = gold.with_features_train_stats(c, split)
     return f.groupBy("pathologie", "taux_readmission_patho", "duree_zscore_patho").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ several visuals in one scan
+
+_MULTI_SETS = [[], ["service"], ["pathologie"]]
+_MULTI_NAMES = ["total_sejours", "taux_readmission", "score_risque_moyen", "patients_risque_eleve", "precision_modele",
+                "statut_performance"]
+
+
+def _multi_sql() -> str:
+    ex = O.measure_exprs()
+    cols = ", ".join((O.R(ex[n][0], 6) if ex[n][1] else ex[n][0]) + f" AS {n}" for n in _MULTI_NAMES)
+    ctes, sel = [O.MB], []
+    for s in _MULTI_SETS:
+        label = "+".join(s) if s else "all"
+        ctes.append(O.base_counts_sql(s[0] if s else None).replace("b AS (", f"b_{label} AS (", 1))
+        key = lambda c: c if c in s else f"CAST(NULL AS VARCHAR) AS {c}"
+        sel.append(f"SELECT '{label}' AS group_set, {key('service')}, {key('pathologie')}, {cols} FROM b_{label}")
+    return O.with_ctes(O.BASE + ctes, " UNION ALL ".join(sel))
+
+
+@register("measures_multi_sets", _multi_sql())
+def q_measures_multi(spark, sf):
+    return round_doubles(M.measures_grouping_sets(measure_base(spark, sf), _MULTI_SETS, _MULTI_NAMES))
