@@ -874,3 +874,21 @@ def _multi_sql() -> str:
 @register("measures_multi_sets", _multi_sql())
 def q_measures_multi(spark, sf):
     return round_doubles(M.measures_grouping_sets(measure_base(spark, sf), _MULTI_SETS, _MULTI_NAMES))
+
+
+@register("prior_year_by_service", O.with_ctes(O.BASE + ["""ms AS (
+  SELECT service, CAST(year(date_admission) AS INTEGER) AS year, CAST(month(date_admission) AS INTEGER) AS month,
+    count(*) AS sejours, count(*) FILTER (WHERE readmission_30j = 1) AS readmissions,
+    CAST(year(date_admission) AS INTEGER) * 12 + CAST(month(date_admission) AS INTEGER) AS month_index
+  FROM features GROUP BY 1, 2, 3)""", """pys AS (
+  SELECT p.service, p.year, p.month, p.sejours,
+    CASE WHEN p.sejours = 0 THEN 0.0 ELSE CAST(p.readmissions AS DOUBLE) / p.sejours END AS rate,
+    CASE WHEN COALESCE(q.sejours, 0) = 0 THEN 0.0 ELSE CAST(q.readmissions AS DOUBLE) / q.sejours END AS prev,
+    COALESCE(q.sejours, 0) AS sejours_prev
+  FROM ms p LEFT JOIN ms q ON p.service = q.service AND p.month_index = q.month_index + 12)"""], f"""
+SELECT service, year, month, sejours, {O.R('rate', 6)} AS taux_readmission, {O.R('prev', 6)} AS taux_annee_precedente,
+  {O.R('(rate - prev) * 100', 6)} AS delta_pp, {_trend_sql('(rate - prev) * 100')} AS tendance,
+  sejours_prev AS sejours_annee_precedente
+FROM pys"""))
+def q_prior_year_by_service(spark, sf):
+    return round_doubles(TI.prior_year(features(spark, sf), ["service"]))
