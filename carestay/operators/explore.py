@@ -20,7 +20,7 @@ def long_numeric(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ())
     return wide.unpivot(list(extra), list(cols), "feature", "value")
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] = S.EXPLORE_NUMERICAL, digits: int = 2) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str] = S.DESCRIBE_COLS, digits: int = 2) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max per column."""
     lg = long_numeric(df, cols)
     mom = lg.groupBy("feature").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),

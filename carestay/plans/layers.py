@@ -79,13 +79,26 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, fit_model: bool = Tr
     """
     import time as _time
 
-    from carestay.operators import model as MD
-    from carestay.operators import quality as QC
     from carestay.sources import io as IO
 
     t0 = _time.time()
     out = out_dir.rstrip("/")
-    paths = {}
+    paths = {"ingestion_logs": f"{out}/bronze/ingestion_logs"}
+    try:
+        return _run_all(spark, sf_dir, out, fit_model, paths, t0)
+    except Exception as e:
+        # as the source does: a failed run leaves one FAILURE row (0 rows) in the run log
+        IO.append_log(IO.failure_log(spark, str(e), _time.time() - t0), paths["ingestion_logs"])
+        raise
+
+
+def _run_all(spark: SparkSession, sf_dir: str, out: str, fit_model: bool, paths: dict, t0: float) -> dict:
+    import time as _time
+
+    from carestay.operators import model as MD
+    from carestay.operators import quality as QC
+    from carestay.sources import io as IO
+
     raw = bronze(spark, sf_dir)
     clean = silver.clean_stays(raw)
     IO.register_silver(clean, "stg_patients")
@@ -108,6 +121,5 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, fit_model: bool = Tr
         model = MD.fit_logistic(split.where("split = 'train'"))
         paths["scores"] = f"{out}/scores_risque_patients"
         IO.export_scores(MD.score_export(MD.score(feats, model)), paths["scores"])
-    paths["ingestion_logs"] = f"{out}/bronze/ingestion_logs"
     IO.append_log(IO.ingestion_log(raw, "SUCCESS", "run_all", _time.time() - t0), paths["ingestion_logs"])
     return paths

@@ -415,7 +415,7 @@ def _unpivot_sql(cols, table="features", extra="", cast="DOUBLE") -> str:
 SELECT feature, count(value) AS count, {O.R('avg(value)', 2)} AS mean, {O.R('stddev_samp(value)', 2)} AS std,
   {O.R('min(value)', 2)} AS min, {O.R('quantile_cont(value, 0.25)', 2)} AS p25, {O.R('quantile_cont(value, 0.5)', 2)} AS p50,
   {O.R('quantile_cont(value, 0.75)', 2)} AS p75, {O.R('max(value)', 2)} AS max
-FROM {_unpivot_sql(S.EXPLORE_NUMERICAL)} GROUP BY feature"""))
+FROM {_unpivot_sql(S.DESCRIBE_COLS)} GROUP BY feature"""))
 def q_describe(spark, sf):
     return X.describe_numeric(features(spark, sf))
 

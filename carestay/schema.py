@@ -65,6 +65,8 @@ EXPLORE_NUMERICAL = [
     "age", "nb_hospitalisations_precedentes", "nb_medicaments",
     "duree_sejour", "indice_complexite", "ratio_meds_duree",
 ]
+# every numeric column of the feature table (what a describe() of the whole table reports)
+DESCRIBE_COLS = NUMERICAL_FEATURES + BINARY_FEATURES + ["annee_admission", "mois_admission", TARGET]
 CORRELATION_COLS = EXPLORE_NUMERICAL + [
     "flag_polymedication", "flag_sortie_complexe", "flag_antecedents_lourds", "readmission_30j",
 ]

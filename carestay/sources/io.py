@@ -37,6 +37,15 @@ def ingestion_log(df: DataFrame, status: str = "SUCCESS", message: str = "", sec
         F.lit(status).alias("statut"), F.lit(message).alias("message"))
 
 
+def failure_log(spark: SparkSession, message: str, seconds: float = 0.0) -> DataFrame:
+    """The run-log row of a failed run: 0 rows, rate 0, the error message."""
+    return spark.range(1).select(
+        F.localtimestamp().alias("run_timestamp"), F.lit(0).cast("int").alias("nb_lignes"),
+        F.lit(0).cast("decimal(5,4)").alias("taux_readmission"),
+        F.lit(round(seconds, 2)).cast("decimal(8,2)").alias("duree_secondes"),
+        F.lit("FAILURE").alias("statut"), F.lit(message[:2000]).alias("message"))
+
+
 def append_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").parquet(path)
 

@@ -79,3 +79,14 @@ def test_replayed_micro_batch_is_idempotent(spark):
         append_bronze(batch, os.path.join(d, "bronze", "batch_id=7"), mode="overwrite")
     back = spark.read.parquet(os.path.join(d, "bronze"))
     assert back.count() == 40 and back.select("batch_id").distinct().first()[0] == 7
+
+
+def test_run_all_logs_failure(spark):
+    import pytest
+
+    from carestay.plans.layers import run_all
+    out = tempfile.mkdtemp(prefix="carestay-fail-")
+    with pytest.raises(Exception):
+        run_all(spark, "/nonexistent/sf", out, fit_model=False)
+    log = spark.read.parquet(os.path.join(out, "bronze", "ingestion_logs")).first()
+    assert log.statut == "FAILURE" and log.nb_lignes == 0
