@@ -78,15 +78,21 @@ def clean_stays(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split into (clean rows, rejected raw rows with a ``reject_reason``)."""
+    """Split into (clean rows, rejected raw rows with a ``reject_reason``).
+
+    Besides the quality filter, a malformed UUID is rejected here instead of failing the
+    job (as the strict cleaning does).
+    """
     age = F.col("age").cast("smallint")
+    ok = quality_predicate() & C.is_uuid(F.col("patient_id"))
     reason = (F.when(F.col("patient_id").isNull(), "patient_id null")
+              .when(~C.is_uuid(F.col("patient_id")), "patient_id not a uuid")
               .when(F.col("age").isNull(), "age null")
               .when(~age.between(18, 95), "age out of range")
               .when(F.col("readmission_30j").isNull(), "target null")
               .when(~F.col("readmission_30j").cast("smallint").isin(0, 1), "target not 0/1"))
-    good = _project_clean(df.where(quality_predicate()), strict=False)
-    bad = df.where(~F.coalesce(quality_predicate(), F.lit(False))).withColumn("reject_reason", reason)
+    good = _project_clean(df.where(ok), strict=False)
+    bad = df.where(~F.coalesce(ok, F.lit(False))).withColumn("reject_reason", reason)
     return good, bad
 
 

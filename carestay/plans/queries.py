@@ -36,13 +36,18 @@ def q_clean_stays(spark, sf):
     return clean(spark, sf)
 
 
-@register("quarantine", O.with_ctes([], """
+_UUID_SQL = "regexp_matches(patient_id, '^[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}$')"
+
+
+@register("quarantine", O.with_ctes([], f"""
 SELECT patient_id, age, readmission_30j,
-  CASE WHEN patient_id IS NULL THEN 'patient_id null' WHEN age IS NULL THEN 'age null'
+  CASE WHEN patient_id IS NULL THEN 'patient_id null' WHEN NOT {_UUID_SQL} THEN 'patient_id not a uuid'
+       WHEN age IS NULL THEN 'age null'
        WHEN NOT (age BETWEEN 18 AND 95) THEN 'age out of range' WHEN readmission_30j IS NULL THEN 'target null'
        ELSE 'target not 0/1' END AS reject_reason
 FROM stays_raw
-WHERE NOT COALESCE(patient_id IS NOT NULL AND age IS NOT NULL AND age BETWEEN 18 AND 95 AND readmission_30j IN (0, 1), FALSE)"""))
+WHERE NOT COALESCE(patient_id IS NOT NULL AND age IS NOT NULL AND age BETWEEN 18 AND 95 AND readmission_30j IN (0, 1)
+  AND {_UUID_SQL}, FALSE)"""))
 def q_quarantine(spark, sf):
     _, bad = silver.quarantine(raw(spark, sf))
     return bad.select("patient_id", "age", "readmission_30j", "reject_reason")

@@ -21,6 +21,11 @@ def row(i, **kw):
 def test_clean_filters_and_normalises(spark):
     raw = stay_rows(spark, [row(1, sexe=" m", service="néphrologie", mode_sortie="SSR "),
                             row(2, age=None), row(3, age=101), row(4, readmission_30j=None), row(5, readmission_30j=2)])
+    bad_id = stay_rows(spark, [dict(row(6), patient_id="not-a-uuid")])
+    import pytest
+    with pytest.raises(Exception):
+        silver.clean_stays(bad_id).collect()           # strict: a malformed id fails the job
+    assert silver.quarantine(bad_id)[1].first().reject_reason == "patient_id not a uuid"
     c = silver.clean_stays(raw).collect()
     assert len(c) == 1
     r = c[0]
