@@ -11,7 +11,9 @@ TABLES = "orders lineitem customer".split()
 FAST = ["clean_stays", "quarantine", "with_features", "feature_store_join", "kpi_mart", "measures_global",
         "measures_confusion", "pathology_rank", "ks_approx", "prior_year", "rolling_30d", "rls_visible_counts",
         "quality_report", "describe", "chi_square_stat", "mann_whitney_u", "kruskal_h", "stratified_split",
-        "exact_auc", "roc_points", "classification_report", "normality_test"]
+        "exact_auc", "roc_points", "classification_report", "normality_test", "measures_multi_sets",
+        "prior_year_by_service", "dashboard_stays_by_tier", "features_train_stats", "assert_rate_band_strict",
+        "correlation", "group_rates", "histogram_duree_sejour", "labels_en_by_pathology"]
 
 
 def norm(v):
