@@ -59,3 +59,16 @@ def test_train_only_target_mean(spark):
     a = {r.pathologie: r.taux_readmission_patho for r in full.select("pathologie", "taux_readmission_patho").distinct().collect()}
     b = {r.pathologie: r.taux_readmission_patho for r in tr.select("pathologie", "taux_readmission_patho").distinct().collect()}
     assert a.keys() == b.keys() and a != b
+
+
+def test_unseen_level_one_hot_is_all_zeros(spark):
+    f = gold.with_features(silver.clean_stays(stays_raw(spark, SF_SMALL)))
+    m = MD.fit_logistic(f.where(F.col("service") != "Neurologie"))
+    assert not any(n == "service_Neurologie" for n in m.feature_names())
+    probe = f.where(F.col("service") == "Neurologie").limit(3)
+    out = m.pipeline.transform(probe.select("*", *MD._scaled(m.means, m.stds)))
+    vecs = [r.service_ohe for r in out.select("service_ohe").collect()]
+    assert vecs and all(v.numNonzeros() == 0 for v in vecs)
+    known = m.pipeline.transform(f.where(F.col("service") == "Cardiologie").limit(2).select("*", *MD._scaled(m.means, m.stds)))
+    assert all(r.service_ohe.numNonzeros() == 1 for r in known.select("service_ohe").collect())
+    assert MD.score(probe, m).count() == 3
