@@ -36,6 +36,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] = S.DESCRIBE_COLS, digit
 
 def class_balance(df: DataFrame, col: str = S.TARGET, digits: int = 3) -> DataFrame:
     c = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    # the window spans the per-level counts (one row per class), not the stays
     return c.select(col, "n", C.rnd(F.col("n") / F.sum("n").over(Window.partitionBy()), digits).alias("share"))
 
 
@@ -49,7 +50,7 @@ def missing_counts(df: DataFrame) -> DataFrame:
 def group_rate(df: DataFrame, dim: str, target: str = S.TARGET) -> DataFrame:
     """Target mean per level next to the global mean (window sums over the small per-level table)."""
     per = df.groupBy(dim).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("double")).alias("_s"))
-    w = Window.partitionBy()
+    w = Window.partitionBy()  # over the per-level table, one row per level
     return per.select(dim, "n", (F.col("_s") / F.col("n")).alias("rate"),
                       (F.sum("_s").over(w) / F.sum("n").over(w)).alias("global_rate"))
 

@@ -166,6 +166,7 @@ def pathology_ranking(df: DataFrame, key: str = "pathologie") -> DataFrame:
     """
     per = df.groupBy(key).agg(_n().alias("n"), _readm().alias("n_readm"),
                               F.avg("indice_complexite").alias("indice_complexite_moy"))
+    # unpartitioned windows run over the per-pathology table (one row per pathology), not over stays
     w_all = Window.partitionBy()
     rate = C.safe_ratio("n_readm", "n")
     glob = C.safe_ratio(F.sum("n_readm").over(w_all), F.sum("n").over(w_all))

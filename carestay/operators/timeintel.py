@@ -87,6 +87,7 @@ def ytd_rate(df: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
 def rolling_readmissions(df: DataFrame, days: int = 30, date_col: str = "date_admission") -> DataFrame:
     """Per calendar day d: readmissions admitted in [d - days + 1, d]."""
     cal = daily_on_calendar(df, date_col)
+    # one ordered window over the calendar-day table (≤ 366 rows per year), not over stays
     w = Window.orderBy("day_number").rangeBetween(-(days - 1), 0)
     return cal.select("date", F.sum("readmissions").over(w).alias(f"readmissions_{days}j"),
                       F.sum("sejours").over(w).alias(f"sejours_{days}j"))

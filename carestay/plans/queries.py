@@ -187,6 +187,7 @@ def q_risk_tiers_right(spark, sf):
     from carestay.functions.columns import risk_tier_cut
     t = (measure_base(spark, sf).groupBy(risk_tier_cut("score_risque_modele").alias("categorie_risque"))
          .agg(F.count(F.lit(1)).alias("nb_sejours")))
+    # a window over the 4 tier rows (plus the null tier), not over stays
     return t.withColumn("part", rnd(F.col("nb_sejours") / F.sum("nb_sejours").over(Window.partitionBy()), 6))
 
 

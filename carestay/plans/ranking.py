@@ -71,6 +71,7 @@ def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[
         g = g.withColumn("_bucket", F.lit(0))
 
     tots = g.groupBy(*part, "_bucket").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
+    # windows over the (groups × buckets) totals table, never over the input rows
     wb = Window.partitionBy(*part).orderBy("_bucket")
     tots = tots.select(
         *part, "_bucket",
