@@ -166,8 +166,8 @@ def roc_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets:
     r = running_totals(g, score, [score], ["n0", "n1"], (), buckets)
     tp = F.col("tot_n1") - F.col("cum_n1") + F.col("n1")
     fp = F.col("tot_n0") - F.col("cum_n0") + F.col("n0")
-    return r.select(F.col(score).alias("threshold"), (fp / F.col("tot_n0")).alias("fpr"),
-                    (tp / F.col("tot_n1")).alias("tpr"), tp.alias("tp"), fp.alias("fp"))
+    return r.select(F.col(score).alias("threshold"), F.try_divide(fp, F.col("tot_n0")).alias("fpr"),
+                    F.try_divide(tp, F.col("tot_n1")).alias("tpr"), tp.alias("tp"), fp.alias("fp"))
 
 
 def pr_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets: int | None = None) -> DataFrame:

@@ -28,8 +28,10 @@ from carestay.plans.ranking import running_totals
 
 def chi2_sf_scalar(x: float, k: int) -> float:
     """Upper tail of χ² with integer k degrees of freedom (finite closed form)."""
-    if x is None or k is None or (isinstance(x, float) and math.isnan(x)) or k <= 0:
+    if x is None or k is None or (isinstance(x, float) and math.isnan(x)):
         return float("nan")
+    if k <= 0:
+        return 1.0
     if x <= 0:
         return 1.0
     h = x / 2.0
@@ -85,7 +87,8 @@ def normality_test(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL) -> D
     lg = long_numeric(df, cols).where(F.col("value").isNotNull())
     m = lg.groupBy("feature").agg(F.count("value").cast("double").alias("n"), F.skewness("value").alias("g1"),
                                   (F.kurtosis("value") + 3).alias("b2"))
-    z1, z2 = _dagostino(F.col("n"), F.col("g1"), F.col("b2"))
+    # the test needs at least 8 values; below that n is null and every term stays null
+    z1, z2 = _dagostino(F.when(F.col("n") >= 8, F.col("n")), F.col("g1"), F.col("b2"))
     k2 = z1 * z1 + z2 * z2
     out = m.select("feature", k2.alias("statistic"))
     p = F.exp(-F.col("statistic") / 2)
@@ -155,15 +158,16 @@ def mann_whitney_u(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL, targ
         F.sum(F.col("n0") * (below1 + 0.5 * F.col("n1"))).alias("u"),
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
         F.sum(t.cast("double") * t * t - t).alias("ties"),
-        (F.sum(F.col("value") * F.col("n0")) / F.sum("n0")).alias("mean0"),
-        (F.sum(F.col("value") * F.col("n1")) / F.sum("n1")).alias("mean1"))
+        F.try_divide(F.sum(F.col("value") * F.col("n0")), F.sum("n0")).alias("mean0"),
+        F.try_divide(F.sum(F.col("value") * F.col("n1")), F.sum("n1")).alias("mean1"))
     n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")
     n = n0 + n1
     mu = n0 * n1 / 2
-    sd = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1))))
-    z = (F.greatest(F.col("u"), n0 * n1 - F.col("u")) - mu - 0.5) / sd
+    # an empty class or an all-tied feature has no defined z: null instead of a failed job
+    sd = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
+    z = F.try_divide(F.greatest(F.col("u"), n0 * n1 - F.col("u")) - mu - 0.5, sd)
     return per.select("feature", F.col("u").alias("u_statistic"), z.alias("z"),
-                      (F.col("u") / (n0 * n1)).alias("effect_r"), "mean0", "mean1", "n0", "n1")
+                      F.try_divide(F.col("u"), n0 * n1).alias("effect_r"), "mean0", "mean1", "n0", "n1")
 
 
 def mann_whitney(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL, target: str = S.TARGET) -> DataFrame:
@@ -190,7 +194,8 @@ def kruskal_h(df: DataFrame, value: str = "age", group: str = "pathologie", buck
                   F.count(F.lit(1)).alias("k"))
     ties = ranks.agg(F.sum(F.col("t").cast("double") ** 3 - F.col("t")).alias("tie"))
     nn = F.col("N")
-    h = (12.0 / (nn * (nn + 1)) * F.col("s") - 3 * (nn + 1)) / (1 - ties.scalar() / (nn * nn * nn - nn))
+    h = F.try_divide(12.0 / (nn * (nn + 1)) * F.col("s") - 3 * (nn + 1),
+                     1 - F.try_divide(ties.scalar(), nn * nn * nn - nn))
     return tot.select(h.alias("h"), (F.col("k") - 1).cast("int").alias("dof"), F.col("N").cast("bigint").alias("n"))
 
 

@@ -112,3 +112,20 @@ def test_many_buckets_give_the_same_ranks(spark, monkeypatch):
     monkeypatch.setattr(ranking, "TARGET_ROWS_PER_BUCKET", 40)   # ~30 buckets per class
     many = run()
     assert one == many
+
+
+def test_degenerate_inputs_do_not_fail(spark):
+    one_class = spark.createDataFrame([(float(v), 0) for v in range(10)], "age double, readmission_30j int")
+    r = ST.mann_whitney_u(one_class, ["age"]).first()
+    assert r.n1 == 0 and r.effect_r is None
+    tied = spark.createDataFrame([(5.0, "a"), (5.0, "b"), (5.0, "a")], "age double, pathologie string")
+    assert ST.kruskal_h(tied).first().h is None
+    assert ST.chi2_sf_scalar(0.0, 0) == 1.0
+    roc = MD.roc_points(spark.createDataFrame([(0.3, 1), (0.6, 1)], "score_risque_modele double, readmission_30j int"))
+    assert all(r.fpr is None for r in roc.collect())
+
+
+def test_normality_needs_eight_values(spark):
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 2, 3]], "age double")
+    r = ST.normality_test(df, ["age"]).first()
+    assert r.statistic is None
