@@ -48,3 +48,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 def fixed_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a relation whose size is fixed by construction (e.g. the 8-row ICD-10 table)."""
     return F.broadcast(df)
+
+
+def ensure_parallelism(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Spread ``df`` over at least ``target`` partitions (default: the cluster's parallelism).
+
+    A large table already has far more input splits than cores, and is returned as is.
+    Only a small input (e.g. one Parquet row group read by a single task) is round-robin
+    repartitioned, which keeps every core busy downstream at negligible cost.
+    """
+    n = target or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

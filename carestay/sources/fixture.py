@@ -28,7 +28,10 @@ def _cases(expr: Column, bounds: list[tuple[int, str]], last: str) -> Column:
 
 def stays_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped stays derived from ``orders`` ⋈ ``customer`` ⋈ agg(``lineitem``)."""
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    from carestay.plans.joins import ensure_parallelism
+
+    # the per-order projection below is the row-heavy part: never leave it to one task
+    orders = ensure_parallelism(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     li = (read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
           .agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.count(F.lit(1)).alias("n_lines")))
