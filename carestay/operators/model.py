@@ -130,12 +130,12 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000, label:
 
 
 def score(df: DataFrame, model: RiskModel, threshold: float = 0.5) -> DataFrame:
-    """Probability of class 1 and the class at ``threshold``."""
+    """Probability of class 1 and the predicted class (1 when the probability is above ``threshold``)."""
     prepared = df.select("*", *_scaled(model.means, model.stds))
     out = model.pipeline.transform(prepared)
     p = vector_to_array(F.col("_prob"))[1]
     keep = [c for c in df.columns]
-    return out.select(*keep, p.alias(PROB), (p >= threshold).cast("int").alias("prediction"))
+    return out.select(*keep, p.alias(PROB), (p > threshold).cast("int").alias("prediction"))
 
 
 # ------------------------------------------------------------------ K7-K9 metrics
