@@ -68,7 +68,12 @@ def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[
             g = g.withColumn("_bounds", g.agg(bounds_agg).scalar())
         g = g.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("_bk")))).drop("_bounds")
     else:
-        g = g.withColumn("_bucket", F.lit(0))
+        # one bucket per group: the group is small enough (≤ TARGET_ROWS_PER_BUCKET rows) for one
+        # window task, so the running sums need no bucket offsets and no join
+        w_cum = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+        w_tot = Window.partitionBy(*part)
+        return g.select("*", *[F.sum(c).over(w_cum).alias(f"{prefix}{c}") for c in sum_cols],
+                        *[F.sum(c).over(w_tot).alias(f"tot_{c}") for c in sum_cols]).drop("_bk")
 
     tots = g.groupBy(*part, "_bucket").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
     # windows over the (groups × buckets) totals table, never over the input rows
