@@ -34,3 +34,25 @@ def test_complexity_index_bounds(spark, rows):
     for (los, meds, prior), v in zip(rows, got):
         raw = min(los, 30) / 30 * 3.5 + min(meds, 15) / 15 * 3.0 + min(prior, 5) / 5 * 3.5
         assert v <= 10.0 and abs(v - min(10.0, raw)) <= 0.005 + 1e-9
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(-50, 50), st.integers(1, 4)), min_size=1, max_size=300),
+       st.integers(1, 12))
+def test_running_totals_match_python(spark, rows, buckets):
+    from pyspark.sql import functions as F
+
+    from carestay.plans.ranking import running_totals
+    df = spark.createDataFrame(rows, "g string, v int, n int").groupBy("g", "v").agg(F.sum("n").alias("n"))
+    got = {(r.g, r.v): (r.cum_n, r.tot_n) for r in running_totals(df, "v", ["v"], ["n"], ["g"], buckets).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        agg = {}
+        for gg, v, n in rows:
+            if gg == g:
+                agg[v] = agg.get(v, 0) + n
+        cum, tot = 0, sum(agg.values())
+        for v in sorted(agg):
+            cum += agg[v]
+            want[(g, v)] = (cum, tot)
+    assert got == want
