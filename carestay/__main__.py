@@ -1,4 +1,4 @@
-"""``python -m carestay <sf_dir> <out_dir> [--no-model]``: run the whole flow and write its tables."""
+"""``python -m carestay <sf_dir> <out_dir> [--no-model] [--cluster]``: run the whole flow and write its tables."""
 
 import sys
 
@@ -7,11 +7,12 @@ from carestay.session import build_session
 
 
 def main(argv: list[str]) -> None:
-    if len(argv) < 2:
+    argv_pos = [a for a in argv if not a.startswith("--")]
+    if len(argv_pos) < 2:
         print(__doc__)
         raise SystemExit(2)
-    spark = build_session()
-    for name, path in run_all(spark, argv[0], argv[1], fit_model="--no-model" not in argv).items():
+    spark = build_session(profile="cluster" if "--cluster" in argv else "local")
+    for name, path in run_all(spark, argv_pos[0], argv_pos[1], fit_model="--no-model" not in argv).items():
         print(f"{name}\t{path}")
     spark.stop()
 

@@ -39,16 +39,18 @@ CLUSTER_CONF = {
 
 
 def build_session(master: str | None = None, app: str = "carestay",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  profile: str = "local") -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; size
-    ``spark.sql.shuffle.partitions`` to the data (AQE coalesces small outputs).
+    On a cluster pass ``master=None`` (spark-submit decides) and ``profile="cluster"`` for the
+    wide-shuffle / AQE sizing of ``CLUSTER_CONF``; ``spark.checkpoint.dir`` must then name a
+    shared folder.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in (CLUSTER_CONF if profile == "cluster" else DEFAULT_CONF).items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
