@@ -90,3 +90,21 @@ def test_run_all_logs_failure(spark):
         run_all(spark, "/nonexistent/sf", out, fit_model=False)
     log = spark.read.parquet(os.path.join(out, "bronze", "ingestion_logs")).first()
     assert log.statut == "FAILURE" and log.nb_lignes == 0
+
+
+def test_streaming_rolling_window_equals_batch(spark):
+    from carestay import schema as S
+    from carestay.operators import silver, timeintel as TI
+    from carestay.streaming.rolling import rolling_readmissions_stream
+    d = tempfile.mkdtemp(prefix="carestay-roll-")
+    raw = stays_raw(spark, SF_SMALL)
+    raw.write.parquet(os.path.join(d, "landing"))
+    stream = spark.readStream.schema(S.STAY_SCHEMA).parquet(os.path.join(d, "landing"))
+    q = (rolling_readmissions_stream(stream).writeStream.outputMode("complete").format("memory")
+         .queryName("rolling_test").trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    got = {r.date: (r.sejours_30j, r.readmissions_30j) for r in spark.sql("SELECT * FROM rolling_test").collect()}
+    batch = {r.date: (r.sejours_30j, r.readmissions_30j)
+             for r in TI.rolling_readmissions(silver.clean_stays(raw)).collect() if r.sejours_30j > 0}
+    assert got and all(got[k] == v for k, v in batch.items() if k in got)
+    assert set(batch) <= set(got)
