@@ -227,7 +227,8 @@ def cross_validate(train: DataFrame, folds: int = 5, c: float = 1.0, max_iter: i
     folds_df = spark.createDataFrame(rows, "fold int, auc double, f1 double")
     summary = folds_df.agg(F.avg("auc").alias("auc_mean"), F.stddev_pop("auc").alias("auc_std"),
                            F.avg("f1").alias("f1_mean"), F.stddev_pop("f1").alias("f1_std"))
-    return folds_df.select("*", *[summary.select(c).scalar().alias(c) for c in ["auc_mean", "auc_std", "f1_mean", "f1_std"]])
+    stats = ["auc_mean", "auc_std", "f1_mean", "f1_std"]
+    return folds_df.select("*", *[summary.select(name).scalar().alias(name) for name in stats])
 
 
 # ------------------------------------------------------------------ K10 bootstrap
@@ -283,7 +284,7 @@ def feature_importance(model: RiskModel, k: int = 15) -> DataFrame:
     df = ss.createDataFrame(rows, "feature string, coefficient double")
     return (df.select("feature", C.rnd("coefficient", 3).alias("coefficient"),
                       C.rnd(C.odds_ratio("coefficient"), 3).alias("odds_ratio"), F.abs("coefficient").alias("_a"))
-            .orderBy(F.desc("_a")).limit(k).drop("_a"))
+            .orderBy(F.desc("_a"), "feature").limit(k).drop("_a"))
 
 
 EXPORT_COLUMNS = ["patient_id", "pathologie", "service", "age", "tranche_age", PROB, "categorie_risque", S.TARGET]
