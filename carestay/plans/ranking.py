@@ -28,10 +28,13 @@ TARGET_ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 100_000
 
 
-def choose_buckets(rows: int, groups: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
-    """Buckets per group so that one (group, bucket) window holds about ``target`` rows."""
-    per_group = rows / max(groups, 1)
-    return int(min(MAX_BUCKETS, max(1, math.ceil(per_group / target))))
+def choose_buckets(largest_group_rows: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
+    """Buckets per group so that no (group, bucket) window holds more than about ``target`` rows.
+
+    Sized from the LARGEST group: one group holding a third of all rows is split as finely as
+    it needs, whatever the other groups hold.
+    """
+    return int(min(MAX_BUCKETS, max(1, math.ceil(largest_group_rows / target))))
 
 
 def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[Column | str],
@@ -52,9 +55,8 @@ def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[
     if materialize_input:
         g = materialize(g)
     if buckets is None:
-        stats = g.agg(F.count(F.lit(1)).alias("n"),
-                      (F.count_distinct(*part) if part else F.lit(1)).alias("k")).first()
-        buckets = choose_buckets(stats["n"], stats["k"])
+        sizes = g.groupBy(*part).agg(F.count(F.lit(1)).alias("n")) if part else g.agg(F.count(F.lit(1)).alias("n"))
+        buckets = choose_buckets(sizes.agg(F.max("n")).first()[0] or 0)
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
         # rank error of the bounds ~ 1/accuracy: keep it well under one bucket

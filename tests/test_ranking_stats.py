@@ -129,3 +129,10 @@ def test_normality_needs_eight_values(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 2, 3]], "age double")
     r = ST.normality_test(df, ["age"]).first()
     assert r.statistic is None
+
+
+def test_bucket_count_follows_the_largest_group():
+    from carestay.plans.ranking import choose_buckets
+    # 200 groups, one of which holds a third of 600M rows: sized for the hot group
+    assert choose_buckets(200_000_000, target=2_000_000) == 100
+    assert choose_buckets(10, target=2_000_000) == 1
