@@ -72,7 +72,7 @@ pr AS (SELECT pathologie, n, CAST(n_readm AS DOUBLE) / n AS rate,
   (CAST(n_readm AS DOUBLE) / n - CAST(sum(n_readm) OVER () AS DOUBLE) / sum(n) OVER ()) * 100 AS dev, icm FROM per)"""], f"""
 SELECT pathologie, n AS total_sejours, {O.R('rate', 6)} AS taux_readmission_pathologie,
   {O.R('dev', 6)} AS ecart_vs_moyenne_globale_pp, {O.R('icm', 6)} AS indice_complexite_moy,
-  dense_rank() OVER (ORDER BY rate DESC) AS rang_pathologie
+  CAST(dense_rank() OVER (ORDER BY rate DESC) AS INTEGER) AS rang_pathologie
 FROM pr"""))
 def q_pathology_rank(spark, sf):
     return round_doubles(M.pathology_ranking(measure_base(spark, sf)))
