@@ -37,6 +37,11 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
+    types = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE",
+             "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {f.name: types.get(f.dataType.simpleString()) for f in df.schema.fields} == duck_types
+    cur = duck.execute(E.oracle_sql()[name])
     order = sorted(df.columns)
     s = sorted("|".join(norm(r[c]) for c in order) for r in df.collect())
     d = sorted("|".join(norm(r[dcols.index(c)]) for c in order) for r in cur.fetchall())
