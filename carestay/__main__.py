@@ -17,5 +17,9 @@ def main(argv: list[str]) -> None:
     spark.stop()
 
 
-if __name__ == "__main__":
+def cli() -> None:
     main(sys.argv[1:])
+
+
+if __name__ == "__main__":
+    cli()
