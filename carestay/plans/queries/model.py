@@ -157,3 +157,15 @@ def q_features_train_stats(spark, sf):
     split = MD_.stratified_split(features(spark, sf).select("patient_id", "readmission_30j"))
     f = gold.with_features_train_stats(c, split)
     return f.groupBy("pathologie", "taux_readmission_patho", "duree_zscore_patho").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("model_classification_report")
+def q_model_classification_report(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    return MD.classification_report(MD.score(split.where(F.col("split") == "test"), m))
+
+
+@register("model_roc_points")
+def q_model_roc_points(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    return MD.roc_points(MD.score(split.where(F.col("split") == "test"), m))
