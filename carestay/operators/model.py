@@ -170,6 +170,16 @@ def roc_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets:
                     F.try_divide(tp, F.col("tot_n1")).alias("tpr"), tp.alias("tp"), fp.alias("fp"))
 
 
+def ks_statistic(df: DataFrame, score: str = PROB, label: str = S.TARGET) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov statistic of the scores of both classes: max(TPR - FPR)
+    over all thresholds (one aggregate over the ROC points)."""
+    roc = roc_points(df, score, label).withColumn("_gap", F.col("tpr") - F.col("fpr"))
+    best = roc.agg(F.max("_gap")).scalar()
+    # ties: the highest threshold reaching the maximum gap
+    return roc.agg(F.greatest(F.max("_gap"), F.lit(0.0)).alias("ks"),
+                   F.max(F.when(F.col("_gap") == best, F.col("threshold"))).alias("ks_threshold"))
+
+
 def pr_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets: int | None = None) -> DataFrame:
     roc = roc_points(df, score, label, buckets)
     return roc.select("threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),

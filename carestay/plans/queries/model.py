@@ -169,3 +169,17 @@ def q_model_classification_report(spark, sf):
 def q_model_roc_points(spark, sf):
     f, split, train, m = _fitted(spark, sf)
     return MD.roc_points(MD.score(split.where(F.col("split") == "test"), m))
+
+
+@register("ks_statistic", O.with_ctes(O.BASE + [O.MB, _SCORE_COUNTS, """roc AS (
+  SELECT s, CAST(t1 - c1 + n1 AS DOUBLE) / t1 - CAST(t0 - c0 + n0 AS DOUBLE) / t0 AS gap FROM cum)"""], f"""
+SELECT {O.R('GREATEST(max(gap), 0.0)', 8)} AS ks,
+  max(s) FILTER (WHERE gap = (SELECT max(gap) FROM roc)) AS ks_threshold FROM roc"""))
+def q_ks_statistic(spark, sf):
+    return round_doubles(MD.ks_statistic(measure_base(spark, sf), "score_risque_modele"), 8)
+
+
+@register("model_ks_statistic")
+def q_model_ks_statistic(spark, sf):
+    f, split, train, m = _fitted(spark, sf)
+    return MD.ks_statistic(MD.score(split.where(F.col("split") == "test"), m))

@@ -8,7 +8,7 @@ import __spark_entry__ as E
 # queries whose construction fits a model (checked elsewhere); planning them here would only repeat the fits
 MODEL_QUERIES = {"fit_logistic_scores", "model_evaluation", "cross_validate", "bootstrap_ci", "feature_importance",
                  "score_export", "risk_tier_shares", "feature_screen",
-                 "model_classification_report", "model_roc_points"}
+                 "model_classification_report", "model_roc_points", "model_ks_statistic"}
 
 
 def physical_plan(df) -> str:
