@@ -13,7 +13,7 @@ FAST = ["clean_stays", "quarantine", "with_features", "feature_store_join", "kpi
         "quality_report", "describe", "chi_square_stat", "mann_whitney_u", "kruskal_h", "stratified_split",
         "exact_auc", "roc_points", "classification_report", "normality_test", "measures_multi_sets",
         "prior_year_by_service", "dashboard_stays_by_tier", "features_train_stats", "assert_rate_band_strict",
-        "correlation", "group_rates", "histogram_duree_sejour", "labels_en_by_pathology"]
+        "correlation", "group_rates", "histogram_duree_sejour", "labels_en_by_pathology", "ks_statistic"]
 
 
 def norm(v):
