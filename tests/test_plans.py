@@ -41,3 +41,22 @@ def test_measures_read_only_needed_columns(spark):
     plan = physical_plan(E.queries()["measures_global"](spark, "/root/testdata/sf0.001"))
     schema = [ln for ln in plan.splitlines() if ln.startswith("ReadSchema")][0]
     assert "patient_id" not in schema and "hopital_region" not in schema
+
+
+def test_size_checked_broadcast_falls_back_to_a_shuffle_join(spark):
+    from pyspark.sql import functions as F
+
+    from carestay.plans.joins import broadcast_if_small
+    big = spark.range(0, 2000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    small = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        fast = big.join(broadcast_if_small(small), "k")
+        slow = big.join(broadcast_if_small(small, max_rows=0), "k")
+        assert "BroadcastHashJoin" in physical_plan(fast)
+        assert "BroadcastHashJoin" not in physical_plan(slow) and "SortMergeJoin" in physical_plan(slow)
+        assert sorted(fast.collect()) == sorted(slow.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
