@@ -110,3 +110,10 @@ def q_ingestion_log(spark, sf):
     from carestay.sources.io import ingestion_log
     log = ingestion_log(stays_raw(spark, sf), "SUCCESS", "fixture load")
     return log.select("nb_lignes", F.col("taux_readmission").cast("double").alias("taux_readmission"), "statut")
+
+
+@register("dedup_latest_stays", O.with_ctes([O.CLEAN], """
+SELECT * FROM clean QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY ingestion_timestamp DESC) = 1"""))
+def q_dedup_latest_stays(spark, sf):
+    # one row per stay id, the latest ingestion kept (a partially aggregated max over a struct)
+    return silver.dedup_latest(clean(spark, sf), "patient_id", "ingestion_timestamp")
