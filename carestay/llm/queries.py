@@ -85,16 +85,16 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 ORACLES["op10_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS at
+         unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS pos
   FROM documents),
 keyed AS (
-  SELECT doc_id, at, line,
+  SELECT doc_id, pos, line,
          translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
   FROM lines),
 owners AS (SELECT k, min(doc_id) AS owner FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
-marked AS (SELECT doc_id, at, line, coalesce(owner <> doc_id, false) AS lost FROM keyed LEFT JOIN owners USING (k))
+marked AS (SELECT doc_id, pos, line, coalesce(owner <> doc_id, false) AS lost FROM keyed LEFT JOIN owners USING (k))
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (lost) AS BIGINT) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT lost), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
