@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestay.llm import bpe, decontaminate, linededup, simhash, toxicity
+from carestay.llm import bpe, decontaminate, html_main, linededup, quality, secret_scan, simhash, toxicity
 from carestay.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,12 +37,29 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(toxicity.score(docs, model), toxicity.is_held_out(F.col("doc_id"), 3, 1), 0.7)
 
 
+@_query
+def op3_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"), shingle_words=4, radius=4)
     return groups.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+@_query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return _predicted(quality.score(docs, model), quality.is_held_out(F.col("doc_id"), 5, 0), 0.3)
+
+
 @_query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
