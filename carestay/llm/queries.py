@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestay.llm import bpe, decontaminate, html_main, linededup, quality, secret_scan, simhash, toxicity
+from carestay.llm import bpe, decontaminate, fingerprint, html_main, license_scan, linededup, quality, secret_scan, simhash, toxicity
 from carestay.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(toxicity.score(docs, model), toxicity.is_held_out(F.col("doc_id"), 3, 1), 0.7)
 
 
+@_query
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op3_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(table(spark, sf_dir, "pages"))
@@ -53,6 +58,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
