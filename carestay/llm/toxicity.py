@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from carestay.llm.store import map_arrow, strings, utf8
 
 #: Labelled rows that the word list is learned from, at most (taken by hash order of doc_id).
-FIT_ROWS = 8_000
+FIT_ROWS = 4_000
 #: Word beginnings of these lengths are features, next to whole words.
 STEMS = (4, 5, 6, 7)
 #: Distinct tokens whose scores one Python worker remembers.
@@ -171,7 +171,8 @@ def restored_words(token: str, model: CharModel) -> list[str]:
         return restore(token, model).split()
     # an edge mark may imitate a letter, so the bare token is searched as well
     words = [core(token)]
-    if token.strip(".,;:?\"'()[]{}") != words[0] and 3 <= len(token) <= 40 and token[0] in IMITATES | {"(": ""}:
+    doubled = token.endswith(("$$", "@@")) and token[-3:] != token[-1] * 3
+    if (doubled or token[:1] in IMITATES) and 3 <= len(token) <= 40 and token.strip(".,;:?\"'()[]{}") != words[0]:
         words.append(token.rstrip(".,;:?\"')]}"))
     out = []
     for word in words:
@@ -234,9 +235,12 @@ def learn(texts: list[tuple[str, int]], read, min_support: int = 3, min_precisio
             for word in read(run):
                 note(word, at, (at, run))
     # a word beginning must have shown several words, else the whole word says it all
+    seen_features = len(holders)
     live = {f: h for f, h in holders.items() if min(len(h), len(witnesses[f])) >= min_support
             and (f[-1] in "$~" or len(forms[f]) >= 3)}
-    known: dict[str, tuple] = {}
+    witnesses = {f: len(witnesses[f]) for f in live}
+    del holders, forms
+    known: dict[str, tuple] = {}  # most tokens share the empty tuple
     for text, y in texts:
         if not y:
             found = set()
@@ -252,8 +256,8 @@ def learn(texts: list[tuple[str, int]], read, min_support: int = 3, min_precisio
 
     live = {f: h for f, h in live.items() if precision(len(h), f) >= min_precision}
     base = (len(toxic) + 1) / (len(texts) + 2)
-    chance = math.log(100.0 * max(1, len(holders))) / -math.log(base)
-    support = {f: min(len(h), len(witnesses[f])) for f, h in live.items()}
+    chance = math.log(100.0 * max(1, seen_features)) / -math.log(base)
+    support = {f: min(len(h), witnesses[f]) for f, h in live.items()}
     chosen = {f for f in live if support[f] >= chance and not clean[f]}
     rest = {f: set(h) for f, h in live.items()}
     covered = set().union(*[rest[f] for f in chosen])
@@ -323,15 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
 
 
 def fit_words(chars: CharModel, sample: list[tuple[str, int]]) -> ToxicityModel:
-    seen: dict[str, tuple] = {}
-
-    def read(token):
-        found = seen.get(token)
-        if found is None:
-            found = seen[token] = tuple(set(restored_words(token, chars)))
-        return found
-
-    weights = learn(sample, read)
+    weights = learn(sample, lambda token: set(restored_words(token, chars)))
     model = ToxicityModel(chars, weights, 0.0)
     missed = sum(1 for t, y in sample if y and model.score(t) == 0.0)
     model.base = min(0.5, (missed + 0.5) / (len(sample) + 10.0))
