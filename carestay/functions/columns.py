@@ -2,7 +2,7 @@
 
 All are compositions of built-in ``pyspark.sql.functions`` so they stay inside
 whole-stage codegen. Rounding follows one rule everywhere: pass through
-``decimal(18,8)`` and round half away from zero, which reproduces exact decimal
+``decimal(38,8)`` and round half away from zero, which reproduces exact decimal
 rounding of values that are decimal at heart (rates, means of small integers).
 """
 
@@ -32,8 +32,8 @@ def col_(c: Column | str) -> Column:
 
 
 def rnd(c: Column | str, digits: int) -> Column:
-    """Round half away from zero through decimal(18,8); result is double."""
-    return F.round(col_(c).cast("decimal(18,8)"), digits).cast("double")
+    """Round half away from zero through decimal(38,8); result is double."""
+    return F.round(col_(c).cast("decimal(38,8)"), digits).cast("double")
 
 
 def coalesce_false(cond: Column) -> Column:
@@ -186,8 +186,9 @@ def additive_scorecard(rules: Sequence[tuple[str | Column, int]] = SCORECARD_RUL
 
 def _fmt(c: Column, decimals: int, flag: str = "", suffix: str = "") -> Column:
     """Fixed-decimal text; rounds half away from zero first so formatting never re-rounds."""
-    v = F.round(c.cast("decimal(18,8)"), decimals).cast("double")
-    return F.format_string(f"%{flag}.{decimals}f{suffix}", v)
+    v = F.round(c.cast("decimal(38,8)"), decimals).cast("double")
+    # format_string would print a null as text
+    return F.when(v.isNotNull(), F.format_string(f"%{flag}.{decimals}f{suffix}", v))
 
 
 def pct_label(c: Column | str, decimals: int = 1) -> Column:

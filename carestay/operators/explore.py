@@ -35,7 +35,8 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] = S.DESCRIBE_COLS, digit
 
 
 def class_balance(df: DataFrame, col: str = S.TARGET, digits: int = 3) -> DataFrame:
-    c = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    # rows without a level count neither as a level nor in the shares
+    c = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     # the window spans the per-level counts (one row per class), not the stays
     return c.select(col, "n", C.rnd(F.col("n") / F.sum("n").over(Window.partitionBy()), digits).alias("share"))
 
@@ -81,8 +82,13 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = S.CORRELATION_COLS,
                                F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
                       for a, b in pairs])
     long = df.select(F.inline(cells))
-    out = long.groupBy("col_a", "col_b").agg(F.corr("x", "y").alias("corr"))
-    return out.select("col_a", "col_b", C.rnd("corr", digits).alias("corr"))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
+    # co-moments over the rows that have both; a constant column has no correlation (null)
+    out = long.groupBy("col_a", "col_b").agg(F.covar_pop(x, y).alias("_c"), F.stddev_pop(x).alias("_sx"), F.stddev_pop(y).alias("_sy"),
+                                            ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias("_varies"))
+    corr = F.when(F.col("_varies"), F.try_divide(F.col("_c"), F.col("_sx") * F.col("_sy")))
+    return out.select("col_a", "col_b", C.rnd(corr, digits).alias("corr"))
 
 
 def dataset_summary(df: DataFrame, target: str = S.TARGET) -> DataFrame:

@@ -38,6 +38,21 @@ def measure_base(features: DataFrame, score: Column | None = None) -> DataFrame:
     return features.withColumn(SCORE, s)
 
 
+def stay_measures_base(features: DataFrame, scores: DataFrame, clean: DataFrame | None = None) -> DataFrame:
+    """Feature rows with the model's ``score_risque_modele`` attached by stay key (left join: a stay without a score keeps null).
+
+    ``scores`` is the score table of ``model.score_export`` or its CSV (``io.read_scores``). ``clean`` adds the
+    columns that only silver has (``sexe``) where ``features`` lacks them. Keys are stay ids, so the joins
+    are plain shuffle joins on an even key.
+    """
+    key = scores.select(F.col("patient_id").alias("_scored"), F.col(SCORE).cast("double").alias(SCORE))
+    base = features.drop(SCORE)
+    if clean is not None and "sexe" not in base.columns:
+        extra = clean.select(F.col("patient_id").alias("_stay"), "sexe")
+        base = base.join(extra, base["patient_id"] == extra["_stay"], "left").drop("_stay")
+    return base.join(key, base["patient_id"] == key["_scored"], "left").drop("_scored")
+
+
 def _readm(cond: Column | None = None) -> Column:
     c = F.col("readmission_30j") == 1
     return F.count_if(c if cond is None else (c & cond))
@@ -91,6 +106,7 @@ def derive_measures(b: DataFrame, group_by: Sequence[str] = (), null_on_empty: b
     rate = r("n_readm", "n")
     prec = r("tp", F.col("tp") + F.col("fp"))
     rec = r("tp", F.col("tp") + F.col("fn"))
+    # one rule for every average and maximum over no rows: null where asked for, else 0
     z = F.lit(0.0) if not null_on_empty else F.lit(None).cast("double")
     cols = {
         "total_sejours": F.col("n"),
@@ -102,15 +118,15 @@ def derive_measures(b: DataFrame, group_by: Sequence[str] = (), null_on_empty: b
         "medicaments_moyen": F.coalesce(F.col("avg_meds"), z),
         "taux_polymedication": r("n_poly", "n"),
         "taux_sortie_complexe": r("n_complex", "n"),
-        "score_risque_moyen": F.col("avg_score"),
-        "score_risque_maximum": F.col("max_score"),
+        "score_risque_moyen": F.coalesce(F.col("avg_score"), z),
+        "score_risque_maximum": F.coalesce(F.col("max_score"), z),
         "patients_risque_eleve": F.col("n_high"),
         "patients_risque_modere": F.col("n_moderate"),
         "patients_risque_faible": F.col("n_low"),
         "pct_risque_eleve": r("n_high", "n"),
         "pct_risque_modere": r("n_moderate", "n"),
         "pct_risque_faible": r("n_low", "n"),
-        "indice_complexite_moyen": F.col("avg_complexity"),
+        "indice_complexite_moyen": F.coalesce(F.col("avg_complexity"), z),
         "taux_seniors_75": r("n_senior_readm", "n_senior"),
         "pct_seniors_75": r("n_senior", "n"),
         "taux_antecedents_lourds": r("n_heavy_readm", "n_heavy"),
@@ -198,7 +214,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], group_b
     """
     part = list(group_by)
     g = df.where(F.col(value).isNotNull()).groupBy(*part, value).agg(F.count(F.lit(1)).alias("_n"))
-    r = running_totals(g, value, [value], ["_n"], part, buckets)
+    r = running_totals(g, [value], ["_n"], part, buckets)
     aggs = []
     for p in probs:
         h = (F.col("tot__n") - 1) * F.lit(float(p))
@@ -225,13 +241,11 @@ def exact_percentile(df: DataFrame, value: str, p: float, group_by: Sequence[str
 
 def ks_approx(df: DataFrame, score: str = SCORE, group_by: Sequence[str] = ()) -> DataFrame:
     """P90 of the positives' scores minus P10 of the negatives', with its ``0.000`` label."""
-    pos = exact_percentiles(df.where(F.col("readmission_30j") == 1), score, [0.9], group_by)
-    neg = exact_percentiles(df.where(F.col("readmission_30j") == 0), score, [0.1], group_by)
-    if group_by:
-        j = pos.join(neg, list(group_by), "full")
-    else:
-        # two one-row results: the second enters as a scalar subquery
-        j = pos.select(F.col("p90"), neg.select("p10").scalar().alias("p10"))
+    y = F.col("readmission_30j")
+    # one ranking for both classes; a null group is a group like any other
+    per = exact_percentiles(df.where(y.isin(0, 1)), score, [0.1, 0.9], [*group_by, "readmission_30j"])
+    ends = [F.max(F.when(y == 1, F.col("p90"))).alias("p90"), F.max(F.when(y == 0, F.col("p10"))).alias("p10")]
+    j = per.groupBy(*group_by).agg(*ends) if group_by else per.agg(*ends)
     sep = F.col("p90") - F.col("p10")
     return j.select(*group_by, "p90", "p10", sep.alias("ks_approx"), C.number_label(sep, 3).alias("ks_approx_label"))
 

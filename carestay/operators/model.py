@@ -31,10 +31,9 @@ PROB = "score_risque_modele"
 
 # ------------------------------------------------------------------ K1 split and folds
 
-def hash_order(key: str, seed: int) -> tuple[Column, Column]:
-    """(md5 hex of key-seed, its leading 60 bits as a number): a deterministic row order."""
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit("-"), F.lit(str(seed))))
-    return h, F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
+def hash_order(key: str, seed: int) -> Column:
+    """md5 hex of key-seed: a deterministic row order."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit("-"), F.lit(str(seed))))
 
 
 def stratified_split(df: DataFrame, label: str = S.TARGET, key: str = S.KEY, test: float = 0.2,
@@ -45,15 +44,14 @@ def stratified_split(df: DataFrame, label: str = S.TARGET, key: str = S.KEY, tes
     form the test set, the remaining rows are dealt into ``folds`` folds by rank. Ranks
     come from bucketed running counts, so no class is sorted in one task.
     """
-    h, hnum = hash_order(key, seed)
-    g = df.withColumn("_h", h).withColumn("_hn", hnum).withColumn("_one", F.lit(1))
+    g = df.withColumn("_h", hash_order(key, seed)).withColumn("_one", F.lit(1))
     # rows come straight from a stored table: each branch re-reads two columns
-    r = running_totals(g, "_hn", ["_h", key], ["_one"], [label], buckets, materialize_input=False)
+    r = running_totals(g, ["_h", key], ["_one"], [label], buckets, materialize_input=False)
     n_test = F.floor(F.col("tot__one") * F.lit(test) + 0.5)
     rank = F.col("cum__one")
     out = r.select("*", F.when(rank <= n_test, "test").otherwise("train").alias("split"),
                    F.when(rank > n_test, ((rank - n_test - 1) % folds).cast("int")).alias("fold"))
-    return out.drop("_h", "_hn", "_one", "cum__one", "tot__one")
+    return out.drop("_h", "_one", "cum__one", "tot__one")
 
 
 # ------------------------------------------------------------------ K2-K4 fit
@@ -151,11 +149,11 @@ def exact_auc(df: DataFrame, score: str = PROB, label: str = S.TARGET, group_by:
     """Tie-aware AUC = P(score of a positive > score of a negative) + ½·P(tie)."""
     g = score_label_counts(df, score, label, group_by) if weights is None else df
     n0, n1 = weights or ("n0", "n1")
-    r = running_totals(g, score, [score], [n0, n1], group_by, buckets)
+    r = running_totals(g, [score], [n0, n1], group_by, buckets)
     below0 = F.col(f"cum_{n0}") - F.col(n0)
-    agg = [F.sum(F.col(n1) * (below0 + 0.5 * F.col(n0))).alias("_u"), F.sum(n0).alias("_n0"), F.sum(n1).alias("_n1")]
+    agg = [F.sum(F.col(n1).cast("double") * (below0 + 0.5 * F.col(n0))).alias("_u"), F.sum(n0).alias("_n0"), F.sum(n1).alias("_n1")]
     per = r.groupBy(*group_by).agg(*agg) if group_by else r.agg(*agg)
-    auc = F.when((F.col("_n0") > 0) & (F.col("_n1") > 0), F.col("_u") / (F.col("_n0") * F.col("_n1")))
+    auc = F.when((F.col("_n0") > 0) & (F.col("_n1") > 0), F.col("_u") / (F.col("_n0").cast("double") * F.col("_n1")))
     return per.select(*group_by, auc.alias("auc"), F.col("_n0").cast("double").alias("n0"),
                       F.col("_n1").cast("double").alias("n1"))
 
@@ -163,7 +161,7 @@ def exact_auc(df: DataFrame, score: str = PROB, label: str = S.TARGET, group_by:
 def roc_points(df: DataFrame, score: str = PROB, label: str = S.TARGET, buckets: int | None = None) -> DataFrame:
     """One point per distinct score t: rates of scores ≥ t (no intermediate points dropped)."""
     g = score_label_counts(df, score, label)
-    r = running_totals(g, score, [score], ["n0", "n1"], (), buckets)
+    r = running_totals(g, [score], ["n0", "n1"], (), buckets)
     tp = F.col("tot_n1") - F.col("cum_n1") + F.col("n1")
     fp = F.col("tot_n0") - F.col("cum_n0") + F.col("n0")
     return r.select(F.col(score).alias("threshold"), F.try_divide(fp, F.col("tot_n0")).alias("fpr"),
@@ -243,14 +241,18 @@ def cross_validate(train: DataFrame, folds: int = 5, c: float = 1.0, max_iter: i
 
 # ------------------------------------------------------------------ K10 bootstrap
 
-def _poisson1(u: Column, kmax: int = 12) -> Column:
-    """Poisson(1) draw from a uniform u by the inverse CDF (cumulative e^-1 Σ 1/i!)."""
-    cdf, term, out = 0.0, math.exp(-1.0), None
-    for k in range(kmax):
-        cdf += term
-        term /= (k + 1)
+def _poisson1(u: Column) -> Column:
+    """Poisson(1) draw from a uniform u of 53 bits by the inverse CDF (cumulative e^-1 Σ 1/i!).
+
+    The steps go on until the CDF leaves no 53-bit uniform above it, so the distribution is not cut short.
+    """
+    cdf, term, out, k = math.exp(-1.0), math.exp(-1.0), None, 0
+    while out is None or cdf <= 1.0 - 2.0 ** -53 and term > 2.0 ** -56:
         out = F.when(u < cdf, F.lit(k)) if out is None else out.when(u < cdf, F.lit(k))
-    return out.otherwise(F.lit(kmax))
+        k += 1
+        term /= k
+        cdf += term
+    return out.otherwise(F.lit(k))
 
 
 def bootstrap_ci(df: DataFrame, key: str = S.KEY, score: str = PROB, pred: str = "prediction",

@@ -17,16 +17,18 @@ def row_level_filter(df: DataFrame, users: DataFrame, user_name: str, role: str,
                      score_col: str = "score_risque_modele") -> DataFrame:
     """Rows visible to ``user_name`` acting as ``role``.
 
-    Department roles keep the rows of the user's services through a left-semi join with
-    the user's mapping rows (a handful of rows, broadcast after a size check).
+    Whatever the role, a user who is not mapped to it sees nothing. Department roles keep the rows of
+    the user's services through a left-semi join with the user's mapping rows (a handful of rows,
+    broadcast after a size check).
     """
+    mine = users.where((F.col("user_name") == user_name) & (F.col("role") == role))
+    mapped = mine.agg(F.count(F.lit(1))).scalar() > 0
     if role in ALL_ROWS_ROLES:
-        return df
+        return df.where(mapped)
     if role in ANALYST_ROLES:
-        return df.where(F.col(score_col) >= ANALYST_MIN_SCORE)
+        return df.where((F.col(score_col) >= ANALYST_MIN_SCORE) & mapped)
     if role in SERVICE_ROLES:
-        mine = users.where((F.col("user_name") == user_name) & (F.col("role") == role)).select("service")
-        return df.join(broadcast_if_small(mine), "service", "left_semi")
+        return df.join(broadcast_if_small(mine.select("service")), "service", "left_semi")
     raise ValueError(f"unknown role {role!r}")
 
 

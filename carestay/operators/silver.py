@@ -32,7 +32,9 @@ def quality_predicate():
 
 
 def _project_clean(df: DataFrame, strict: bool) -> DataFrame:
+    # one spelling of an id, with hyphens, as a UUID cast gives
     pid = F.lower(F.col("patient_id"))
+    pid = F.when(F.length(pid) == 32, F.regexp_replace(pid, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")).otherwise(pid)
     if strict:
         # an id that is not a UUID fails the job, as a UUID cast would
         pid = F.when(C.is_uuid(F.col("patient_id")), pid).otherwise(
@@ -99,9 +101,9 @@ def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def dedup_latest(df: DataFrame, key: str = "patient_id", ts: str = "ingestion_timestamp") -> DataFrame:
     """Keep one row per key: the latest ``ts`` (ties broken by the remaining columns).
 
-    A ``max`` over a struct led by ``ts`` is a partially aggregated hash aggregate, so a
-    key that holds a large share of rows is reduced map-side instead of landing whole in
-    one task (as a ``row_number`` window would).
+    A ``max`` over a struct led by ``ts`` is aggregated partially (by sorting within the task, as its
+    buffer has no fixed width), so a key that holds a large share of rows is reduced map-side instead
+    of landing whole in one task (as a ``row_number`` window would).
     """
     others = [c for c in df.columns if c not in (key, ts)]
     best = F.max(F.struct(F.col(ts).alias(ts), *[F.col(c) for c in others])).alias("_best")
@@ -178,8 +180,10 @@ def _diag_columns():
 
 
 def attach_icd10(clean: DataFrame, reference: DataFrame | None = None) -> DataFrame:
+    # the built-in table is fixed; a caller's table is broadcast only after a size check
+    hint = broadcast_if_small if reference is not None else fixed_broadcast
     ref = reference if reference is not None else icd10_reference(clean.sparkSession)
-    ref = fixed_broadcast(ref.withColumnRenamed("code_cim10", "_code"))
+    ref = hint(ref.withColumnRenamed("code_cim10", "_code"))
     return clean.join(ref, clean.diagnostic_principal == ref._code, "left").drop("_code")
 
 

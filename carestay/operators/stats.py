@@ -134,8 +134,10 @@ def chi_square_stat(df: DataFrame, cols: Sequence[str] = S.SCREEN_CATEGORICAL, t
 def chi_square(df: DataFrame, cols: Sequence[str] = S.SCREEN_CATEGORICAL, target: str = S.TARGET) -> DataFrame:
     s = chi_square_stat(df, cols, target)
     p = chi2_sf(F.col("_chi2_raw"), F.col("dof"))
-    return s.select("feature", "chi2", p.alias("p_value"), "dof", "cramers_v",
-                    F.when(p < 0.001, "Yes").otherwise("No").alias("significant"))
+    out = s.select("feature", "chi2", p.alias("p_value"), "dof", "cramers_v",
+                   F.when(p < 0.001, "Yes").otherwise("No").alias("significant"))
+    # strongest association first; one row per feature
+    return out.orderBy(F.desc("cramers_v"), "feature")
 
 
 # ----------------------------------------------------------------- rank tables (J3, J4, K7)
@@ -151,11 +153,11 @@ def mann_whitney_u(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL, targ
                    buckets: int | None = None) -> DataFrame:
     """U of class 0 against class 1, tie-corrected z, effect U/(n0·n1), class means."""
     vc = value_class_counts(df, cols, target)
-    r = running_totals(vc, "value", ["value"], ["n0", "n1"], ["feature"], buckets)
+    r = running_totals(vc, ["value"], ["n0", "n1"], ["feature"], buckets)
     below1 = F.col("cum_n1") - F.col("n1")
     t = F.col("n0") + F.col("n1")
     per = r.groupBy("feature").agg(
-        F.sum(F.col("n0") * (below1 + 0.5 * F.col("n1"))).alias("u"),
+        F.sum(F.col("n0").cast("double") * (below1 + 0.5 * F.col("n1"))).alias("u"),
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
         F.sum(t.cast("double") * t * t - t).alias("ties"),
         F.try_divide(F.sum(F.col("value") * F.col("n0")), F.sum("n0")).alias("mean0"),
@@ -177,7 +179,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL, target
     return m.select("feature", F.bround("u_statistic", 0).alias("U_statistic"), C.rnd(p, 8).alias("p_value"),
                     C.rnd("effect_r", 4).alias("effect_r"), C.rnd("mean0", 3).alias("mean_readmit0"),
                     C.rnd("mean1", 3).alias("mean_readmit1"),
-                    F.when(p < 0.001, "Yes").otherwise("No").alias("significant"))
+                    F.when(p < 0.001, "Yes").otherwise("No").alias("significant")).orderBy("p_value", "feature")
 
 
 def kruskal_h(df: DataFrame, value: str = "age", group: str = "pathologie", buckets: int | None = None) -> DataFrame:
@@ -186,7 +188,7 @@ def kruskal_h(df: DataFrame, value: str = "age", group: str = "pathologie", buck
         F.col(value).cast("double").alias("v"), F.col(group).alias("g"))
     vg = base.groupBy("v", "g").agg(F.count(F.lit(1)).alias("n"))
     vv = vg.groupBy("v").agg(F.sum("n").alias("t"))
-    r = running_totals(vv, "v", ["v"], ["t"], (), buckets)
+    r = running_totals(vv, ["v"], ["t"], (), buckets)
     ranks = r.select("v", "t", (F.col("cum_t") - F.col("t") + (F.col("t") + 1) / 2.0).alias("rank"))
     j = vg.join(ranks, "v")
     per = j.groupBy("g").agg(F.sum(F.col("n") * F.col("rank")).alias("R"), F.sum("n").alias("nj"))
@@ -217,12 +219,30 @@ def vif(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL) -> DataFrame:
     r = np.eye(len(cols))
     for row in pairs:
         i, j = idx[row["col_a"]], idx[row["col_b"]]
-        r[i, j] = r[j, i] = row["corr"]
-    inv = np.linalg.pinv(r)
-    rows = [(c, float(round(inv[i, i], 2))) for c, i in idx.items()]
+        r[i, j] = r[j, i] = np.nan if row["corr"] is None else row["corr"]
+    rows = list(zip(cols, vif_of_correlations(r)))
     return df.sparkSession.createDataFrame(rows, "feature string, vif double").orderBy(F.desc("vif"))
 
 
+def vif_of_correlations(r: np.ndarray, tol: float = 1e-8) -> list[float | None]:
+    """1 / (1 - R²) of each column on the others; infinity for a column that they determine, None for a constant one.
+
+    A constant column has no correlation with anything; it is left out of the others' regressions.
+    """
+    k = len(r)
+    constant = [k > 1 and all(np.isnan(r[i, j]) for j in range(k) if j != i) for i in range(k)]
+    out: list[float | None] = []
+    for i in range(k):
+        others = [j for j in range(k) if j != i and not constant[j]]
+        if constant[i]:
+            out.append(None)
+            continue
+        beta = np.linalg.lstsq(r[np.ix_(others, others)], r[others, i], rcond=tol)[0] if others else np.zeros(0)
+        left = 1.0 - float(r[i, others] @ beta)
+        out.append(math.inf if left < tol else float(round(1.0 / min(left, 1.0), 2)))
+    return out
+
+
 def feature_screen(df: DataFrame) -> DataFrame:
     """All tests in one long table: test, feature, statistic, p_value."""
     n = normality_test(df).select(F.lit("normality").alias("test"), "feature", "statistic", "p_value")

@@ -8,6 +8,7 @@ explicitly; windows then run over that small calendar-sized table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,7 +46,12 @@ def period_shift_join(periods: DataFrame, months: int, group_by: Sequence[str] =
     """Each period with the counts of the period ``months`` earlier (0 when absent)."""
     prev = periods.select(*group_by, (F.col("month_index") + months).alias("month_index"),
                           F.col("sejours").alias("sejours" + suffix), F.col("readmissions").alias("readmissions" + suffix))
-    j = periods.join(prev, list(group_by) + ["month_index"], "left")
+    prev = prev.select(F.col("month_index").alias("_m"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_by)],
+                       "sejours" + suffix, "readmissions" + suffix)
+    # a null group is a group like any other
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_by)],
+                  F.col("month_index") == F.col("_m"))
+    j = periods.join(prev, same, "left").drop("_m", *[f"_g{i}" for i in range(len(group_by))])
     return (j.withColumn("sejours" + suffix, F.coalesce(F.col("sejours" + suffix), F.lit(0)))
             .withColumn("readmissions" + suffix, F.coalesce(F.col("readmissions" + suffix), F.lit(0))))
 
@@ -99,4 +105,5 @@ def rolling_as_of(df: DataFrame, as_of: str | None = None, days: int = 30,
     d = F.col(date_col)
     end = F.lit(as_of).cast("date") if as_of else df.agg(F.max(date_col)).scalar()
     start = F.date_sub(end, days - 1)
-    return df.agg(F.count_if((d >= start) & (d <= end) & (F.col("readmission_30j") == 1)).alias(f"readmissions_{days}j"))
+    # the date range is a filter, so it can prune the scan
+    return df.where((d >= start) & (d <= end)).agg(F.count_if((F.col("readmission_30j") == 1)).alias(f"readmissions_{days}j"))

@@ -60,6 +60,6 @@ def ensure_parallelism(df: DataFrame, target: int | None = None) -> DataFrame:
     try:
         n = target or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access keep the plan as is
+    except (AttributeError, NotImplementedError):  # sessions without RDD access keep the plan as is
         return df
     return df.repartition(n) if have < n else df

@@ -9,9 +9,10 @@ executor loss never forces a recomputation from the raw tables.
 from __future__ import annotations
 
 import hashlib
-import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carestay.operators import gold, silver
 from carestay.session import ensure_checkpoint_dir
@@ -22,20 +23,18 @@ _BUILT: dict[tuple[str, str], str] = {}
 GOLD_EXTRA = ["sexe"]
 
 
-def _fingerprint(sf_dir: str) -> str:
-    parts = [os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the source tables' files, wherever they are stored."""
+    parts = [sf_dir]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for t in SOURCE_TABLES:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        try:
-            st = os.stat(p)
-            parts.append(f"{t}:{st.st_size}:{st.st_mtime_ns}")
-        except OSError:
-            parts.append(t)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        parts += [f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in path.getFileSystem(conf).listStatus(path)]
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def _layer_path(spark: SparkSession, sf_dir: str, layer: str, table: str) -> tuple[tuple, str]:
-    key = (spark.sparkContext.applicationId, _fingerprint(sf_dir), layer)
+    key = (spark.sparkContext.applicationId, _fingerprint(spark, sf_dir), layer)
     root = ensure_checkpoint_dir(spark)
     return key, f"{root.rstrip('/')}/{layer}/{key[0]}/{key[1]}/{table}"
 
@@ -71,9 +70,15 @@ def gold_features(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
 
 
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str, fit_model: bool = True) -> dict:
+    """``run_stays`` on the stays that the given tables are projected into."""
+    return run_stays(spark, lambda: stays_raw(spark, sf_dir), out_dir, fit_model)
+
+
+def run_stays(spark: SparkSession, read: Callable[[], DataFrame], out_dir: str, fit_model: bool = True,
+              batch_id: str = "run") -> dict:
     """The whole flow in one call, writing every table the source produces:
 
-    bronze (typed stays) → silver (views) → gold ``mart_patient_features`` and
+    ``read()`` (raw stays, e.g. ``io.read_stays``) → bronze (typed stays) → silver (views) → gold ``mart_patient_features`` and
     ``mart_readmission_kpis`` → quality report → risk model scores (CSV) and run log.
     Returns the written paths. Every write is a distributed, task-atomic job.
     """
@@ -85,28 +90,30 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str, fit_model: bool = Tr
     out = out_dir.rstrip("/")
     paths = {"ingestion_logs": f"{out}/bronze/ingestion_logs"}
     try:
-        return _run_all(spark, sf_dir, out, fit_model, paths, t0)
+        return _run_stays(spark, read, out, fit_model, batch_id, paths, t0)
     except Exception as e:
         # as the source does: a failed run leaves one FAILURE row (0 rows) in the run log
         IO.append_log(IO.failure_log(spark, str(e), _time.time() - t0), paths["ingestion_logs"])
         raise
 
 
-def _run_all(spark: SparkSession, sf_dir: str, out: str, fit_model: bool, paths: dict, t0: float) -> dict:
+def _run_stays(spark: SparkSession, read: Callable[[], DataFrame], out: str, fit_model: bool, batch_id: str, paths: dict, t0: float) -> dict:
     import time as _time
 
     from carestay.operators import model as MD
     from carestay.operators import quality as QC
     from carestay.sources import io as IO
 
-    raw = bronze(spark, sf_dir)
+    paths["patients_raw"] = f"{out}/bronze/patients_raw"
+    IO.append_bronze(read(), paths["patients_raw"], batch_id)
+    raw = spark.read.parquet(paths["patients_raw"]).where(F.col("batch_id") == batch_id).drop("ingestion_date", "batch_id")
     clean = silver.clean_stays(raw)
     IO.register_silver(clean, "stg_patients")
     IO.register_silver(silver.stay_metrics(clean), "stg_sejours")
     IO.register_silver(silver.enrich_diagnostics(clean), "stg_diagnostics")
-    feats = gold_features(spark, sf_dir)
     paths["mart_patient_features"] = f"{out}/gold/mart_patient_features"
-    IO.write_gold(feats, paths["mart_patient_features"])
+    IO.write_gold(gold.with_features(clean), paths["mart_patient_features"])
+    feats = spark.read.parquet(paths["mart_patient_features"])
     paths["mart_readmission_kpis"] = f"{out}/gold/mart_readmission_kpis"
     IO.write_gold(gold.kpi_mart(feats, ordered=False), paths["mart_readmission_kpis"])
     wide = silver.silver_wide(clean)
@@ -121,5 +128,5 @@ def _run_all(spark: SparkSession, sf_dir: str, out: str, fit_model: bool, paths:
         model = MD.fit_logistic(split.where("split = 'train'"))
         paths["scores"] = f"{out}/scores_risque_patients"
         IO.export_scores(MD.score_export(MD.score(feats, model)), paths["scores"])
-    IO.append_log(IO.ingestion_log(raw, "SUCCESS", "run_all", _time.time() - t0), paths["ingestion_logs"])
+    IO.append_log(IO.ingestion_log(raw, "SUCCESS", f"batch {batch_id}", _time.time() - t0), paths["ingestion_logs"])
     return paths

@@ -1,7 +1,7 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
 Each oracle starts from the same fixture CTEs as the Spark side, then restates the
-operator in plain SQL. Rounding uses the shared rule: ``round(cast(x as decimal(18,8)), k)``
+operator in plain SQL. Rounding uses the shared rule: ``round(cast(x as decimal(38,8)), k)``
 cast back to double.
 """
 
@@ -12,7 +12,7 @@ from carestay.sources.reference import icd10_values_sql
 
 
 def R(x: str, k: int) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(18,8)), {k}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,8)), {k}) AS DOUBLE)"
 
 
 def INITCAP(x: str) -> str:
@@ -202,7 +202,7 @@ def measure_exprs() -> dict[str, tuple[str, bool]]:
         "total_sejours": ("n", False),
         "total_readmissions": ("n_readm", False),
         "taux_readmission": (rate, True),
-        "taux_readmission_label": (f"printf('%.1f%%', ROUND(CAST({rate} * 100 AS DECIMAL(18,8)), 1))", False),
+        "taux_readmission_label": (f"printf('%.1f%%', ROUND(CAST({rate} * 100 AS DECIMAL(38,8)), 1))", False),
         "duree_moyenne_sejour": ("COALESCE(avg_los, 0.0)", True),
         "age_moyen": ("COALESCE(avg_age, 0.0)", True),
         "medicaments_moyen": ("COALESCE(avg_meds, 0.0)", True),

@@ -65,7 +65,7 @@ SELECT readmission_30j, bin, count(*) AS n, {O.R(f'any_value(lo) + bin * (any_va
 FROM hb GROUP BY readmission_30j, bin""")
 
 
-for _hc in ["duree_sejour", "ratio_meds_duree"]:
+for _hc in ["age", "nb_hospitalisations_precedentes", "nb_medicaments", "duree_sejour", "indice_complexite", "ratio_meds_duree"]:
     def _mkh(col):
         def q(spark, sf):
             h = X.histogram_by_class(features(spark, sf), col)

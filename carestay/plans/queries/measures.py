@@ -11,7 +11,7 @@ from carestay.operators import measures as M
 from carestay.plans import oracle_sql as O
 from carestay.plans.registry import register
 from carestay.sources.reference import LABELS_FR_EN, label_dictionary
-from carestay.plans.queries.common import features, measure_base, round_doubles
+from carestay.plans.queries.common import clean, features, measure_base, round_doubles
 
 
 _MEASURE_QUERIES = {
@@ -38,6 +38,17 @@ def q_scorecard(spark, sf):
     return measure_base(spark, sf).select("patient_id", "score_risque_modele")
 
 
+_ATTACHED = [n for n in M.MEASURE_GROUPS["risk"] if n.startswith(("score", "patients"))] + M.MEASURE_GROUPS["confusion"]
+
+
+@register("measures_attached_scores", O.measures_sql("service", _ATTACHED))
+def q_measures_attached_scores(spark, sf):
+    """The measures on a score table attached by stay key, as an exported score file is."""
+    f = features(spark, sf)
+    scores = measure_base(spark, sf).select("patient_id", "score_risque_modele")
+    return round_doubles(M.measures(M.stay_measures_base(f, scores, clean(spark, sf)), ["service"], _ATTACHED))
+
+
 _TIERS_LEFT = """CASE WHEN {s} >= 0.70 THEN 'Eleve' WHEN {s} >= 0.40 THEN 'Modere' WHEN {s} >= 0.20 THEN 'Faible' ELSE 'Tres faible' END"""
 _TIERS_RIGHT = """CASE WHEN {s} > 0 AND {s} <= 0.20 THEN 'Tres faible' WHEN {s} > 0.20 AND {s} <= 0.40 THEN 'Faible'
   WHEN {s} > 0.40 AND {s} <= 0.70 THEN 'Modere' WHEN {s} > 0.70 AND {s} <= 1.0 THEN 'Eleve' END"""
@@ -98,7 +109,7 @@ def q_services_above(spark, sf):
 q AS (SELECT quantile_cont(score_risque_modele, 0.9) FILTER (WHERE readmission_30j = 1) AS p90,
   quantile_cont(score_risque_modele, 0.1) FILTER (WHERE readmission_30j = 0) AS p10 FROM mb)"""], f"""
 SELECT {O.R('p90', 6)} AS p90, {O.R('p10', 6)} AS p10, {O.R('p90 - p10', 6)} AS ks_approx,
-  printf('%.3f', ROUND(CAST(p90 - p10 AS DECIMAL(18,8)), 3)) AS ks_approx_label FROM q"""))
+  printf('%.3f', ROUND(CAST(p90 - p10 AS DECIMAL(38,8)), 3)) AS ks_approx_label FROM q"""))
 def q_ks_approx(spark, sf):
     return round_doubles(M.ks_approx(measure_base(spark, sf)))
 

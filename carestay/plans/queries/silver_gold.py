@@ -104,7 +104,7 @@ def q_kpi_mart(spark, sf):
     return gold.kpi_mart(features(spark, sf))
 
 @register("ingestion_log", O.with_ctes([], """
-SELECT CAST(count(*) AS INTEGER) AS nb_lignes, CAST(ROUND(CAST(avg(CAST(readmission_30j AS DOUBLE)) AS DECIMAL(18,8)), 4) AS DOUBLE) AS taux_readmission,
+SELECT CAST(count(*) AS BIGINT) AS nb_lignes, CAST(ROUND(CAST(avg(CAST(readmission_30j AS DOUBLE)) AS DECIMAL(18,8)), 4) AS DOUBLE) AS taux_readmission,
   'SUCCESS' AS statut FROM stays_raw"""))
 def q_ingestion_log(spark, sf):
     from carestay.sources.io import ingestion_log

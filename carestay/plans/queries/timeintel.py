@@ -16,8 +16,8 @@ MONTHLY_SQL = """monthly AS (
 
 
 def _trend_sql(d: str) -> str:
-    a = f"printf('%.1f', CAST(ROUND(CAST(abs({d}) AS DECIMAL(18,8)), 1) AS DOUBLE))"
-    sgn = f"printf('%+.1f', CAST(ROUND(CAST({d} AS DECIMAL(18,8)), 1) AS DOUBLE))"
+    a = f"printf('%.1f', CAST(ROUND(CAST(abs({d}) AS DECIMAL(38,8)), 1) AS DOUBLE))"
+    sgn = f"printf('%+.1f', CAST(ROUND(CAST({d} AS DECIMAL(38,8)), 1) AS DOUBLE))"
     return (f"CASE WHEN {d} IS NULL THEN 'N/A' WHEN {d} > 0.5 THEN 'up +' || {a} || 'pp' "
             f"WHEN {d} < -0.5 THEN 'down ' || {a} || 'pp' ELSE 'stable ' || {sgn} || 'pp' END")
 

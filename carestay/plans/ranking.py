@@ -4,11 +4,12 @@ Ranks, exact percentiles, Mann-Whitney / AUC, ROC points and exact stratified sp
 need cumulative counts along one ordering. A window ``orderBy`` without ``partitionBy``
 would pull every row into one task, so instead:
 
-1. approximate quantiles of a numeric, order-preserving ``bucket_key`` cut the order
-   into ``buckets`` ranges per partition group (an array of ``buckets - 1`` bounds);
-2. per-bucket totals (groups × buckets rows, a bounded table) give exclusive offsets;
-3. a window partitioned by (group, bucket) adds the running sum inside each range.
+1. the rows are dealt into ranges of (group, order), and each row notes its range;
+2. sums per (group, range) give exclusive offsets: a group spans neighbouring ranges, so this
+   table has at most groups + ranges rows;
+3. a window partitioned by (group, range) adds the running sum inside each range.
 
+Work is linear in the rows, whatever the number of ranges. Null groups are groups like any other.
 Inputs are normally pre-aggregated to one row per distinct ordered value, so a value
 that holds a third of all rows is one row here and cannot skew a task.
 """
@@ -17,76 +18,55 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestay.plans.joins import materialize
 
+TARGET_ROWS_PER_RANGE = 2_000_000
 
-TARGET_ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 100_000
 
+def choose_ranges(largest_group_rows: int, rows: int, target: int = TARGET_ROWS_PER_RANGE) -> int:
+    """Ranges of about ``target`` rows each; one if no group needs more than one window task."""
+    return 1 if largest_group_rows <= target else math.ceil(rows / target)
 
-def choose_buckets(largest_group_rows: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
-    """Buckets per group so that no (group, bucket) window holds more than about ``target`` rows.
 
-    Sized from the LARGEST group: one group holding a third of all rows is split as finely as
-    it needs, whatever the other groups hold.
-    """
-    return int(min(MAX_BUCKETS, max(1, math.ceil(largest_group_rows / target))))
-
-
-def running_totals(g: DataFrame, bucket_key: Column | str, order_cols: Sequence[Column | str],
-                   sum_cols: Sequence[str], partition_cols: Sequence[str] = (), buckets: int | None = None,
-                   prefix: str = "cum_", materialize_input: bool = True) -> DataFrame:
+def running_totals(g: DataFrame, order_cols: Sequence[Column | str], sum_cols: Sequence[str], partition_cols: Sequence[str] = (),
+                   buckets: int | None = None, prefix: str = "cum_", materialize_input: bool = True) -> DataFrame:
     """Add inclusive running sums ``{prefix}{c}`` and group totals ``tot_{c}`` for ``sum_cols``.
 
-    ``bucket_key`` must be numeric and non-decreasing along ``order_cols``. With
-    ``buckets=None`` the bucket count follows the data: about 2M rows per window task.
+    With ``buckets=None`` the number of ranges follows the data: about 2M rows per window task.
     ``materialize_input=False`` skips the checkpoint when ``g`` is a cheap, deterministic
     read (a narrow projection of a stored table): re-reading two columns beats rewriting them.
     """
-    key = F.col(bucket_key) if isinstance(bucket_key, str) else bucket_key
     part = list(partition_cols)
-    # g feeds three branches (bounds, bucket totals, running sums): write it once to the
-    # reliable checkpoint folder so the upstream plan is not recomputed per branch
-    g = g.withColumn("_bk", key.cast("double"))
+    # g feeds several branches: write it once to the reliable checkpoint folder
     if materialize_input:
         g = materialize(g)
     if buckets is None:
         sizes = g.groupBy(*part).agg(F.count(F.lit(1)).alias("n")) if part else g.agg(F.count(F.lit(1)).alias("n"))
-        buckets = choose_buckets(sizes.agg(F.max("n")).first()[0] or 0)
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        # rank error of the bounds ~ 1/accuracy: keep it well under one bucket
-        bounds_agg = F.percentile_approx("_bk", probs, max(10_000, 20 * buckets)).alias("_bounds")
-        if part:
-            # one row per partition group: bounded by the number of groups
-            bounds = g.groupBy(*part).agg(bounds_agg)
-            g = g.join(F.broadcast(bounds), part, "left")
-        else:
-            # a single array of buckets - 1 values, as a scalar subquery
-            g = g.withColumn("_bounds", g.agg(bounds_agg).scalar())
-        g = g.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("_bk")))).drop("_bounds")
-    else:
-        # one bucket per group: the group is small enough (≤ TARGET_ROWS_PER_BUCKET rows) for one
-        # window task, so the running sums need no bucket offsets and no join
+        most, rows = sizes.agg(F.max("n"), F.sum("n")).first()
+        buckets = choose_ranges(most or 0, rows or 0)
+    if buckets <= 1:
+        # no group needs more than one window task: no offsets and no join
         w_cum = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
         w_tot = Window.partitionBy(*part)
         return g.select("*", *[F.sum(c).over(w_cum).alias(f"{prefix}{c}") for c in sum_cols],
-                        *[F.sum(c).over(w_tot).alias(f"tot_{c}") for c in sum_cols]).drop("_bk")
-
-    tots = g.groupBy(*part, "_bucket").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
-    # windows over the (groups × buckets) totals table, never over the input rows
-    wb = Window.partitionBy(*part).orderBy("_bucket")
-    tots = tots.select(
-        *part, "_bucket",
-        *[F.coalesce(F.sum(f"_bt_{c}").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-          .alias(f"_off_{c}") for c in sum_cols],
-        *[F.sum(f"_bt_{c}").over(Window.partitionBy(*part)).alias(f"tot_{c}") for c in sum_cols])
-    # groups × buckets rows: bounded by parameters, safe to broadcast
-    g = g.join(F.broadcast(tots), part + ["_bucket"], "inner")
-    wi = Window.partitionBy(*part, "_bucket").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    out = g.select("*", *[(F.col(f"_off_{c}") + F.sum(c).over(wi)).alias(f"{prefix}{c}") for c in sum_cols])
-    return out.drop("_bk", "_bucket", *[f"_off_{c}" for c in sum_cols])
+                        *[F.sum(c).over(w_tot).alias(f"tot_{c}") for c in sum_cols])
+
+    # the range number is stored with the row, so every branch sees the same ranges
+    dealt = materialize(g.repartitionByRange(buckets, *[F.col(c) for c in part], *[F.col(c) if isinstance(c, str) else c for c in order_cols])
+                        .withColumn("_range", F.spark_partition_id()))
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(part)]
+    names = [f"_k{i}" for i in range(len(part))]
+    tots = dealt.groupBy(*keys, F.col("_range").alias("_r")).agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
+    # windows over the table of sums (at most groups + ranges rows), never over the input rows
+    before = Window.partitionBy(*names).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    tots = tots.select(*names, "_r", *[F.coalesce(F.sum(f"_bt_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+                       *[F.sum(f"_bt_{c}").over(Window.partitionBy(*names)).alias(f"tot_{c}") for c in sum_cols])
+    same = reduce(lambda a, b: a & b, [dealt[c].eqNullSafe(tots[k]) for c, k in zip(part, names)], dealt["_range"] == tots["_r"])
+    within = Window.partitionBy(*part, "_range").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    out = dealt.join(tots, same).select("*", *[(F.col(f"_off_{c}") + F.sum(c).over(within)).alias(f"{prefix}{c}") for c in sum_cols])
+    return out.drop("_range", "_r", *names, *[f"_off_{c}" for c in sum_cols])

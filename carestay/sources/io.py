@@ -15,23 +15,25 @@ def read_stays_csv(spark: SparkSession, path: str) -> DataFrame:
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").option("mode", "FAILFAST").csv(path))
 
 
-def append_bronze(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write typed bronze partitioned by ingestion date.
+def append_bronze(df: DataFrame, path: str, batch_id: str) -> None:
+    """Write typed bronze partitioned by ingestion date and batch.
 
-    With ``overwrite`` only the partitions present in ``df`` are replaced (dynamic
-    partition overwrite), so re-running a batch is idempotent instead of appending twice.
-    Each task writes its own files; a failed task is retried without partial commits.
+    Only the partitions of this batch are replaced (dynamic partition overwrite): re-running a
+    batch is idempotent, and another batch of the same day is left alone.
+    Each task writes its own files; a failed task is retried without partial commits. Rows are
+    clustered by day first, so a task does not write a file for every day.
     """
-    out = enforce_bronze_schema(df).withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy("ingestion_date").parquet(path))
+    out = (enforce_bronze_schema(df).withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
+           .withColumn("batch_id", F.lit(str(batch_id))))
+    (out.hint("rebalance", "ingestion_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("ingestion_date", "batch_id").parquet(path))
 
 
 def ingestion_log(df: DataFrame, status: str = "SUCCESS", message: str = "", seconds: float = 0.0) -> DataFrame:
     """One-row run log: row count, mean target (4 digits), duration (2 digits), status, message."""
     return df.agg(
         F.localtimestamp().alias("run_timestamp"),
-        F.count(F.lit(1)).cast("int").alias("nb_lignes"),
+        F.count(F.lit(1)).cast("bigint").alias("nb_lignes"),
         F.round(F.avg(F.col(S.TARGET).cast("double")).cast("decimal(18,8)"), 4).cast("decimal(5,4)").alias("taux_readmission"),
         F.lit(round(seconds, 2)).cast("decimal(8,2)").alias("duree_secondes"),
         F.lit(status).alias("statut"), F.lit(message).alias("message"))
@@ -40,10 +42,10 @@ def ingestion_log(df: DataFrame, status: str = "SUCCESS", message: str = "", sec
 def failure_log(spark: SparkSession, message: str, seconds: float = 0.0) -> DataFrame:
     """The run-log row of a failed run: 0 rows, rate 0, the error message."""
     return spark.range(1).select(
-        F.localtimestamp().alias("run_timestamp"), F.lit(0).cast("int").alias("nb_lignes"),
+        F.localtimestamp().alias("run_timestamp"), F.lit(0).cast("bigint").alias("nb_lignes"),
         F.lit(0).cast("decimal(5,4)").alias("taux_readmission"),
         F.lit(round(seconds, 2)).cast("decimal(8,2)").alias("duree_secondes"),
-        F.lit("FAILURE").alias("statut"), F.lit(message[:2000]).alias("message"))
+        F.lit("FAILURE").alias("statut"), F.lit(message).alias("message"))
 
 
 def append_log(log: DataFrame, path: str) -> None:
@@ -63,6 +65,20 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """The score table that ``export_scores`` wrote (a fixed schema, no inference)."""
+    schema = ("patient_id string, pathologie string, service string, age int, tranche_age string, score_risque_modele double, "
+              "categorie_risque string, readmission_30j int")
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
+def read_stays(spark: SparkSession, path: str) -> DataFrame:
+    """Raw stays from a CSV file or folder (``.csv``), or from Parquet."""
+    if path.rstrip("/").lower().endswith(".csv"):
+        return read_stays_csv(spark, path)
+    return enforce_bronze_schema(spark.read.parquet(path))
+
+
 def export_scores(scored: DataFrame, path: str) -> None:
     """Score table as CSV with a header (one file per task; no BOM)."""
     from carestay.operators.model import EXPORT_COLUMNS

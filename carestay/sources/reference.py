@@ -114,8 +114,32 @@ LABELS_FR_EN = [
 ]
 
 
+# French → English labels of the dashboards' axes and cards.
+DASHBOARD_LABELS_FR_EN = [
+    ("Réhospitalisation", "Readmission"),
+    ("Séjour", "Hospital stay"),
+    ("Pathologie", "Pathology / Medical condition"),
+    ("Service", "Hospital department / Ward"),
+    ("Date d'admission", "Admission date"),
+    ("Mode de sortie", "Discharge mode"),
+    ("Taux de réhospitalisation", "Readmission rate"),
+    ("Durée moyenne de séjour", "Average length of stay"),
+    ("Score de risque", "Risk score"),
+    ("Indice de complexité", "Complexity index"),
+    ("Hospitalisations précédentes", "Prior hospitalizations"),
+    ("Médicaments", "Medications"),
+    ("Groupe clinique", "Clinical group"),
+    ("Catégorie de risque", "Risk category"),
+    ("Saison d'admission", "Admission season"),
+    ("Patients alerte critique", "Critical alert patients"),
+    ("Taux sortie complexe", "Complex discharge rate"),
+    ("Patients modérés", "Moderate risk patients"),
+    ("Âge moyen", "Average age"),
+]
+
+
 def label_dictionary(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows or LABELS_FR_EN, "label_fr string, label_en string")
+    return spark.createDataFrame(rows or LABELS_FR_EN + DASHBOARD_LABELS_FR_EN, "label_fr string, label_en string")
 
 
 def users_by_service(stays: DataFrame, service_col: str = "service") -> DataFrame:

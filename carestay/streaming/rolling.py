@@ -9,7 +9,7 @@ the allowed lateness have passed, and its state is dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestay.operators.silver import clean_stays
@@ -29,7 +29,23 @@ def rolling_readmissions_stream(raw_stream: DataFrame, days: int = 30, lateness_
 
 def start_rolling(raw_stream: DataFrame, sink_path: str, checkpoint: str, days: int = 30,
                   available_now: bool = True):
-    """Write final windows (append mode) to Parquet; the checkpoint makes the sink exactly-once."""
-    q = (rolling_readmissions_stream(raw_stream, days).writeStream.outputMode("append").format("parquet")
-         .option("path", sink_path).option("checkpointLocation", checkpoint))
+    """Write every window that a micro-batch changes to that batch's own folder (update mode).
+
+    Windows that the watermark has not closed yet are there as well, with what has landed so far, so a
+    drained stream leaves nothing back. A replayed batch overwrites its own folder. ``read_rolling``
+    gives the latest state of each day.
+    """
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
+
+    q = (rolling_readmissions_stream(raw_stream, days).writeStream.outputMode("update").foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint))
     return (q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")).start()
+
+
+def read_rolling(spark: SparkSession, sink_path: str) -> DataFrame:
+    """One row per day: the state that the latest micro-batch left."""
+    rows = spark.read.parquet(sink_path)
+    values = [c for c in rows.columns if c not in ("date", "batch_id")]
+    best = rows.groupBy("date").agg(F.max(F.struct("batch_id", *values)).alias("_last"))
+    return best.select("date", *[f"_last.{c}" for c in values])

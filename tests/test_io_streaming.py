@@ -29,9 +29,12 @@ def test_csv_bronze_roundtrip_and_idempotent_overwrite(spark):
     assert back.count() == 50
     assert back.where(F.col("patient_id").startswith("00000000")).count() == 50
     bronze = os.path.join(d, "bronze")
-    IO.append_bronze(back, bronze)
-    IO.append_bronze(back, bronze)            # re-run of the same batch replaces its partitions
+    IO.append_bronze(back, bronze, "b1")
+    IO.append_bronze(back, bronze, "b1")      # a re-run of the batch replaces its partitions
     assert spark.read.parquet(bronze).count() == 50
+    IO.append_bronze(back.limit(2), bronze, "b2")  # another batch of the same day is added
+    assert spark.read.parquet(bronze).count() == 52
+    assert IO.failure_log(spark, "x" * 5000).first().message == "x" * 5000
     log = IO.ingestion_log(back, "SUCCESS", "test", 1.234).first()
     assert log.nb_lignes == 50 and log.statut == "SUCCESS" and float(log.duree_secondes) == 1.23
 
@@ -55,10 +58,20 @@ def test_stream_ingestion_exactly_once(spark):
     assert spark.read.parquet(bronze).count() == 500
 
 
-def test_run_all_writes_every_table(spark):
-    from carestay.plans.layers import run_all
+def test_run_from_a_csv_of_stays_writes_every_table(spark):
+    from carestay.operators import measures as M
+    from carestay.operators import silver
+    from carestay.plans.layers import run_stays
     out = tempfile.mkdtemp(prefix="carestay-run-")
-    paths = run_all(spark, SF_SMALL, out)
+    pdf = stays_raw(spark, SF_SMALL).toPandas()
+    pdf["ingestion_timestamp"] = pdf["ingestion_timestamp"].map(lambda t: t.isoformat())
+    _csv(pdf, os.path.join(out, "stays.csv"))
+    paths = run_stays(spark, lambda: IO.read_stays(spark, os.path.join(out, "stays.csv")), out, batch_id="b1")
+    assert spark.read.parquet(paths["patients_raw"]).count() == len(pdf)
+    feats, scored = spark.read.parquet(paths["mart_patient_features"]), IO.read_scores(spark, paths["scores"])
+    base = M.stay_measures_base(feats, scored, silver.clean_stays(spark.read.parquet(paths["patients_raw"])))
+    assert base.count() == feats.count() and base.where("score_risque_modele is null").count() == 0
+    assert M.measures(base, (), ["taux_sexe_m", "vrais_positifs"]).first().vrais_positifs > 0
     assert spark.read.parquet(paths["mart_patient_features"]).count() > 1000
     kpis = spark.read.parquet(paths["mart_readmission_kpis"])
     assert {r.dimension for r in kpis.select("dimension").distinct().collect()} == {"pathologie", "service", "region", "tranche_age", "mois"}
@@ -76,7 +89,7 @@ def test_replayed_micro_batch_is_idempotent(spark):
     d = tempfile.mkdtemp(prefix="carestay-replay-")
     batch = stays_raw(spark, SF_SMALL).limit(40)
     for _ in range(2):   # the same batch id written twice, as after a retry
-        append_bronze(batch, os.path.join(d, "bronze", "batch_id=7"), mode="overwrite")
+        append_bronze(batch, os.path.join(d, "bronze"), "7")
     back = spark.read.parquet(os.path.join(d, "bronze"))
     assert back.count() == 40 and back.select("batch_id").distinct().first()[0] == 7
 
@@ -108,3 +121,42 @@ def test_streaming_rolling_window_equals_batch(spark):
              for r in TI.rolling_readmissions(silver.clean_stays(raw)).collect() if r.sejours_30j > 0}
     assert got and all(got[k] == v for k, v in batch.items() if k in got)
     assert set(batch) <= set(got)
+
+
+def test_drained_rolling_stream_leaves_no_window_back(spark):
+    from carestay.operators import silver
+    from carestay.operators import timeintel as TI
+    from carestay.streaming.ingest import raw_stream
+    from carestay.streaming.rolling import read_rolling, start_rolling
+    d = tempfile.mkdtemp(prefix="carestay-rolling-")
+    os.makedirs(os.path.join(d, "in"))
+    raw = stays_raw(spark, SF_SMALL)
+    pdf = raw.toPandas().sort_values("date_admission")
+    pdf["ingestion_timestamp"] = pdf["ingestion_timestamp"].map(lambda t: t.isoformat())
+    pdf = pdf.iloc[:120]
+    _csv(pdf, os.path.join(d, "in", "a.csv"))
+    start_rolling(raw_stream(spark, os.path.join(d, "in")), os.path.join(d, "out"), os.path.join(d, "ckpt")).awaitTermination(200)
+    got = {r.date: (r.sejours_30j, r.readmissions_30j) for r in read_rolling(spark, os.path.join(d, "out")).collect()}
+    clean = silver.clean_stays(IO.read_stays_csv(spark, os.path.join(d, "in", "a.csv")))
+    want = {r.date: (r.sejours_30j, r.readmissions_30j) for r in TI.rolling_readmissions(clean).collect() if r.sejours_30j > 0}
+    assert want and all(got[k] == v for k, v in want.items())
+
+
+def test_malformed_line_fails_the_stream(spark):
+    d = tempfile.mkdtemp(prefix="carestay-bad-")
+    os.makedirs(os.path.join(d, "landing"))
+    pdf = stays_raw(spark, SF_SMALL).limit(5).toPandas()
+    pdf["ingestion_timestamp"] = pdf["ingestion_timestamp"].map(lambda t: t.isoformat())
+    _csv(pdf, os.path.join(d, "landing", "a.csv"))
+    path = os.path.join(d, "landing", "a.csv")
+    with open(path, encoding="utf-8-sig") as f:
+        lines = f.read().splitlines()
+    cells = lines[1].split(",")
+    cells[lines[0].split(",").index("age")] = "abc"
+    with open(path, "w", encoding="utf-8-sig") as f:
+        f.write("\n".join([lines[0], ",".join(cells), *lines[2:]]))
+    q = stream_bronze(spark, os.path.join(d, "landing"), os.path.join(d, "bronze"), os.path.join(d, "log"), os.path.join(d, "ckpt"))
+    import pytest
+    with pytest.raises(Exception, match="(?i)malformed"):
+        q.awaitTermination(120)
+    assert not os.path.exists(os.path.join(d, "log"))

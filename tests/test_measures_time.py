@@ -57,5 +57,8 @@ def test_row_level_filter(spark):
     assert SEC.row_level_filter(df, users, "u1", "Responsable_Service").count() == 1
     assert SEC.row_level_filter(df, users, "boss", "Direction_Hopital").count() == 2
     assert SEC.row_level_filter(df, users, "an", "Analyste_Risques").count() == 1
+    # passing a role that one is not mapped to shows nothing
+    assert SEC.row_level_filter(df, users, "u1", "Direction_Hopital").count() == 0
+    assert SEC.row_level_filter(df, users, "nobody", "Analyste_Risques").count() == 0
     vc = {r.user_name: r.sejours_visibles for r in SEC.visible_counts(df, users).collect()}
     assert vc == {"u1": 1, "boss": 2, "an": 1}

@@ -15,7 +15,7 @@ def test_running_totals_equal_brute_force(spark):
     rnd = random.Random(1)
     rows = [(g, float(rnd.randint(0, 300)), rnd.randint(1, 5)) for g in ("a", "b") for _ in range(400)]
     df = spark.createDataFrame(rows, "g string, v double, n int").groupBy("g", "v").agg(F.sum("n").alias("n"))
-    got = {(r.g, r.v): (r.cum_n, r.tot_n) for r in running_totals(df, "v", ["v"], ["n"], ["g"], 8).collect()}
+    got = {(r.g, r.v): (r.cum_n, r.tot_n) for r in running_totals(df, ["v"], ["n"], ["g"], 8).collect()}
     for g in ("a", "b"):
         agg = {}
         for gg, v, n in rows:
@@ -109,7 +109,7 @@ def test_many_buckets_give_the_same_ranks(spark, monkeypatch):
             M.exact_percentiles(f, "ratio_meds_duree", [0.1, 0.5, 0.9]).first())
 
     one = run()
-    monkeypatch.setattr(ranking, "TARGET_ROWS_PER_BUCKET", 40)   # ~30 buckets per class
+    monkeypatch.setattr(ranking, "choose_ranges", lambda largest, rows: max(1, rows // 40))
     many = run()
     assert one == many
 
@@ -131,8 +131,64 @@ def test_normality_needs_eight_values(spark):
     assert r.statistic is None
 
 
-def test_bucket_count_follows_the_largest_group():
-    from carestay.plans.ranking import choose_buckets
-    # 200 groups, one of which holds a third of 600M rows: sized for the hot group
-    assert choose_buckets(200_000_000, target=2_000_000) == 100
-    assert choose_buckets(10, target=2_000_000) == 1
+def test_range_count_follows_the_rows():
+    from carestay.plans.ranking import choose_ranges
+    # one of 200 groups holds a third of 600M rows: ranges of about 2M rows over all
+    assert choose_ranges(200_000_000, 600_000_000, target=2_000_000) == 300
+    assert choose_ranges(10**12, 10**13) == 5_000_000  # no cap
+    assert choose_ranges(10, 600_000_000) == 1         # many small groups: windows per group suffice
+
+
+def test_null_groups_keep_their_rows_at_any_range_count(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", None]), rnd.choice(["x", None]), float(rnd.randint(0, 40)), rnd.randint(0, 1)) for _ in range(600)]
+    df = spark.createDataFrame(rows, "g string, h string, v double, y int")
+
+    def run(buckets):
+        p = M.exact_percentiles(df, "v", [0.1, 0.5], ["g", "h"], buckets)
+        a = MD.exact_auc(df, "v", "y", ["g"], buckets)
+        return sorted(map(str, p.collect())), sorted(map(str, a.collect()))
+
+    one = run(1)
+    assert len(one[0]) == 4 and len(one[1]) == 2
+    assert run(3) == one and run(1000) == one
+    split = spark.createDataFrame([(f"k{i}", None if i % 3 == 0 else i % 2) for i in range(60)], "patient_id string, readmission_30j int")
+    both = [sorted(map(str, MD.stratified_split(split, buckets=b).collect())) for b in (1, 5)]
+    assert len(both[0]) == 60 and both[0] == both[1]
+
+
+def test_large_counts_do_not_overflow(spark):
+    from carestay.functions import columns as C
+    big = spark.createDataFrame([(0.2, 5 * 10**9, 10**9), (0.7, 10**9, 5 * 10**9)], "s double, a bigint, b bigint")
+    r = MD.exact_auc(big, "s", weights=("a", "b")).first()
+    assert abs(r.auc - (25 + 0.5 * 10) / 36) < 1e-12
+    assert spark.range(1).select(C.rnd(F.lit(2.6e17), 2)).first()[0] == 2.6e17
+    assert spark.range(1).select(C.rnd(F.lit(1.5e10) + 0.125, 2)).first()[0] == 15000000000.13
+
+
+def test_poisson_is_not_cut_short(spark):
+    top = spark.range(1).select(MD._poisson1(F.lit(1.0 - 2.0 ** -53)), MD._poisson1(F.lit(0.0)), MD._poisson1(F.lit(0.5))).first()
+    assert top[0] >= 17 and top[1] == 0 and top[2] == 1
+
+
+def test_null_group_of_ks_and_prior_period(spark):
+    from carestay.operators import timeintel as TI
+    df = spark.createDataFrame([(None, 0.1, 0), (None, 0.9, 1), ("a", 0.3, 0), ("a", 0.5, 1)], "g string, s double, readmission_30j int")
+    ks = {r.g: (r.ks_approx, r.ks_approx_label) for r in M.ks_approx(df, "s", ["g"]).collect()}
+    assert len(ks) == 2 and abs(ks[None][0] - 0.8) < 1e-12 and ks[None][1] == "0.800"
+    half = M.ks_approx(df.where("s < 0.4"), "s", ["g"]).collect()
+    assert all(r.ks_approx_label is None for r in half)
+    per = spark.createDataFrame([(None, 2000, 5, 3, 1), (None, 2012, 5, 4, 2)], "g string, month_index int, x int, sejours int, readmissions int")
+    got = {r.month_index: r.sejours_prev for r in TI.period_shift_join(per, 12, ["g"]).collect()}
+    assert got == {2000: 0, 2012: 3}
+
+
+def test_vif_of_collinear_and_constant_columns(spark):
+    rnd = random.Random(3)
+    rows = [(a, 2 * a, rnd.random(), 7.0) for a in (rnd.random() for _ in range(200))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double")
+    v = {r.feature: r.vif for r in ST.vif(df, ["a", "b", "c"]).collect()}
+    assert v["a"] == math.inf and v["b"] == math.inf and 1.0 <= v["c"] < 1.1
+    k = {r.feature: r.vif for r in ST.vif(df, ["a", "c", "k"]).collect()}
+    assert k["k"] is None or math.isnan(k["k"])
+    assert 1.0 <= k["a"] < 1.1
