@@ -14,11 +14,13 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestay import schema as S
@@ -241,48 +243,81 @@ def cross_validate(train: DataFrame, folds: int = 5, c: float = 1.0, max_iter: i
 
 # ------------------------------------------------------------------ K10 bootstrap
 
-def _poisson1(u: Column) -> Column:
-    """Poisson(1) draw from a uniform u of 53 bits by the inverse CDF (cumulative e^-1 Σ 1/i!).
-
-    The steps go on until the CDF leaves no 53-bit uniform above it, so the distribution is not cut short.
-    """
-    cdf, term, out, k = math.exp(-1.0), math.exp(-1.0), None, 0
-    while out is None or cdf <= 1.0 - 2.0 ** -53 and term > 2.0 ** -56:
-        out = F.when(u < cdf, F.lit(k)) if out is None else out.when(u < cdf, F.lit(k))
+def poisson1_cdf() -> np.ndarray:
+    """Cumulative Poisson(1) probabilities, on until no 53-bit uniform lies above the last one."""
+    out, term, k = [math.exp(-1.0)], math.exp(-1.0), 0
+    while out[-1] <= 1.0 - 2.0 ** -53 and term > 2.0 ** -56:
         k += 1
         term /= k
-        cdf += term
-    return out.otherwise(F.lit(k))
+        out.append(out[-1] + term)
+    return np.array(out)
+
+
+def replicate_weights(hashes: np.ndarray, n: int, cdf: np.ndarray) -> np.ndarray:
+    """(rows × n) Poisson(1) weights drawn from the rows' 64-bit hashes; a row's weights do not depend on its partition."""
+    z = hashes.astype(np.uint64)[:, None] + (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    u = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+    return np.searchsorted(cdf, u, side="right").astype(np.float64)
+
+
+def _range_sums(batches, n: int, chunk: int = 4096):
+    """For one range of rows sorted by score: per replicate the class weights, the U statistic within, tp, fp and fn."""
+    cdf, names = poisson1_cdf(), ["lo", "rep", "w0", "w1", "u", "tp", "fp", "fn"]
+    total = {k: np.zeros(n) for k in names[2:]}
+    first = last = None
+    g0 = g1 = np.zeros(n)  # the score group that is still open
+    for batch in batches:
+        for at in range(0, batch.num_rows, chunk):
+            h, sc, y, p = (c.to_numpy(zero_copy_only=False) for c in batch.slice(at, chunk).columns)
+            first = sc[0] if first is None else first
+            w = replicate_weights(h, n, cdf)
+            for name, rows in (("tp", (y == 1) & (p == 1)), ("fp", (y == 0) & (p == 1)), ("fn", (y == 1) & (p == 0))):
+                total[name] += w[rows].sum(axis=0)
+            starts = np.concatenate(([0], np.flatnonzero(sc[1:] != sc[:-1]) + 1))
+            s0 = np.add.reduceat(w * (y == 0)[:, None], starts, axis=0)
+            s1 = np.add.reduceat(w * (y == 1)[:, None], starts, axis=0)
+            if sc[0] == last:
+                s0[0] += g0
+                s1[0] += g1
+            else:
+                s0, s1 = np.vstack([g0, s0]), np.vstack([g1, s1])
+            below = total["w0"] + np.cumsum(s0[:-1], axis=0) - s0[:-1]
+            total["u"] += (s1[:-1] * (below + 0.5 * s0[:-1])).sum(axis=0)
+            total["w0"] = total["w0"] + s0[:-1].sum(axis=0)
+            total["w1"] = total["w1"] + s1[:-1].sum(axis=0)
+            g0, g1, last = s0[-1], s1[-1], sc[-1]
+    if first is not None:
+        total["u"] += g1 * (total["w0"] + 0.5 * g0)
+        total["w0"], total["w1"] = total["w0"] + g0, total["w1"] + g1
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, first)), pa.array(np.arange(n, dtype=np.int32)),
+                                          *[pa.array(total[k]) for k in names[2:]]], names=names)
 
 
 def bootstrap_ci(df: DataFrame, key: str = S.KEY, score: str = PROB, pred: str = "prediction",
-                 label: str = S.TARGET, n: int = 200, seed: int = 42, buckets: int | None = None) -> DataFrame:
-    """2.5 / 97.5 % intervals of AUC and F1 over ``n`` Poisson-bootstrap replicates.
+                 label: str = S.TARGET, n: int = 200, seed: int = 42, ranges: int | None = None) -> DataFrame:
+    """2.5 / 97.5 % intervals of AUC, F1, precision and recall over ``n`` Poisson-bootstrap replicates.
 
-    Each row gets an independent Poisson(1) weight per replicate from a hash of
-    (key, replicate, seed); weighted counts per (replicate, score) feed the exact AUC with
-    replicate-partitioned running totals. Replicates holding one class only are skipped.
+    Each row gets an independent Poisson(1) weight per replicate from a hash of (key, seed). The rows are
+    shuffled once, into ranges of the score; a range draws the weights of all replicates and gives one row
+    of sums per replicate, and the ranges' sums combine to the exact tie-aware AUC. Rows without score or label take
+    no part. Replicates holding one class only are skipped.
     """
-    u = (F.xxhash64(F.col(key), F.col("_rep"), F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)).cast("double")
-         / F.lit(float(1 << 53)))
-    reps = (df.select(key, score, pred, label)
-            .withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-            .withColumn("_w", _poisson1(u)).where(F.col("_w") > 0))
-    y, p, w = F.col(label), F.col(pred), F.col("_w")
-    g = reps.groupBy("_rep", score).agg(F.sum(F.when(y == 0, w).otherwise(0)).alias("w0"),
-                                        F.sum(F.when(y == 1, w).otherwise(0)).alias("w1"))
-    auc = exact_auc(g, score, label, ["_rep"], buckets, weights=("w0", "w1"))
-    tp = F.sum(F.when((y == 1) & (p == 1), w).otherwise(0))
-    fp = F.sum(F.when((y == 0) & (p == 1), w).otherwise(0))
-    fn = F.sum(F.when((y == 1) & (p == 0), w).otherwise(0))
-    cls = reps.groupBy("_rep").agg(C.safe_ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
-                                   C.safe_ratio(tp, tp + fp).alias("precision"), C.safe_ratio(tp, tp + fn).alias("recall"))
-    # one row per replicate on each side (n rows, fixed by the call)
-    per = auc.where(F.col("auc").isNotNull()).join(F.broadcast(cls), "_rep")
-    return per.agg(F.percentile("auc", 0.025).alias("auc_lo"), F.percentile("auc", 0.975).alias("auc_hi"),
-                   F.percentile("f1", 0.025).alias("f1_lo"), F.percentile("f1", 0.975).alias("f1_hi"),
-                   F.percentile("precision", 0.025).alias("precision_lo"), F.percentile("precision", 0.975).alias("precision_hi"),
-                   F.percentile("recall", 0.025).alias("recall_lo"), F.percentile("recall", 0.975).alias("recall_hi"),
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1)).select(
+        F.xxhash64(F.col(key), F.lit(seed)).alias("h"), F.col(score).cast("double").alias("s"),
+        F.col(label).cast("int").alias("y"), F.coalesce(F.col(pred).cast("int"), F.lit(-1)).alias("p"))
+    dealt = (rows.repartitionByRange(ranges, "s") if ranges else rows.repartitionByRange("s")).sortWithinPartitions("s")
+    # one row per range and replicate
+    sums = materialize(dealt.mapInArrow(lambda it: _range_sums(it, n), "lo double, rep int, w0 double, w1 double, u double, tp double, fp double, fn double"))
+    lower = Window.partitionBy("rep").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+    per = sums.withColumn("below", F.coalesce(F.sum("w0").over(lower), F.lit(0.0))).groupBy("rep").agg(
+        F.sum(F.col("u") + F.col("w1") * F.col("below")).alias("u"), *[F.sum(c).alias(c) for c in ("w0", "w1", "tp", "fp", "fn")])
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    per = per.where((F.col("w0") > 0) & (F.col("w1") > 0)).select(
+        (F.col("u") / (F.col("w0") * F.col("w1"))).alias("auc"), C.safe_ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        C.safe_ratio(tp, tp + fp).alias("precision"), C.safe_ratio(tp, tp + fn).alias("recall"))
+    return per.agg(*[F.percentile(c, q).alias(f"{c}_{end}") for c in ("auc", "f1", "precision", "recall") for end, q in (("lo", 0.025), ("hi", 0.975))],
                    F.count(F.lit(1)).alias("replicates"))
 
 

@@ -20,6 +20,7 @@ from carestay.sources.fixture import stays_raw
 
 SOURCE_TABLES = ("orders", "lineitem", "customer")
 _BUILT: dict[tuple[str, str], str] = {}
+_MODELS: dict[tuple, object] = {}
 GOLD_EXTRA = ["sexe"]
 
 
@@ -69,6 +70,25 @@ def gold_features(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     return df.select(*gold.FEATURE_TABLE_COLUMNS, *[c for c in extra if c in GOLD_EXTRA])
 
 
+def model_tables(spark: SparkSession, sf_dir: str) -> tuple:
+    """(model, split, scored): the fitted model, the split of the gold features, and all split rows with their scores.
+
+    The split and the scores are stored tables and the model is fitted once per session and input, so
+    the model queries share them.
+    """
+    from carestay.operators import model as MD
+
+    key, path = _layer_path(spark, sf_dir, "model", "scored")
+    split_path = path.removesuffix("scored") + "split"
+    if key not in _MODELS:
+        MD.stratified_split(gold_features(spark, sf_dir)).write.mode("overwrite").parquet(split_path)
+        split = spark.read.parquet(split_path)
+        model = MD.fit_logistic(split.where(F.col("split") == "train"))
+        MD.score(split, model).write.mode("overwrite").parquet(path)
+        _MODELS[key] = model
+    return _MODELS[key], spark.read.parquet(split_path), spark.read.parquet(path)
+
+
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str, fit_model: bool = True) -> dict:
     """``run_stays`` on the stays that the given tables are projected into."""
     return run_stays(spark, lambda: stays_raw(spark, sf_dir), out_dir, fit_model)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from carestay.operators import gold
 from carestay.operators import model as MD
 from carestay.plans import oracle_sql as O
-from carestay.plans.joins import materialize
+from carestay.plans.layers import model_tables
 from carestay.plans.registry import register
 from carestay.plans.queries.common import clean, features, measure_base, round_doubles
 
@@ -89,57 +89,64 @@ def q_classification_report(spark, sf):
     return round_doubles(MD.classification_report(mb))
 
 
-def _fitted(spark, sf):
-    """Gold features → split → model fit on the training rows."""
-    f = features(spark, sf)
-    split = MD.stratified_split(f)
-    train = split.where(F.col("split") == "train")
-    return f, split, train, MD.fit_logistic(train)
+def _test_scores(spark, sf):
+    return model_tables(spark, sf)[2].where(F.col("split") == "test")
 
 
 @register("fit_logistic_scores")
 def q_fit_logistic_scores(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    return MD.score(split, m).select("patient_id", "split", "readmission_30j", "score_risque_modele", "prediction")
+    return model_tables(spark, sf)[2].select("patient_id", "split", "readmission_30j", "score_risque_modele", "prediction")
 
 
 @register("model_evaluation")
 def q_model_evaluation(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    test = MD.score(split.where(F.col("split") == "test"), m)
-    auc = MD.exact_auc(test).select("auc")
-    return auc.select("auc", MD.f1_at(test).scalar().alias("f1"))
+    test = _test_scores(spark, sf)
+    return MD.exact_auc(test).select("auc", MD.f1_at(test).scalar().alias("f1"))
 
 
 @register("cross_validate")
 def q_cross_validate(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    return MD.cross_validate(materialize(train))
+    return MD.cross_validate(MD.stratified_split(features(spark, sf)).where(F.col("split") == "train"))
 
 
 @register("bootstrap_ci")
 def q_bootstrap_ci(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    test = materialize(MD.score(split.where(F.col("split") == "test"), m))
-    return MD.bootstrap_ci(test)
+    return MD.bootstrap_ci(_test_scores(spark, sf))
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    return MD.feature_importance(m, 15)
+    return MD.feature_importance(model_tables(spark, sf)[0], 15)
 
 
 @register("score_export")
 def q_score_export(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    return MD.score_export(MD.score(f, m))
+    return MD.score_export(model_tables(spark, sf)[2])
 
 
 @register("risk_tier_shares")
 def q_risk_tier_shares(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    return MD.tier_shares(MD.score_export(MD.score(f, m)))
+    return MD.tier_shares(MD.score_export(model_tables(spark, sf)[2]))
+
+
+_TIER = """CASE WHEN score_risque_modele > 0 AND score_risque_modele <= 0.20 THEN 'Tres faible'
+  WHEN score_risque_modele > 0.20 AND score_risque_modele <= 0.40 THEN 'Faible'
+  WHEN score_risque_modele > 0.40 AND score_risque_modele <= 0.70 THEN 'Modere'
+  WHEN score_risque_modele > 0.70 AND score_risque_modele <= 1.0 THEN 'Eleve' END"""
+_EXPORT = f"""SELECT patient_id, pathologie, service, age, tranche_age, {O.R('score_risque_modele', 4)} AS score_risque_modele,
+  {_TIER} AS categorie_risque, readmission_30j FROM mb"""
+
+
+@register("scorecard_export", O.with_ctes(O.BASE + [O.MB], _EXPORT))
+def q_scorecard_export(spark, sf):
+    return MD.score_export(measure_base(spark, sf))
+
+
+@register("scorecard_tier_shares", O.with_ctes(O.BASE + [O.MB, f"ex AS ({_EXPORT})"], f"""
+SELECT categorie_risque, count(*) AS n, {O.R('count(*) / sum(count(*)) OVER ()', 3)} AS share
+FROM ex WHERE categorie_risque IS NOT NULL GROUP BY 1"""))
+def q_scorecard_tier_shares(spark, sf):
+    return MD.tier_shares(MD.score_export(measure_base(spark, sf)))
 
 
 @register("features_train_stats", O.with_ctes(O.BASE + ["""rk AS (
@@ -161,14 +168,12 @@ def q_features_train_stats(spark, sf):
 
 @register("model_classification_report")
 def q_model_classification_report(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    return MD.classification_report(MD.score(split.where(F.col("split") == "test"), m))
+    return MD.classification_report(_test_scores(spark, sf))
 
 
 @register("model_roc_points")
 def q_model_roc_points(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    return MD.roc_points(MD.score(split.where(F.col("split") == "test"), m))
+    return MD.roc_points(_test_scores(spark, sf))
 
 
 @register("ks_statistic", O.with_ctes(O.BASE + [O.MB, _SCORE_COUNTS, """roc AS (
@@ -181,5 +186,4 @@ def q_ks_statistic(spark, sf):
 
 @register("model_ks_statistic")
 def q_model_ks_statistic(spark, sf):
-    f, split, train, m = _fitted(spark, sf)
-    return MD.ks_statistic(MD.score(split.where(F.col("split") == "test"), m))
+    return MD.ks_statistic(_test_scores(spark, sf))

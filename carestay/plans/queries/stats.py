@@ -38,7 +38,7 @@ def q_normality(spark, sf):
     return ST.normality_test(features(spark, sf, extra=["sexe"]))
 
 
-def _chi_sql() -> str:
+def _chi_sql(select: str | None = None) -> str:
     cols = S.SCREEN_CATEGORICAL
     lg = unpivot_sql(cols, extra="CAST(readmission_30j AS VARCHAR) AS y", cast="VARCHAR").replace("INTO NAME feature VALUE value", "INTO NAME feature VALUE level")
     return O.with_ctes(O.BASE + [
@@ -52,7 +52,7 @@ def _chi_sql() -> str:
         """e AS (SELECT *, CAST(rw AS DOUBLE) * cl / n AS ex, (r - 1) * (c - 1) AS dof FROM m)""",
         """per AS (SELECT feature, sum(power(abs(o - ex) - CASE WHEN dof = 1 THEN LEAST(0.5, abs(o - ex)) ELSE 0.0 END, 2) / ex) AS chi2,
           any_value(dof) AS dof, any_value(n) AS n, any_value(LEAST(r, c) - 1) AS k FROM e GROUP BY feature)"""],
-        f"""SELECT feature, {O.R('chi2', 2)} AS chi2, CAST(dof AS INTEGER) AS dof,
+        select or f"""SELECT feature, {O.R('chi2', 2)} AS chi2, CAST(dof AS INTEGER) AS dof,
   {O.R('CASE WHEN k > 0 THEN sqrt(chi2 / (n * k)) ELSE 0.0 END', 4)} AS cramers_v FROM per""")
 
 
@@ -61,7 +61,7 @@ def q_chi_square_stat(spark, sf):
     return ST.chi_square_stat(features(spark, sf, extra=["sexe"])).drop("_chi2_raw")
 
 
-def _mw_sql() -> str:
+def _mw_sql(select: str | None = None) -> str:
     lg = unpivot_sql(S.SCREEN_NUMERICAL, extra="readmission_30j AS y")
     return O.with_ctes(O.BASE + [
         f"vc AS (SELECT feature, value, count(*) FILTER (WHERE y = 0) AS n0, count(*) FILTER (WHERE y = 1) AS n1 FROM {lg} WHERE value IS NOT NULL GROUP BY ALL)",
@@ -69,7 +69,7 @@ def _mw_sql() -> str:
         """per AS (SELECT feature, sum(n0 * (below1 + 0.5 * n1)) AS u, CAST(sum(n0) AS DOUBLE) AS n0, CAST(sum(n1) AS DOUBLE) AS n1,
           sum(CAST(n0 + n1 AS DOUBLE) * (n0 + n1) * (n0 + n1) - (n0 + n1)) AS ties,
           sum(value * n0) / sum(n0) AS mean0, sum(value * n1) / sum(n1) AS mean1 FROM cw GROUP BY feature)"""],
-        f"""SELECT feature, {O.R('u', 2)} AS u_statistic,
+        select or f"""SELECT feature, {O.R('u', 2)} AS u_statistic,
   {O.R('(GREATEST(u, n0 * n1 - u) - n0 * n1 / 2 - 0.5) / sqrt(n0 * n1 / 12.0 * ((n0 + n1 + 1) - ties / ((n0 + n1) * (n0 + n1 - 1))))', 6)} AS z,
   {O.R('u / (n0 * n1)', 6)} AS effect_r, {O.R('mean0', 6)} AS mean0, {O.R('mean1', 6)} AS mean1,
   CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1 FROM per""")
@@ -81,32 +81,55 @@ def q_mann_whitney_u(spark, sf):
     return round_doubles(m.withColumn("u_statistic", rnd("u_statistic", 2)))
 
 
-@register("kruskal_h", O.with_ctes(O.BASE + [
+_KRUSKAL = O.BASE + [
     "vg AS (SELECT CAST(age AS DOUBLE) AS v, pathologie AS g, count(*) AS n FROM features WHERE age IS NOT NULL AND pathologie IS NOT NULL GROUP BY ALL)",
     "vv AS (SELECT v, sum(n) AS t FROM vg GROUP BY v)",
     "rk AS (SELECT v, t, sum(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - t + (t + 1) / 2.0 AS rank FROM vv)",
     "per AS (SELECT g, sum(n * rank) AS r, sum(n) AS nj FROM vg JOIN rk USING (v) GROUP BY g)",
     "tot AS (SELECT sum(r * r / nj) AS s, CAST(sum(nj) AS DOUBLE) AS nn, count(*) AS k FROM per)",
-    "tie AS (SELECT sum(power(CAST(t AS DOUBLE), 3) - t) AS tie FROM vv)"], f"""
+    "tie AS (SELECT sum(power(CAST(t AS DOUBLE), 3) - t) AS tie FROM vv)"]
+
+
+@register("kruskal_h", O.with_ctes(_KRUSKAL, f"""
 SELECT {O.R('(12.0 / (nn * (nn + 1)) * s - 3 * (nn + 1)) / (1 - tie / (nn * nn * nn - nn))', 6)} AS h,
   CAST(k - 1 AS INTEGER) AS dof, CAST(nn AS BIGINT) AS n FROM tot, tie"""))
 def q_kruskal_h(spark, sf):
     return round_doubles(ST.kruskal_h(features(spark, sf)))
 
 
-@register("chi_square")
+def _tail(a: str, x: str) -> str:
+    """Upper tail of the gamma distribution Q(a, x) by the series of its complement, whose terms are all positive."""
+    return (f"(CASE WHEN {x} IS NULL THEN NULL WHEN {x} <= 0 THEN 1.0 WHEN {x} > 700 THEN 0.0 ELSE 1 - (SELECT sum(exp(-({x}) + (({a}) + t.i) * ln({x}) "
+            f"- lgamma(({a}) + t.i + 1))) FROM range(0, 2000) t(i)) END)")
+
+
+_CHI_P = _tail("dof / 2.0", "chi2 / 2.0")
+
+
+@register("chi_square", _chi_sql(f"""SELECT feature, {O.R('chi2', 2)} AS chi2, {O.R(_CHI_P, 8)} AS p_value, CAST(dof AS INTEGER) AS dof,
+  {O.R('CASE WHEN k > 0 THEN sqrt(chi2 / (n * k)) ELSE 0.0 END', 4)} AS cramers_v,
+  CASE WHEN {_CHI_P} < 0.001 THEN 'Yes' ELSE 'No' END AS significant FROM per"""))
 def q_chi_square(spark, sf):
-    return ST.chi_square(features(spark, sf, extra=["sexe"]))
+    out = ST.chi_square(features(spark, sf, extra=["sexe"]))
+    return out.withColumn("p_value", rnd("p_value", 8))
+
+
+_MW_Z = "(GREATEST(u, n0 * n1 - u) - n0 * n1 / 2 - 0.5) / sqrt(n0 * n1 / 12.0 * ((n0 + n1 + 1) - ties / ((n0 + n1) * (n0 + n1 - 1))))"
+_MW_P = _tail("0.5", "z * z / 2.0")
 
 
-@register("mann_whitney")
+@register("mann_whitney", _mw_sql(f"""SELECT feature, CAST(round_even(u, 0) AS DOUBLE) AS "U_statistic", {O.R(_MW_P, 8)} AS p_value,
+  {O.R('u / (n0 * n1)', 4)} AS effect_r, {O.R('mean0', 3)} AS mean_readmit0, {O.R('mean1', 3)} AS mean_readmit1,
+  CASE WHEN {_MW_P} < 0.001 THEN 'Yes' ELSE 'No' END AS significant FROM (SELECT *, {_MW_Z} AS z FROM per)"""))
 def q_mann_whitney(spark, sf):
     return ST.mann_whitney(features(spark, sf))
 
 
-@register("kruskal_wallis")
+@register("kruskal_wallis", O.with_ctes(_KRUSKAL + ["kw AS (SELECT (12.0 / (nn * (nn + 1)) * s - 3 * (nn + 1)) / (1 - tie / (nn * nn * nn - nn)) AS h, "
+                                                    "k - 1 AS dof FROM tot, tie)"], f"""
+SELECT {O.R('h', 6)} AS h, CAST(dof AS INTEGER) AS dof, {O.R(_tail('dof / 2.0', 'h / 2.0'), 6)} AS p_value FROM kw"""))
 def q_kruskal_wallis(spark, sf):
-    return ST.kruskal_wallis(features(spark, sf))
+    return round_doubles(ST.kruskal_wallis(features(spark, sf)))
 
 
 @register("vif")

@@ -166,9 +166,30 @@ def test_large_counts_do_not_overflow(spark):
     assert spark.range(1).select(C.rnd(F.lit(1.5e10) + 0.125, 2)).first()[0] == 15000000000.13
 
 
-def test_poisson_is_not_cut_short(spark):
-    top = spark.range(1).select(MD._poisson1(F.lit(1.0 - 2.0 ** -53)), MD._poisson1(F.lit(0.0)), MD._poisson1(F.lit(0.5))).first()
-    assert top[0] >= 17 and top[1] == 0 and top[2] == 1
+def test_poisson_is_not_cut_short():
+    cdf = MD.poisson1_cdf()
+    assert np.searchsorted(cdf, 1.0 - 2.0 ** -53, side="right") >= 17 and abs(cdf[1] - 2 / math.e) < 1e-15
+    w = MD.replicate_weights(np.arange(20000, dtype=np.int64), 50, cdf)
+    assert abs(w.mean() - 1) < 0.01 and abs(w.var() - 1) < 0.02
+
+
+def test_bootstrap_equals_brute_force_at_any_range_count(spark):
+    rnd = random.Random(7)
+    rows = [(f"k{i}", rnd.randint(0, 12) / 12, rnd.randint(0, 1)) for i in range(300)]
+    df = spark.createDataFrame(rows, "patient_id string, score_risque_modele double, readmission_30j int").withColumn(
+        "prediction", (F.col("score_risque_modele") > 0.5).cast("int"))
+    got = [MD.bootstrap_ci(df, n=25, ranges=r).first().asDict() for r in (1, 5)]
+    h = {r[0]: r[1] for r in df.select("patient_id", F.xxhash64("patient_id", F.lit(42))).collect()}
+    w = MD.replicate_weights(np.array([h[k] for k, *_ in rows], np.int64), 25, MD.poisson1_cdf())
+    sc, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    p = sc > 0.5
+    cmp = (sc[y == 1][:, None] > sc[y == 0][None, :]) + 0.5 * (sc[y == 1][:, None] == sc[y == 0][None, :])
+    auc = [w[y == 1, r] @ cmp @ w[y == 0, r] / (w[y == 1, r].sum() * w[y == 0, r].sum()) for r in range(25)]
+    f1 = [2 * w[(y == 1) & p, r].sum() / (w[y == 1, r].sum() + w[p, r].sum()) for r in range(25)]
+    for g in got:
+        assert g["replicates"] == 25
+        assert math.isclose(g["auc_lo"], np.percentile(auc, 2.5)) and math.isclose(g["auc_hi"], np.percentile(auc, 97.5))
+        assert math.isclose(g["f1_lo"], np.percentile(f1, 2.5)) and math.isclose(g["f1_hi"], np.percentile(f1, 97.5))
 
 
 def test_null_group_of_ks_and_prior_period(spark):
