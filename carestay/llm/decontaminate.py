@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestay.llm.store import map_arrow, strings, utf8
+from carestay.llm.store import map_arrow, stored, utf8
 
 #: Bytes that are no part of a word become spaces, A-Z become a-z.
 _SEPARATORS = bytes(i for i in range(128) if not (48 <= i <= 57 or 65 <= i <= 90 or 97 <= i <= 122))
@@ -119,12 +120,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_words: int =
     else rows are merged by doc_id. Items without item_id are left out, as nothing names them. Beyond ``block_words`` the benchmark
     is scanned for block by block (several passes over the documents), so that what is broadcast stays bounded.
     """
-    blocks = [_scan(docs, items, n) for items in benchmark_blocks(benchmark, block_words)]
-    if len(blocks) == 1:
-        return blocks[0]
-    every = blocks[0]
-    for b in blocks[1:]:
-        every = every.unionByName(b)
+    blocks = benchmark_blocks(benchmark, block_words)
+    first = _scan(docs, next(blocks), n)
+    second = next(blocks, None)
+    if second is None:
+        return first
+    # one pass at a time, so that one block is held at a time
+    every = stored(first, "scan")
+    for items in chain([second], blocks):
+        every = every.unionByName(stored(_scan(docs, items, n), "scan"))
     gathered = every.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
                                            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
@@ -141,26 +145,45 @@ def hit_words(spans) -> F.Column:
     return ends["n"]
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, how: str = "documents") -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, how: str = "documents", block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` (all columns) without contaminated documents (``how="documents"``) or with the hit words cut out of
     their text (``how="spans"``: every word of a hit span and what stands between those words goes).
 
-    Texts without a hit are returned unchanged, null texts included.
+    Texts without a hit are returned unchanged, null texts included. A benchmark of one block takes one
+    pass without a shuffle; further blocks take a stored pass each, which notes the spans beside the row.
     """
-    spark = docs.sparkSession
-    indexes = [spark.sparkContext.broadcast(WindowIndex(items, n)) for items in benchmark_blocks(benchmark)]
+    blocks = benchmark_blocks(benchmark, block_words)
+    items, after = next(blocks), next(blocks, None)
+    if after is None:
+        return _pass(docs, items, n, how)
+    note = next(c for c in (f"_spans{k}" for k in range(len(docs.columns) + 1)) if c not in docs.columns)
+    rows = docs.withColumn(note, F.array().cast("array<long>"))
+    for items in chain([items, after], blocks):
+        rows = stored(_pass(rows, items, n, "note", note), "noted")
+    return _pass(rows, [], n, how, note).drop(note)
+
+
+def _pass(docs: DataFrame, items: list[tuple[int, bytes]], n: int, how: str, note: str | None = None) -> DataFrame:
+    """One pass: look for one block's windows, then drop the row, cut its text, or note the spans in column ``note``."""
+    index = docs.sparkSession.sparkContext.broadcast(WindowIndex(items, n))
+    at = docs.columns.index("text")
+    noted = docs.columns.index(note) if note else None
 
-    def run(batch: pa.RecordBatch):
-        texts, hit = [], []
-        for text, null in zip(strings(batch.column(0)), batch.column(0).is_null().to_pylist()):
-            raw = text.encode()
-            words = words_of(raw)
-            spans = merged(s for ix in indexes for s in ix.value.hits(words)[0])
-            hit.append(bool(spans))
-            texts.append(None if null else _without(raw, spans) if spans and how == "spans" else text)
-        return texts, hit
+    def each(batches):
+        for batch in batches:
+            column = batch.column(at)
+            known = batch.column(noted).to_pylist() if note else [[]] * batch.num_rows
+            spans = [merged([*zip(k[::2], k[1::2]), *index.value.hits(words_of(t))[0]]) for k, t in zip(known, utf8(column))]
+            cols = list(batch.columns)
+            if how == "note":
+                cols[noted] = pa.array([[x for s in found for x in s] for found in spans], batch.schema.field(noted).type)
+            elif how == "spans":
+                cols[at] = pa.array([_without(t.encode(), found) if found else t for t, found in zip(column.to_pylist(), spans)],
+                                    batch.schema.field(at).type)
+            out = pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+            yield out.filter(pa.array([not found for found in spans], pa.bool_())) if how == "documents" else out
 
-    return _with_text(docs, run, drop=how == "documents")
+    return docs.mapInArrow(each, docs.schema)
 
 
 def _without(raw: bytes, spans) -> str:
@@ -177,21 +200,6 @@ def _without(raw: bytes, spans) -> str:
     return (b"".join(out) + raw[last:]).decode()
 
 
-def _with_text(docs: DataFrame, run, drop: bool) -> DataFrame:
-    """Put each row's new text in place, and drop the rows that were hit, in one pass without a shuffle."""
-    at = docs.columns.index("text")
-
-    def each(batches):
-        for batch in batches:
-            texts, hit = run(pa.RecordBatch.from_arrays([batch.column(at)], names=["text"]))
-            cols = list(batch.columns)
-            cols[at] = pa.array(texts, batch.schema.field(at).type)
-            out = pa.RecordBatch.from_arrays(cols, schema=batch.schema)
-            yield out.filter(pa.array([not h for h in hit], pa.bool_())) if drop else out
-
-    return docs.mapInArrow(each, docs.schema)
-
-
 def digests(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each row: what ``scan`` finds, in figures.
 

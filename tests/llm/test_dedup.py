@@ -235,6 +235,10 @@ def test_contaminated_documents_and_spans_go(spark, make_docs):
             assert texts[str(i)] == t
         else:
             assert len(item_words(texts[str(i)])) < len(item_words(t))
+    for how, one in (("documents", kept), ("spans", cut)):  # block by block, the same
+        many = decontaminate.remove_contaminated(docs, bench, how=how, block_words=60)
+        assert many.columns == docs.columns
+        assert sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.remove_contaminated(docs, empty).count() == len(rows)
     assert decontaminate.digests(make_docs([]), bench).count() == 0
