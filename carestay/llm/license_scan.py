@@ -236,7 +236,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     lower = F.lower(text)
-    signed = _any([F.contains(lower, F.lit(s)) for s in SIGNS]) | text.rlike(r"(?i)\bcc[^0-9a-z]+by\b|\bby[^0-9a-z]+nc\b")
+    signed = _any([F.contains(lower, F.lit(s)) for s in SIGNS]) | text.rlike("(?i)cc[^0-9a-z]+by")
     # the normalised text only where a sign stands; white space around it lets patterns ask for whole words
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
                        F.when(signed, F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0))).alias("words"))
