@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,12 +50,21 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return agg.selectExpr(f"stack({len(df.columns)}, {stack}) AS (column, missing)").where(F.col("missing") > 0)
 
 
-def group_rate(df: DataFrame, dim: str, target: str = S.TARGET) -> DataFrame:
-    """Target mean per level next to the global mean (window sums over the small per-level table)."""
-    per = df.groupBy(dim).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("double")).alias("_s"))
-    w = Window.partitionBy()  # over the per-level table, one row per level
-    return per.select(dim, "n", (F.col("_s") / F.col("n")).alias("rate"),
-                      (F.sum("_s").over(w) / F.sum("n").over(w)).alias("global_rate"))
+def group_rates(df: DataFrame, dims: Sequence[str], target: str = S.TARGET) -> DataFrame:
+    """(dimension, level, n, rate, global_rate): target mean per level of each dimension next to the global mean.
+
+    One scan: GROUPING SETS over the dimensions, then window sums over the small table of levels.
+    """
+    flags = [F.grouping(d).alias(f"_g{i}") for i, d in enumerate(dims)]
+    y = F.col(target).cast("double")
+    per = df.groupingSets([[d] for d in dims], *dims).agg(F.count(F.lit(1)).alias("n"), F.count(y).alias("_m"), F.sum(y).alias("_s"), *flags)
+    name, level = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, d in enumerate(dims):
+        mine = F.col(f"_g{i}") == 0
+        name, level = F.when(mine, F.lit(d)).otherwise(name), F.when(mine, F.col(d).cast("string")).otherwise(level)
+    w = Window.partitionBy("dimension")  # over the table of levels
+    return per.select(name.alias("dimension"), level.alias("level"), "n", "_m", "_s").select(
+        "dimension", "level", "n", F.try_divide("_s", "_m").alias("rate"), F.try_divide(F.sum("_s").over(w), F.sum("_m").over(w)).alias("global_rate"))
 
 
 def histogram_by_class(df: DataFrame, col: str, target: str = S.TARGET, bins: int = 30) -> DataFrame:
@@ -70,25 +81,47 @@ def histogram_by_class(df: DataFrame, col: str, target: str = S.TARGET, bins: in
                     (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"))
 
 
+def _pair_sums(batches, cols: Sequence[str]):
+    """Per batch, for every pair of columns over the rows that have both: count, means and centred sums."""
+    lower = [(i, j) for i in range(len(cols)) for j in range(i)]
+    rows, columns = np.array([i for i, _ in lower]), np.array([j for _, j in lower])
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+        there = ~np.isnan(x)
+        shift = np.nanmean(np.where(there.any(axis=0), x, 0.0), axis=0)
+        m, z = there.astype(np.float64), np.where(there, x - shift, 0.0)
+        n, sx, sxx, sxy = m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z
+        ok = n[rows, columns] > 0
+        i, j = rows[ok], columns[ok]
+        k, a, b = n[i, j], sx[i, j], sx[j, i]
+        out = [i, j, k, a / k + shift[i], b / k + shift[j], sxx[i, j] - a * a / k, sxx[j, i] - b * b / k, sxy[i, j] - a * b / k,
+               *[f(np.where(there, x, w), axis=0)[at] for f, w in ((np.min, np.inf), (np.max, -np.inf)) for at in (i, j)]]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32) if p < 2 else c) for p, c in enumerate(out)], names=_PAIR_NAMES)
+
+
+_PAIR_NAMES = ["a", "b", "n", "ma", "mb", "caa", "cbb", "cab", "lo_a", "lo_b", "hi_a", "hi_b"]
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = S.CORRELATION_COLS, digits: int = 4) -> DataFrame:
-    """Pearson correlation of every pair (lower triangle), pairwise-complete.
+    """Pearson correlation of every pair (lower triangle), pairwise-complete; null if a column is constant.
 
-    Each row is exploded into one (pair, x, y) record per pair and a single ``corr`` is
-    aggregated per pair: one scan, a small aggregate that stays in whole-stage codegen
-    (one aggregate with 45 ``corr`` columns does not), and a partial buffer per pair.
+    One scan without exploding rows: numpy takes the sums of all pairs of a batch at once, and Spark merges
+    the batches' centred sums (one row per pair and batch).
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
-    cells = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                               F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                      for a, b in pairs])
-    long = df.select(F.inline(cells))
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
-    # co-moments over the rows that have both; a constant column has no correlation (null)
-    out = long.groupBy("col_a", "col_b").agg(F.covar_pop(x, y).alias("_c"), F.stddev_pop(x).alias("_sx"), F.stddev_pop(y).alias("_sy"),
-                                            ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias("_varies"))
-    corr = F.when(F.col("_varies"), F.try_divide(F.col("_c"), F.col("_sx") * F.col("_sy")))
-    return out.select("col_a", "col_b", C.rnd(corr, digits).alias("corr"))
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    parts = wide.mapInArrow(lambda it: _pair_sums(it, cols), "a int, b int, " + ", ".join(f"{c} double" for c in _PAIR_NAMES[2:]))
+    n = F.col("n")
+
+    def merged(c, x, y):  # centred sum of all rows from the parts' centred sums, counts and means
+        return F.sum(c) + F.sum(n * F.col(x) * F.col(y)) - F.sum(n * F.col(x)) * F.sum(n * F.col(y)) / F.sum(n)
+
+    both = parts.groupBy("a", "b").agg(merged("caa", "ma", "ma").alias("saa"), merged("cbb", "mb", "mb").alias("sbb"), merged("cab", "ma", "mb").alias("sab"),
+                                       ((F.min("lo_a") < F.max("hi_a")) & (F.min("lo_b") < F.max("hi_b"))).alias("varies"))
+    names = F.array(*[F.lit(c) for c in cols])
+    corr = F.when(F.col("varies"), F.try_divide(F.col("sab"), F.sqrt(F.col("saa") * F.col("sbb"))))
+    return both.select(F.get(names, F.col("a")).alias("col_a"), F.get(names, F.col("b")).alias("col_b"), C.rnd(corr, digits).alias("corr"))
 
 
 def dataset_summary(df: DataFrame, target: str = S.TARGET) -> DataFrame:

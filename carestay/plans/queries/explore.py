@@ -22,7 +22,7 @@ def q_describe(spark, sf):
 
 
 @register("class_balance", O.with_ctes(O.BASE, f"""
-SELECT readmission_30j, count(*) AS n, {O.R('count(*) / sum(count(*)) OVER ()', 3)} AS share FROM features GROUP BY 1"""))
+SELECT readmission_30j, count(*) AS n, {O.R('count(*) / sum(count(*)) OVER ()', 3)} AS share FROM features WHERE readmission_30j IS NOT NULL GROUP BY 1"""))
 def q_class_balance(spark, sf):
     return X.class_balance(features(spark, sf))
 
@@ -46,13 +46,7 @@ _RATE_DIMS = ["tranche_age", "service", "mode_sortie", "groupe_clinique"]
 SELECT '{d}' AS dimension, {d} AS level, count(*) AS n, {O.R('avg(CAST(readmission_30j AS DOUBLE))', 6)} AS rate,
   {O.R('(SELECT avg(CAST(readmission_30j AS DOUBLE)) FROM features)', 6)} AS global_rate FROM features GROUP BY {d}""" for d in _RATE_DIMS)))
 def q_group_rates(spark, sf):
-    f = features(spark, sf)
-    out = None
-    for d in _RATE_DIMS:
-        r = X.group_rate(f, d).select(F.lit(d).alias("dimension"), F.col(d).alias("level"), "n",
-                                      rnd("rate", 6).alias("rate"), rnd("global_rate", 6).alias("global_rate"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    return round_doubles(X.group_rates(features(spark, sf), _RATE_DIMS))
 
 
 def _hist_sql(col: str, bins: int = 30) -> str:
