@@ -135,11 +135,12 @@ def with_next(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
         rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
         ids = rows.select(F.col("doc_id").alias("id"), F.length("text").alias("n"))
     links = next_ids(ids)
-    full = rows.select("doc_id", "text", *[c.alias(name) for name, c in columns.items()])
-    # documents are dealt by doc_id once, for both joins; only starts and columns are dealt again
+    # documents are dealt by doc_id once, for both joins; only starts and columns are dealt again. Ids are
+    # distinct, so no partition can be skewed and none needs splitting
+    full = rows.select("doc_id", "text", *[c.alias(name) for name, c in columns.items()]).repartition("doc_id")
     nexts = full.join(links.hint("shuffle_hash"), full["doc_id"] == links["next_id"]).select(
         F.col("id").alias("_id"), F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("next_start"),
-        *[F.col(name).alias(f"next_{name}") for name in columns])
+        *[F.col(name).alias(f"next_{name}") for name in columns]).repartition("_id")
     return full.join(nexts, full["doc_id"] == nexts["_id"]).drop("_id")
 
 
