@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from carestay.operators import gold
+from carestay.operators import measures as M
 from carestay.operators import quality as QC
 from carestay.operators import silver
+from carestay.operators import timeintel as TI
 from carestay.plans import oracle_sql as O
 from carestay.plans.registry import register
+from carestay.sources.fixture import DIRTY_CTE, dirty_stays
 from carestay.plans.queries.common import clean, features, raw, round_doubles
 
 
@@ -70,3 +75,54 @@ WHERE taux_global < 0.05 OR taux_global > 0.30"""))
 def q_assert_rate_strict(spark, sf):
     # the same singular test with a tighter band, so a non-empty (failing) result is exercised too
     return round_doubles(QC.implausible_rate(features(spark, sf), hi=0.30))
+
+
+# ---------------------------------------------------------------- the same checks where they find something
+
+def _dirty(spark, sf):
+    return dirty_stays(clean(spark, sf))
+
+
+@register("dirty_duplicates", O.with_ctes([O.CLEAN, DIRTY_CTE], """
+SELECT patient_id, count(*) AS nb_occurrences FROM dirty GROUP BY patient_id HAVING count(*) > 1"""))
+def q_dirty_duplicates(spark, sf):
+    return QC.duplicates(_dirty(spark, sf), "patient_id")
+
+
+@register("dirty_date_order", O.with_ctes([O.CLEAN, DIRTY_CTE], """
+SELECT patient_id, CAST(date_admission AS DATE) AS date_admission, CAST(date_sortie AS DATE) AS date_sortie,
+  CAST(date_diff('day', CAST(date_admission AS DATE), CAST(date_sortie AS DATE)) AS INTEGER) AS duree_calculee
+FROM dirty WHERE date_sortie < date_admission"""))
+def q_dirty_date_order(spark, sf):
+    return QC.date_order_violations(_dirty(spark, sf))
+
+
+@register("dirty_non_positive_ages", O.with_ctes([O.CLEAN, DIRTY_CTE], "SELECT patient_id, age FROM dirty WHERE age <= 0"))
+def q_dirty_ages(spark, sf):
+    return QC.non_positive_ages(_dirty(spark, sf))
+
+
+@register("dirty_dedup_latest", O.with_ctes([O.CLEAN, DIRTY_CTE], """
+SELECT patient_id, age, service, date_admission, CAST(date_sortie AS DATE) AS date_sortie, duree_sejour, readmission_30j, ingestion_timestamp
+FROM dirty QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY ingestion_timestamp DESC, age DESC NULLS LAST, service DESC NULLS LAST,
+  date_admission DESC NULLS LAST, date_sortie DESC NULLS LAST, duree_sejour DESC NULLS LAST, readmission_30j DESC NULLS LAST) = 1"""))
+def q_dirty_dedup_latest(spark, sf):
+    return silver.dedup_latest(_dirty(spark, sf))
+
+
+@register("dirty_prior_year_by_service", O.with_ctes([O.CLEAN, DIRTY_CTE, """m AS (
+  SELECT service, CAST(year(date_admission) AS INTEGER) AS year, CAST(month(date_admission) AS INTEGER) AS month, count(*) AS sejours
+  FROM dirty GROUP BY ALL)"""], """
+SELECT p.service, p.year, p.month, p.sejours, COALESCE(q.sejours, 0) AS sejours_annee_precedente
+FROM m p LEFT JOIN m q ON p.service IS NOT DISTINCT FROM q.service AND p.year = q.year + 1 AND p.month = q.month"""))
+def q_dirty_prior_year(spark, sf):
+    return TI.prior_year(_dirty(spark, sf), ["service"]).select("service", "year", "month", "sejours", "sejours_annee_precedente")
+
+
+@register("dirty_percentiles", O.with_ctes([O.CLEAN, DIRTY_CTE], f"""
+SELECT service, {O.R('quantile_cont(duree_sejour, 0.1)', 6)} AS p10, {O.R('quantile_cont(duree_sejour, 0.9)', 6)} AS p90
+FROM dirty GROUP BY service"""))
+def q_dirty_percentiles(spark, sf):
+    """A null group and forced ranges: the ranked path with offsets, whatever the size."""
+    d = _dirty(spark, sf).withColumn("duree_sejour", F.col("duree_sejour").cast("double"))
+    return round_doubles(M.exact_percentiles(d, "duree_sejour", [0.1, 0.9], ["service"], buckets=7))

@@ -29,7 +29,7 @@ BRONZE_COLUMNS = [f.name for f in STAY_SCHEMA.fields]
 
 INGESTION_LOG_SCHEMA = T.StructType([
     T.StructField("run_timestamp", T.TimestampNTZType(), False),
-    T.StructField("nb_lignes", T.IntegerType()),
+    T.StructField("nb_lignes", T.LongType()),
     T.StructField("taux_readmission", T.DecimalType(5, 4)),
     T.StructField("duree_secondes", T.DecimalType(8, 2)),
     T.StructField("statut", T.StringType()),

@@ -169,3 +169,23 @@ SELECT
   'testdata_orders' AS source_fichier
 FROM fs)
 """
+
+
+# A second projection, of clean stays, with the faults that quality checks and null-safe joins exist for: repeated ids (a later
+# ingestion, and ties in time), discharges before admission, ages at or below zero, null services. The same SQL for DuckDB.
+DIRTY_CTE = """keyed AS (SELECT patient_id, age, service, date_admission, date_sortie, duree_sejour, readmission_30j, ingestion_timestamp,
+    CAST(substring(patient_id, 25) AS BIGINT) AS k FROM clean),
+dirty AS (
+  SELECT patient_id, CAST(CASE WHEN k % 41 = 0 THEN -age WHEN k % 43 = 0 THEN 0 ELSE age END AS SMALLINT) AS age,
+    CASE WHEN k % 13 = 0 THEN NULL ELSE service END AS service, date_admission,
+    CASE WHEN k % 37 = 0 THEN date_admission - 2 ELSE date_sortie END AS date_sortie, duree_sejour, readmission_30j, ingestion_timestamp
+  FROM keyed
+  UNION ALL SELECT patient_id, age, service, date_admission, date_sortie, CAST(duree_sejour + 1 AS SMALLINT), readmission_30j,
+    ingestion_timestamp + INTERVAL '1' HOUR FROM keyed WHERE k % 29 = 0
+  UNION ALL SELECT patient_id, age, service, date_admission, date_sortie, CAST(duree_sejour + 2 AS SMALLINT), readmission_30j,
+    ingestion_timestamp FROM keyed WHERE k % 31 = 0)"""
+
+
+def dirty_stays(clean: DataFrame) -> DataFrame:
+    """``clean`` stays with planted faults (see ``DIRTY_CTE``); about a tenth more rows than ``clean``."""
+    return clean.sparkSession.sql(f"WITH {DIRTY_CTE.replace('FROM clean)', 'FROM {clean})')} SELECT * FROM dirty", clean=clean)
