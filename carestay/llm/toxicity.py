@@ -27,6 +27,8 @@ from carestay.llm.store import map_arrow, strings, utf8
 FIT_ROWS = 4_000
 #: Word beginnings of these lengths are features, next to whole words.
 STEMS = (4, 5, 6, 7)
+#: Characters that one lattice spans; longer tokens are searched in overlapping pieces.
+WINDOW = 48
 #: Distinct tokens whose scores one Python worker remembers.
 CACHE_TOKENS = 300_000
 
@@ -146,6 +148,8 @@ def restore(token: str, model: CharModel) -> str:
 EDGE = " \t.,;:?!\"'()[]{}<>|&%#*~`«»¿¡…-_=/\\"
 #: What makes a word of letters suspicious: repetition, or letters of another script.
 _SIGNS = re.compile(r"(.)\1\1|[" + "".join(c for c in IMITATES if c.isalpha()) + "]")
+_SEPARATOR = re.compile("[" + re.escape("".join(c for c in SEPARATORS if c not in IMITATES)) + "]+")
+_LONG_RUN = re.compile(r"(.)\1{3,}")
 _DOUBLE = re.compile(r"(.)\1+")
 _EDGE_RUN = re.compile(r"([^\w\s])\1+$")
 #: Three or more single characters in a row, each set apart by white space.
@@ -161,24 +165,33 @@ def is_suspicious(word: str) -> bool:
     """Whether a word's lattice has more than one path worth searching."""
     if word.isalpha():
         return _SIGNS.search(word) is not None
-    return 3 <= len(word) <= 40 and any(ch.isalpha() for ch in word)
+    return len(word) >= 3 and any(ch.isalpha() for ch in word)
+
+
+def windows(text: str, size: int = 0) -> list[str]:
+    """A long string as pieces that overlap by half, so that a word of up to half a piece stands whole in one of them."""
+    size = size or WINDOW
+    return [text] if len(text) <= size else [text[i:i + size] for i in range(0, len(text) - size // 2, size // 2)]
 
 
 def restored_words(token: str, model: CharModel) -> list[str]:
     """The words that stand behind one white-space-delimited token (or a spelled-out run of them)."""
-    token = token.lower()
+    # a letter repeated beyond three times says nothing that three do not
+    token = _LONG_RUN.sub(r"\1\1\1", token.lower())
     if " " in token:
         return restore(token, model).split()
     # an edge mark may imitate a letter, so the bare token is searched as well
     words = [core(token)]
     doubled = token.endswith(("$$", "@@")) and token[-3:] != token[-1] * 3
-    if (doubled or token[:1] in IMITATES) and 3 <= len(token) <= 40 and token.strip(".,;:?\"'()[]{}") != words[0]:
+    if (doubled or token[:1] in IMITATES) and len(token) >= 3 and token.strip(".,;:?\"'()[]{}") != words[0]:
         words.append(token.rstrip(".,;:?\"')]}"))
     out = []
     for word in words:
         if is_suspicious(word):
-            # the collapsed spelling, then the likeliest reading
-            out += [x for x in restore(word, model).split() if x]
+            # the likeliest reading, that of each part if the separators part words, then the plain parts
+            parts = [p for p in _SEPARATOR.split(word) if p]
+            for w in [word, *[p for p in parts if is_suspicious(p)]] if len(parts) > 1 else [word]:
+                out += [x for piece in windows(w) for x in restore(piece, model).split()]
             out += [x for x in re.split(r"[\W\d_]+", word) if x]
         elif word:
             out.append(word)
@@ -198,7 +211,7 @@ def spelled_runs(text: str) -> list[str]:
     """Runs of single characters that white space sets apart, with single spaces; longer ones are no words."""
     if _MAYBE_SPELLED.search(f" {text} ") is None:
         return []
-    return [" ".join(m.split()) for m in _SPELLED.findall(text) if len(m) <= 120]
+    return [w for m in _SPELLED.findall(text) for w in windows(" ".join(m.split()), 2 * WINDOW)]
 
 
 def tokens_of(text: str) -> set[str]:
@@ -268,6 +281,17 @@ def learn(texts: list[tuple[str, int]], read, min_support: int = 3, min_precisio
         best = max(rest, key=lambda f: (min(len(rest[f]), support[f]) * precision(len(rest[f]), f) ** 20, len(f)))
         chosen.add(best)
         covered = rest[best]
+    # a beginning gives way to a longer one that nearly all its texts share: that says the same, and less of other words
+    longer = defaultdict(list)
+    for g in live:
+        if g[-1] not in "$~":
+            longer[g[:-1]].append(g)
+    for k in STEMS[:-1]:
+        for f in [f for f in chosen if len(f) == k and f[-1] not in "$~"]:
+            same = [g for g in longer[f] if len(live[g]) >= 0.95 * len(live[f])]
+            if same:
+                chosen.remove(f)
+                chosen.update(same)
     return {f: (support[f] + base) / (support[f] + clean[f] + 1.0) for f in chosen}
 
 

@@ -172,7 +172,8 @@ def toxic_corpus(n=400):
 def test_toxicity(spark, make_docs):
     rows, labels = toxic_corpus()
     odd = [(1000, "the er 1d10t on"), (1001, "the m o r o n on"), (1002, "an idiooooot re"), (1003, "an l.o.s.e.r re"), (1004, "grobl" + "thththan he"),
-           (1005, "the er on 1 2 3"), (1006, None), (1007, ""), (None, "idiot"), (1000, "the er 1d10t on"), (1008, "thonered " * 20000)]
+           (1009, "x.y." * 40 + "an.1d10t.and" + ".z.w" * 40),
+           (1010, "idi" + "o" * 500 + "t"), (1005, "the er on 1 2 3"), (1006, None), (1007, ""), (None, "idiot"), (1000, "the er 1d10t on"), (1008, " ".join(t for (_, t), (_, _, y) in zip(rows, labels) if not y) * 15 + "1" * 5000 + "ab1" * 3000)]
     docs = make_docs([*rows, *odd])
     frame = spark.createDataFrame([*labels, (None, 1, 1), (2000, None, None), (0, 1, 1)], "doc_id long, quality int, toxic int")
     model = toxicity.fit(docs, frame)
@@ -180,14 +181,23 @@ def test_toxicity(spark, make_docs):
     assert len(score) == len(rows) + len(odd) - 1 and all(0 <= s <= 1 for s in score.values())
     held = [(score[str(i)], y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 3 == 1]
     assert sum((s >= 0.7) == y for s, y in held) / len(held) > 0.97
-    assert all(score[str(i)] >= 0.7 for i in (1000, 1001, 1002, 1003, 1004)) and score["None"] >= 0.7
-    assert all(score[str(i)] < 0.7 for i in (1005, 1006, 1007, 1008))
+    assert [i for i in (1000, 1001, 1002, 1003, 1004, 1009, 1010, None) if score[str(i)] < 0.7] == []
+    assert [i for i in (1005, 1006, 1007, 1008) if score[str(i)] >= 0.7] == []
     kept = toxicity.without_toxic(docs, model)
     assert kept.columns == docs.columns and kept.where("doc_id = 1000").count() == 0 and kept.where("doc_id = 1005").count() == 1
     none = toxicity.fit(make_docs([]), frame.limit(0))
     assert toxicity.score(docs, none).where("score >= 0.7").count() == 0
 
 
+def test_long_tokens_are_searched_whole_in_overlapping_pieces():
+    text = "".join(chr(97 + i % 26) for i in range(5000))
+    pieces = toxicity.windows(text)
+    assert all(len(p) <= toxicity.WINDOW for p in pieces) and toxicity.windows("ab") == ["ab"]
+    assert all(any(text[i:i + 24] in p for p in pieces) for i in range(0, 5000 - 24))
+    runs = toxicity.spelled_runs("x " + "m o r o n " * 40 + "end")
+    assert len(runs) > 3 and all("m o r o n" in r for r in runs[:-1])
+
+
 def test_viterbi_restores_the_likeliest_letters():
     import numpy as np
     counts = np.zeros(toxicity.CLASSES ** 4, np.int64)
