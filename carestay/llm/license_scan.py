@@ -1,7 +1,8 @@
 """License scan by ordered signature rules, in DataFrame functions only.
 
 Hundreds of regular expressions, made from license names, versions and forms of notice, run over a
-text's normalised words. Each is gated by a keyword, so most texts run none of them. Detections
+text's normalised words. They are grouped by the name they all hold: a group runs only where one of the
+name's words and then the name itself stands in the normalised words, so most texts run none of them. Detections
 have a priority by form; one that lies within another of at least its priority is suppressed. All
 of it happens within the row: there is no shuffle.
 """
@@ -49,7 +50,7 @@ FAMILIES = [
     ("mit", "mit|expat|x11", (), "mit|expat|x11"),
     ("isc", "isc|internet systems consortium", (), "isc|internet"),
     ("bsd", "bsd|berkeley software distribution", (), "bsd|berkeley"),
-    ("bsd-0-clause", "(?:0|zero) clause bsd|0bsd|bsd (?:0|zero) clause", (), "bsd"),
+    ("bsd-0-clause", "(?:0|zero) clause bsd|0bsd|bsd (?:0|zero) clause", (), "bsd|0bsd"),
     ("bsd-1-clause", "(?:1|one) clause bsd|bsd (?:1|one) clause", (), "bsd"),
     ("bsd-2-clause", "(?:2|two) clause bsd|bsd (?:2|two) clause|(?:simplified|freebsd) bsd", (), "bsd"),
     ("bsd-3-clause", "(?:3|three) clause bsd|bsd (?:3|three) clause|(?:new|modified|revised) bsd", (), "bsd"),
@@ -78,9 +79,6 @@ CC_KINDS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
 LICENSE = "licen[sc]e"
 GRANT = "(?:licen[sc]ed|released|distributed|available|published|provided|offered|covered|use|used|made available|redistributed)"
 
-#: Words one of which every rule needs; a text without any of these strings (in any case) runs no rule.
-SIGNS = ("licen", "spdx", "cc by", "cc-by", "cc_by", "cc0", "creative", "public domain", "all rights reserved", "gpl", "unlicense", "by nc", "by-nc")
-
 #: Confidence of each priority, for the score.
 CONFIDENCE = {4: 1.0, 3: 0.95, 2: 0.8, 1: 0.5}
 
@@ -90,6 +88,7 @@ class Rule:
     priority: int
     label: str
     gates: tuple[str, ...]  # one of these words must be there
+    name: str  # a pattern of whole words that every match holds
     pattern: str
 
 
@@ -97,8 +96,8 @@ def rules() -> list[Rule]:
     """All rules, in order of priority, then label, then pattern."""
     out: set[Rule] = set()
 
-    def add(priority, label, gates, pattern):
-        out.add(Rule(priority, label, tuple(gates.split("|")), f"(?<= )(?:{pattern})(?= )"))
+    def add(priority, label, gates, name, pattern):
+        out.add(Rule(priority, label, tuple(gates.split("|")), f"(?<= )(?:{name})(?= )", f"(?<= )(?:{pattern})(?= )"))
 
     def forms(label, name, gates, version=None):
         tail, versions = "", ""
@@ -107,15 +106,15 @@ def rules() -> list[Rule]:
             number = version if " " in version and not version.endswith(" 0") else version.removesuffix(" 0") + "(?: 0)?"
             number = f"(?:v |version |v)?{number}"
             tail, versions = f"(?: {LICENSE})?(?: version)? {number}", f" {number}"
-        add(4, label, gates, f"spdx {LICENSE} identifier (?:{name}){versions}(?: only)?")
-        add(3, label, gates, f"{GRANT} under (?:the )?(?:terms of )?(?:the )?(?:{name})(?: {LICENSE})?{tail}")
+        add(4, label, gates, name, f"spdx {LICENSE} identifier (?:{name}){versions}(?: only)?")
+        add(3, label, gates, name, f"{GRANT} under (?:the )?(?:terms of )?(?:the )?(?:{name})(?: {LICENSE})?{tail}")
         if version is None:
-            add(2, label, gates, f"(?:the )?(?:{name}) (?:public )?{LICENSE}")
+            add(2, label, gates, name, f"(?:the )?(?:{name}) (?:public )?{LICENSE}")
         else:
-            add(2, label, gates, f"(?:the )?(?:{name})(?: public)? {LICENSE}(?: version)? (?:v)?{number}")
-            add(1, label, gates, f"(?:{name}){versions}")
-            add(4, f"{label}-or-later", gates, f"spdx {LICENSE} identifier (?:{name}){versions} or later")
-            add(3, f"{label}-or-later", gates, f"(?:{name})(?: {LICENSE})?(?: as published by the free software foundation)?(?: either)?{tail} "
+            add(2, label, gates, name, f"(?:the )?(?:{name})(?: public)? {LICENSE}(?: version)? (?:v)?{number}")
+            add(1, label, gates, name, f"(?:{name}){versions}")
+            add(4, f"{label}-or-later", gates, name, f"spdx {LICENSE} identifier (?:{name}){versions} or later")
+            add(3, f"{label}-or-later", gates, name, f"(?:{name})(?: {LICENSE})?(?: as published by the free software foundation)?(?: either)?{tail} "
                                                "(?:of the license )?or (?:at your option )?(?:any )?later(?: version)?")
 
     for label, name, versions, gate in FAMILIES:
@@ -127,16 +126,16 @@ def rules() -> list[Rule]:
         short = "cc " + kind.replace("-", " ")
         long = "creative commons " + " ".join(CC_PARTS[p] for p in kind.split("-"))
         for gate, name in (("cc", short), ("creative", long)):
-            add(2, f"cc-{kind}", gate, name)
-            add(3, f"cc-{kind}", gate, f"{GRANT} under (?:an? |the )?(?:terms of )?(?:the )?{name}(?: {LICENSE})?")
+            add(2, f"cc-{kind}", gate, name, name)
+            add(3, f"cc-{kind}", gate, name, f"{GRANT} under (?:an? |the )?(?:terms of )?(?:the )?{name}(?: {LICENSE})?")
             for v in CC_VERSIONS:
-                add(3, f"cc-{kind}-{v.replace(' ', '.')}", gate, f"{name}(?: international| unported| generic)? {v}")
-                add(4, f"cc-{kind}-{v.replace(' ', '.')}", gate, f"{GRANT} under (?:an? |the )?{name}(?: international)? {v}(?: {LICENSE})?")
-    add(3, "cc0-1.0", "cc0", "cc0(?: 1 0)?(?: universal)?")
-    add(3, "cc0-1.0", "creative", "creative commons zero(?: v1 0| 1 0)?")
-    add(2, "public-domain", "public", "(?:released|placed|dedicated|is) (?:in|into|to) the public domain")
-    add(1, "proprietary", "reserved", "all rights reserved")
-    add(3, "proprietary", "proprietary", f"proprietary {LICENSE}|proprietary and confidential")
+                add(3, f"cc-{kind}-{v.replace(' ', '.')}", gate, name, f"{name}(?: international| unported| generic)? {v}")
+                add(4, f"cc-{kind}-{v.replace(' ', '.')}", gate, name, f"{GRANT} under (?:an? |the )?{name}(?: international)? {v}(?: {LICENSE})?")
+    add(3, "cc0-1.0", "cc0", "cc0", "cc0(?: 1 0)?(?: universal)?")
+    add(3, "cc0-1.0", "creative", "creative commons zero", "creative commons zero(?: v1 0| 1 0)?")
+    add(2, "public-domain", "public", "the public domain", "(?:released|placed|dedicated|is) (?:in|into|to) the public domain")
+    add(1, "proprietary", "reserved", "all rights reserved", "all rights reserved")
+    add(3, "proprietary", "proprietary", "proprietary", f"proprietary {LICENSE}|proprietary and confidential")
     return sorted(out, key=lambda r: (-r.priority, r.label, r.pattern))
 
 
@@ -144,10 +143,6 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _any(conditions) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is worked out once: within a lambda a plain column is worked out for each element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -180,19 +175,25 @@ def _matches(normal: Column, rule: Column) -> Column:
     return _let(F.regexp_extract_all(normal, rule["pattern"], F.lit(0)), placed)
 
 
-def _sorted_detections(normal: Column) -> Column:
+def _groups() -> list[dict]:
+    """The rules by name, each name with its gate words."""
+    out: dict[tuple, list] = {}
+    for r in rules():
+        out.setdefault((r.gates, r.name), []).append({"p": r.priority, "label": r.label, "pattern": r.pattern})
+    return [{"gates": gates, "name": name, "rules": group} for (gates, name), group in out.items()]
+
+
+def _sorted_detections(words: Column, normal: Column) -> Column:
     """All detections of a text: those that start first, reach furthest, rank highest, come first."""
-    table = rules()
-    every = _constant([{"p": r.priority, "label": r.label, "gates": r.gates, "pattern": r.pattern} for r in table],
-                      "array<struct<p:int,label:string,gates:array<string>,pattern:string>>")
-    gates = _constant(sorted({g for r in table for g in r.gates}), "array<string>")
+    table = _groups()
+    every = _constant(table, "array<struct<gates:array<string>,name:string,rules:array<struct<p:int,label:string,pattern:string>>>>")
+    gates = _constant(sorted({g for group in table for g in group["gates"]}), "array<string>")
 
     def run(present):
-        open_rules = F.filter(every, lambda r: F.arrays_overlap(r["gates"], present))
-        return F.flatten(F.transform(open_rules, lambda r: _matches(normal, r)))
+        open_groups = F.filter(every, lambda g: F.arrays_overlap(g["gates"], present) & F.rlike(normal, g["name"]))
+        return F.flatten(F.transform(F.flatten(F.transform(open_groups, lambda g: g["rules"])), lambda r: _matches(normal, r)))
 
-    present = F.filter(gates, lambda g: F.contains(normal, F.concat(F.lit(" "), g, F.lit(" "))))
-    return F.array_sort(F.array_distinct(_let(present, run)))
+    return F.array_sort(F.array_distinct(_let(F.array_intersect(gates, words), run)))
 
 
 def _kept(detections: Column) -> Column:
@@ -235,14 +236,13 @@ def scan(docs: DataFrame) -> DataFrame:
     Null and empty texts have no words and no labels. Repeated rows give repeated rows; other columns are ignored.
     """
     text = F.coalesce("text", F.lit(""))
-    lower = F.lower(text)
-    signed = _any([F.contains(lower, F.lit(s)) for s in SIGNS]) | text.rlike("(?i)cc[^0-9a-z]+by")
-    # the normalised text only where a sign stands; white space around it lets patterns ask for whole words
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
-                       F.when(signed, F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0))).alias("words"))
-    normal = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    found = rows.select("doc_id", "n_words", F.when(F.col("words").isNotNull(), _let(normal, lambda n: _kept(_sorted_detections(n)))).alias("kept"),
-                        *[F.when(F.col("words").isNotNull(), _places(F.col("words"), p)).alias(f"b{k}") for k, p in enumerate(BASE_PHRASES)])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0)).alias("words"))
+    # white space around the normalised text lets patterns ask for whole words
+    rows = rows.select("doc_id", "words", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("normal"))
+    kept = _let(F.struct("words", "normal"), lambda t: _kept(_sorted_detections(t["words"], t["normal"])))
+    found = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), kept.alias("kept"),
+                        *[F.when(F.contains("normal", F.lit(f" {p} ")), _places(F.col("words"), p)).alias(f"b{k}") for k, p in enumerate(BASE_PHRASES)])
     none = F.array().cast("array<int>")
     places = F.concat(*[F.coalesce(F.col(f"b{k}"), none) for k in range(len(BASE_PHRASES))])
     base = F.filter(F.array(*[F.when(F.size(F.coalesce(F.col(f"b{k}"), none)) > 0, label) for k, label in enumerate(BASE_PHRASES.values())]),
@@ -251,5 +251,5 @@ def scan(docs: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).cast("long").alias("first_word"),
         F.array_max(places).cast("long").alias("last_word"), F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union(base, F.coalesce("kept.labels", F.array().cast("array<string>")))), ",").alias("labels"),
-        sure.otherwise(0.0).alias("score"), F.coalesce("kept.n", F.lit(0)).cast("long").alias("n_detections"))
+        F.array_join(F.array_sort(F.array_union(base, F.col("kept.labels"))), ",").alias("labels"),
+        sure.otherwise(0.0).alias("score"), F.col("kept.n").alias("n_detections"))

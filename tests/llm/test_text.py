@@ -235,3 +235,46 @@ def test_folds_follow_crc32(spark, mod, held):
     from pyspark.sql import functions as F
     got = spark.range(200).select("id", toxicity.is_held_out(F.col("id"), mod, held).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % mod == held) for r in got)
+
+
+def matching_text(pattern, rnd):
+    """A text that the pattern matches: of each choice one branch at random."""
+    from re import _parser
+
+    def make(parts):
+        out = ""
+        for op, arg in parts:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(arg)
+            elif op == "IN":
+                out += make([rnd.choice(arg)])
+            elif op == "BRANCH":
+                out += make(rnd.choice(arg[1]))
+            elif op == "SUBPATTERN":
+                out += make(arg[3])
+            elif op == "MAX_REPEAT":
+                out += make(arg[2]) * rnd.randint(arg[0], arg[1])
+            else:
+                assert op == "ASSERT", op
+        return out
+
+    return make(_parser.parse(pattern))
+
+
+def test_every_license_rule_matches_only_where_its_gates_open():
+    rnd = random.Random(4)
+    for rule in license_scan.rules():
+        for _ in range(12):
+            text = f" {matching_text(rule.pattern, rnd)} "
+            assert re.search(rule.pattern, text), (rule, text)
+            assert set(rule.gates) & set(text.split()) and re.search(rule.name, text), (rule, text)
+
+
+def test_license_notices_without_the_word_license(make_docs):
+    want = {"Released under Apache 2.0": "apache-2", "Distributed under MPL 2.0": "mpl-2", "released under the MIT": "mit",
+            "EPL 2 or any later version": "epl-2-or-later", "Proprietary and confidential": "proprietary",
+            "placed in the public\n domain": "public-domain", "All  rights\nreserved.": "proprietary", "Use under 0BSD": "bsd-0-clause"}
+    got = {r["doc_id"]: r for r in license_scan.scan(make_docs(list(enumerate(want)))).collect()}
+    for i, (text, label) in enumerate(want.items()):
+        assert label in got[i]["labels"].split(",") and got[i]["score"] > 0, (text, got[i])
