@@ -58,10 +58,17 @@ def fingerprints(docs: DataFrame, shingle_words: int = 4, seed: int = 42) -> Dat
 
 
 def covering_masks(radius: int, within: int = ALL_BITS) -> list[int]:
-    """Masks (subsets of ``within``) such that any ``radius`` bits of ``within`` are avoided by at least one mask."""
+    """Masks (subsets of ``within``) such that any ``radius`` bits of ``within`` are avoided by at least one mask.
+
+    No mask is empty if ``within`` has more than ``radius`` bits.
+    """
     count = (1 << (radius + 1)) - 1
     bits = [i for i in range(64) if within >> i & 1]
-    vector = {b: i % count + 1 for i, b in enumerate(bits)}
+    vectors = list(range(1, count + 1))
+    if len(bits) < 1 << radius:
+        # too few bits to reach the last unit vector in turn: unit vectors first, so that no v <> 0 is orthogonal to all
+        vectors.sort(key=lambda x: x.bit_count() > 1)
+    vector = {b: vectors[i % count] for i, b in enumerate(bits)}
     return [sum(1 << b for b in bits if (vector[b] & v).bit_count() & 1) for v in range(1, count + 1)]
 
 
@@ -71,9 +78,11 @@ def _signed(x: int) -> int:
 
 @lru_cache(maxsize=4096)
 def _finer(mask: int, radius: int) -> tuple[int, ...]:
-    """Masks that split a bucket of ``mask`` further: they keep all its bits and cover the rest anew."""
+    """Masks that split a bucket of ``mask`` further: they keep all its bits, some more, and cover the rest anew."""
     rest = ALL_BITS & ~(mask & ALL_BITS)
-    return tuple(sorted({_signed((mask & ALL_BITS) | m) for m in covering_masks(radius, rest)}))
+    masks = set(covering_masks(radius, rest))
+    # who agrees on a mask agrees on its subsets
+    return tuple(sorted(_signed((mask & ALL_BITS) | m) for m in masks if not any(o != m and o & m == o for o in masks)))
 
 
 def _spanning(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -95,7 +104,8 @@ def link_buckets(rows: Iterator[pa.RecordBatch], radius: int, limit: int = BUCKE
     """Stream rows sorted by (mask, bits, fp); give a spanning forest of links for each bucket.
 
     A bucket of more than ``limit`` distinct fingerprints is not held: its members come out again,
-    once for each finer mask, as rows with ``mask`` set, to be dealt out anew.
+    once for each finer mask, as rows with ``mask`` set, to be dealt out anew. A mask that leaves at most
+    ``radius`` bits free is not split: its bucket has ``2**radius`` fingerprints at most.
     """
     held: list[int] = []
     now: tuple | None = None
@@ -134,7 +144,7 @@ def link_buckets(rows: Iterator[pa.RecordBatch], radius: int, limit: int = BUCKE
                 spill(f, m)
             else:
                 held.append(f)
-                if len(held) > limit:
+                if len(held) > limit and 64 - (m & ALL_BITS).bit_count() > radius:
                     flooded = True
                     for x in held:
                         spill(x, m)

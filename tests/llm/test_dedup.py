@@ -242,3 +242,32 @@ def test_contaminated_documents_and_spans_go(spark, make_docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.remove_contaminated(docs, empty).count() == len(rows)
     assert decontaminate.digests(make_docs([]), bench).count() == 0
+
+
+@pytest.mark.parametrize("radius", [3, 4, 5])
+def test_each_split_keeps_more_bits_and_covers_every_pair(radius):
+    rnd = random.Random(radius)
+    for free in range(radius + 1, 65):
+        rest = rnd.sample(range(64), free)
+        mask = simhash.ALL_BITS & ~sum(1 << b for b in rest)
+        finer = simhash._finer(simhash._signed(mask), radius)
+        assert all(m & mask == mask and m & simhash.ALL_BITS != mask for m in finer)
+        for _ in range(50):
+            diff = sum(1 << b for b in rnd.sample(rest, radius))
+            assert any(m & diff == 0 for m in finer)
+
+
+def test_a_dense_family_is_linked_and_ends(spark):
+    rnd = random.Random(11)
+    # a mask of the second split leaves these bits free: its bucket holds the whole family
+    mask = next(m for a in simhash.covering_masks(4) for m in simhash._finer(simhash._signed(a), 4) if 64 - (m & simhash.ALL_BITS).bit_count() == 14)
+    bits = [b for b in range(64) if not mask >> b & 1]
+    assert all(m != mask for m in simhash._finer(mask, 4))  # else the next lines never end
+    base = rnd.getrandbits(64) & mask
+    fps = {base | sum(1 << b for k, b in enumerate(bits) if x >> k & 1) for x in rnd.sample(range(1 << 14), 4096)}
+    lone = base ^ sum(1 << b for b in range(64) if mask >> b & 1 and b % 2)
+    df = spark.createDataFrame([(simhash._signed(f),) for f in {*fps, lone}], "fp long")
+    roots = components.connected_components(simhash.fingerprint_links(df, 4)).collect()
+    named = {r["node"] & simhash.ALL_BITS: r["root"] for r in roots}
+    assert fps - {next(iter({r["root"] & simhash.ALL_BITS for r in roots}))} <= set(named) and lone not in named
+    assert len(set(named.values())) == 1
