@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestay.llm.store import map_arrow, stored, utf8
+from carestay.llm.store import forget, map_arrow, stored, utf8
 
 #: Bytes that are no part of a word become spaces, A-Z become a-z.
 _SEPARATORS = bytes(i for i in range(128) if not (48 <= i <= 57 or 65 <= i <= 90 or 97 <= i <= 122))
@@ -93,50 +93,45 @@ def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
         yield [(r["item_id"], r["text"].encode()) for r in part.toLocalIterator()]
 
 
-def _scan(docs: DataFrame, items: list[tuple[int, bytes]], n: int) -> DataFrame:
-    spark = docs.sparkSession
-    index = spark.sparkContext.broadcast(WindowIndex(items, n))
+def _scan(docs: DataFrame, items: list[tuple[int, bytes]], n: int, last: bool = True) -> DataFrame:
+    """One block's pass over ``docs``: (doc_id, text) and, from earlier passes, what was found; the last one drops the text."""
+    index = docs.sparkSession.sparkContext.broadcast(WindowIndex(items, n))
+    noted = "spans" in docs.columns
 
     def run(batch: pa.RecordBatch):
         n_words, spans, found = [], [], []
         look = index.value.hits
-        for text in utf8(batch.column(1)):
+        texts = utf8(batch.column(1))
+        known = zip(*(batch.column(k).to_pylist() for k in (3, 4))) if noted else (((), ()) for _ in texts)
+        for text, (before, owners) in zip(texts, known):
             words = words_of(text)
             at, items = look(words)
             n_words.append(len(words))
-            spans.append([x for s in merged(at) for x in s])
-            found.append(sorted(items))
-        return batch.column(0), n_words, spans, found
+            spans.append([x for s in merged([*zip(before[::2], before[1::2]), *at]) for x in s])
+            found.append(sorted(items.union(owners)))
+        return batch.column(0), *(() if last else (batch.column(1),)), n_words, spans, found
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text")), run,
-                     "doc_id long, n_words long, spans array<long>, items array<long>")
+    rows = docs if noted else docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_arrow(rows, run, f"doc_id long, {'' if last else 'text string, '}n_words long, spans array<long>, items array<long>")
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, spans, items): word spans [start, end, start, end, …) hit by benchmark windows, merged.
 
     A window is ``n`` consecutive words of an item; an item of fewer words, but not none, is one
-    window. Null texts have no words. Rows that repeat give repeated rows when the benchmark fits in one block,
-    else rows are merged by doc_id. Items without item_id are left out, as nothing names them. Beyond ``block_words`` the benchmark
-    is scanned for block by block (several passes over the documents), so that what is broadcast stays bounded.
+    window. Null texts have no words. Rows that repeat give repeated rows, with or without doc_id.
+    Items without item_id are left out, as nothing names them. Beyond ``block_words`` the benchmark is scanned
+    for block by block (several passes, which note what was found beside the row), so that what is broadcast stays bounded.
     """
     blocks = benchmark_blocks(benchmark, block_words)
-    first = _scan(docs, next(blocks), n)
-    second = next(blocks, None)
-    if second is None:
-        return first
-    # one pass at a time, so that one block is held at a time
-    every = stored(first, "scan")
-    for items in chain([second], blocks):
-        every = every.unionByName(stored(_scan(docs, items, n), "scan"))
-    gathered = every.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
-                                           F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-
-    def run(batch: pa.RecordBatch):
-        spans = [[x for s in merged(zip(p[::2], p[1::2])) for x in s] for p in batch.column(2).to_pylist()]
-        return batch.column(0), batch.column(1), spans, [sorted(x) for x in batch.column(3).to_pylist()]
-
-    return map_arrow(gathered, run, "doc_id long, n_words long, spans array<long>, items array<long>")
+    rows, items = docs, next(blocks)
+    for following in blocks:
+        # one pass at a time, so that one block is held at a time
+        done, rows = rows, stored(_scan(rows, items, n, last=False), "scan")
+        if done is not docs:
+            forget(docs.sparkSession, done)
+        items = following
+    return _scan(rows, items, n)
 
 
 def hit_words(spans) -> F.Column:

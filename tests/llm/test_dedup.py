@@ -271,3 +271,12 @@ def test_a_dense_family_is_linked_and_ends(spark):
     named = {r["node"] & simhash.ALL_BITS: r["root"] for r in roots}
     assert fps - {next(iter({r["root"] & simhash.ALL_BITS for r in roots}))} <= set(named) and lone not in named
     assert len(set(named.values())) == 1
+
+
+def test_scan_gives_the_same_rows_in_one_block_or_many(spark, make_docs):
+    rows, items = leak_corpus()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    # a doc_id of two texts, and several rows without doc_id
+    docs = make_docs([*rows, (6, rows[9][1]), (None, rows[3][1]), (None, "nothing here"), (None, None)])
+    one, many = (sorted(map(str, decontaminate.scan(docs, bench, block_words=k).collect())) for k in (1_000_000, 10))
+    assert many == one and len(one) == len(rows) + 4
