@@ -49,15 +49,15 @@ def shingle_hashes(text: Column, k: int = SHINGLE_WORDS) -> Column:
     return _let(F.transform(words, lambda w: F.xxhash64(w)), shingles)
 
 
-def sketch(text: Column, k: int = SHINGLE_WORDS, scale: int = SCALE, floor: int = FLOOR) -> Column:
-    """The sorted distinct retained hashes of a text, as an array of signed longs."""
+def _retained(h: Column, scale: int, floor: int) -> Column:
     under = F.lit(_threshold(scale))
+    return _let(F.sort_array(F.array_distinct(F.filter(h, lambda x: x < under))),
+                lambda low: F.when(F.size(low) >= floor, low).otherwise(F.slice(F.sort_array(F.array_distinct(h)), 1, floor)))
 
-    def retained(h):
-        return _let(F.sort_array(F.array_distinct(F.filter(h, lambda x: x < under))),
-                    lambda low: F.when(F.size(low) >= floor, low).otherwise(F.slice(F.sort_array(F.array_distinct(h)), 1, floor)))
 
-    return _let(shingle_hashes(text, k), retained)
+def sketch(text: Column, k: int = SHINGLE_WORDS, scale: int = SCALE, floor: int = FLOOR) -> Column:
+    """The sorted distinct retained hashes of a text, as an array of signed longs."""
+    return _let(shingle_hashes(text, k), lambda h: _retained(h, scale, floor))
 
 
 def reach(a: Column, scale: int = SCALE, floor: int = FLOOR) -> Column:
@@ -97,8 +97,12 @@ def containment(a: Column, b: Column, scale: int = SCALE, floor: int = FLOOR) ->
 
 
 def merged(a: Column, b: Column, scale: int = SCALE, floor: int = FLOOR) -> Column:
-    """The sketch of two texts together, from their sketches, for thresholds not raised by the floor."""
-    return F.sort_array(F.array_union(a, b))
+    """The sketch of the shingles of two texts together, from their sketches (of the same scale and floor), raised or not.
+
+    Every sketch holds all its text's hashes below the fixed fraction, or fewer than ``floor`` of them and its smallest
+    ones. So the union holds all that its own sketch needs, and what lies beyond the lower reach is cut with the rest.
+    """
+    return _let(F.array_union(a, b), lambda h: _retained(h, scale, floor))
 
 
 def as_text(a: Column) -> Column:

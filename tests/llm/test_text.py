@@ -278,3 +278,24 @@ def test_license_notices_without_the_word_license(make_docs):
     got = {r["doc_id"]: r for r in license_scan.scan(make_docs(list(enumerate(want)))).collect()}
     for i, (text, label) in enumerate(want.items()):
         assert label in got[i]["labels"].split(",") and got[i]["score"] > 0, (text, got[i])
+
+
+def test_merged_sketches_of_short_texts_are_sketches_of_the_union(make_docs, spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(12)
+    words = [str(rnd.random()) for _ in range(3000)]
+    sizes = [3, 20, 50, 120, 400, 1500]
+    parts = {i: words[i * 40:i * 40 + n] for i, n in enumerate(sizes)}
+    rows = make_docs([(i, " ".join(w)) for i, w in parts.items()]).select(
+        "doc_id", fingerprint.sketch(F.col("text")).alias("s"), fingerprint.shingle_hashes(F.col("text")).alias("h")).collect()
+    s, h = {r["doc_id"]: r["s"] for r in rows}, {r["doc_id"]: set(r["h"]) for r in rows}
+    pairs = [(i, j) for i in s for j in s]
+    df = spark.createDataFrame([(i, j, s[i], s[j]) for i, j in pairs], "i int, j int, a array<long>, b array<long>")
+    got = {(r["i"], r["j"]): r for r in df.select("i", "j", fingerprint.merged(F.col("a"), F.col("b")).alias("m"),
+           fingerprint.containment(F.col("a"), fingerprint.merged(F.col("a"), F.col("b"))).alias("held")).collect()}
+    for i, j in pairs:
+        union = sorted(h[i] | h[j])
+        low = [x for x in union if x < fingerprint._threshold(fingerprint.SCALE)]
+        want = low if len(low) >= fingerprint.FLOOR else union[:fingerprint.FLOOR]
+        assert list(got[i, j]["m"]) == want, (i, j)
+        assert got[i, j]["held"] == 1.0
