@@ -39,8 +39,12 @@ ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "aler
 TAG_SCORE = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0, "address": -3.0,
              "ol": -3.0, "ul": -3.0, "dl": -3.0, "li": -3.0}
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{0,8192}"|'[^']{0,8192}')*+)>|<[!?/][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+_START = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)|<[!?/]", re.S)
+#: Attributes up to the tag's end; a quote opens a value after = only, and one that nothing closes is a character like others.
+_REST = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)*+)>""")
+_PLAIN_REST = re.compile(r"([^>]*+)>")
+#: An attribute of interest, or another one's quoted value, so that nothing is looked for within it.
+_ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?|=\s*(?:"[^"]*"|'[^']*')""", re.I)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -48,6 +52,8 @@ def _attributes(raw: str) -> tuple[bool, bool, bool]:
     """(hidden or of a furniture role, a furniture name, a content name) from the attributes of a start tag."""
     gone = negative = positive = False
     for m in _ATTRIBUTE.finditer(raw):
+        if not m[1]:
+            continue
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
             parts = {x.lower() for x in _NAME_PART.findall(value)}
@@ -62,6 +68,27 @@ def _attributes(raw: str) -> tuple[bool, bool, bool]:
     return gone, negative, positive
 
 
+def _tokens(source: str):
+    """(start, end, slash, tag name, attributes) of each tag, comment and declaration; the last three are empty for the latter two."""
+    at, rest = 0, _REST
+    while m := _START.search(source, at):
+        at = m.end()
+        if not m[0].startswith("<!--"):
+            tail = (rest if m[2] else _PLAIN_REST).match(source, at)
+            if tail is None and m[2]:
+                # after quoted values the page ends within the tag: from here on tags end at the first >
+                rest = _PLAIN_REST
+                tail = rest.match(source, at)
+            if tail is None:
+                # no > is left, so only a comment that nothing closes may follow
+                at = source.find("<!--", at)
+                if at >= 0:
+                    yield at, len(source), "", "", ""
+                return
+            at = tail.end()
+        at = (yield m.start(), at, m[1] or "", m[2] or "", tail[1] if m[2] else "") or at
+
+
 class Page:
     """The block tree of a page: parallel lists for elements (parents first) and text blocks in page order."""
 
@@ -110,19 +137,20 @@ class Page:
             if link:
                 linked += len("".join(text.split()))
 
-        end = len(source)
+        end, tokens, skip = len(source), _tokens(source), None
         while at < end:
-            m = _TOKEN.search(source, at)
-            if m is None:
+            try:
+                start, stop, slash, tag, attributes = tokens.send(skip)
+            except StopIteration:
                 say(source[at:])
                 break
-            if m.start() > at:
-                say(source[at:m.start()])
-            at = m.end()
-            tag = (m[2] or "").lower()
+            skip = None
+            if start > at:
+                say(source[at:start])
+            at, tag = stop, tag.lower()
             if not tag:
                 continue
-            if m[1]:
+            if slash:
                 if tag == "a":
                     link = max(0, link - 1)
                 elif tag in BLOCKS:
@@ -133,10 +161,10 @@ class Page:
                     elif tag == "p":
                         flush()
             elif tag in RAW:
-                if not m[3].endswith("/"):
+                if not attributes.endswith("/"):
                     close = re.compile(rf"</{tag}[\s/>]", re.I).search(source, at)
                     stop = source.find(">", close.end() - 1) if close else -1
-                    at = end if stop < 0 else stop + 1
+                    at = skip = end if stop < 0 else stop + 1
             elif tag in ("br", "hr"):
                 run.append(" ")
             elif tag == "a":
@@ -156,7 +184,7 @@ class Page:
                         elif self.tag[a] in ("ul", "ol", "dl", "table", "select", "div", "section", "article"):
                             break
                 if tag != "html" and (tag != "body" or "body" not in [self.tag[a] for a in self._up(top)]):
-                    top = self._open(tag, m[3], top)
+                    top = self._open(tag, attributes, top)
         flush()
 
     def main_blocks(self) -> list[str]:

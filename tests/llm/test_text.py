@@ -299,3 +299,15 @@ def test_merged_sketches_of_short_texts_are_sketches_of_the_union(make_docs, spa
         want = low if len(low) >= fingerprint.FLOOR else union[:fingerprint.FLOOR]
         assert list(got[i, j]["m"]) == want, (i, j)
         assert got[i, j]["held"] == 1.0
+
+
+def test_html_attribute_values_of_any_length():
+    text = "First, a paragraph, of text, that is long enough to count as prose, surely."
+    value = '{"hidden": "' + "x>" * 50_000 + '"}'
+    page = (f"<body><div class='nav' data-json='{value}'><p>Menu, one, two, three, four, five, six</p></div><article data-json='{value}'><p>{text}</p>"
+            f'<img src="data:image/png;base64,{"A" * 100_000}"><p>{text}</p></article>')
+    assert html_main.main_text(page) == f"{text} {text}"
+    # a quote that nothing closes: the tag ends at the first >
+    assert html_main.main_text(f'<article><p title="x>{text}</p><p class=it\'s>{text}</p></article>') == f"{text} {text}"
+    assert html_main.main_text("a <b <!-- open") == "a <b"
+    assert len(html_main.main_text('<a x="' * 20_000 + "</ " * 20_000)) == 20_000 * 9 - 1  # in linear time
