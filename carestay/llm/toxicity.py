@@ -147,7 +147,7 @@ def restore(token: str, model: CharModel) -> str:
 
 EDGE = " \t.,;:?!\"'()[]{}<>|&%#*~`«»¿¡…-_=/\\"
 #: What makes a word of letters suspicious: repetition, or letters of another script.
-_SIGNS = re.compile(r"(.)\1\1|[" + "".join(c for c in IMITATES if c.isalpha()) + "]")
+_SIGNS = re.compile(r"(.)\1|[" + "".join(c for c in IMITATES if c.isalpha()) + "]")
 _SEPARATOR = re.compile("[" + re.escape("".join(c for c in SEPARATORS if c not in IMITATES)) + "]+")
 _LONG_RUN = re.compile(r"(.)\1{3,}")
 _DOUBLE = re.compile(r"(.)\1+")
@@ -300,19 +300,13 @@ class ToxicityModel:
 
     def __init__(self, chars: CharModel, weights: dict[str, float], base: float):
         self.chars, self.weights, self.base = chars, weights, base
-        self.begins = {f.rstrip("$~")[:4] for f in weights}
         self.cache: dict[str, float] = {}
 
     def token_score(self, token: str) -> float:
         if len(self.cache) >= CACHE_TOKENS:
             self.cache.clear()
-        s = self.base
-        # a plain word has one reading, itself; most show by their first letters that no feature begins so
-        plain = token.rstrip(".,")
-        if not plain.isalpha() or plain[:4].lower() in self.begins or _SIGNS.search(plain):
-            get = self.weights.get
-            s = max((get(f, s) for w in restored_words(token, self.chars) for f in features(w)), default=s)
-        self.cache[token] = s
+        get, base = self.weights.get, self.base
+        s = self.cache[token] = max((get(f, base) for w in restored_words(token, self.chars) for f in features(w)), default=base)
         return s
 
     def score(self, text: str) -> float:

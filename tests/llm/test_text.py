@@ -311,3 +311,18 @@ def test_html_attribute_values_of_any_length():
     assert html_main.main_text(f'<article><p title="x>{text}</p><p class=it\'s>{text}</p></article>') == f"{text} {text}"
     assert html_main.main_text("a <b <!-- open") == "a <b"
     assert len(html_main.main_text('<a x="' * 20_000 + "</ " * 20_000)) == 20_000 * 9 - 1  # in linear time
+
+
+def small_toxicity_model():
+    import numpy as np
+    counts = np.zeros(toxicity.CLASSES ** 4, np.int64)
+    c = toxicity.BYTE_CLASS[np.frombuffer(b"   " + b"idiot moron stupid the and other little letter " * 50, np.uint8)]
+    np.add.at(counts, ((c[:-3] * 32 + c[1:-2]) * 32 + c[2:-1]) * 32 + c[3:], 1)
+    return toxicity.ToxicityModel(toxicity.CharModel(counts), {"idiot$": 0.9, "stup": 0.9, "moron~": 0.9}, 0.1)
+
+
+def test_toxicity_of_doubled_letters_and_capitals():
+    model = small_toxicity_model()
+    words = ["iidiot", "stuupid", "StUuUpid", "moorron", "IDIОT", "mОrоn", "idioot."]
+    assert [w for w in words if model.score(f"the {w} other") < 0.7] == []
+    assert model.score("the little letter and other") == 0.1
