@@ -152,8 +152,6 @@ _SEPARATOR = re.compile("[" + re.escape("".join(c for c in SEPARATORS if c not i
 _LONG_RUN = re.compile(r"(.)\1{3,}")
 _DOUBLE = re.compile(r"(.)\1+")
 _EDGE_RUN = re.compile(r"([^\w\s])\1+$")
-#: Three or more single characters in a row, each set apart by white space.
-_SPELLED = re.compile(r"(?<!\S)[\w@$!+](?:[ \t\n\r\x0b\x0c]+[\w@$!+]){2,}(?!\S)")
 
 
 def core(token: str) -> str:
@@ -203,15 +201,32 @@ def features(word: str) -> list[str]:
     return [word + "$", _DOUBLE.sub(r"\1", word) + "~", *[word[:k] for k in STEMS if len(word) >= k]]
 
 
-#: Cheap sign that a spelled-out run may be there.
-_MAYBE_SPELLED = re.compile(r"\s[\w@$!+]\s+[\w@$!+]\s")
+#: Sign that a spelled-out run may be there: three tokens of at most one letter or digit each.
+_MAYBE_SPELLED = re.compile(r"(?<!\S)(?:[^\w\s]|_)*+[^\W_]?+(?:[^\w\s]|_)*+(?:\s++(?:[^\w\s]|_)*+[^\W_]?+(?:[^\w\s]|_)*+){2}(?!\S)")
+
+
+def lone_character(token: str) -> str:
+    """The one letter, digit or imitating character of a token, without punctuation around it; else nothing."""
+    for ch in (token, token.strip(EDGE), token.strip(".,;:?\"'[]{}")):
+        if len(ch) == 1 and (ch.isalnum() or ch == "_" or ch in IMITATES):
+            return ch
+    return ""
 
 
 def spelled_runs(text: str) -> list[str]:
-    """Runs of single characters that white space sets apart, with single spaces; longer ones are no words."""
-    if _MAYBE_SPELLED.search(f" {text} ") is None:
+    """Runs of three or more single characters that white space sets apart, with single spaces and no punctuation around them."""
+    if _MAYBE_SPELLED.search(text) is None:
         return []
-    return [w for m in _SPELLED.findall(text) for w in windows(" ".join(m.split()), 2 * WINDOW)]
+    out, run = [], []
+    for token in [*text.split(), ""]:
+        ch = lone_character(token)
+        if ch:
+            run.append(ch)
+        else:
+            if len(run) > 2:
+                out += windows(" ".join(run), 2 * WINDOW)
+            run = []
+    return out
 
 
 def tokens_of(text: str) -> set[str]:

@@ -326,3 +326,13 @@ def test_toxicity_of_doubled_letters_and_capitals():
     words = ["iidiot", "stuupid", "StUuUpid", "moorron", "IDIОT", "mОrоn", "idioot."]
     assert [w for w in words if model.score(f"the {w} other") < 0.7] == []
     assert model.score("the little letter and other") == 0.1
+
+
+def test_spelled_out_words_with_punctuation_and_odd_blanks():
+    runs = toxicity.spelled_runs
+    for text in ("a big m o r o n.", '"m o r o n"', "(m o r o n)", "you m, o, r, o, n!", "m o r o　n", "the _m o r o n_", "m o r o n...\" said"):
+        assert [r.replace(" ", "").removeprefix("a") for r in runs(text)] == ["moron"], text
+    assert runs("l | t t ( € £ ¡ end") == ["l | t t ( € £ ¡"] and runs("the - a - b and, so on.") == []
+    model = small_toxicity_model()
+    assert [t for t in ("(i d i o t)", "you m o r o n.", "such an | d | o t ,", "i d i o t") if model.score(t) < 0.7] == []
+    assert runs("! " * 50_000 + "x" * 100_000 + " _" * 50_000)  # in linear time
