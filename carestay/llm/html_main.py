@@ -35,6 +35,10 @@ NEGATIVE = {"ad", "ads", "adv", "advert", "advertisement", "advertising", "adsen
             "breadcrumb", "breadcrumbs", "pagination", "pager", "menu", "nav", "navbar", "navigation", "header", "masthead", "footer", "skip",
             "toolbar", "search", "form", "hidden", "tracking", "paywall", "disclaimer"}
 POSITIVE = {"article", "content", "main", "post", "entry", "body", "story", "text", "page", "column", "blog"}
+#: Content names of containers that hold one article.
+WHOLE = {"article", "content", "main", "post", "entry", "story"}
+#: A class that begins so tells what a page has, not what the element is.
+STATES = {"no", "without", "has", "with"}
 ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "alert", "alertdialog", "dialog", "form", "menu", "menubar"}
 TAG_SCORE = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0, "address": -3.0,
              "ol": -3.0, "ul": -3.0, "dl": -3.0, "li": -3.0}
@@ -48,24 +52,31 @@ _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|aria-hidden|hidden|style
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _attributes(raw: str) -> tuple[bool, bool, bool]:
-    """(hidden or of a furniture role, a furniture name, a content name) from the attributes of a start tag."""
-    gone = negative = positive = False
+def _attributes(raw: str) -> tuple[bool, bool, bool, bool, bool]:
+    """From the attributes of a start tag: whether it is hidden or of a furniture role, has a furniture name, has a content
+    name, has one apart from furniture names, and has such a one of WHOLE.
+    """
+    gone = negative = positive = apart = whole = False
     for m in _ATTRIBUTE.finditer(raw):
         if not m[1]:
             continue
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            parts = {x.lower() for x in _NAME_PART.findall(value)}
-            negative |= not parts.isdisjoint(NEGATIVE)
-            positive |= not parts.isdisjoint(POSITIVE)
+            for one in value.split():
+                parts = [x.lower() for x in _NAME_PART.findall(one)]
+                bad = not NEGATIVE.isdisjoint(parts) and parts[0] not in STATES
+                negative |= bad
+                if not POSITIVE.isdisjoint(parts):
+                    positive = True
+                    apart |= not bad
+                    whole |= not bad and not WHOLE.isdisjoint(parts)
         elif name == "role":
             gone |= value.lower() in ROLES
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             gone = True
         elif name == "style":
             gone |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
-    return gone, negative, positive
+    return gone, negative, positive, apart, whole
 
 
 def _tokens(source: str):
@@ -92,17 +103,20 @@ def _tokens(source: str):
 class Page:
     """The block tree of a page: parallel lists for elements (parents first) and text blocks in page order."""
 
-    def __init__(self, source: str):
-        self.parent, self.tag, self.gone, self.weight = [-1], ["#page"], [False], [0.0]
+    def __init__(self, source: str, names: bool = True):
+        self.names = names  # whether a furniture name removes an element
+        self.parent, self.tag, self.gone, self.weight, self.whole = [-1], ["#page"], [False], [0.0], [False]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters within links
         self._read(source)
 
     def _open(self, tag: str, raw: str, top: int) -> int:
-        hidden, negative, positive = _attributes(raw) if raw else (False, False, False)
+        hidden, negative, positive, apart, whole = _attributes(raw) if raw else (False,) * 5
         inside = self.gone[top]
         if tag in ("html", "body"):
             hidden = negative = False
-        furniture = tag in FURNITURE or hidden or negative and tag not in ("main", *TEXT_BLOCKS - {"li", "td", "blockquote", "p"})
+        # beside a content name, or on an article, a furniture name only lowers the score
+        named = self.names and negative and not apart and tag not in ("main", "article", *TEXT_BLOCKS - {"li", "td", "blockquote", "p"})
+        furniture = tag in FURNITURE or hidden or named
         if tag == "header":
             # the header of an article holds its title; the page's header is furniture
             furniture = hidden or not any(self.tag[a] in ("article", "main") for a in self._up(top))
@@ -110,6 +124,7 @@ class Page:
         self.tag.append(tag)
         self.gone.append(inside or furniture)
         self.weight.append(TAG_SCORE.get(tag, 0.0) + (25.0 if positive else 0.0) - (25.0 if negative else 0.0))
+        self.whole.append(tag in ("article", "main") or whole and tag not in ("html", "body"))
         return len(self.tag) - 1
 
     def _up(self, node: int):
@@ -188,7 +203,7 @@ class Page:
         flush()
 
     def main_blocks(self) -> list[str]:
-        """The texts of the best container and its siblings, in page order."""
+        """The texts of the best container and its siblings, in page order; within an article all that is not mainly links."""
         n = len(self.tag)
         points, length, linked, held = [0.0] * n, [0] * n, [0] * n, [False] * n
         for node, text, links in self.blocks:
@@ -213,22 +228,36 @@ class Page:
         keep = [False] * n
         keep[best] = True
         home = self.parent[best]
+        article = -1 if self.tag[best] in ("article", "main") else next((a for a in self._up(home) if self.whole[a]), -1)
+        spine = set()
+        if article >= 0:
+            keep[article] = True
+            for a in self._up(best):
+                spine.add(a)
+                if a == article:
+                    break
+            home = -1
         for a in range(1, n):
-            if keep[self.parent[a]] and a != best:
+            if a in spine:
                 keep[a] = True
+            elif keep[self.parent[a]] and a != best:
+                keep[a] = self.parent[a] == best or self.parent[a] not in spine or density[a] <= 0.5
             elif self.parent[a] == home and home >= 0 and a != best and not self.gone[a] and length[a]:
                 if self.tag[a] in TEXT_BLOCKS:
                     keep[a] = density[a] < 0.25 and (length[a] > 80 or self.tag[a] in HEADINGS)
                 else:
                     keep[a] = score[a] >= max(10.0, 0.2 * score[best])
-            if keep[a] and self.tag[a] in ("ul", "ol", "div", "section", "table") and a != best and density[a] > 0.5:
+            if keep[a] and self.tag[a] in ("ul", "ol", "div", "section", "table") and a != best and a not in spine and density[a] > 0.5:
                 keep[a] = False
         return [text for node, text, links in self.blocks if keep[node]]
 
 
 def main_text(source: str) -> str:
-    """Main text of one page: blocks in page order, joined by one space; empty if there is none."""
-    return " ".join(Page(source).main_blocks())
+    """Main text of one page: blocks in page order, joined by one space; empty if there is none.
+
+    Where furniture names leave nothing, the page is read again without that rule.
+    """
+    return " ".join(Page(source).main_blocks() or Page(source, names=False).main_blocks())
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -336,3 +336,20 @@ def test_spelled_out_words_with_punctuation_and_odd_blanks():
     model = small_toxicity_model()
     assert [t for t in ("(i d i o t)", "you m o r o n.", "such an | d | o t ,", "i d i o t") if model.score(t) < 0.7] == []
     assert runs("! " * 50_000 + "x" * 100_000 + " _" * 50_000)  # in linear time
+
+
+def test_html_keeps_what_stands_beside_the_best_container():
+    long = "One of many sentences, with commas, in a paragraph, that goes on. " * 4
+    paragraphs = lambda n: f"<p>{long}</p>" * n
+    text = html_main.main_text(f"<body><div class=x><p>Outside.</p></div><article><h1>Title</h1><p>Short lead.</p><div>{paragraphs(40)}</div><section>{paragraphs(7)}"
+                               f"</section><ul><li><a href=x>More, more</a></ul><div class=share>Share</div><p>Closing line.</p></article>")
+    assert text.startswith("Title Short lead. One") and text.endswith("goes on. Closing line.") and text.count(long.strip()) == 47
+
+
+def test_html_furniture_names_beside_content_names():
+    text = "A paragraph, of text, that is long enough to count as prose, surely."
+    for opened in ("<div class='content no-sidebar'>", "<div class='content widget'>", "<article class='post has-comments'>", "<article class='comment-open'>",
+                   "<div class='has-sidebar'>"):
+        page = f"<body><div class=post-comments><p>I think, so, too, really, yes</p></div>{opened}<p>{text}</p><p>{text}</p></{opened[1:].split()[0]}>"
+        assert html_main.main_text(page) == f"{text} {text}", opened
+    assert html_main.main_text(f"<body><div class=newsletter><p>{text}</p></div>") == text
