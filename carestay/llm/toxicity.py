@@ -151,6 +151,7 @@ _SIGNS = re.compile(r"(.)\1|[" + "".join(c for c in IMITATES if c.isalpha()) + "
 _SEPARATOR = re.compile("[" + re.escape("".join(c for c in SEPARATORS if c not in IMITATES)) + "]+")
 _LONG_RUN = re.compile(r"(.)\1{3,}")
 _DOUBLE = re.compile(r"(.)\1+")
+_LOOKALIKE = re.compile("[" + "".join(c for c in IMITATES if c.isalpha()) + "]")
 _EDGE_RUN = re.compile(r"([^\w\s])\1+$")
 
 
@@ -315,12 +316,20 @@ class ToxicityModel:
 
     def __init__(self, chars: CharModel, weights: dict[str, float], base: float):
         self.chars, self.weights, self.base = chars, weights, base
+        self.begins = {_DOUBLE.sub(r"\1", f.rstrip("$~"))[:4] for f in weights}
         self.cache: dict[str, float] = {}
 
     def token_score(self, token: str) -> float:
         if len(self.cache) >= CACHE_TOKENS:
             self.cache.clear()
         get, base = self.weights.get, self.base
+        plain = token.rstrip(".,").lower()
+        if plain.isalpha() and len(plain) <= WINDOW and not _LOOKALIKE.search(plain):
+            # its readings differ in repeated letters only: without those, a feature must begin as it does
+            bare = _DOUBLE.sub(r"\1", plain)
+            if not any(bare[:k] in self.begins for k in range(1, 5)):
+                self.cache[token] = base
+                return base
         s = self.cache[token] = max((get(f, base) for w in restored_words(token, self.chars) for f in features(w)), default=base)
         return s
 

@@ -353,3 +353,12 @@ def test_html_furniture_names_beside_content_names():
         page = f"<body><div class=post-comments><p>I think, so, too, really, yes</p></div>{opened}<p>{text}</p><p>{text}</p></{opened[1:].split()[0]}>"
         assert html_main.main_text(page) == f"{text} {text}", opened
     assert html_main.main_text(f"<body><div class=newsletter><p>{text}</p></div>") == text
+
+
+def test_tokens_passed_over_have_no_reading_with_a_feature():
+    model, rnd = small_toxicity_model(), random.Random(3)
+    for _ in range(3000):
+        word = rnd.choice(["idiot", "stupid", "moron", "stop", "ido", "mother", "idle"])[:rnd.randint(2, 6)]
+        token = "".join((c.upper() if rnd.random() < 0.2 else c) * rnd.choice([1, 1, 1, 2, 3]) for c in word) + rnd.choice(["", ".", ",."])
+        read = [model.weights.get(f, 0.1) for w in toxicity.restored_words(token, model.chars) for f in toxicity.features(w)]
+        assert model.token_score(token) == max(read, default=0.1), token
