@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestay.llm import bpe, decontaminate, fingerprint, html_main, license_scan, linededup, quality, secret_scan, simhash, toxicity
+from carestay.llm import (bpe, centroids, decontaminate, fingerprint, html_main, license_scan, linededup, quality, secret_scan,
+                          simhash, suffixarray, toxicity, whitening)
 from carestay.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +86,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.kept_digests(table(spark, sf_dir, "documents"), min_chars=10)
 
 
+@_query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, seed=3, scale=1024)
+
+
+@_query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.kept_digests(table(spark, sf_dir, "documents"), length=50)
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a deviation that outgrows a long is null here; the operator gives it as a decimal
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 ORACLES["op8_decontamination"] = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -125,3 +143,51 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (lost)
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+def _centroid_sql(clusters: int = 8, rounds: int = 10, seed: int = 3, scale: int = 1024) -> str:
+    """Rounds written out one after another, over one row a component."""
+    placed = """{name} AS MATERIALIZED (
+  SELECT rid, arg_min(c, d * 100 + c) AS c, min(d) AS d
+  FROM (SELECT rid, c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM v JOIN m{i} m USING (dim) GROUP BY rid, c) GROUP BY rid)"""
+    parts = [f"""
+WITH rows AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings WHERE len(embedding) = 64),
+cells AS (SELECT rid, unnest(embedding) AS e, unnest(range(64)) AS dim FROM rows),
+fine AS (SELECT rid FROM cells GROUP BY rid HAVING bool_and(e IS NOT NULL AND isfinite(coalesce(e, 0)))),
+v AS MATERIALIZED (SELECT rid, dim, CAST(floor({scale} * CAST(e AS DOUBLE)) AS HUGEINT) AS x FROM cells JOIN fine USING (rid)),
+firsts AS (SELECT rid, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, embedding) - 1 AS c FROM rows JOIN fine USING (rid)),
+m0 AS MATERIALIZED (SELECT c, dim, x FROM firsts JOIN v USING (rid) WHERE c < {clusters})"""]
+    for i in range(rounds):
+        parts.append(placed.format(name=f"a{i}", i=i))
+        parts.append(f"""m{i + 1} AS MATERIALIZED (
+  SELECT m.c, m.dim, coalesce(t.x, m.x) AS x
+  FROM m{i} m LEFT JOIN (SELECT c, dim, (s - ((s % n) + n) % n) // n AS x
+    FROM (SELECT c, dim, sum(x) AS s, count(*) AS n FROM v JOIN a{i} USING (rid) GROUP BY c, dim)) t ON t.c = m.c AND t.dim = m.dim)""")
+    parts.append(placed.format(name="final", i=rounds))
+    return ",\n".join(parts) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM final JOIN rows USING (rid)
+JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM m{rounds} GROUP BY c) USING (c)
+"""
+
+
+ORACLES["op11_centroids"] = _centroid_sql()
+
+# bytes as pairs of hexadecimal digits
+ORACLES["op12_suffix_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (SELECT rid, doc_id, p, substr(x, 2 * p + 1, 100) AS w
+            FROM (SELECT rid, doc_id, x, unnest(range(len(x) // 2 - 49)) AS p FROM d WHERE len(x) >= 100)),
+owners AS (SELECT w, min(doc_id) AS owner FROM windows GROUP BY w),
+starts AS (SELECT rid, p FROM windows JOIN owners USING (w) WHERE owner < doc_id),
+gone AS (SELECT DISTINCT rid, p FROM (SELECT rid, unnest(range(p, p + 50)) AS p FROM starts)),
+runs AS (SELECT rid, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before < p - 1) AS n_spans
+         FROM (SELECT rid, p, lag(p) OVER (PARTITION BY rid ORDER BY p) AS before FROM gone) GROUP BY rid),
+bytes AS (SELECT rid, substr(x, 2 * p + 1, 2) AS b, p FROM (SELECT rid, x, unnest(range(len(x) // 2)) AS p FROM d JOIN runs USING (rid))),
+kept AS (SELECT rid, string_agg(b, '' ORDER BY p) AS x FROM bytes ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n_removed IS NULL THEN d.x ELSE coalesce(kept.x, '') END)) AS kept_sha256
+FROM d LEFT JOIN runs USING (rid) LEFT JOIN kept USING (rid)
+"""

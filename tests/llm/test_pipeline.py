@@ -22,7 +22,7 @@ def test_matches_oracle(spark, name):
 
 def test_one_query_for_each_operator():
     names = [k for k in E.queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_pipeline_stages(spark):
