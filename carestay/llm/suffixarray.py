@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +31,9 @@ from carestay.llm.linededup import doc_id_batches
 from carestay.llm.sorted_runs import Run, merge_settings, write_run
 from carestay.llm.store import forget, map_arrow, stored
 
-#: Bytes of text taken up at once; a longer text is cut between windows, which only changes neighbourhoods, not results.
-CHUNK = 1 << 20
+#: Bytes of text taken up at once, so that arrays stay in a core's cache; a longer text is cut between windows, which
+#: only changes neighbourhoods, not results.
+CHUNK = 1 << 16
 #: Neighbourhoods of one anchor string that a task compares in memory; larger groups are dealt out window by window.
 GROUP_LIMIT = 4096
 KEYS = ("s1", "h", "g")
@@ -107,12 +107,18 @@ class Neighbourhoods:
         begin = np.flatnonzero(cut)
         low, high = at[begin], at[np.append(begin[1:], len(at)) - 1]
         place = anchor[begin]
-        digest = xxhash.xxh3_64_intdigest
-        g = np.fromiter((digest(buf[x:y + length], p) for x, y, p in zip(low.tolist(), high.tolist(), (place - low).tolist())),
-                        np.uint64, len(low)).view(np.int64)
+        # the digest mixes the hashes of the strings at 0, k, 2k, ... and at the end, which cover the neighbourhood
+        end = high + (length - anchor_bytes)
+        g = (place - low).astype(np.uint64) | (high - low).astype(np.uint64) << np.uint64(32)
+        for at in range(0, 2 * length - anchor_bytes, anchor_bytes):
+            g ^= h[np.minimum(low + at, end)]
+            g *= np.uint64(0xD6E8FEB86659FD93)
+            g ^= g >> np.uint64(32)
+        g *= np.uint64(0x94D049BB133111EB)
+        g ^= g >> np.uint64(31)
         row = np.searchsorted(self.offsets, low + start, "right") - 1
         s1 = (heads[place] ^ np.uint64(1 << 63)).view(np.int64)  # signed order is byte order
-        return row, low + start, high + start, s1, h[place].view(np.int64), g
+        return row, low + start, high + start, s1, h[place].view(np.int64), g.view(np.int64)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -178,7 +184,8 @@ class SuffixArrays:
     def absorb(self, entries: DataFrame) -> DataFrame:
         """Take in a batch; return (h, g, owner) of its neighbourhoods that more than one document holds so far."""
         self.compact()
-        mine = entries.repartition(self.buckets, *KEYS[:2]).groupBy(*KEYS).agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        dealt = entries.repartition(self.buckets, *KEYS[:2]).sortWithinPartitions(*KEYS)
+        mine = dealt.groupBy(*KEYS).agg(F.min("least").alias("least"), F.max("most").alias("most"))
         known = F.lit(None).cast("long")
         for i, run in enumerate(self.runs()):
             seen = run.read().where("fresh").select(*KEYS, F.col("owner").alias(f"owner{i}"))
@@ -231,13 +238,15 @@ def contested_texts(docs: DataFrame, contested: DataFrame, length: int, anchor_b
         bounds = np.searchsorted(found.row, np.arange(batch.num_rows + 1))
         out: list[list] = [[] for _ in range(6)]
         for i, (g, n) in enumerate(_listed(batch.column(2), ("g", "n"))):
-            counts = dict(zip(g.tolist(), n.tolist()))
-            for j in range(bounds[i], bounds[i + 1]):
-                size = counts.pop(int(found.g[j]), None)  # once, however often the text holds it
-                if size is not None:
-                    around = bytes(found.raw[found.low[j]:found.high[j] + length])
-                    for cell, v in zip(out, (int(found.s1[j]), int(found.h[j]), size, int(found.g[j]), owners[i], around)):
-                        cell.append(v)
+            # once, however often the text holds it
+            here, first = np.unique(found.g[bounds[i]:bounds[i + 1]], return_index=True)
+            at = np.searchsorted(here, g)
+            real = np.flatnonzero(here[np.minimum(at, len(here) - 1)] == g) if len(here) else []
+            j = first[at[real]] + bounds[i] if len(real) else np.empty(0, np.int64)
+            for cell, v in zip(out, (found.s1[j], found.h[j], n[real] if len(real) else j, found.g[j])):
+                cell.extend(v.tolist())
+            out[4].extend([owners[i]] * len(j))
+            out[5].extend(bytes(found.raw[a:b + length]) for a, b in zip(found.low[j].tolist(), found.high[j].tolist()))
         return out
 
     return map_arrow(rows, run, "s1 long, h long, n long, g long, owner long, around binary")
@@ -315,7 +324,8 @@ def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 24,
         contested = family.contested()
         family.forget()
         # a neighbourhood shared again in a later batch has the same owner there
-        whole = stored(occurrences(docs, length, anchor_bytes).join(shared.distinct(), ["h", "g"]).where("doc_id > owner")
+        # (the build side is a partition's share of distinct neighbourhoods, so the occurrences need no sort)
+        whole = stored(occurrences(docs, length, anchor_bytes).join(shared.distinct().hint("shuffle_hash"), ["h", "g"]).where("doc_id > owner")
                        .select("doc_id", "g", F.lit(-1).cast("long").alias("mask")), "whole")
         texts = stored(contested_texts(docs, contested, length, anchor_bytes), "around")
         part = stored(window_repeats(texts, length, limit), "part")
@@ -324,31 +334,37 @@ def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 24,
     return lost
 
 
-def kept_bytes(found: Neighbourhoods, lost: list[list[np.ndarray]], length: int) -> Iterator[tuple[memoryview, np.ndarray]]:
-    """For each row its bytes and a boolean of the bytes to keep."""
+def kept_bytes(found: Neighbourhoods, lost: list[list[np.ndarray]], length: int) -> Iterator[tuple[memoryview, np.ndarray | None]]:
+    """For each row its bytes and a boolean of the bytes to keep, or None to keep all."""
     bounds = np.searchsorted(found.row, np.arange(len(lost) + 1))
     for i, (g, mask) in enumerate(lost):
         a, b = int(found.offsets[i]), int(found.offsets[i + 1])
+        if not len(g):
+            yield found.raw[a:b], None
+            continue
         cover = np.zeros(b - a + 1, np.int32)
-        if len(g):
-            order = np.argsort(g, kind="stable")
-            g, mask = g[order], mask[order]
-            mine = slice(bounds[i], bounds[i + 1])
-            at = np.searchsorted(g, found.g[mine])
-            hit = np.flatnonzero(g[np.minimum(at, len(g) - 1)] == found.g[mine])
-            low, high = found.low[mine][hit] - a, found.high[mine][hit] - a
-            bits = mask[at[hit]]
-            every = bits == -1
-            np.add.at(cover, low[every], 1)
-            np.add.at(cover, high[every] + length, -1)
-            for x, y, m in zip(low[~every].tolist(), high[~every].tolist(), bits[~every].tolist()):
-                for p in range(x, y + 1):
-                    if m >> (p - x) & 1:
-                        cover[p] += 1
-                        cover[p + length] -= 1
+        order = np.argsort(g, kind="stable")
+        g, mask = g[order], mask[order]
+        mine = slice(bounds[i], bounds[i + 1])
+        at = np.searchsorted(g, found.g[mine])
+        hit = np.flatnonzero(g[np.minimum(at, len(g) - 1)] == found.g[mine])
+        low, high = found.low[mine][hit] - a, found.high[mine][hit] - a
+        bits = mask[at[hit]]
+        every = bits == -1
+        np.add.at(cover, low[every], 1)
+        np.add.at(cover, high[every] + length, -1)
+        for x, y, m in zip(low[~every].tolist(), high[~every].tolist(), bits[~every].tolist()):
+            for p in range(x, y + 1):
+                if m >> (p - x) & 1:
+                    cover[p] += 1
+                    cover[p + length] -= 1
         yield found.raw[a:b], np.cumsum(cover[:-1]) == 0
 
 
+def _left(raw: memoryview, keep: np.ndarray | None) -> bytes:
+    return bytes(raw) if keep is None else np.frombuffer(raw, np.uint8)[keep].tobytes()
+
+
 def _with_lost(docs: DataFrame, length: int, anchor_bytes: int, **how) -> DataFrame:
     """(row, text, lost) of every row of ``docs``."""
     lost = repeated_windows(docs, length, anchor_bytes, **how).withColumnRenamed("doc_id", "_lost_id")
@@ -375,9 +391,9 @@ def kept_digests(docs: DataFrame, length: int = 50, anchor_bytes: int = 24, **ho
         size, gone, spans, digests = [], [], [], []
         for raw, keep in kept_bytes(where, _listed(batch.column(2), ("g", "mask")), length):
             size.append(len(raw))
-            gone.append(int(len(keep) - keep.sum()))
-            spans.append(int((np.diff(np.concatenate(([0], ~keep))) == 1).sum()))
-            digests.append(hashlib.sha256(np.frombuffer(raw, np.uint8)[keep].tobytes()).hexdigest())
+            gone.append(0 if keep is None else int(len(keep) - keep.sum()))
+            spans.append(0 if keep is None else int((np.diff(np.concatenate(([0], ~keep))) == 1).sum()))
+            digests.append(hashlib.sha256(_left(raw, keep)).hexdigest())
         return batch.column(0), size, gone, spans, digests
 
     return map_arrow(found.select(F.col("row.doc_id").cast("long").alias("doc_id"), "text", "lost"), run,
@@ -398,7 +414,7 @@ def without_repeats(docs: DataFrame, length: int = 50, anchor_bytes: int = 24, *
             cols = row.flatten()
             where = Neighbourhoods(batch.column(1), length, anchor_bytes)
             kept = kept_bytes(where, _listed(batch.column(2), ("g", "mask")), length)
-            texts = [np.frombuffer(raw, np.uint8)[keep].tobytes().decode("utf-8", "ignore") if ok else None
+            texts = [_left(raw, keep).decode("utf-8", "ignore") if ok else None
                      for ok, (raw, keep) in zip(batch.column(1).is_valid().to_pylist(), kept)]
             cols[at] = pa.array(texts, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, names=[row.type.field(i).name for i in range(row.type.num_fields)])
