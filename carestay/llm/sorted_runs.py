@@ -19,11 +19,9 @@ from carestay.llm.store import shared_path
 @contextlib.contextmanager
 def merge_settings(spark: SparkSession) -> Iterator[None]:
     """Settings for jobs that read runs: order of one-file buckets is trusted, a join may use a run's own
-    bucketing where it is on fewer columns than the join, sorted rows are aggregated without a hash
-    map, and shuffle files go when their job is done."""
+    bucketing where it is on fewer columns than the join, and shuffle files go when their job is done."""
     wanted = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
               "spark.sql.requireAllClusterKeysForCoPartition": "false",
-              "spark.sql.execution.replaceHashWithSortAgg": "true",
               "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
     before = {k: spark.conf.get(k, None) for k in wanted}
     try:
@@ -60,7 +58,7 @@ def write_run(df: DataFrame, name: str, buckets: int, dealt: Sequence[str], orde
     spark = df.sparkSession
     table = f"carestay_run_{uuid.uuid4().hex}"
     path = path or shared_path(spark, name)
-    (df.write.format("parquet").bucketBy(buckets, *dealt).sortBy(*order).option("path", path).saveAsTable(table))
+    (df.write.format("parquet").option("parquet.enable.dictionary", "false").bucketBy(buckets, *dealt).sortBy(*order).option("path", path).saveAsTable(table))
     return Run(spark, table, path, buckets, dealt, order)
 
 

@@ -4,7 +4,7 @@ Texts are UTF-8 bytes; a window is ``length`` consecutive bytes. A window's anch
 the ``anchor_bytes``-byte string of least hash (ties: the first), so equal windows have equal
 anchors at equal offsets, wherever they stand. Consecutive windows with one anchor form a
 neighbourhood. The suffix array of a batch is sparse: it holds the suffixes that begin at anchors, about one for
-fourteen bytes, in lexicographic order of their first eight bytes, then by the hash of the
+seventeen bytes, in lexicographic order of their first eight bytes, then by the hash of the
 anchor string and the digest of the neighbourhood, each distinct one once with its owner, the least
 doc_id that holds it.
 
@@ -131,12 +131,12 @@ def array_entries(docs: DataFrame, length: int, anchor_bytes: int) -> DataFrame:
     def run(batch: pa.RecordBatch):
         found = Neighbourhoods(batch.column(1), length, anchor_bytes)
         doc = batch.column(0).to_numpy()[found.row]
-        order = np.lexsort((doc, found.g, found.h))
+        # in order of the digests equal keys are adjacent (but for one digest of two keys, which only gives more rows)
+        order = np.argsort(found.g, kind="stable")
         h, g, doc = found.h[order], found.g[order], doc[order]
-        new = np.concatenate(([True], (np.diff(h) != 0) | (np.diff(g) != 0))) if len(h) else np.zeros(0, bool)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(h)) - 1 if len(h) else first
-        return [pa.array(x) for x in (found.s1[order][first], h[first], g[first], doc[first], doc[last])]
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(h) != 0) | (np.diff(g) != 0)))) if len(h) else order
+        least, most = (f.reduceat(doc, first) if len(h) else doc for f in (np.minimum, np.maximum))
+        return [pa.array(x) for x in (found.s1[order][first], h[first], g[first], least, most)]
 
     return map_arrow(_rows(docs), run, "s1 long, h long, g long, least long, most long")
 
@@ -146,7 +146,7 @@ def occurrences(docs: DataFrame, length: int, anchor_bytes: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch):
         found = Neighbourhoods(batch.column(1), length, anchor_bytes)
-        order = np.lexsort((found.g, found.row))
+        order = np.argsort(found.g, kind="stable")  # rows stay in order under each digest
         row, g = found.row[order], found.g[order]
         once = order[np.concatenate(([True], (np.diff(row) != 0) | (np.diff(g) != 0)))] if len(order) else order
         return [pa.array(found.h[once]), pa.array(found.g[once]), pa.array(batch.column(0).to_numpy()[found.row[once]])]
@@ -184,7 +184,7 @@ class SuffixArrays:
     def absorb(self, entries: DataFrame) -> DataFrame:
         """Take in a batch; return (h, g, owner) of its neighbourhoods that more than one document holds so far."""
         self.compact()
-        dealt = entries.repartition(self.buckets, *KEYS[:2]).sortWithinPartitions(*KEYS)
+        dealt = entries.repartition(self.buckets, *KEYS[:2])
         mine = dealt.groupBy(*KEYS).agg(F.min("least").alias("least"), F.max("most").alias("most"))
         known = F.lit(None).cast("long")
         for i, run in enumerate(self.runs()):
@@ -310,7 +310,7 @@ def window_repeats(texts: DataFrame, length: int, limit: int = GROUP_LIMIT) -> D
     return near.unionByName(far)
 
 
-def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 24, batches: int = 3, buckets: int | None = None,
+def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 16, batches: int = 3, buckets: int | None = None,
                      limit: int = GROUP_LIMIT) -> DataFrame:
     """(doc_id, lost): the (g, mask) of each text's neighbourhoods with repeated windows; mask -1: all windows."""
     spark = docs.sparkSession
@@ -375,7 +375,7 @@ def _with_lost(docs: DataFrame, length: int, anchor_bytes: int, **how) -> DataFr
     return joined.select("row", F.col("_text").alias("text"), "lost")
 
 
-def kept_digests(docs: DataFrame, length: int = 50, anchor_bytes: int = 24, **how) -> DataFrame:
+def kept_digests(docs: DataFrame, length: int = 50, anchor_bytes: int = 16, **how) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row.
 
     A byte goes if a string of ``length`` bytes that covers it also stands in a row with a smaller doc_id;
@@ -400,7 +400,7 @@ def kept_digests(docs: DataFrame, length: int = 50, anchor_bytes: int = 24, **ho
                      "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame, length: int = 50, anchor_bytes: int = 24, **how) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 50, anchor_bytes: int = 16, **how) -> DataFrame:
     """``docs`` (all columns) with the remaining text of each row; null texts stay null.
 
     A cut can fall within a character; the bytes left of such a character are dropped with it.
