@@ -20,6 +20,7 @@ are merged into one of the next, so there are logarithmically many. What the sca
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ _POSITION = np.uint64((1 << 24) - 1)
 
 
 class Neighbourhoods:
-    """The neighbourhoods of a batch of texts: row, first and last window start, anchor, s1, h, g (arrays)."""
+    """The neighbourhoods of a batch of texts: row, first and last window start, s1, h, g, anchor (arrays)."""
 
     def __init__(self, texts: pa.Array, length: int, anchor_bytes: int):
         column = texts.cast(pa.binary()).fill_null(b"")
@@ -49,10 +50,8 @@ class Neighbourhoods:
         data = column.buffers()[2]
         self.raw = memoryview(data) if data is not None else memoryview(b"")
         parts = [self._piece(a, b, length, anchor_bytes) for a, b in self._chunks(length)]
-        names = ("row", "low", "high", "s1", "h", "g")
-        kinds = (np.int64,) * 6
-        for i, (name, kind) in enumerate(zip(names, kinds)):
-            setattr(self, name, np.concatenate([p[i] for p in parts]) if parts else np.empty(0, kind))
+        self.row, self.low, self.high, self.s1, self.h, self.g, self.anchor = (
+            np.concatenate(column) for column in zip(*parts)) if parts else (np.empty(0, np.int64),) * 7
 
     def _chunks(self, length: int) -> Iterator[tuple[int, int]]:
         """Ranges of window starts of bounded size; short texts are taken up together."""
@@ -118,7 +117,7 @@ class Neighbourhoods:
         g ^= g >> np.uint64(31)
         row = np.searchsorted(self.offsets, low + start, "right") - 1
         s1 = (heads[place] ^ np.uint64(1 << 63)).view(np.int64)  # signed order is byte order
-        return row, low + start, high + start, s1, h[place].view(np.int64), g.view(np.int64)
+        return row, low + start, high + start, s1, h[place].view(np.int64), g.view(np.int64), place + start
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -228,7 +227,7 @@ def _listed(column: pa.Array, fields: tuple[str, ...]) -> list[list[np.ndarray]]
 
 
 def contested_texts(docs: DataFrame, contested: DataFrame, length: int, anchor_bytes: int) -> DataFrame:
-    """(s1, h, n, g, owner, around): the bytes of each contested neighbourhood, read from its owner."""
+    """(s1, h, n, g, owner, around, place): the bytes of each contested neighbourhood, read from its owner, and its anchor's place there."""
     wanted = contested.groupBy("owner").agg(F.collect_list(F.struct("g", "n")).alias("wanted"))
     rows = _rows(docs).join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("owner")).select("owner", "text", "wanted")
 
@@ -236,7 +235,7 @@ def contested_texts(docs: DataFrame, contested: DataFrame, length: int, anchor_b
         found = Neighbourhoods(batch.column(1), length, anchor_bytes)
         owners = batch.column(0).to_pylist()
         bounds = np.searchsorted(found.row, np.arange(batch.num_rows + 1))
-        out: list[list] = [[] for _ in range(6)]
+        out: list[list] = [[] for _ in range(7)]
         for i, (g, n) in enumerate(_listed(batch.column(2), ("g", "n"))):
             # once, however often the text holds it
             here, first = np.unique(found.g[bounds[i]:bounds[i + 1]], return_index=True)
@@ -247,30 +246,46 @@ def contested_texts(docs: DataFrame, contested: DataFrame, length: int, anchor_b
                 cell.extend(v.tolist())
             out[4].extend([owners[i]] * len(j))
             out[5].extend(bytes(found.raw[a:b + length]) for a, b in zip(found.low[j].tolist(), found.high[j].tolist()))
+            out[6].extend((found.anchor[j] - found.low[j]).tolist())
         return out
 
-    return map_arrow(rows, run, "s1 long, h long, n long, g long, owner long, around binary")
+    return map_arrow(rows, run, "s1 long, h long, n long, g long, owner long, around binary, place int")
 
 
-def _repeats(group: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple[int, int, int]]:
+def _may_share(group: list[tuple[int, int, bytes, int]], reach: int, anchor_bytes: int) -> list[tuple[int, int, bytes, int]]:
+    """The neighbourhoods that agree with another one in the ``reach`` bytes before the anchor, or in those after it.
+
+    A window has ``reach`` bytes on one side of its anchor at least, so others share no window.
+    """
+    sides = []
+    for _, _, around, place in group:
+        before, after = around[max(place - reach, 0):place], around[place + anchor_bytes:place + anchor_bytes + reach]
+        sides.append((before if len(before) == reach else None, after if len(after) == reach else None))
+    seen = [Counter(x for x in side if x is not None) for side in zip(*sides)]
+    return [item for item, (b, a) in zip(group, sides) if seen[0][b] > 1 or seen[1][a] > 1]
+
+
+def _repeats(group: list[tuple[int, int, bytes, int]], length: int, anchor_bytes: int) -> Iterator[tuple[int, int, int]]:
     """(owner, g, mask): bit i says that the i-th window of the neighbourhood also stands in one of a smaller owner."""
+    if group:
+        group = _may_share(group, (length - anchor_bytes + 1) // 2, anchor_bytes)
     least: dict[bytes, int] = {}
-    for owner, _, around in group:
+    for owner, _, around, _ in group:
         for i in range(len(around) - length + 1):
             w = around[i:i + length]
             if owner < least.get(w, owner + 1):
                 least[w] = owner
-    for owner, g, around in group:
+    for owner, g, around, _ in group:
         mask = sum(1 << i for i in range(len(around) - length + 1) if least[around[i:i + length]] < owner)
         if mask:
             yield owner, g, mask
 
 
-def window_repeats(texts: DataFrame, length: int, limit: int = GROUP_LIMIT) -> DataFrame:
+def window_repeats(texts: DataFrame, length: int, anchor_bytes: int, limit: int = GROUP_LIMIT) -> DataFrame:
     """(doc_id, g, mask) of the contested neighbourhoods with repeated windows; the mask has at most ``length`` bits."""
 
     def compare(rows: Iterator[pa.RecordBatch]):
-        held: list[tuple[int, int, bytes]] = []
+        held: list[tuple[int, int, bytes, int]] = []
         now, out = None, []
 
         def flush():
@@ -279,17 +294,17 @@ def window_repeats(texts: DataFrame, length: int, limit: int = GROUP_LIMIT) -> D
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "g", "mask"])
 
         for batch in rows:
-            for s1, h, g, owner, around in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for s1, h, g, owner, around, place in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if (s1, h) != now:
-                    out.extend(_repeats(held, length))
+                    out.extend(_repeats(held, length, anchor_bytes))
                     held, now = [], (s1, h)
-                held.append((owner, g, around))
+                held.append((owner, g, around, place))
             if len(out) > 20_000:
                 yield flush()
-        out.extend(_repeats(held, length))
+        out.extend(_repeats(held, length, anchor_bytes))
         yield flush()
 
-    small = texts.where(F.col("n") <= limit).select("s1", "h", "g", "owner", "around")
+    small = texts.where(F.col("n") <= limit).select("s1", "h", "g", "owner", "around", "place")
     near = small.repartition("s1", "h").sortWithinPartitions("s1", "h").mapInArrow(compare, "doc_id long, g long, mask long")
 
     def windows(batch: pa.RecordBatch):
@@ -328,7 +343,7 @@ def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 16,
         whole = stored(occurrences(docs, length, anchor_bytes).join(shared.distinct().hint("shuffle_hash"), ["h", "g"]).where("doc_id > owner")
                        .select("doc_id", "g", F.lit(-1).cast("long").alias("mask")), "whole")
         texts = stored(contested_texts(docs, contested, length, anchor_bytes), "around")
-        part = stored(window_repeats(texts, length, limit), "part")
+        part = stored(window_repeats(texts, length, anchor_bytes, limit), "part")
         lost = stored(whole.unionByName(part).groupBy("doc_id").agg(F.collect_list(F.struct("g", "mask")).alias("lost")), "lost")
     forget(spark, shared, contested, whole, texts, part)
     return lost
