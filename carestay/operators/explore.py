@@ -5,8 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,47 +79,23 @@ def histogram_by_class(df: DataFrame, col: str, target: str = S.TARGET, bins: in
                     (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"))
 
 
-def _pair_sums(batches, cols: Sequence[str]):
-    """Per batch, for every pair of columns over the rows that have both: count, means and centred sums."""
-    lower = [(i, j) for i in range(len(cols)) for j in range(i)]
-    rows, columns = np.array([i for i, _ in lower]), np.array([j for _, j in lower])
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
-        there = ~np.isnan(x)
-        shift = np.nanmean(np.where(there.any(axis=0), x, 0.0), axis=0)
-        m, z = there.astype(np.float64), np.where(there, x - shift, 0.0)
-        n, sx, sxx, sxy = m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z
-        ok = n[rows, columns] > 0
-        i, j = rows[ok], columns[ok]
-        k, a, b = n[i, j], sx[i, j], sx[j, i]
-        out = [i, j, k, a / k + shift[i], b / k + shift[j], sxx[i, j] - a * a / k, sxx[j, i] - b * b / k, sxy[i, j] - a * b / k,
-               *[f(np.where(there, x, w), axis=0)[at] for f, w in ((np.min, np.inf), (np.max, -np.inf)) for at in (i, j)]]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32) if p < 2 else c) for p, c in enumerate(out)], names=_PAIR_NAMES)
+def correlation_matrix(df: DataFrame, cols: Sequence[str] = S.CORRELATION_COLS, digits: int | None = 4) -> DataFrame:
+    """Pearson correlation of every pair (lower triangle), pairwise-complete; NaN counts as null. Null if a column is constant.
 
-
-_PAIR_NAMES = ["a", "b", "n", "ma", "mb", "caa", "cbb", "cab", "lo_a", "lo_b", "hi_a", "hi_b"]
-
-
-def correlation_matrix(df: DataFrame, cols: Sequence[str] = S.CORRELATION_COLS, digits: int = 4) -> DataFrame:
-    """Pearson correlation of every pair (lower triangle), pairwise-complete; null if a column is constant.
-
-    One scan without exploding rows: numpy takes the sums of all pairs of a batch at once, and Spark merges
-    the batches' centred sums (one row per pair and batch).
+    One aggregate over all pairs of built-in covariances and variances, which keep centred sums, so shifted columns lose no
+    digits. (``corr`` itself raises on constant columns under ANSI rules.) ``digits=None`` leaves the value unrounded.
     """
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    parts = wide.mapInArrow(lambda it: _pair_sums(it, cols), "a int, b int, " + ", ".join(f"{c} double" for c in _PAIR_NAMES[2:]))
-    n = F.col("n")
-
-    def merged(c, x, y):  # centred sum of all rows from the parts' centred sums, counts and means
-        return F.sum(c) + F.sum(n * F.col(x) * F.col(y)) - F.sum(n * F.col(x)) * F.sum(n * F.col(y)) / F.sum(n)
-
-    both = parts.groupBy("a", "b").agg(merged("caa", "ma", "ma").alias("saa"), merged("cbb", "mb", "mb").alias("sbb"), merged("cab", "ma", "mb").alias("sab"),
-                                       ((F.min("lo_a") < F.max("hi_a")) & (F.min("lo_b") < F.max("hi_b"))).alias("varies"))
-    names = F.array(*[F.lit(c) for c in cols])
-    corr = F.when(F.col("varies"), F.try_divide(F.col("sab"), F.sqrt(F.col("saa") * F.col("sbb"))))
-    return both.select(F.get(names, F.col("a")).alias("col_a"), F.get(names, F.col("b")).alias("col_b"), C.rnd(corr, digits).alias("corr"))
+    wide = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    there = lambda x, y: F.when(F.col(y).isNotNull(), F.col(x))
+    sums = wide.agg(*[c for i, (a, b) in enumerate(pairs)
+                      for c in (F.covar_pop(a, b).alias(f"c{i}"), F.var_pop(there(a, b)).alias(f"a{i}"), F.var_pop(there(b, a)).alias(f"b{i}"))])
+    value = lambda i: F.try_divide(F.col(f"c{i}"), F.sqrt(F.col(f"a{i}")) * F.sqrt(F.col(f"b{i}")))
+    entries = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), value(i).alias("corr")) for i, (a, b) in enumerate(pairs)]
+    out = sums.select(F.explode(F.array(*entries)).alias("e")).select("e.col_a", "e.col_b", "e.corr")
+    return out if digits is None else out.withColumn("corr", C.rnd("corr", digits))
 
 
 def dataset_summary(df: DataFrame, target: str = S.TARGET) -> DataFrame:

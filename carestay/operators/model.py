@@ -1,9 +1,10 @@
 """Readmission risk model: split, preprocessing, weighted logistic regression,
 cross-validation, exact metrics, bootstrap intervals, importances and export.
 
-Training runs on Spark ML (L-BFGS over ``treeAggregate`` — the data never leaves the
-executors). The objective matches an L2 logistic regression with inverse strength C and
-balanced class weights n / (2·n_c): Spark minimises the weighted mean loss plus
+The model queries fit all folds and the whole training set together by Newton steps
+(``operators/newton.py``). ``fit_logistic`` fits one model on Spark ML (L-BFGS over
+``treeAggregate``); both have the objective of an L2 logistic regression with inverse strength C and
+balanced class weights n / (2·n_c): Spark ML minimises the weighted mean loss plus
 λ/2·‖β‖², so λ = 1 / (C·Σw). Scaling uses the population standard deviation, one-hot
 keeps every level and maps unseen levels to all zeros.
 """
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 from carestay import schema as S
 from carestay.functions import columns as C
+from carestay.operators import newton
+from carestay.operators.newton import LogisticFit
 from carestay.plans.joins import materialize
 from carestay.plans.ranking import running_totals
 
@@ -129,8 +132,11 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000, label:
     return RiskModel(model, means, stds, list(numeric), list(binary), list(categorical))
 
 
-def score(df: DataFrame, model: RiskModel, threshold: float = 0.5) -> DataFrame:
+def score(df: DataFrame, model: RiskModel | LogisticFit, threshold: float = 0.5) -> DataFrame:
     """Probability of class 1 and the predicted class (1 when the probability is above ``threshold``)."""
+    if isinstance(model, LogisticFit):
+        p = model.probability()
+        return df.select("*", p.alias(PROB), (p > threshold).cast("int").alias("prediction"))
     prepared = df.select("*", *_scaled(model.means, model.stds))
     out = model.pipeline.transform(prepared)
     p = vector_to_array(F.col("_prob"))[1]
@@ -218,27 +224,23 @@ def f1_at(df: DataFrame, pred: str = "prediction", label: str = S.TARGET) -> Dat
 
 # ------------------------------------------------------------------ K5 cross-validation
 
-def cross_validate(train: DataFrame, folds: int = 5, c: float = 1.0, max_iter: int = 1000,
-                   label: str = S.TARGET) -> DataFrame:
+def cross_validate(train: DataFrame, folds: int = 5, c: float = 1.0, label: str = S.TARGET,
+                   fits: Sequence[LogisticFit] | None = None) -> DataFrame:
     """Fold AUC and F1 (the preprocessing is refit inside every fold), then mean and population std.
 
-    ``train`` must carry the ``fold`` column of ``stratified_split``.
+    ``train`` must carry the ``fold`` column of ``stratified_split``. The models of all folds are fitted
+    together (``newton.fit_together``), or given as ``fits``; one pass scores every row by the model that has not seen it.
     """
-    rows = []
-    for k in range(folds):
-        fit_part = train.where(F.col("fold") != k)
-        held = train.where(F.col("fold") == k)
-        m = fit_logistic(fit_part, c, max_iter, label)
-        s = score(held, m)
-        auc = exact_auc(s, PROB, label).first()["auc"]
-        f1 = f1_at(s, "prediction", label).first()["f1"]
-        rows.append((k, float(auc), float(f1)))
-    spark = train.sparkSession
-    folds_df = spark.createDataFrame(rows, "fold int, auc double, f1 double")
-    summary = folds_df.agg(F.avg("auc").alias("auc_mean"), F.stddev_pop("auc").alias("auc_std"),
-                           F.avg("f1").alias("f1_mean"), F.stddev_pop("f1").alias("f1_std"))
+    scored = materialize(newton.fold_scores(train, fits or newton.fit_together(train, folds, c, label), label))
+    auc = exact_auc(scored, PROB, label, ["fold"])
+    y, p = F.col(label), F.col("prediction")
+    tp, fp, fn = F.count_if((y == 1) & (p == 1)), F.count_if((y == 0) & (p == 1)), F.count_if((y == 1) & (p == 0))
+    f1 = scored.groupBy("fold").agg(C.safe_ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
+    rows = materialize(auc.join(f1, "fold").select(F.col("fold").cast("int").alias("fold"), "auc", "f1"))  # one row a fold
+    summary = rows.agg(F.avg("auc").alias("auc_mean"), F.stddev_pop("auc").alias("auc_std"),
+                       F.avg("f1").alias("f1_mean"), F.stddev_pop("f1").alias("f1_std"))
     stats = ["auc_mean", "auc_std", "f1_mean", "f1_std"]
-    return folds_df.select("*", *[summary.select(name).scalar().alias(name) for name in stats])
+    return rows.select("*", *[summary.select(name).scalar().alias(name) for name in stats])
 
 
 # ------------------------------------------------------------------ K10 bootstrap
@@ -262,37 +264,50 @@ def replicate_weights(hashes: np.ndarray, n: int, cdf: np.ndarray) -> np.ndarray
     return np.searchsorted(cdf, u, side="right").astype(np.float64)
 
 
+_SUMS = ("w0", "w1", "u", "tp", "fp", "fn")
+
+
 def _range_sums(batches, n: int, chunk: int = 4096):
-    """For one range of rows sorted by score: per replicate the class weights, the U statistic within, tp, fp and fn."""
-    cdf, names = poisson1_cdf(), ["lo", "rep", "w0", "w1", "u", "tp", "fp", "fn"]
-    total = {k: np.zeros(n) for k in names[2:]}
-    first = last = None
-    g0 = g1 = np.zeros(n)  # the score group that is still open
+    """For one range of rows sorted by score, sums per replicate: class weights, the U statistic within, tp, fp, fn.
+
+    The range's first and last scores may go on in other ranges, so their weights come as rows of their own (``part`` 0, no
+    U yet); all scores strictly between them are one row (``part`` 1, at the first score), with the U of its own pairs.
+    """
+    cdf = poisson1_cdf()
+    inner = {k: np.zeros(n) for k in _SUMS}
+    edges: list[tuple[float, dict]] = []  # the first score's sums, and at the end the last one's
+    last, group = None, None
+
+    def close(final: bool):
+        if not edges or final:
+            edges.append((last, group))
+            return
+        inner["u"] += group["w1"] * (inner["w0"] + 0.5 * group["w0"])
+        for k in ("w0", "w1", "tp", "fp", "fn"):
+            inner[k] += group[k]
+
     for batch in batches:
         for at in range(0, batch.num_rows, chunk):
             h, sc, y, p = (c.to_numpy(zero_copy_only=False) for c in batch.slice(at, chunk).columns)
-            first = sc[0] if first is None else first
             w = replicate_weights(h, n, cdf)
-            for name, rows in (("tp", (y == 1) & (p == 1)), ("fp", (y == 0) & (p == 1)), ("fn", (y == 1) & (p == 0))):
-                total[name] += w[rows].sum(axis=0)
+            masks = {"w0": y == 0, "w1": y == 1, "tp": (y == 1) & (p == 1), "fp": (y == 0) & (p == 1), "fn": (y == 1) & (p == 0)}
             starts = np.concatenate(([0], np.flatnonzero(sc[1:] != sc[:-1]) + 1))
-            s0 = np.add.reduceat(w * (y == 0)[:, None], starts, axis=0)
-            s1 = np.add.reduceat(w * (y == 1)[:, None], starts, axis=0)
-            if sc[0] == last:
-                s0[0] += g0
-                s1[0] += g1
-            else:
-                s0, s1 = np.vstack([g0, s0]), np.vstack([g1, s1])
-            below = total["w0"] + np.cumsum(s0[:-1], axis=0) - s0[:-1]
-            total["u"] += (s1[:-1] * (below + 0.5 * s0[:-1])).sum(axis=0)
-            total["w0"] = total["w0"] + s0[:-1].sum(axis=0)
-            total["w1"] = total["w1"] + s1[:-1].sum(axis=0)
-            g0, g1, last = s0[-1], s1[-1], sc[-1]
-    if first is not None:
-        total["u"] += g1 * (total["w0"] + 0.5 * g0)
-        total["w0"], total["w1"] = total["w0"] + g0, total["w1"] + g1
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, first)), pa.array(np.arange(n, dtype=np.int32)),
-                                          *[pa.array(total[k]) for k in names[2:]]], names=names)
+            sums = {k: np.add.reduceat(w * m[:, None], starts, axis=0) for k, m in masks.items()}
+            for i, score in enumerate(sc[starts].tolist()):
+                mine = {k: v[i] for k, v in sums.items()}
+                if score == last:
+                    group = {k: group[k] + mine[k] for k in mine}
+                    continue
+                if group is not None:
+                    close(False)
+                last, group = score, mine
+    if group is None:
+        return
+    close(True)
+    rows = [(s, 0, {**g, "u": np.zeros(n)}) for s, g in edges] + [(edges[0][0], 1, inner)]
+    for s, part, g in rows:
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, s)), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(n, dtype=np.int32)),
+                                          *[pa.array(g[k]) for k in _SUMS]], names=["s", "part", "rep", *_SUMS])
 
 
 def bootstrap_ci(df: DataFrame, key: str = S.KEY, score: str = PROB, pred: str = "prediction",
@@ -300,19 +315,23 @@ def bootstrap_ci(df: DataFrame, key: str = S.KEY, score: str = PROB, pred: str =
     """2.5 / 97.5 % intervals of AUC, F1, precision and recall over ``n`` Poisson-bootstrap replicates.
 
     Each row gets an independent Poisson(1) weight per replicate from a hash of (key, seed). The rows are
-    shuffled once, into ranges of the score; a range draws the weights of all replicates and gives one row
-    of sums per replicate, and the ranges' sums combine to the exact tie-aware AUC. Rows without score or label take
-    no part. Replicates holding one class only are skipped.
+    shuffled once, into ranges of (score, hash), so that rows of one score, however many, are spread over tasks. A
+    range draws the weights of all replicates and gives at most three rows of sums per replicate: its first
+    score, its last, and what lies between. Sums of a score that several ranges hold are added up before they are paired, so
+    ties and the AUC are exact for any ranges. Rows without score or label take no part. Replicates holding
+    one class only are skipped.
     """
     rows = df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1)).select(
         F.xxhash64(F.col(key), F.lit(seed)).alias("h"), F.col(score).cast("double").alias("s"),
         F.col(label).cast("int").alias("y"), F.coalesce(F.col(pred).cast("int"), F.lit(-1)).alias("p"))
-    dealt = (rows.repartitionByRange(ranges, "s") if ranges else rows.repartitionByRange("s")).sortWithinPartitions("s")
-    # one row per range and replicate
-    sums = materialize(dealt.mapInArrow(lambda it: _range_sums(it, n), "lo double, rep int, w0 double, w1 double, u double, tp double, fp double, fn double"))
-    lower = Window.partitionBy("rep").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
-    per = sums.withColumn("below", F.coalesce(F.sum("w0").over(lower), F.lit(0.0))).groupBy("rep").agg(
-        F.sum(F.col("u") + F.col("w1") * F.col("below")).alias("u"), *[F.sum(c).alias(c) for c in ("w0", "w1", "tp", "fp", "fn")])
+    dealt = (rows.repartitionByRange(ranges, "s", "h") if ranges else rows.repartitionByRange("s", "h")).sortWithinPartitions("s")
+    sums = dealt.mapInArrow(lambda it: _range_sums(it, n), "s double, part int, rep int, " + ", ".join(f"{c} double" for c in _SUMS))
+    # at most three rows a range and replicate
+    whole = materialize(sums.groupBy("rep", "s", "part").agg(*[F.sum(c).alias(c) for c in _SUMS]))
+    lower = Window.partitionBy("rep").orderBy("s", "part").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.when(F.col("part") == 0, 0.5 * F.col("w0") * F.col("w1")).otherwise(F.col("u"))
+    per = whole.withColumn("below", F.coalesce(F.sum("w0").over(lower), F.lit(0.0))).groupBy("rep").agg(
+        F.sum(own + F.col("w1") * F.col("below")).alias("u"), *[F.sum(c).alias(c) for c in ("w0", "w1", "tp", "fp", "fn")])
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     per = per.where((F.col("w0") > 0) & (F.col("w1") > 0)).select(
         (F.col("u") / (F.col("w0") * F.col("w1"))).alias("auc"), C.safe_ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
@@ -323,7 +342,7 @@ def bootstrap_ci(df: DataFrame, key: str = S.KEY, score: str = PROB, pred: str =
 
 # ------------------------------------------------------------------ K11-K12
 
-def feature_importance(model: RiskModel, k: int = 15) -> DataFrame:
+def feature_importance(model: RiskModel | LogisticFit, k: int = 15) -> DataFrame:
     """Top-k coefficients by magnitude with odds ratios (the model vector is driver-side by nature)."""
     from pyspark.sql import SparkSession
     ss = SparkSession.getActiveSession()

@@ -214,7 +214,7 @@ def vif(df: DataFrame, cols: Sequence[str] = S.SCREEN_NUMERICAL) -> DataFrame:
     Only the k×k correlation matrix (k = number of features) reaches the driver.
     """
     complete = df.where(F.lit(True) if not cols else F.expr(" AND ".join(f"{c} IS NOT NULL" for c in cols)))
-    pairs = correlation_matrix(complete.select(*cols), list(cols), digits=12).collect()
+    pairs = correlation_matrix(complete.select(*cols), list(cols), digits=None).collect()
     idx = {c: i for i, c in enumerate(cols)}
     r = np.eye(len(cols))
     for row in pairs:

@@ -71,21 +71,22 @@ def gold_features(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
 
 
 def model_tables(spark: SparkSession, sf_dir: str) -> tuple:
-    """(model, split, scored): the fitted model, the split of the gold features, and all split rows with their scores.
+    """(fits, split, scored): the fitted models, the split of the gold features, and all split rows with their scores.
 
-    The split and the scores are stored tables and the model is fitted once per session and input, so
-    the model queries share them.
+    ``fits`` holds the model of the training rows, then those without each fold. The split and the scores are
+    stored tables and the models are fitted once per session and input, all together, so the model queries share them.
     """
     from carestay.operators import model as MD
+    from carestay.operators import newton
 
     key, path = _layer_path(spark, sf_dir, "model", "scored")
     split_path = path.removesuffix("scored") + "split"
     if key not in _MODELS:
         MD.stratified_split(gold_features(spark, sf_dir)).write.mode("overwrite").parquet(split_path)
         split = spark.read.parquet(split_path)
-        model = MD.fit_logistic(split.where(F.col("split") == "train"))
-        MD.score(split, model).write.mode("overwrite").parquet(path)
-        _MODELS[key] = model
+        fits = newton.fit_together(split.where(F.col("split") == "train"))
+        MD.score(split, fits[0]).write.mode("overwrite").parquet(path)
+        _MODELS[key] = fits
     return _MODELS[key], spark.read.parquet(split_path), spark.read.parquet(path)
 
 
@@ -121,6 +122,7 @@ def _run_stays(spark: SparkSession, read: Callable[[], DataFrame], out: str, fit
     import time as _time
 
     from carestay.operators import model as MD
+    from carestay.operators import newton
     from carestay.operators import quality as QC
     from carestay.sources import io as IO
 
@@ -144,8 +146,9 @@ def _run_stays(spark: SparkSession, read: Callable[[], DataFrame], out: str, fit
     paths["quality_report"] = f"{out}/quality_report"
     report.write.mode("overwrite").parquet(paths["quality_report"])
     if fit_model:
-        split = MD.stratified_split(feats)
-        model = MD.fit_logistic(split.where("split = 'train'"))
+        paths["split"] = f"{out}/model/split"
+        MD.stratified_split(feats).write.mode("overwrite").parquet(paths["split"])
+        model = newton.fit_together(spark.read.parquet(paths["split"]).where("split = 'train'"), folds=0)[0]
         paths["scores"] = f"{out}/scores_risque_patients"
         IO.export_scores(MD.score_export(MD.score(feats, model)), paths["scores"])
     IO.append_log(IO.ingestion_log(raw, "SUCCESS", f"batch {batch_id}", _time.time() - t0), paths["ingestion_logs"])

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from carestay import schema as S
+from carestay.functions.columns import rnd
 from carestay.operators import gold
 from carestay.operators import model as MD
+from carestay.operators import newton
 from carestay.plans import oracle_sql as O
 from carestay.plans.layers import model_tables
 from carestay.plans.registry import register
@@ -106,7 +109,33 @@ def q_model_evaluation(spark, sf):
 
 @register("cross_validate")
 def q_cross_validate(spark, sf):
-    return MD.cross_validate(MD.stratified_split(features(spark, sf)).where(F.col("split") == "train"))
+    fits, split, _ = model_tables(spark, sf)
+    return MD.cross_validate(split.where(F.col("split") == "train"), fits=fits)
+
+
+def _stationary_sql() -> str:
+    """Rows and levels of each fit from the data; at a right fit every gradient is zero."""
+    fits = "(SELECT 'all' AS model, NULL AS k UNION ALL SELECT 'without fold ' || i, i FROM range(5) t(i))"
+    used = f"(SELECT m.model, t.* FROM {fits} m JOIN tr t ON m.k IS NULL OR t.fold <> m.k)"
+    fixed = ", ".join(f"'{x}'" for x in ["(intercept)", *S.NUMERICAL_FEATURES, *S.BINARY_FEATURES])
+    parts = [f"SELECT DISTINCT model, unnest([{fixed}]) AS feature FROM {used}"]
+    parts += [f"SELECT DISTINCT model, '{c}_' || {c} AS feature FROM {used} WHERE {c} IS NOT NULL" for c in S.CATEGORICAL_FEATURES]
+    return f"""SELECT model, feature, n, n1, CAST(0 AS DOUBLE) AS gradient
+FROM ({' UNION ALL '.join(parts)}) JOIN (SELECT model, count(*) AS n, count(*) FILTER (readmission_30j = 1) AS n1 FROM {used} GROUP BY model) USING (model)"""
+
+
+@register("fit_stationarity", O.with_ctes(_SPLIT_CTES + ["""tr AS (
+  SELECT f.*, s.fold FROM features f JOIN split s USING (patient_id) WHERE s.split = 'train')"""], _stationary_sql()))
+def q_fit_stationarity(spark, sf):
+    fits, split, _ = model_tables(spark, sf)
+    train = split.where(F.col("split") == "train")
+    out = None
+    for k, fit in enumerate(fits):
+        rows = train if k == 0 else train.where(F.col("fold") != k - 1)
+        one = newton.stationarity(rows, fit).select(F.lit(f"without fold {k - 1}" if k else "all").alias("model"), "feature", "n", "n1",
+                                                    F.abs(rnd("gradient", 6)).alias("gradient"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("bootstrap_ci")
@@ -116,7 +145,7 @@ def q_bootstrap_ci(spark, sf):
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    return MD.feature_importance(model_tables(spark, sf)[0], 15)
+    return MD.feature_importance(model_tables(spark, sf)[0][0], 15)
 
 
 @register("score_export")

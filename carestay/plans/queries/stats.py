@@ -6,7 +6,7 @@ from carestay import schema as S
 from carestay.functions.columns import rnd
 from carestay.operators import stats as ST
 from carestay.plans import oracle_sql as O
-from carestay.plans.registry import register
+from carestay.plans.registry import ORACLES, register
 from carestay.plans.queries.common import features, round_doubles, unpivot_sql
 
 
@@ -132,11 +132,39 @@ def q_kruskal_wallis(spark, sf):
     return round_doubles(ST.kruskal_wallis(features(spark, sf)))
 
 
-@register("vif")
+def _vif_sql() -> str:
+    """Diagonal of the inverse correlation matrix: Gauss-Jordan elimination, one step a CTE, one column an entry."""
+    cols = S.SCREEN_NUMERICAL
+    k = len(cols)
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    entry = lambda i, j: "1.0" if i == j else f"corr(CAST({cols[i]} AS DOUBLE), CAST({cols[j]} AS DOUBLE))"
+    steps = [f"e0 AS (SELECT {', '.join(f'{entry(i, j)} AS r{i}_{j}' for i in range(k) for j in range(k))} FROM features WHERE {complete})"]
+    for p in range(k):
+        def swept(i, j):
+            if i == p:
+                return f"1 / r{p}_{p}" if j == p else f"r{p}_{j} / r{p}_{p}"
+            return f"-r{i}_{p} / r{p}_{p}" if j == p else f"r{i}_{j} - r{i}_{p} * r{p}_{j} / r{p}_{p}"
+        steps.append(f"e{p + 1} AS (SELECT {', '.join(f'{swept(i, j)} AS r{i}_{j}' for i in range(k) for j in range(k))} FROM e{p})")
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, {O.R(f'r{i}_{i}', 2)} AS vif FROM e{k}" for i, c in enumerate(cols))
+    return O.with_ctes(O.BASE + steps, rows)
+
+
+@register("vif", _vif_sql())
 def q_vif(spark, sf):
     return ST.vif(features(spark, sf))
 
 
-@register("feature_screen")
+def _screen_sql() -> str:
+    part = lambda test, name, stat, p, feature="feature": (
+        f"SELECT '{test}' AS test, {feature} AS feature, {O.R(stat, 6)} AS statistic, {O.R(p, 6)} AS p_value FROM ({ORACLES[name]})")
+    return " UNION ALL ".join([part("normality", "normality_test", "statistic", "p_value"), part("chi_square", "chi_square", "chi2", "p_value"),
+                               part("mann_whitney", "mann_whitney", '"U_statistic"', "p_value"),
+                               part("kruskal_wallis", "kruskal_wallis", "h", "p_value", "'age~pathologie'"),
+                               part("vif", "vif", "vif", "NULL")])
+
+
+@register("feature_screen", _screen_sql())
 def q_feature_screen(spark, sf):
-    return ST.feature_screen(features(spark, sf, extra=["sexe"]))
+    # p-values as in the queries of the single tests
+    out = ST.feature_screen(features(spark, sf, extra=["sexe"]))
+    return out.withColumns({"statistic": rnd("statistic", 6), "p_value": rnd("p_value", 6)})
