@@ -5,7 +5,8 @@
 2. Restoring: a token that shows leetspeak, spelled-out spacing or repetition opens a lattice: each
    character may stand for itself, for the letters it imitates, or for nothing (separators and
    repeated letters). Viterbi search finds the likeliest letters under channel costs and the
-   character model. A token without such signs has one path only and is its own restoration.
+   character model, over the whole token, whatever its length. Accented and full-width letters are read
+   as plain ones too. A token without such signs has one path only and is its own restoration.
 3. Scoring: a decision list of words and word beginnings, learned from labelled restored texts by
    sequential covering; a text scores the highest shrunk precision among its tokens.
 """
@@ -14,7 +15,9 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,6 @@ from carestay.llm.store import map_arrow, strings, utf8
 FIT_ROWS = 4_000
 #: Word beginnings of these lengths are features, next to whole words.
 STEMS = (4, 5, 6, 7)
-#: Characters that one lattice spans; longer tokens are searched in overlapping pieces.
-WINDOW = 48
 #: Distinct tokens whose scores one Python worker remembers.
 CACHE_TOKENS = 300_000
 
@@ -36,10 +37,11 @@ CACHE_TOKENS = 300_000
 IMITATES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
             "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "а": "a", "е": "e", "о": "o", "с": "c", "р": "p",
             "х": "x", "і": "i", "ѕ": "s"}
+MASKS = {"*": "aeiou"}  # between two letters
 SEPARATORS = "-_.*~'`^,/\\|+:;#=​­"
 
 # Channel costs in nats.
-COST_IMITATED, COST_SEPARATOR, COST_REPEATED, COST_SYMBOL = 1.5, 0.7, 0.7, 6.0
+COST_IMITATED, COST_MASKED, COST_SEPARATOR, COST_REPEATED, COST_SYMBOL = 1.5, 2.0, 0.7, 0.7, 6.0
 
 BOUNDARY, OTHER_LETTER, DIGIT, SYMBOL = 0, 27, 28, 29
 CLASSES = 32
@@ -118,6 +120,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         else:
             options.append((ch, COST_SYMBOL if not ch.isalpha() else 0.0))
             options += [(x, COST_IMITATED) for x in IMITATES.get(ch, "")]
+            if ch in MASKS and token[i - 1:i].isalpha() and token[i + 1:i + 2].isalpha():
+                options += [(x, COST_MASKED) for x in MASKS[ch]]
             if ch in SEPARATORS or i and token[i - 1] == ch:
                 options.append(("", COST_SEPARATOR))
         out.append(options)
@@ -125,24 +129,39 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def restore(token: str, model: CharModel) -> str:
-    """The likeliest letters behind one suspicious token (lower case), by Viterbi search over three-class contexts."""
+    """The likeliest letters behind one suspicious token (lower case), by Viterbi search over three-class contexts.
+
+    A token of any length is decoded whole: a state holds a back pointer, not what it has made, so work is linear.
+    """
     cost = model.cost
-    paths: dict[int, tuple[float, str]] = {0: (0.0, "")}
+    paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for options in [*lattice(token), [(" ", 0.0)]]:
-        after: dict[int, tuple[float, str]] = {}
+        after: dict[int, tuple[float, tuple | None]] = {}
         for context, (so_far, made) in paths.items():
             row = cost[context]
             for ch, channel in options:
                 if ch:
                     c = char_class(ch)
-                    total, to, text = so_far + channel + row[c], (context * CLASSES + c) % CLASSES ** 3, made + ch
+                    total, to, back = so_far + channel + row[c], (context * CLASSES + c) % CLASSES ** 3, (ch, made)
                 else:
-                    total, to, text = so_far + channel, context, made
+                    total, to, back = so_far + channel, context, made
                 old = after.get(to)
                 if old is None or total < old[0]:
-                    after[to] = (total, text)
+                    after[to] = (total, back)
         paths = after
-    return min(paths.values())[1].strip()
+    _, back = min(paths.values(), key=lambda path: path[0])
+    letters = []
+    while back is not None:
+        letters.append(back[0])
+        back = back[1]
+    return "".join(reversed(letters)).strip()
+
+
+def folded(token: str) -> str:
+    """A token with full-width and other compatible forms made plain and without accents."""
+    if token.isascii():
+        return token
+    return "".join(ch for ch in unicodedata.normalize("NFKD", token) if not unicodedata.combining(ch))
 
 
 EDGE = " \t.,;:?!\"'()[]{}<>|&%#*~`«»¿¡…-_=/\\"
@@ -167,16 +186,15 @@ def is_suspicious(word: str) -> bool:
     return len(word) >= 3 and any(ch.isalpha() for ch in word)
 
 
-def windows(text: str, size: int = 0) -> list[str]:
-    """A long string as pieces that overlap by half, so that a word of up to half a piece stands whole in one of them."""
-    size = size or WINDOW
-    return [text] if len(text) <= size else [text[i:i + size] for i in range(0, len(text) - size // 2, size // 2)]
-
-
 def restored_words(token: str, model: CharModel) -> list[str]:
     """The words that stand behind one white-space-delimited token (or a spelled-out run of them)."""
     # a letter repeated beyond three times says nothing that three do not
     token = _LONG_RUN.sub(r"\1\1\1", token.lower())
+    plain = folded(token)
+    return _readings(token, model) if plain == token else _readings(token, model) + _readings(plain, model)
+
+
+def _readings(token: str, model: CharModel) -> list[str]:
     if " " in token:
         return restore(token, model).split()
     # an edge mark may imitate a letter, so the bare token is searched as well
@@ -187,10 +205,13 @@ def restored_words(token: str, model: CharModel) -> list[str]:
     out = []
     for word in words:
         if is_suspicious(word):
-            # the likeliest reading, that of each part if the separators part words, then the plain parts
+            # the likeliest reading, then of each part, and of single letters in a row, if the separators part words, then the plain parts
             parts = [p for p in _SEPARATOR.split(word) if p]
-            for w in [word, *[p for p in parts if is_suspicious(p)]] if len(parts) > 1 else [word]:
-                out += [x for piece in windows(w) for x in restore(piece, model).split()]
+            if len(parts) > 1:
+                rows = ["".join(p) for lone, p in groupby(parts, lambda p: len(p) == 1) if lone]
+                out += [x for p in [*parts, *rows] if is_suspicious(p) for x in restore(p, model).split()]
+                out += [x for x in rows if len(x) > 2]
+            out += restore(word, model).split()
             out += [x for x in re.split(r"[\W\d_]+", word) if x]
         elif word:
             out.append(word)
@@ -225,7 +246,7 @@ def spelled_runs(text: str) -> list[str]:
             run.append(ch)
         else:
             if len(run) > 2:
-                out += windows(" ".join(run), 2 * WINDOW)
+                out.append(" ".join(run))
             run = []
     return out
 
@@ -324,10 +345,10 @@ class ToxicityModel:
             self.cache.clear()
         get, base = self.weights.get, self.base
         plain = token.rstrip(".,").lower()
-        if plain.isalpha() and len(plain) <= WINDOW and not _LOOKALIKE.search(plain):
-            # its readings differ in repeated letters only: without those, a feature must begin as it does
-            bare = _DOUBLE.sub(r"\1", plain)
-            if not any(bare[:k] in self.begins for k in range(1, 5)):
+        if plain.isalpha() and not _LOOKALIKE.search(plain):
+            # its readings differ in repeated letters and accents only: without those, a feature must begin as it does
+            bare = {_DOUBLE.sub(r"\1", x) for x in (plain, folded(plain))}
+            if not any(x[:k] in self.begins for x in bare for k in range(1, 5)) and not _LOOKALIKE.search(folded(plain)):
                 self.cache[token] = base
                 return base
         s = self.cache[token] = max((get(f, base) for w in restored_words(token, self.chars) for f in features(w)), default=base)
@@ -378,7 +399,11 @@ def fit_words(chars: CharModel, sample: list[tuple[str, int]]) -> ToxicityModel:
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """(doc_id, score) of each row's whole text, 0 to 1. Null and empty texts score the base rate of unexplained toxicity."""
+    """(doc_id, score) of each row's whole text, 0 to 1. Null and empty texts score the base rate of unexplained toxicity.
+
+    Each row has its score, repeated rows and rows without doc_id included; an empty table gives an empty result. Columns
+    other than ``doc_id`` and ``text`` are ignored, whatever their names.
+    """
     model.cache.clear()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the table of classes and a bounded word list
 
@@ -390,7 +415,10 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` (all columns) that score under ``threshold``, in one pass without a shuffle."""
+    """The rows of ``docs`` (all columns, unchanged) that score under ``threshold``, in one pass without a shuffle.
+
+    Rows are judged by their text alone: repeated rows go or stay together, rows without doc_id or text are scored like any.
+    """
     model.cache.clear()
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
