@@ -83,13 +83,12 @@ def merged(spans) -> list[tuple[int, int]]:
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
     """The items, block by block; a block is a few million words at most, whatever the benchmark's size."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).where(
-        "item_id is not null")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     # every word has a character and a separator, so half the bytes bounds the words
     total = items.agg(F.sum(F.octet_length("text") / 2)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
     for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         yield [(r["item_id"], r["text"].encode()) for r in part.toLocalIterator()]
 
 
@@ -108,7 +107,7 @@ def _scan(docs: DataFrame, items: list[tuple[int, bytes]], n: int, last: bool =
             at, items = look(words)
             n_words.append(len(words))
             spans.append([x for s in merged([*zip(before[::2], before[1::2]), *at]) for x in s])
-            found.append(sorted(items.union(owners)))
+            found.append(sorted(items.union(owners), key=lambda item: (item is None, item)))
         return batch.column(0), *(() if last else (batch.column(1),)), n_words, spans, found
 
     rows = docs if noted else docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -120,7 +119,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, block_words: int =
 
     A window is ``n`` consecutive words of an item; an item of fewer words, but not none, is one
     window. Null texts have no words. Rows that repeat give repeated rows, with or without doc_id.
-    Items without item_id are left out, as nothing names them. Beyond ``block_words`` the benchmark is scanned
+    Windows of items without item_id hit like any; nothing names these items, so they are one null at the end of ``items``. Beyond ``block_words`` the benchmark is scanned
     for block by block (several passes, which note what was found beside the row), so that what is broadcast stays bounded.
     """
     blocks = benchmark_blocks(benchmark, block_words)
@@ -199,6 +198,7 @@ def digests(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each row: what ``scan`` finds, in figures.
 
     Documents without words or without hits have zeros and the digest of the empty string; an empty benchmark hits nothing.
+    Items without item_id count as one item, without a name in the digest.
     """
     found = scan(docs, benchmark, n)
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")

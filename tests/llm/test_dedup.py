@@ -188,14 +188,15 @@ def brute_scan(rows, items, n=10):
             for k in range(len(w) - size + 1):
                 if size and tuple(w[k:k + size]) in wins:
                     hit |= set(range(k, k + size))
-                    found.add(str(item))
-        out.append((str(i), len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+                    found.add(item)  # items without id: one, without a name
+        names = sorted(str(x) for x in found if x is not None)
+        out.append((str(i), len(w), len(hit), len(found), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
     return sorted(out)
 
 
 def leak_corpus():
     rnd = random.Random(9)
-    items = [(i, " ".join(rnd.choice(WORDS) for _ in range(rnd.choice([3, 10, 14, 25])))) for i in range(12)] + [(20, None), (21, "!!"), (22, "Éa b"), (7, "w1 w1")]
+    items = [(i, " ".join(rnd.choice(WORDS) for _ in range(rnd.choice([3, 10, 14, 25])))) for i in range(12)] + [(20, None), (21, "!!"), (22, "Éa b"), (7, "w1 w1"), (None, "w2 w3 w4"), (None, "x éa")]
     rows = []
     for i in range(40):
         t = " ".join(rnd.choice(WORDS) for _ in range(rnd.randint(0, 30)))
