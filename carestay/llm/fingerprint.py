@@ -1,9 +1,8 @@
 """Threshold-scaled document fingerprints, in DataFrame functions only.
 
-A sketch holds every 64-bit shingle hash below a fixed fraction of the hash range, so sketches of
-very unequal documents remain comparable and the sketch of a union is the union of sketches. A text
-with too few hashes there keeps its ``FLOOR`` smallest instead, i.e. a higher threshold of its own, which the
-sketch itself tells; two sketches are compared below the lower of their thresholds.
+A sketch holds every 64-bit shingle hash below a fixed fraction of the hash range and nothing else, whatever
+the text's length, so sketches of very unequal documents are comparable and the sketch of a union is the
+union of the sketches. A text of fewer than about ``SCALE`` shingles may have an empty sketch, like one without words.
 """
 
 from __future__ import annotations
@@ -14,9 +13,7 @@ from pyspark.sql import functions as F
 from carestay.llm.store import stored
 
 #: One hash in so many is retained.
-SCALE = 16
-#: Hashes that a sketch holds at least, if the text has so many distinct shingles.
-FLOOR = 32
+SCALE = 8
 SHINGLE_WORDS = 5
 #: Runs of these are no part of a word.
 _GAPS = r"[\x09-\x0D\x20]+"
@@ -49,60 +46,33 @@ def shingle_hashes(text: Column, k: int = SHINGLE_WORDS) -> Column:
     return _let(F.transform(words, lambda w: F.xxhash64(w)), shingles)
 
 
-def _retained(h: Column, scale: int, floor: int) -> Column:
-    under = F.lit(_threshold(scale))
-    return _let(F.sort_array(F.array_distinct(F.filter(h, lambda x: x < under))),
-                lambda low: F.when(F.size(low) >= floor, low).otherwise(F.slice(F.sort_array(F.array_distinct(h)), 1, floor)))
-
-
-def sketch(text: Column, k: int = SHINGLE_WORDS, scale: int = SCALE, floor: int = FLOOR) -> Column:
+def sketch(text: Column, k: int = SHINGLE_WORDS, scale: int = SCALE) -> Column:
     """The sorted distinct retained hashes of a text, as an array of signed longs."""
-    return _let(shingle_hashes(text, k), lambda h: _retained(h, scale, floor))
-
-
-def reach(a: Column, scale: int = SCALE, floor: int = FLOOR) -> Column:
-    """Up to which hash a sketch holds all hashes of its text; null if it holds all there are."""
-    return F.when(F.size(a) < floor, F.lit(None).cast("long")).otherwise(
-        F.greatest(F.element_at(a, F.greatest(F.size(a), F.lit(1))), F.lit(_threshold(scale) - 1)))
-
-
-def compared(a: Column, b: Column, scale: int = SCALE, floor: int = FLOOR) -> Column:
-    """(common, in_a, in_b): how many hashes two sketches have in common and each, below the lower of their thresholds."""
-    limit = F.least(reach(a, scale, floor), reach(b, scale, floor))
-
-    def below(x, top):
-        return F.filter(x, lambda h: top.isNull() | (h <= top))
-
-    def counts(v):
-        return F.struct(F.size(F.array_intersect(v["a"], v["b"])).alias("common"), F.size(v["a"]).alias("in_a"), F.size(v["b"]).alias("in_b"))
+    under = F.lit(_threshold(scale))
+    return F.sort_array(F.array_distinct(F.filter(shingle_hashes(text, k), lambda x: x < under)))
 
-    def cut(v):
-        return _let(F.struct(below(v["a"], v["top"]).alias("a"), below(v["b"], v["top"]).alias("b")), counts)
 
-    return _let(F.struct(a.alias("a"), b.alias("b"), limit.alias("top")), cut)
+def compared(a: Column, b: Column) -> Column:
+    """(common, in_a, in_b): how many hashes two sketches of one scale have in common, and each."""
+    return F.struct(F.size(F.array_intersect(a, b)).alias("common"), F.size(a).alias("in_a"), F.size(b).alias("in_b"))
 
 
-def resemblance(a: Column, b: Column, scale: int = SCALE, floor: int = FLOOR) -> Column:
+def resemblance(a: Column, b: Column) -> Column:
     """Estimated share of common shingles in all shingles of both; two empty sketches are alike (1), one empty and one not are not (0)."""
     def ratio(c):
         union = c["in_a"] + c["in_b"] - c["common"]
         return F.when(union == 0, 1.0).otherwise(c["common"] / F.greatest(union, F.lit(1)))
-    return _let(compared(a, b, scale, floor), ratio)
+    return _let(compared(a, b), ratio)
 
 
-def containment(a: Column, b: Column, scale: int = SCALE, floor: int = FLOOR) -> Column:
+def containment(a: Column, b: Column) -> Column:
     """Estimated share of a's shingles that b has; an empty sketch is contained in any."""
-    return _let(compared(a, b, scale, floor),
-                lambda c: F.when(c["in_a"] == 0, 1.0).otherwise(c["common"] / F.greatest(c["in_a"], F.lit(1))))
+    return _let(compared(a, b), lambda c: F.when(c["in_a"] == 0, 1.0).otherwise(c["common"] / F.greatest(c["in_a"], F.lit(1))))
 
 
-def merged(a: Column, b: Column, scale: int = SCALE, floor: int = FLOOR) -> Column:
-    """The sketch of the shingles of two texts together, from their sketches (of the same scale and floor), raised or not.
-
-    Every sketch holds all its text's hashes below the fixed fraction, or fewer than ``floor`` of them and its smallest
-    ones. So the union holds all that its own sketch needs, and what lies beyond the lower reach is cut with the rest.
-    """
-    return _let(F.array_union(a, b), lambda h: _retained(h, scale, floor))
+def merged(a: Column, b: Column) -> Column:
+    """The sketch of the shingles of two texts together: the union of their sketches, which must be of one scale."""
+    return F.sort_array(F.array_union(a, b))
 
 
 def as_text(a: Column) -> Column:
@@ -130,34 +100,46 @@ def with_next(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """(doc_id, text, next_start, *columns, next_*columns): each document's whole text (null: empty), the start of the next
     document's text in descending doc_id, floor(n_chars / 2) code points or all, and ``columns`` of both.
 
-    ``columns`` are expressions over ``text``, worked out once for each document. Rows that repeat a doc_id
-    count as one document: that with the least text. Rows without doc_id have no place in the order and are left out.
+    ``columns`` are expressions over ``text``, worked out once for each row. Every row has one row: rows that repeat a
+    doc_id have the same next document, and to others that id's next text is the least of theirs. Rows without doc_id have no
+    place in the order: their next document is the empty text.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
-    ids = stored(rows.select(F.col("doc_id").alias("id"), F.length("text").alias("n")), "lengths")
-    if not ids.groupBy("id").count().where("count > 1").isEmpty():
-        rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
-        ids = rows.select(F.col("doc_id").alias("id"), F.length("text").alias("n"))
-    links = next_ids(ids)
-    # documents are dealt by doc_id once, for both joins; only starts and columns are dealt again. Ids are
-    # distinct, so no partition can be skewed and none needs splitting
-    full = rows.select("doc_id", "text", *[c.alias(name) for name, c in columns.items()]).repartition("doc_id")
-    nexts = full.join(links.hint("shuffle_hash"), full["doc_id"] == links["next_id"]).select(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    sizes = stored(rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), F.length("text").alias("n")), "lengths")
+    repeats = not sizes.groupBy("id").count().where("count > 1").isEmpty()
+    links = next_ids(sizes.groupBy("id").agg(F.max("n").alias("n")) if repeats else sizes)
+    # documents are dealt by doc_id once, for both joins; only starts and columns are dealt again. Rows without id are
+    # dealt by their text, so that they do not meet in one task
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
+    full = rows.select("doc_id", "text", *[c.alias(name) for name, c in columns.items()]).withColumn("_spread", spread).repartition("doc_id", "_spread")
+    known = full.where("doc_id is not null")
+    if repeats:
+        known = known.groupBy("doc_id").agg(F.min_by(F.struct("text", *columns), "text").alias("least")).select("doc_id", "least.*")
+    nexts = known.join(links.hint("shuffle_hash"), known["doc_id"] == links["next_id"]).select(
         F.col("id").alias("_id"), F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("next_start"),
-        *[F.col(name).alias(f"next_{name}") for name in columns]).repartition("_id")
-    return full.join(nexts, full["doc_id"] == nexts["_id"]).drop("_id")
+        *[F.col(name).alias(f"next_{name}") for name in columns], F.lit(0).cast("long").alias("_zero")).repartition("_id", "_zero")
+    joined = full.join(nexts, (full["doc_id"] == nexts["_id"]) & (full["_spread"] == nexts["_zero"]), "left").drop("_id", "_spread", "_zero")
+    empty = {f"next_{name}": F.coalesce(F.col(f"next_{name}"), c) for name, c in _of_empty(columns).items()}
+    return joined.withColumns({"next_start": F.coalesce("next_start", F.lit("")), **empty})
+
+
+def _of_empty(columns: dict[str, Column]) -> dict[str, Column]:
+    """What sketches are of the empty text: empty arrays."""
+    return {name: F.array().cast("array<bigint>") for name in columns}
 
 
 def edited_text(text: Column, next_start: Column) -> Column:
-    """A text whose last floor(n/2) code points are replaced by the next text's start."""
-    return F.concat(F.substring(text, F.lit(1), F.length(text) - F.floor(F.length(text) / 2).cast("int")), next_start)
+    """A text whose last floor(n/2) code points are replaced by as many of the next text's start, or all."""
+    half = F.floor(F.length(text) / 2).cast("int")
+    return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(next_start, F.lit(1), half))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, held_in_edited, held_in_next).
 
     ``near_*`` are resemblances of a document's sketch to that of its edited text and of the next document; ``held_*``
-    are containments of the document in them. Texts without words have the empty fingerprint.
+    are containments of the document in them. Texts without words have the empty fingerprint. One row for each
+    row (``with_next`` says what repeated and missing ids mean); an empty table gives an empty result; other columns are ignored.
     """
     made = with_next(docs, {"a": sketch(F.col("text"))}).withColumn("edited", edited_text(F.col("text"), F.col("next_start")))
     sketched = made.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),

@@ -115,24 +115,37 @@ def shingles(t):
 
 
 def test_fingerprints(make_docs):
+    from pyspark.sql import functions as F
     rnd = random.Random(8)
     word = lambda: "".join(rnd.choice("abcdefgé") for _ in range(rnd.randint(1, 6)))
     rows = [(i * 3, " ".join(word() for _ in range(rnd.choice([0, 2, 5, 30, 400])))) for i in range(40)] + [(200, None), (201, ""), (202, "x😀y z")]
-    got = {r["doc_id"]: r for r in fingerprint.edited_fingerprints(make_docs([*rows, (None, "lost"), (3, rows[1][1])])).collect()}
-    order = sorted(rows, reverse=True, key=lambda r: r[0])
-    assert len(got) == len(rows)
-    seen = {}
-    for k, (i, t) in enumerate(order):
-        t, nxt = t or "", order[(k + 1) % len(order)][1] or ""
+    rows += [(None, "a lost one " * 5), (None, None), (3, rows[1][1] + " more"), (6, rows[2][1]), (9, None)]
+    docs = make_docs(rows)
+    # every hash of a text, and the exact sketch: those below the fraction
+    hashes = {r["text"]: set(r["h"]) for r in docs.select("text", fingerprint.shingle_hashes(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    under = fingerprint._threshold(fingerprint.SCALE)
+    exact = lambda h: {x for x in h if x < under}
+    hexed = lambda h: "".join(f"{x & (2**64 - 1):016x}" for x in sorted(h))
+    least = {}
+    for i, t in rows:
+        if i is not None:
+            least[i] = min(t or "", least.get(i, t or ""))
+    down = sorted(least, reverse=True)
+    want, edits = [], []
+    for i, t in rows:
+        t = t or ""
+        nxt = least[down[(down.index(i) + 1) % len(down)]] if i is not None else ""
         half = len(t) // 2
-        edited = t[:len(t) - half] + nxt[:half]
-        r = got[i]
-        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        for value, other in ((r["near_edited"], edited), (r["near_next"], nxt)):
-            a, b = shingles(t), shingles(other)
-            true = len(a & b) / len(a | b) if a | b else 1.0
-            assert abs(value - true) < (1e-9 if max(len(a), len(b)) < fingerprint.FLOOR else 0.35)
-        assert seen.setdefault(t, r["fingerprint"]) == r["fingerprint"]
+        edits.append((i, t, nxt, t[:len(t) - half] + nxt[:half]))
+    spark = docs.sparkSession
+    edited = {r["t"]: set(r["h"]) for r in spark.createDataFrame([(e,) for *_, e in edits] + [(n,) for _, _, n, _ in edits] + [(t,) for _, t, *_ in edits],
+              "t string").select("t", fingerprint.shingle_hashes(F.col("t")).alias("h")).collect()}
+    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for i, t, nxt, e in edits:
+        a, b, c = exact(edited[t]), exact(edited[e]), exact(edited[nxt])
+        want.append((str(i), len(t), hashlib.sha256(e.encode()).hexdigest(), hexed(a), hexed(b), round(like(a, b), 12), round(like(a, c), 12)))
+    got = [(str(r[0]), *r[1:5], round(r[5], 12), round(r[6], 12)) for r in fingerprint.edited_fingerprints(docs).collect()]
+    assert sorted(got) == sorted(want) and len(hashes) > 30
     assert fingerprint.edited_fingerprints(make_docs([])).count() == 0
     one = fingerprint.edited_fingerprints(make_docs([(5, "abcd efgh")])).first()
     assert one["near_next"] == 1.0 and one["edited_sha256"] == hashlib.sha256(b"abcd abcd").hexdigest()
@@ -189,25 +202,41 @@ def test_toxicity(spark, make_docs):
     assert toxicity.score(docs, none).where("score >= 0.7").count() == 0
 
 
-def test_long_tokens_are_searched_whole_in_overlapping_pieces():
-    text = "".join(chr(97 + i % 26) for i in range(5000))
-    pieces = toxicity.windows(text)
-    assert all(len(p) <= toxicity.WINDOW for p in pieces) and toxicity.windows("ab") == ["ab"]
-    assert all(any(text[i:i + 24] in p for p in pieces) for i in range(0, 5000 - 24))
-    runs = toxicity.spelled_runs("x " + "m o r o n " * 40 + "end")
-    assert len(runs) > 3 and all("m o r o n" in r for r in runs[:-1])
-
-
-def test_viterbi_restores_the_likeliest_letters():
+def char_model(words=b"idiot moron the and other "):
     import numpy as np
     counts = np.zeros(toxicity.CLASSES ** 4, np.int64)
-    c = toxicity.BYTE_CLASS[np.frombuffer(b"   " + b"idiot moron the and other " * 50, np.uint8)]
+    c = toxicity.BYTE_CLASS[np.frombuffer(b"   " + words * 50, np.uint8)]
     np.add.at(counts, ((c[:-3] * 32 + c[1:-2]) * 32 + c[2:-1]) * 32 + c[3:], 1)
-    model = toxicity.CharModel(counts)
+    return toxicity.CharModel(counts)
+
+
+def test_viterbi_restores_the_likeliest_letters():
+    model = char_model()
     assert [toxicity.restore(x, model) for x in ("1d10t", "i d i o t", "m0r0n", "mooooron", "i-d-i-o-t", "the")] == [
         "idiot", "idiot", "moron", "moron", "idiot", "the"]
 
 
+@pytest.mark.parametrize("gap", [1, 9, 24, 240])
+def test_words_spread_over_any_length_are_decoded_whole(gap):
+    model = char_model()
+    for word in ("idiot", "moron"):
+        spread = ("-_" * gap)[:gap].join(word)
+        assert word in toxicity.restored_words(spread, model)
+        assert word in toxicity.restored_words(f"and.other.{'-'.join(word)}.the.and", model)
+    assert toxicity.restore("1d10t" * 2000, model).startswith("idiot")
+    runs = toxicity.spelled_runs("x " + "m o r o n " * 400 + "end")
+    assert len(runs) == 1 and len(runs[0]) == 2 * (5 * 400 + 1) - 1
+    assert toxicity.restored_words("m o r o n", model) == ["moron"]
+
+
+def test_masked_accented_and_full_width_letters():
+    model = char_model()
+    for token, word in (("id*ot", "idiot"), ("m*r*n", "moron"), ("\u00efd\u00ef\u00f3t", "idiot"), ("\uff49\uff44\uff49\uff4f\uff54", "idiot"),
+                        ("\uff2d\uff10\uff32\uff10\uff2e", "moron")):
+        assert word in toxicity.restored_words(token, model), token
+    assert "th\u00e9" in toxicity.restored_words("th\u00e9", model)  # its own reading stays
+
+
 def test_quality(spark, make_docs):
     rnd = random.Random(2)
     rows, labels = [], []
@@ -295,9 +324,7 @@ def test_merged_sketches_of_short_texts_are_sketches_of_the_union(make_docs, spa
            fingerprint.containment(F.col("a"), fingerprint.merged(F.col("a"), F.col("b"))).alias("held")).collect()}
     for i, j in pairs:
         union = sorted(h[i] | h[j])
-        low = [x for x in union if x < fingerprint._threshold(fingerprint.SCALE)]
-        want = low if len(low) >= fingerprint.FLOOR else union[:fingerprint.FLOOR]
-        assert list(got[i, j]["m"]) == want, (i, j)
+        assert list(got[i, j]["m"]) == [x for x in union if x < fingerprint._threshold(fingerprint.SCALE)], (i, j)
         assert got[i, j]["held"] == 1.0
 
 
