@@ -198,7 +198,8 @@ def hex_fingerprint(fp) -> F.Column:
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, radius: int = 4) -> DataFrame:
     """The rows of ``docs`` (all columns) with one document, that of the least doc_id, of each near-duplicate group.
 
-    Of rows that repeat a doc_id one stays. Rows without doc_id stay: nothing names them in a decision.
+    Of rows that repeat a doc_id the one of least text stays (of equal texts, that of least row hash). Rows without doc_id
+    stay: nothing names them in a decision.
     """
     groups = stored(near_duplicate_groups(docs, shingle_words, radius), "groups")
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
@@ -206,5 +207,7 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, radius: int =
     kept = docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["_gone"], "left_anti")
     if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = F.min_by(row, F.struct(F.coalesce("text", F.lit("")), F.xxhash64(row)))
+    named = kept.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(first.alias("_row"))
+    return named.select("_row.*").unionByName(kept.where("doc_id is null"))
