@@ -108,24 +108,18 @@ def with_next(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     sizes = stored(rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), F.length("text").alias("n")), "lengths")
     repeats = not sizes.groupBy("id").count().where("count > 1").isEmpty()
     links = next_ids(sizes.groupBy("id").agg(F.max("n").alias("n")) if repeats else sizes)
-    # documents are dealt by doc_id once, for both joins; only starts and columns are dealt again. Rows without id are
-    # dealt by their text, so that they do not meet in one task
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
-    full = rows.select("doc_id", "text", *[c.alias(name) for name, c in columns.items()]).withColumn("_spread", spread).repartition("doc_id", "_spread")
-    known = full.where("doc_id is not null")
-    if repeats:
-        known = known.groupBy("doc_id").agg(F.min_by(F.struct("text", *columns), "text").alias("least")).select("doc_id", "least.*")
+    # documents are dealt by doc_id once, for both joins; only starts and columns are dealt again. Ids are
+    # few to a row or distinct, so no partition needs splitting
+    every = rows.select("doc_id", "text", *[c.alias(name) for name, c in columns.items()])
+    full = every.where("doc_id is not null").repartition("doc_id")
+    known = full.groupBy("doc_id").agg(F.min_by(F.struct("text", *columns), "text").alias("least")).select("doc_id", "least.*") if repeats else full
     nexts = known.join(links.hint("shuffle_hash"), known["doc_id"] == links["next_id"]).select(
         F.col("id").alias("_id"), F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("next_start"),
-        *[F.col(name).alias(f"next_{name}") for name in columns], F.lit(0).cast("long").alias("_zero")).repartition("_id", "_zero")
-    joined = full.join(nexts, (full["doc_id"] == nexts["_id"]) & (full["_spread"] == nexts["_zero"]), "left").drop("_id", "_spread", "_zero")
-    empty = {f"next_{name}": F.coalesce(F.col(f"next_{name}"), c) for name, c in _of_empty(columns).items()}
-    return joined.withColumns({"next_start": F.coalesce("next_start", F.lit("")), **empty})
-
-
-def _of_empty(columns: dict[str, Column]) -> dict[str, Column]:
-    """What sketches are of the empty text: empty arrays."""
-    return {name: F.array().cast("array<bigint>") for name in columns}
+        *[F.col(name).alias(f"next_{name}") for name in columns]).repartition("_id")
+    placed = full.join(nexts, full["doc_id"] == nexts["_id"]).drop("_id")
+    # the columns of the empty text are empty arrays
+    return placed.unionByName(every.where("doc_id is null").withColumns(
+        {"next_start": F.lit(""), **{f"next_{name}": F.array().cast("array<bigint>") for name in columns}}))
 
 
 def edited_text(text: Column, next_start: Column) -> Column:
