@@ -104,21 +104,23 @@ def with_next(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     doc_id have the same next document, and to others that id's next text is the least of theirs. Rows without doc_id have no
     place in the order: their next document is the empty text.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # no alias on a column that needs none: it would keep Spark from dealing the documents once for both joins
+    key = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(key, F.coalesce("text", F.lit("")).alias("text"))
     sizes = stored(rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), F.length("text").alias("n")), "lengths")
     repeats = not sizes.groupBy("id").count().where("count > 1").isEmpty()
     links = next_ids(sizes.groupBy("id").agg(F.max("n").alias("n")) if repeats else sizes)
     # documents are dealt by doc_id once, for both joins; only starts and columns are dealt again. Ids are
     # few to a row or distinct, so no partition needs splitting
-    every = rows.select("doc_id", "text", *[c.alias(name) for name, c in columns.items()])
-    full = every.where("doc_id is not null").repartition("doc_id")
+    made = ["doc_id", "text", *[c.alias(name) for name, c in columns.items()]]
+    full = rows.where("doc_id is not null").select(*made).repartition("doc_id")
     known = full.groupBy("doc_id").agg(F.min_by(F.struct("text", *columns), "text").alias("least")).select("doc_id", "least.*") if repeats else full
     nexts = known.join(links.hint("shuffle_hash"), known["doc_id"] == links["next_id"]).select(
         F.col("id").alias("_id"), F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("next_start"),
         *[F.col(name).alias(f"next_{name}") for name in columns]).repartition("_id")
     placed = full.join(nexts, full["doc_id"] == nexts["_id"]).drop("_id")
     # the columns of the empty text are empty arrays
-    return placed.unionByName(every.where("doc_id is null").withColumns(
+    return placed.unionByName(rows.where("doc_id is null").select(*made).withColumns(
         {"next_start": F.lit(""), **{f"next_{name}": F.array().cast("array<bigint>") for name in columns}}))
 
 
