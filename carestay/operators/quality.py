@@ -1,8 +1,8 @@
 """Declarative data-quality checks.
 
 ``run_expectations(df, suite)`` evaluates every row-level check of a suite in ONE
-aggregate (a ``count_if`` per check) and each uniqueness check as one keyed
-aggregate; the report has one row per check: model, check, column, failing rows, status.
+aggregate (a ``count_if`` per check) and all uniqueness checks as one keyed
+aggregate with one shuffle; the report has one row per check: model, check, column, failing rows, status.
 Nulls pass accepted-value and range checks, as in the source's test framework.
 """
 
@@ -70,9 +70,21 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
             .where(F.col("nb_occurrences") > 1))
 
 
+def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: for each key column, how many of its values are seen more than once (nulls ignored).
+
+    All keys go through one shuffle of (column, value) counts, combined on the map side, so a value that holds a third of
+    all rows is one row per task; values are compared whole, not by a hash.
+    """
+    entries = F.array(*[F.struct(F.lit(i).alias("column"), F.col(c).cast("string").alias("value")) for i, c in enumerate(keys)])
+    counts = (df.select(F.explode(entries).alias("e")).where(F.col("e.value").isNotNull())
+              .groupBy(F.col("e.column").alias("column"), F.col("e.value").alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    return counts.agg(*[F.count_if((F.col("column") == i) & (F.col("n") > 1)).alias(c) for i, c in enumerate(keys)])
+
+
 def run_suites(df: DataFrame, suites: Sequence[tuple[str, Sequence[Expectation]]]) -> DataFrame:
     """Several suites over one relation: every row-level check of every suite in ONE aggregate,
-    and one keyed aggregate per distinct uniqueness column (shared by the suites that ask)."""
+    and one keyed aggregate for all uniqueness columns (each shared by the suites that ask)."""
     row_checks = [(m, e) for m, suite in suites for e in suite if e.kind != "unique"]
     key_checks = [(m, e) for m, suite in suites for e in suite if e.kind == "unique"]
     parts = []
@@ -80,12 +92,10 @@ def run_suites(df: DataFrame, suites: Sequence[tuple[str, Sequence[Expectation]]
         agg = df.agg(*[_failing(e).cast("bigint").alias(f"c{i}") for i, (_, e) in enumerate(row_checks)])
         stack = ", ".join(f"'{m}', '{e.kind}', '{e.column}', c{i}" for i, (m, e) in enumerate(row_checks))
         parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) AS (model, check, column, failing_rows)"))
-    for col in dict.fromkeys(e.column for _, e in key_checks):
-        n_dup = duplicates(df, col).agg(F.count(F.lit(1)).alias("failing_rows"))
-        for m, e in key_checks:
-            if e.column == col:
-                parts.append(n_dup.select(F.lit(m).alias("model"), F.lit(e.kind).alias("check"),
-                                          F.lit(col).alias("column"), "failing_rows"))
+    if key_checks:
+        dup = duplicate_counts(df, list(dict.fromkeys(e.column for _, e in key_checks)))
+        stack = ", ".join(f"'{m}', '{e.kind}', '{e.column}', `{e.column}`" for m, e in key_checks)
+        parts.append(dup.selectExpr(f"stack({len(key_checks)}, {stack}) AS (model, check, column, failing_rows)"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

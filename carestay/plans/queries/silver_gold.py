@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from carestay.functions.columns import rnd
 from carestay.operators import gold
 from carestay.operators import silver
 from carestay.plans import oracle_sql as O
-from carestay.plans.registry import register
+from carestay.operators.martstate import KpiState
+from carestay.plans.registry import ORACLES, register
+from carestay.session import ensure_checkpoint_dir
 from carestay.sources.fixture import stays_raw
 from carestay.plans.queries.common import FEATURE_COLS_SQL, clean, features, raw
 
@@ -103,6 +107,19 @@ FROM u ORDER BY dimension, taux_readmission DESC"""))
 def q_kpi_mart(spark, sf):
     return gold.kpi_mart(features(spark, sf))
 
+@register("kpi_mart_incremental", ORACLES["kpi_mart"])
+def q_kpi_mart_incremental(spark, sf):
+    """The stays in four batches, one of them taken in three times, with a merge in between: the same mart."""
+    f = features(spark, sf)
+    state = KpiState(spark, f"{ensure_checkpoint_dir(spark)}/kpi-state-{uuid.uuid4().hex}")
+    part = F.pmod(F.xxhash64("patient_id"), F.lit(4))
+    for step, k in enumerate([0, 1, 1, 2, 1, 3]):
+        state.absorb(f.where(part == k), f"b{k}")
+        if step == 3:
+            state.merge()
+    return state.mart()
+
+
 @register("ingestion_log", O.with_ctes([], """
 SELECT CAST(count(*) AS BIGINT) AS nb_lignes, CAST(ROUND(CAST(avg(CAST(readmission_30j AS DOUBLE)) AS DECIMAL(18,8)), 4) AS DOUBLE) AS taux_readmission,
   'SUCCESS' AS statut FROM stays_raw"""))
