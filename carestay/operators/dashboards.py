@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestay.functions import columns as C
-from carestay.plans.joins import broadcast_if_small
+from carestay.plans.joins import broadcast_if_small, materialize
 
 
 def _rate() -> Column:
@@ -67,9 +67,23 @@ def ordered(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*keys)
 
 
-def top_k(df: DataFrame, by: str | Column, k: int, descending: bool = True, magnitude: bool = False) -> DataFrame:
-    """The k first rows by ``by`` (optionally by absolute value). Spark plans this as a
+def top_k(df: DataFrame, by: str | Column, k: int, descending: bool = True, magnitude: bool = False, ties: Sequence[str | Column] = ()) -> DataFrame:
+    """The k first rows by ``by`` (optionally by absolute value), equal ones in the order of ``ties``. Spark plans this as a
     TakeOrderedAndProject: each task keeps its own k best, only k·tasks rows meet at the end."""
     c = F.col(by) if isinstance(by, str) else by
     c = F.abs(c) if magnitude else c
-    return df.orderBy(c.desc() if descending else c.asc()).limit(k)
+    return df.orderBy(c.desc() if descending else c.asc(), *ties).limit(k)
+
+
+def numbered(report: DataFrame, name: str = "rang") -> DataFrame:
+    """An ordered report (a bounded, aggregated table) with its row numbers from 1, so that order is part of the result.
+
+    The rows are numbered as they lie: by partition, then by place, from one small count per partition.
+    """
+    placed = materialize(report.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    first = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    out = placed.join(F.broadcast(first), part == F.col("_part"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return out.withColumn(name, (F.col("_before") + place + 1).cast("int")).drop("_at", "_part", "_n", "_before")
