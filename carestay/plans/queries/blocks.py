@@ -13,6 +13,7 @@ from carestay.operators import measures as M
 from carestay.operators import quality as QC
 from carestay.operators import timeintel as TI
 from carestay.plans import oracle_sql as O
+from carestay.plans.joins import fixed_broadcast
 from carestay.plans.queries.common import clean, features, round_doubles
 from carestay.plans.queries.timeintel import MONTHLY_SQL
 from carestay.plans.registry import register
@@ -72,8 +73,8 @@ def q_top_pathologies(spark, sf):
 SELECT year, month, {O.R('(rate - y) * 100', 6)} AS delta_annee_pp, {O.R('rate - mo', 6)} AS delta_mois FROM pd WHERE year IS NOT NULL"""))
 def q_period_deltas(spark, sf):
     f = features(spark, sf)
-    both = TI.prior_year(f).select("year", "month", "taux_readmission", "taux_annee_precedente").join(
-        TI.prior_month(f).select("year", "month", "taux_mois_precedent"), ["year", "month"])
+    months = TI.prior_month(f).select("year", "month", "taux_mois_precedent")  # a row a month: bounded by the calendar
+    both = TI.prior_year(f).select("year", "month", "taux_readmission", "taux_annee_precedente").join(fixed_broadcast(months), ["year", "month"])
     return round_doubles(TI.period_deltas(both).select("year", "month", "delta_annee_pp", "delta_mois"))
 
 
