@@ -91,8 +91,12 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = S.CORRELATION_COLS,
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
     there = lambda x, y: F.when(F.col(y).isNotNull(), F.col(x))
     sums = wide.agg(*[c for i, (a, b) in enumerate(pairs)
-                      for c in (F.covar_pop(a, b).alias(f"c{i}"), F.var_pop(there(a, b)).alias(f"a{i}"), F.var_pop(there(b, a)).alias(f"b{i}"))])
-    value = lambda i: F.try_divide(F.col(f"c{i}"), F.sqrt(F.col(f"a{i}")) * F.sqrt(F.col(f"b{i}")))
+                      for c in (F.covar_pop(a, b).alias(f"c{i}"), F.var_pop(there(a, b)).alias(f"a{i}"), F.var_pop(there(b, a)).alias(f"b{i}"))],
+                    *[F.max(F.abs(F.col(c))).alias(f"m{i}") for i, c in enumerate(cols)])
+    at = {c: i for i, c in enumerate(cols)}
+    # merged means of a constant column may differ by a rounding: so little spread, next to the values, is none
+    spread = lambda v, c: F.when(F.col(v) > 1e-28 * F.col(f"m{at[c]}") * F.col(f"m{at[c]}"), F.sqrt(F.col(v)))
+    value = lambda i: F.try_divide(F.col(f"c{i}"), spread(f"a{i}", pairs[i][0]) * spread(f"b{i}", pairs[i][1]))
     entries = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), value(i).alias("corr")) for i, (a, b) in enumerate(pairs)]
     out = sums.select(F.explode(F.array(*entries)).alias("e")).select("e.col_a", "e.col_b", "e.corr")
     return out if digits is None else out.withColumn("corr", C.rnd("corr", digits))
