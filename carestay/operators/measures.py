@@ -1,7 +1,7 @@
 """BI measures evaluated per group set, plus pathology ranking and exact percentiles.
 
 ``measures(df, group_by)`` computes every base count in ONE aggregate (conditional
-``count_if``/``avg``/``max``) and derives the 51 measures as ratios and labels of those
+``count_if``/``avg``/``max``) and derives the 37 measures of one grain as ratios and labels of those
 counts. Empty counts and ratios are 0 (``null_on_empty=True`` gives null instead).
 """
 
