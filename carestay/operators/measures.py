@@ -2,7 +2,8 @@
 
 ``measures(df, group_by)`` computes every base count in ONE aggregate (conditional
 ``count_if``/``avg``/``max``) and derives the 37 measures of one grain as ratios and labels of those
-counts. Empty counts and ratios are 0 (``null_on_empty=True`` gives null instead).
+counts. Empty counts and ratios are 0 (``null_on_empty=True`` gives null instead). The other 14 (pathology,
+calendar, services, percentiles) have grains of their own in ``measure_registry``; ``measures`` takes all 51 by name.
 """
 
 from __future__ import annotations
@@ -93,7 +94,7 @@ def base_counts(df: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*group_by).agg(*aggs) if group_by else df.agg(*aggs)
 
 
-def _ratio(num: str | Column, den: str | Column, null_on_empty: bool) -> Column:
+def ratio(num: str | Column, den: str | Column, null_on_empty: bool) -> Column:
     num = F.col(num) if isinstance(num, str) else num
     den = F.col(den) if isinstance(den, str) else den
     if null_on_empty:
@@ -102,7 +103,7 @@ def _ratio(num: str | Column, den: str | Column, null_on_empty: bool) -> Column:
 
 
 def derive_measures(b: DataFrame, group_by: Sequence[str] = (), null_on_empty: bool = False) -> DataFrame:
-    r = lambda n, d: _ratio(n, d, null_on_empty)
+    r = lambda n, d: ratio(n, d, null_on_empty)
     rate = r("n_readm", "n")
     prec = r("tp", F.col("tp") + F.col("fp"))
     rec = r("tp", F.col("tp") + F.col("fn"))
@@ -142,7 +143,7 @@ def derive_measures(b: DataFrame, group_by: Sequence[str] = (), null_on_empty: b
         "vrais_negatifs": F.col("tn"),
         "precision_modele": prec,
         "rappel_modele": rec,
-        "f1_modele": _ratio(2 * prec * rec, prec + rec, null_on_empty),
+        "f1_modele": ratio(2 * prec * rec, prec + rec, null_on_empty),
         "accuracy_modele": r(F.col("tp") + F.col("tn"), "n"),
         "specificite_modele": r("tn", F.col("tn") + F.col("fp")),
         "cout_fausses_alertes": C.threshold_label(C.safe_ratio("fp", "n"), FALSE_ALERT_COST,
@@ -165,9 +166,24 @@ MEASURE_GROUPS = {
 }
 
 
+#: The measures of the row grain, in their order.
+MEASURE_COLUMNS = [
+    "total_sejours", "total_readmissions", "taux_readmission", "taux_readmission_label", "duree_moyenne_sejour", "age_moyen",
+    "medicaments_moyen", "taux_polymedication", "taux_sortie_complexe", "score_risque_moyen", "score_risque_maximum",
+    "patients_risque_eleve", "patients_risque_modere", "patients_risque_faible", "pct_risque_eleve", "pct_risque_modere",
+    "pct_risque_faible", "indice_complexite_moyen", "taux_seniors_75", "pct_seniors_75", "taux_antecedents_lourds", "taux_sexe_m",
+    "taux_sexe_f", "delta_h_vs_f", "couleur_alerte", "statut_performance", "non_alertes_rehospitalises", "vrais_positifs",
+    "faux_positifs", "faux_negatifs", "vrais_negatifs", "precision_modele", "rappel_modele", "f1_modele", "accuracy_modele",
+    "specificite_modele", "cout_fausses_alertes"]
+
+
 def measures(df: DataFrame, group_by: Sequence[str] = (), names: Sequence[str] | None = None,
              null_on_empty: bool = False) -> DataFrame:
-    """Measures per group of ``group_by`` (one aggregate pass over ``df``)."""
+    """Measures per group of ``group_by``: one aggregate pass over ``df`` for the 37 of the row grain (all of them by
+    default), and one more for each further grain that ``names`` asks for."""
+    if names and not set(names) <= set(MEASURE_COLUMNS):
+        from carestay.operators.measure_registry import by_name
+        return by_name(df, group_by, names, null_on_empty)
     out = derive_measures(base_counts(df, group_by), group_by, null_on_empty)
     return out.select(*group_by, *names) if names else out
 

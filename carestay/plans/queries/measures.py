@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from carestay.functions.columns import rnd
 from carestay.operators import dashboards as DB
+from carestay.operators import measure_registry as R
 from carestay.operators import measures as M
 from carestay.plans import oracle_sql as O
 from carestay.plans.registry import register
 from carestay.sources.reference import LABELS_FR_EN, label_dictionary
 from carestay.plans.queries.common import clean, features, measure_base, round_doubles
+from carestay.plans.queries.timeintel import trend_sql
 
 
 _MEASURE_QUERIES = {
@@ -181,3 +183,66 @@ def _multi_sql() -> str:
 @register("measures_multi_sets", _multi_sql())
 def q_measures_multi(spark, sf):
     return round_doubles(M.measures_grouping_sets(measure_base(spark, sf), _MULTI_SETS, _MULTI_NAMES))
+
+
+_ROW_DOUBLES = {n for n, (_, is_double) in O.measure_exprs().items() if is_double}
+
+
+def _all_measures_sql(group: list[str]) -> str:
+    """All 51 measures restated: every period is a pair of dates that stays are held against, one by one."""
+    month = "mois_admission" in group
+    other = [c for c in group if c not in ("annee_admission", "mois_admission")]
+    same = lambda cols, a, b: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols) or "TRUE"
+    rate = lambda t: f"(CASE WHEN count({t}.patient_id) = 0 THEN 0.0 ELSE CAST(count({t}.patient_id) FILTER (WHERE {t}.readmission_30j = 1) AS DOUBLE) / count({t}.patient_id) END)"
+    keys = ", ".join(group)
+    ctes = [O.MB, O.base_counts_sql(keys or None)]
+    if month:
+        ctes.append("ctx AS (SELECT *, make_date(annee_admission, mois_admission, 1) AS lo, last_day(make_date(annee_admission, mois_admission, 1)) AS hi FROM b)")
+        year_back = "x.date_admission BETWEEN lo - INTERVAL 1 YEAR AND last_day(CAST(lo - INTERVAL 1 YEAR AS DATE))"
+        month_back = "x.date_admission BETWEEN lo - INTERVAL 1 MONTH AND lo - INTERVAL 1 DAY"
+    else:
+        ctes.append("ctx AS (SELECT *, (SELECT max(date_admission) FROM mb) AS hi FROM b)")
+        year_back = "x.date_admission <= hi - INTERVAL 1 YEAR"
+        month_back = "x.date_admission <= hi - INTERVAL 1 MONTH"
+    to_date = "x.date_admission BETWEEN make_date(CAST(year(hi) AS INTEGER), 1, 1) AND hi"
+    held = lambda cond: f"FROM mb x WHERE {same(other, 'x', 'ctx')} AND {cond}"
+    alone = "(SELECT pathologie, CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*) AS rate FROM mb GROUP BY 1)"
+    by_path = f"(SELECT {', '.join([*[c for c in group if c != 'pathologie'], 'pathologie'])}, CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*) AS rate FROM mb GROUP BY ALL)"
+    among = same([c for c in group if c != "pathologie"], "q", "ctx")
+    now = "CAST(n_readm AS DOUBLE) / n"
+    if "pathologie" in group:
+        path = f"(SELECT rate FROM {alone} q WHERE q.pathologie = ctx.pathologie)"
+        worst = "ctx.pathologie"
+    else:
+        path = "(SELECT CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*) FROM mb)"
+        visible = f"(SELECT DISTINCT a.pathologie, a.rate FROM {alone} a JOIN {by_path} q ON q.pathologie = a.pathologie WHERE {among})"
+        worst = f"(SELECT string_agg(v.pathologie, ', ' ORDER BY v.pathologie) FROM {visible} v WHERE v.rate = (SELECT max(w.rate) FROM {visible} w))"
+    ctes.append(f"""a AS (SELECT *, {now} AS now, {path} AS path,
+  ({now} - (SELECT CAST(count(*) FILTER (WHERE readmission_30j = 1) AS DOUBLE) / count(*) FROM mb)) * 100 AS dev,
+  (SELECT count(DISTINCT q.rate) FROM {by_path} q WHERE {among} AND q.rate > {now}) + 1 AS rang, {worst} AS worst,
+  (SELECT {rate('x')} {held(year_back)}) AS py, (SELECT count(*) {held(year_back)}) AS pyn, (SELECT {rate('x')} {held(month_back)}) AS pm,
+  (SELECT {rate('x')} {held(to_date)}) AS ytd,
+  (SELECT count(*) {held("x.readmission_30j = 1 AND x.date_admission BETWEEN hi - INTERVAL 29 DAY AND hi")}) AS roll,
+  (SELECT count(*) FROM (SELECT s.service, CAST(count(*) FILTER (WHERE s.readmission_30j = 1) AS DOUBLE) / count(*) AS rate FROM mb s
+    WHERE {same(group, 's', 'ctx')} GROUP BY 1) WHERE rate >= 0.20) AS above,
+  (SELECT quantile_cont(x.score_risque_modele, 0.9) FILTER (WHERE x.readmission_30j = 1) - quantile_cont(x.score_risque_modele, 0.1)
+    FILTER (WHERE x.readmission_30j = 0) FROM mb x WHERE {same(group, 'x', 'ctx')}) AS ks
+  FROM ctx)""")
+    ex = O.measure_exprs()
+    cols = [f"{O.R(ex[n][0], 6) if n in _ROW_DOUBLES else ex[n][0]} AS {n}" for n in R.row_names()]
+    cols += [f"{O.R('path', 6)} AS taux_readmission_pathologie", f"{O.R('dev', 6)} AS ecart_vs_moyenne_globale_pp",
+             "CAST(rang AS INTEGER) AS rang_pathologie", "worst AS pathologie_plus_risquee", f"{O.R('py', 6)} AS taux_readmission_annee_precedente",
+             f"{O.R('(now - py) * 100', 6)} AS delta_taux_vs_annee_precedente_pp", f"{trend_sql('(now - py) * 100')} AS icone_tendance_annee",
+             f"{O.R('ytd', 6)} AS taux_readmission_ytd", "roll AS readmissions_30j_glissants", "pyn AS sejours_annee_precedente",
+             f"{O.R('pm', 6)} AS taux_readmission_mois_precedent", f"{O.R('now - pm', 6)} AS delta_taux_vs_mois_precedent",
+             "above AS services_au_dessus_seuil", "printf('%.3f', ROUND(CAST(ks AS DECIMAL(38,8)), 3)) AS separation_scores_ks_approx"]
+    return O.with_ctes(O.BASE + ctes, f"SELECT {', '.join([*group, *cols])} FROM a")
+
+
+for _suffix, _keys in {"global": [], "by_service": ["service"], "by_pathology": ["pathologie"],
+                       "by_service_month": ["service", "annee_admission", "mois_admission"]}.items():
+    def _mka(keys):
+        def q(spark, sf):
+            return round_doubles(M.measures(measure_base(spark, sf), keys, R.all_names()))
+        return q
+    register(f"measures_all_{_suffix}", _all_measures_sql(_keys))(_mka(_keys))

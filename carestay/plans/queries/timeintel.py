@@ -15,7 +15,7 @@ MONTHLY_SQL = """monthly AS (
   FROM features GROUP BY 1, 2)"""
 
 
-def _trend_sql(d: str) -> str:
+def trend_sql(d: str) -> str:
     a = f"printf('%.1f', CAST(ROUND(CAST(abs({d}) AS DECIMAL(38,8)), 1) AS DOUBLE))"
     sgn = f"printf('%+.1f', CAST(ROUND(CAST({d} AS DECIMAL(38,8)), 1) AS DOUBLE))"
     return (f"CASE WHEN {d} IS NULL THEN 'N/A' WHEN {d} > 0.5 THEN 'up +' || {a} || 'pp' "
@@ -32,7 +32,7 @@ _PY = """py AS (
 
 @register("prior_year", O.with_ctes(O.BASE + [MONTHLY_SQL, _PY], f"""
 SELECT year, month, sejours, {O.R('rate', 6)} AS taux_readmission, {O.R('prev', 6)} AS taux_annee_precedente,
-  {O.R('(rate - prev) * 100', 6)} AS delta_pp, {_trend_sql('(rate - prev) * 100')} AS tendance,
+  {O.R('(rate - prev) * 100', 6)} AS delta_pp, {trend_sql('(rate - prev) * 100')} AS tendance,
   sejours_prev AS sejours_annee_precedente
 FROM py"""))
 def q_prior_year(spark, sf):
@@ -99,7 +99,7 @@ def q_rolling_as_of(spark, sf):
     COALESCE(q.sejours, 0) AS sejours_prev
   FROM ms p LEFT JOIN ms q ON p.service = q.service AND p.month_index = q.month_index + 12)"""], f"""
 SELECT service, year, month, sejours, {O.R('rate', 6)} AS taux_readmission, {O.R('prev', 6)} AS taux_annee_precedente,
-  {O.R('(rate - prev) * 100', 6)} AS delta_pp, {_trend_sql('(rate - prev) * 100')} AS tendance,
+  {O.R('(rate - prev) * 100', 6)} AS delta_pp, {trend_sql('(rate - prev) * 100')} AS tendance,
   sejours_prev AS sejours_annee_precedente
 FROM pys"""))
 def q_prior_year_by_service(spark, sf):
