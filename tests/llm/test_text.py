@@ -282,8 +282,12 @@ def matching_text(pattern, rnd):
                 out += make(rnd.choice(arg[1]))
             elif op == "SUBPATTERN":
                 out += make(arg[3])
+            elif op == "RANGE":
+                out += chr(rnd.randint(*arg))
+            elif op == "ASSERT_NOT":
+                pass
             elif op == "MAX_REPEAT":
-                out += make(arg[2]) * rnd.randint(arg[0], arg[1])
+                out += make(arg[2]) * rnd.randint(arg[0], min(arg[1], 9))
             else:
                 assert op == "ASSERT", op
         return out
@@ -389,3 +393,67 @@ def test_tokens_passed_over_have_no_reading_with_a_feature():
         token = "".join((c.upper() if rnd.random() < 0.2 else c) * rnd.choice([1, 1, 1, 2, 3]) for c in word) + rnd.choice(["", ".", ",."])
         read = [model.weights.get(f, 0.1) for w in toxicity.restored_words(token, model.chars) for f in toxicity.features(w)]
         assert model.token_score(token) == max(read, default=0.1), token
+
+
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met: 1. Neither the name of the copyright holder nor the names of its contributors may be used to endorse
+or promote products derived from this software without specific prior written permission."""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies."""
+GPL_HEADER = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
+License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."""
+
+
+def test_license_texts_addresses_and_glued_versions(make_docs):
+    want = {MIT_TEXT: "mit", BSD_TEXT: "bsd,bsd-3-clause", ISC_TEXT: "isc", GPL_HEADER: "gpl,gpl-2-or-later",
+            "Permission is hereby granted, free of charge": "mit", "Redistribution and use in source and binary forms": "bsd",
+            "Permission to use, copy, modify": "isc", "GPLv2": "gpl-2", "GPLv3+": "gpl-3-or-later", "LGPLv2.1": "lgpl-2.1", "AGPLv3": "agpl-3",
+            "the Apache2 license": "apache-2", "see https://www.apache.org/licenses/LICENSE-2.0": "apache-2", "https://opensource.org/licenses/MIT": "mit",
+            "https://www.gnu.org/licenses/gpl-3.0.html": "gpl-3", "https://creativecommons.org/licenses/by-nc/4.0/": "cc-by-nc-4.0",
+            "This is free and unencumbered software released into the public domain.": "unlicense", "GPL-2.0-or-later": "gpl-2-or-later",
+            "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+            "documentation covered by this license": "bsl-1"}
+    got = {r["doc_id"]: r for r in license_scan.scan(make_docs(list(enumerate(want)))).collect()}
+    assert {t: got[i]["labels"] for i, t in enumerate(want)} == want
+
+
+def test_plain_prose_has_no_license(make_docs):
+    plain = ["the general public 2 weeks ago", "a common public 1 day event", "he said the open software 2 years", "we used the ruby 2 times",
+             "released under the json 3 format", "apache 2.4 server", "1+1 or c++ 2+ and mpl 2 3 4", "the permission was granted", "under the php 3 0"]
+    assert {r["labels"] for r in license_scan.scan(make_docs(list(enumerate(plain)))).collect()} == {""}
+
+
+def suppressed(text):
+    """(labels, best, count) by brute force: every rule's matches, each held against every other."""
+    words = re.findall(license_scan.WORD, re.sub("[A-Z]", lambda m: m[0].lower(), re.sub(license_scan.OR_LATER, " or later ", text)))
+    normal = f" {' '.join(words)} "
+    found = sorted({(m.start(), -m.end(), -r.priority, r.label) for r in license_scan.rules() for m in re.finditer(r.pattern, normal)})
+    kept = [d for i, d in enumerate(found) if not any(o[1] <= d[1] and o[2] <= d[2] for o in found[:i])]
+    return ",".join(sorted({d[3] for d in kept})), len(kept)
+
+
+def test_suppression_equals_brute_force(make_docs):
+    rnd = random.Random(7)
+    rules = license_scan.rules()
+    parts = lambda: matching_text(rnd.choice(rules).pattern, rnd)
+    rows = [(i, " ".join(rnd.choice([parts(), "and", "version 2", "license", "or later", "the gpl", "mit"]) for _ in range(rnd.randint(1, 14)))) for i in range(60)]
+    rows += [(100, "GPLv2+ " * 50 + MIT_TEXT * 3), (101, f"{BSD_TEXT} {ISC_TEXT} {GPL_HEADER}")]
+    texts_by_id = dict(rows)
+    for r in license_scan.scan(make_docs(rows)).collect():
+        labels, n = suppressed(texts_by_id[r["doc_id"]])
+        words = set(labels.split(",")) - {""}
+        assert set(r["labels"].split(",")) - {""} == words | (set(r["base_labels"].split(",")) - {""}), texts_by_id[r["doc_id"]]
+        assert r["n_detections"] == n
+
+
+def test_licence_scan_of_many_hits_stays_near_linear(make_docs):
+    import time
+    took = {}
+    for n in (4000, 16000):
+        t0 = time.time()
+        r = license_scan.scan(make_docs([(1, "released under the mit license. " * n)])).first()
+        took[n] = time.time() - t0
+        assert r["n_detections"] == n and r["n_base"] == n and r["labels"] == "mit"
+    assert took[16000] < 8 * max(took[4000], 1)
