@@ -19,7 +19,7 @@ def row_level_filter(df: DataFrame, users: DataFrame, user_name: str, role: str,
 
     Whatever the role, a user who is not mapped to it sees nothing. Department roles keep the rows of
     the user's services through a left-semi join with the user's mapping rows (a handful of rows,
-    broadcast after a size check).
+    broadcast after a size check). Where ``df`` is a table partitioned by service, only the user's folders are read.
     """
     mine = users.where((F.col("user_name") == user_name) & (F.col("role") == role))
     mapped = mine.agg(F.count(F.lit(1))).scalar() > 0
@@ -28,7 +28,9 @@ def row_level_filter(df: DataFrame, users: DataFrame, user_name: str, role: str,
     if role in ANALYST_ROLES:
         return df.where((F.col(score_col) >= ANALYST_MIN_SCORE) & mapped)
     if role in SERVICE_ROLES:
-        return df.join(broadcast_if_small(mine.select("service")), "service", "left_semi")
+        # the role is chosen above the stored rows of the user: a filter there is what lets the join prune partitions
+        theirs = broadcast_if_small(users.where(F.col("user_name") == user_name).select("role", "service"))
+        return df.join(theirs.where(F.col("role") == role).select("service"), "service", "left_semi")
     raise ValueError(f"unknown role {role!r}")
 
 

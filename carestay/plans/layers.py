@@ -14,8 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carestay import schema as S
 from carestay.operators import gold, silver
 from carestay.session import ensure_checkpoint_dir
+from carestay.sources import io
 from carestay.sources.fixture import stays_raw
 
 SOURCE_TABLES = ("orders", "lineitem", "customer")
@@ -70,6 +72,37 @@ def gold_features(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     return df.select(*gold.FEATURE_TABLE_COLUMNS, *[c for c in extra if c in GOLD_EXTRA])
 
 
+def gold_by_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold feature table in folders by service, so that a department's rows are read without the others."""
+    source = spark.read.parquet(build_gold_features(spark, sf_dir))
+    key, path = _layer_path(spark, sf_dir, "gold_by_service", "mart_patient_features")
+    if key not in _BUILT:
+        io.write_gold(source, path, ["service"])
+        _BUILT[key] = path
+    return io.read_gold(spark, path, source.schema)
+
+
+def bucketed(spark: SparkSession, sf_dir: str, layer: str, source: Callable[[], DataFrame]) -> DataFrame:
+    """A table of stays stored by stay key (built on first use in this session); all such tables have one bucket count."""
+    key, path = _layer_path(spark, sf_dir, "bucketed", layer)
+    key = (*key, layer)
+    name = f"carestay_{layer}_{key[1]}"
+    if key not in _BUILT:
+        io.write_bucketed(source(), path, name, S.KEY, io.bucket_count(spark, build_bronze(spark, sf_dir)))
+        _BUILT[key] = name
+    return spark.table(name)
+
+
+def silver_by_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean stays, bucketed by stay key."""
+    return bucketed(spark, sf_dir, "silver", lambda: silver.clean_stays(bronze(spark, sf_dir)))
+
+
+def features_by_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold feature table, bucketed by stay key."""
+    return bucketed(spark, sf_dir, "features", lambda: gold_features(spark, sf_dir))
+
+
 def model_tables(spark: SparkSession, sf_dir: str) -> tuple:
     """(fits, split, scored): the fitted models, the split of the gold features, and all split rows with their scores.
 

@@ -10,9 +10,10 @@ from carestay.operators import dashboards as DB
 from carestay.operators import measure_registry as R
 from carestay.operators import measures as M
 from carestay.plans import oracle_sql as O
+from carestay.plans.layers import bucketed, features_by_stay, silver_by_stay
 from carestay.plans.registry import register
 from carestay.sources.reference import LABELS_FR_EN, label_dictionary
-from carestay.plans.queries.common import clean, features, measure_base, round_doubles
+from carestay.plans.queries.common import features, measure_base, round_doubles
 from carestay.plans.queries.timeintel import trend_sql
 
 
@@ -46,9 +47,10 @@ _ATTACHED = [n for n in M.MEASURE_GROUPS["risk"] if n.startswith(("score", "pati
 @register("measures_attached_scores", O.measures_sql("service", _ATTACHED))
 def q_measures_attached_scores(spark, sf):
     """The measures on a score table attached by stay key, as an exported score file is."""
-    f = features(spark, sf)
-    scores = measure_base(spark, sf).select("patient_id", "score_risque_modele")
-    return round_doubles(M.measures(M.stay_measures_base(f, scores, clean(spark, sf)), ["service"], _ATTACHED))
+    # all three tables are stored by stay key: they join as they lie
+    scores = bucketed(spark, sf, "scores", lambda: measure_base(spark, sf).select("patient_id", "score_risque_modele"))
+    base = M.stay_measures_base(features_by_stay(spark, sf), scores, silver_by_stay(spark, sf))
+    return round_doubles(M.measures(base, ["service"], _ATTACHED))
 
 
 _TIERS_LEFT = """CASE WHEN {s} >= 0.70 THEN 'Eleve' WHEN {s} >= 0.40 THEN 'Modere' WHEN {s} >= 0.20 THEN 'Faible' ELSE 'Tres faible' END"""

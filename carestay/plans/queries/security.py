@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from carestay.operators import measures as M
 from carestay.operators import security as SEC
 from carestay.plans import oracle_sql as O
+from carestay.plans.layers import gold_by_service
 from carestay.plans.registry import register
 from carestay.sources.reference import users_by_service
 from carestay.plans.queries.common import measure_base
@@ -21,7 +23,7 @@ users AS (
 SELECT patient_id, service, readmission_30j FROM mb
 WHERE service IN (SELECT service FROM users WHERE user_name = 'resp.cardiologie' AND role = 'Responsable_Service')"""))
 def q_row_level_service(spark, sf):
-    mb = measure_base(spark, sf)
+    mb = M.measure_base(gold_by_service(spark, sf))
     users = users_by_service(mb)
     return SEC.row_level_filter(mb, users, "resp.cardiologie", "Responsable_Service").select(
         "patient_id", "service", "readmission_30j")

@@ -11,6 +11,7 @@ from carestay.operators import gold
 from carestay.operators import silver
 from carestay.plans import oracle_sql as O
 from carestay.operators.martstate import KpiState
+from carestay.plans.layers import silver_by_stay
 from carestay.plans.registry import ORACLES, register
 from carestay.session import ensure_checkpoint_dir
 from carestay.sources.fixture import stays_raw
@@ -86,7 +87,8 @@ def q_with_features(spark, sf):
 
 @register("feature_store_join", O.with_ctes(O.BASE, f"SELECT {FEATURE_COLS_SQL} FROM features"))
 def q_feature_store_join(spark, sf):
-    return gold.feature_store_join(clean(spark, sf))
+    # silver is stored by stay key: the views join as they lie
+    return gold.feature_store_join(silver_by_stay(spark, sf))
 
 
 for _dim in gold.KPI_DIMENSIONS:

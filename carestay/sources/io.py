@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from carestay import schema as S
 from carestay.operators.silver import enforce_bronze_schema
@@ -52,17 +55,40 @@ def append_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").parquet(path)
 
 
-def write_gold(df: DataFrame, path: str) -> None:
-    """Full-refresh table."""
-    df.write.mode("overwrite").parquet(path)
+def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Full-refresh table, in folders by the values of ``partition_by`` if given.
+
+    Rows are dealt by those values first, so a value has few files; the rebalance splits a value that holds much of the rows.
+    An empty text and a null share a folder and are read back as null.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def write_bucketed(df: DataFrame, path: str, name: str, key: str, buckets: int) -> None:
+    """Full-refresh table ``name`` at ``path``, dealt into ``buckets`` files by ``key`` and sorted by it.
+
+    Tables with the same key and bucket count join on it without a shuffle.
+    """
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name))
+
+
+def bucket_count(spark: SparkSession, path: str, bytes_per_bucket: int = 256 << 20, least: int = 8) -> int:
+    """Buckets of about ``bytes_per_bucket`` for a table with the size of the files under ``path``."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return max(least, -(-size // bytes_per_bucket))
 
 
 def register_silver(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_gold(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A gold table; ``schema`` keeps the types of columns that are folders (else they are inferred from the names)."""
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
