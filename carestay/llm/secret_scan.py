@@ -1,6 +1,7 @@
 """Secret scan: fixed base patterns, and novelty of candidates measured by dictionary-primed zstandard.
 
-A candidate is a long string with digits, near a sensitive word. Its novelty is what it adds to the
+A candidate is a long string with digits or of mixed-up cases, near a sensitive word; a signed token of parts
+joined by dots is one candidate. Its novelty is what it adds to the
 compressed size of the text around it, by a compressor primed with identifiers; a candidate that
 hardly compresses there is reported.
 """
@@ -30,6 +31,8 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 12, 18, 16
 MIN_CANDIDATE, NEAR, AROUND = 16, 48, 240
 #: Added compressed bytes per character from which a candidate counts as incompressible.
 NOVELTY = 0.55
+#: A string without digits looks random up to this share of vowels and below this share of word-like parts.
+VOWELS, WORDY = 0.28, 0.75
 #: Identifiers of the corpus that prime the compressor, at most.
 DICTIONARY_WORDS = 2_000
 
@@ -48,8 +51,12 @@ service session set setting size source sql start state static status stdin stdo
 system table target task template test text this thread throw time timeout title token true try type unsigned update upload url user
 username utf8 uuid value var variable vector version void while with write yaml yield zone""".split()
 
-_CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_CANDIDATE},}}")
+# a signed token begins with the base64 of a JSON object and goes on in parts after dots
+_SIGNED = r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}(?:\.[A-Za-z0-9_-]+)*"
+_CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])(?:{_SIGNED}|[A-Za-z0-9+/_=-]{{{MIN_CANDIDATE},}})")
 _DIGIT = re.compile(r"[0-9]")
+_WORD_PART = re.compile(r"[A-Z]?[a-z]{3,}")
+_VOWEL = re.compile(r"[AEIOUaeiou]")
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z_]{3,31}")
 _HEX_BYTES = bytes(120 if chr(i) in "0123456789abcdef" else 32 for i in range(256))
 
@@ -67,12 +74,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _random_looking(s: str) -> bool:
+    """It has a digit, or both cases, few vowels and few parts like those of camelCase words."""
+    if _DIGIT.search(s):
+        return True
+    if s.islower() or s.isupper():
+        return False
+    return len(_VOWEL.findall(s)) <= VOWELS * len(s) and sum(map(len, _WORD_PART.findall(s))) < WORDY * len(s)
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Long strings with a digit and a sensitive word shortly before them (or at their own start)."""
-    if _DIGIT.search(text) is None:
-        return []
+    """Long random-looking strings with a sensitive word shortly before them (or at their own start)."""
     return [m.span() for m in _CANDIDATE.finditer(text)
-            if _DIGIT.search(m[0]) and _SENSITIVE.search(text, max(0, m.start() - NEAR), m.start() + 4)]
+            if _random_looking(m[0]) and _SENSITIVE.search(text, max(0, m.start() - NEAR), m.start() + 4)]
 
 
 class Novelty:
@@ -115,17 +129,18 @@ def corpus_identifiers(docs: DataFrame, words: int = DICTIONARY_WORDS) -> list[s
     return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()]
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
     """(doc_id, starts, ends, kinds, values) of all spans of each row's whole text, in code points, end exclusive.
 
+    ``dictionary_words`` bounds the corpus identifiers that prime the compressor; they are counted over all rows.
     Null texts count as empty and have no spans. Repeated rows give repeated rows; other columns are ignored.
     """
     return _spans(docs, lambda text, spans: ([s for s, _, _ in spans], [e for _, e, _ in spans], [KINDS[k] for _, _, k in spans],
                                              [text[s:e] for s, e, _ in spans]),
-                  "starts array<long>, ends array<long>, kinds array<string>, values array<string>")
+                  "starts array<long>, ends array<long>, kinds array<string>, values array<string>", dictionary_words)
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_novel) of each row: what ``scan`` finds, in figures."""
 
     def joined(spans):
@@ -136,11 +151,11 @@ def digests(docs: DataFrame) -> DataFrame:
         n = Counter(k for _, _, k in spans)
         return n[0], n[1], n[2], hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), n[3]
 
-    return _spans(docs, row, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long")
+    return _spans(docs, row, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long", dictionary_words)
 
 
-def _spans(docs: DataFrame, row, schema: str) -> DataFrame:
-    identifiers = corpus_identifiers(docs)  # a bounded list
+def _spans(docs: DataFrame, row, schema: str, dictionary_words: int) -> DataFrame:
+    identifiers = corpus_identifiers(docs, dictionary_words)  # a bounded list
 
     def run(batch: pa.RecordBatch):
         novelty = Novelty(identifiers)

@@ -85,6 +85,24 @@ def test_secrets(make_docs):
     assert found[4] == [jwt] and secret_scan.digests(make_docs([])).count() == 0
 
 
+def test_signed_tokens_and_keys_of_letters_only(make_docs):
+    rnd = random.Random(11)
+    some = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
+    signed = f"eyJ{some(base64, 33)}.eyJ{some(base64, 60)}.{some(base64, 43)}"
+    letters = [some(base64[:52], 32) for _ in range(200)]
+    plain = ["the secret of AbstractSingletonProxyFactoryBean", "key: getUserAccountTokenValue and KEY_OF_THE_WHOLE_TABLE", "password-protected-documents",
+             "token HTTPServerConnectionManagerImpl", "secret com.example.service.documentation.internal"]
+    rows = [(0, f"Authorization: Bearer {signed}."), *[(i + 1, f"the private key is {k} here") for i, k in enumerate(letters)],
+            *[(1000 + i, t) for i, t in enumerate(plain)], (2000, f"nothing near {letters[0]}")]
+    for words in (secret_scan.DICTIONARY_WORDS, 10):
+        found = {r["doc_id"]: r["values"] for r in secret_scan.scan(make_docs(rows), words).collect()}
+        assert found[0] == [signed]
+        # about five in six random keys have as few vowels and word-like parts as asked
+        assert sum(found[i + 1] == [k] for i, k in enumerate(letters)) >= 160
+        assert all(found[1000 + i] == [] for i in range(len(plain))) and found[2000] == []
+
+
 def test_licenses(make_docs):
     rows = [(1, "Released under the MIT License. under, the mit-license"), (2, "Licensed under the Apache License, Version 2.0."), (3, None), (4, ""),
             (5, "This work is licensed under the GNU General Public License, version 3."), (6, "SPDX-License-Identifier: LGPL-2.1 or later"),
