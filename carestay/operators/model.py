@@ -29,7 +29,7 @@ from carestay.functions import columns as C
 from carestay.operators import newton
 from carestay.operators.newton import LogisticFit
 from carestay.plans.joins import materialize
-from carestay.plans.ranking import running_totals
+from carestay.plans.ranking import row_ranks, running_totals
 
 PROB = "score_risque_modele"
 
@@ -46,17 +46,14 @@ def stratified_split(df: DataFrame, label: str = S.TARGET, key: str = S.KEY, tes
     """Exact per-class split and stratified folds.
 
     Rows are ranked within their class by md5(key-seed); the first round(test·n_c) ranks
-    form the test set, the remaining rows are dealt into ``folds`` folds by rank. Ranks
-    come from bucketed running counts, so no class is sorted in one task.
+    form the test set, the remaining rows are dealt into ``folds`` folds by rank. The rows, all
+    columns of them, are shuffled once, into ``buckets`` ranges (by default as many as the rows ask for), so no class is sorted in one task.
     """
-    g = df.withColumn("_h", hash_order(key, seed)).withColumn("_one", F.lit(1))
-    # rows come straight from a stored table: each branch re-reads two columns
-    r = running_totals(g, ["_h", key], ["_one"], [label], buckets, materialize_input=False)
-    n_test = F.floor(F.col("tot__one") * F.lit(test) + 0.5)
-    rank = F.col("cum__one")
-    out = r.select("*", F.when(rank <= n_test, "test").otherwise("train").alias("split"),
-                   F.when(rank > n_test, ((rank - n_test - 1) % folds).cast("int")).alias("fold"))
-    return out.drop("_h", "_one", "cum__one", "tot__one")
+    r = row_ranks(df, [hash_order(key, seed), F.col(key)], [label], buckets)
+    n_test = F.floor(F.col("group_rows") * F.lit(test) + 0.5)
+    rank = F.col("rank")
+    return r.select(*df.columns, F.when(rank <= n_test, "test").otherwise("train").alias("split"),
+                    F.when(rank > n_test, ((rank - n_test - 1) % folds).cast("int")).alias("fold"))
 
 
 # ------------------------------------------------------------------ K2-K4 fit

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store_rows(df: DataFrame) -> DataFrame:
+    """Write whole rows once, as compressed Parquet in the checkpoint folder, and read them back.
+
+    For tables as long as the input: ``materialize`` writes its rows uncompressed.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                        max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Materialize ``df``, count it, and mark it for broadcast only under both bounds.

@@ -23,9 +23,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carestay.plans.joins import materialize
+from carestay.plans.joins import broadcast_if_small, materialize, store_rows
 
 TARGET_ROWS_PER_RANGE = 2_000_000
+#: Rows per range where whole rows are ranked, not narrow sums: a task reads tens of MB of a feature table.
+RANKED_ROWS_PER_RANGE = 200_000
 
 
 def choose_ranges(largest_group_rows: int, rows: int, target: int = TARGET_ROWS_PER_RANGE) -> int:
@@ -70,3 +72,30 @@ def running_totals(g: DataFrame, order_cols: Sequence[Column | str], sum_cols: S
     within = Window.partitionBy(*part, "_range").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     out = dealt.join(tots, same).select("*", *[(F.col(f"_off_{c}") + F.sum(c).over(within)).alias(f"{prefix}{c}") for c in sum_cols])
     return out.drop("_range", "_r", *names, *[f"_off_{c}" for c in sum_cols])
+
+
+def row_ranks(df: DataFrame, order: Sequence[Column], partition_cols: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """Add ``rank`` (1, 2, ... by ``order`` within the group) and ``group_rows`` to whole rows, however wide.
+
+    The rows are shuffled once, into ranges of (group, order) of about ``RANKED_ROWS_PER_RANGE`` rows, and stored with their
+    place in the sorted range. A rank is the rows of the group in lower ranges plus the place, so no window
+    runs over the rows; only the counts per (group, range) are summed up. Rows of equal order get neighbouring ranks.
+    """
+    part = list(partition_cols)
+    if ranges is None:
+        ranges = max(1, math.ceil(df.count() / RANKED_ROWS_PER_RANGE))
+    # the order's values are computed again in the range, so they are neither shuffled nor stored
+    names = [f"_o{i}" for i in range(len(order))]
+    ranged = df.repartitionByRange(ranges, *[F.col(c) for c in part], *order).select("*", *[o.alias(x) for o, x in zip(order, names)])
+    # the id counts up along the sorted rows of a task and has the task's number in its high bits
+    dealt = store_rows(ranged.sortWithinPartitions(*part, *names).drop(*names).withColumn("_at", F.monotonically_increasing_id()))
+    dealt = dealt.withColumn("_range", F.shiftright("_at", 33))
+    names = [f"_k{i}" for i in range(len(part))]
+    sizes = dealt.groupBy(*[F.col(c).alias(k) for c, k in zip(part, names)], F.col("_range").alias("_r")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*names).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*names, "_r", "_first", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_c").over(Window.partitionBy(*names)).alias("group_rows"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(part, names)], F.col("_range") == F.col("_r"))
+    out = dealt.join(broadcast_if_small(sizes), same).withColumn("rank", F.col("_off") + F.col("_at") - F.col("_first") + 1)
+    return out.drop("_at", "_range", "_r", "_first", "_off", *names)

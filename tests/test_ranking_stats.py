@@ -1,14 +1,20 @@
+import hashlib
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from carestay.operators import measures as M
 from carestay.operators import model as MD
 from carestay.operators import stats as ST
+from carestay.plans import ranking
+from carestay.plans.joins import materialize
 from carestay.plans.ranking import running_totals
+from tests.test_plans import physical_plan
 
 
 def test_running_totals_equal_brute_force(spark):
@@ -213,3 +219,36 @@ def test_vif_of_collinear_and_constant_columns(spark):
     k = {r.feature: r.vif for r in ST.vif(df, ["a", "c", "k"]).collect()}
     assert k["k"] is None or math.isnan(k["k"])
     assert 1.0 <= k["a"] < 1.1
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_split_of_repeated_and_null_keys_equals_brute_force(spark, ranges):
+    rnd = random.Random(11)
+    rows = [(None if i % 17 == 0 else f"k{i % 150}", None if i % 13 == 0 else rnd.randint(0, 1), "wide" * 20, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "patient_id string, readmission_30j int, note string, id int")
+    got = MD.stratified_split(df, buckets=ranges)
+    assert got.columns == ["patient_id", "readmission_30j", "note", "id", "split", "fold"]
+    got = got.collect()
+    assert sorted(r["id"] for r in got) == list(range(400)) and {r["note"] for r in got} == {"wide" * 20}
+    want = []
+    for y in (None, 0, 1):
+        mine = sorted((hashlib.md5(f"{k}-42".encode()).hexdigest() if k else "", k or "") for k, label, *_ in rows if label == y)
+        n = math.floor(len(mine) * 0.2 + 0.5)
+        want += [(k, y, "test" if i < n else "train", None if i < n else (i - n) % 5) for i, (_, k) in enumerate(mine)]
+    # rows of one key and class are alike to the order: any of them may have any of their places
+    have = [(r["patient_id"] or "", r["readmission_30j"], r["split"], r["fold"]) for r in got]
+    assert Counter(have) == Counter(want)
+
+
+def test_split_shuffles_whole_rows_once_into_small_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "RANKED_ROWS_PER_RANGE", 100, raising=False)
+    df = spark.range(4000).select(F.concat(F.lit("k"), F.col("id")).alias("patient_id"), (F.col("id") % 2).cast("int").alias("readmission_30j"),
+                                  F.repeat(F.lit("x"), 200).alias("note"))
+    stored = []
+    monkeypatch.setattr(ranking, "store_rows", lambda d, real=getattr(ranking, "store_rows", None): stored.append(real(d)) or stored[-1], raising=False)
+    got = MD.stratified_split(materialize(df))
+    plan = physical_plan(got)
+    # the counts are broadcast to the stored rows; no window, sort or shuffle of the rows is left
+    assert "BroadcastHashJoin" in plan and not any(x in plan for x in ("Window", "Sort", "hashpartitioning", "rangepartitioning"))
+    sizes = [r["count"] for r in stored[0].groupBy(F.shiftright("_at", 33)).count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 300 and sum(sizes) == 4000
