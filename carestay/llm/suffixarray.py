@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,14 +42,19 @@ KEYS = ("s1", "h", "g")
 _POSITION = np.uint64((1 << 24) - 1)
 
 
+def _raw(texts: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """(offsets, bytes) of a column of texts or bytes; null counts as empty."""
+    column = texts.cast(pa.binary()).fill_null(b"")
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    return offsets, memoryview(data) if data is not None else memoryview(b"")
+
+
 class Neighbourhoods:
     """The neighbourhoods of a batch of texts: row, first and last window start, s1, h, g, anchor (arrays)."""
 
     def __init__(self, texts: pa.Array, length: int, anchor_bytes: int):
-        column = texts.cast(pa.binary()).fill_null(b"")
-        self.offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
-        data = column.buffers()[2]
-        self.raw = memoryview(data) if data is not None else memoryview(b"")
+        self.offsets, self.raw = _raw(texts)
         parts = [self._piece(a, b, length, anchor_bytes) for a, b in self._chunks(length)]
         self.row, self.low, self.high, self.s1, self.h, self.g, self.anchor = (
             np.concatenate(column) for column in zip(*parts)) if parts else (np.empty(0, np.int64),) * 7
@@ -100,7 +106,7 @@ class Neighbourhoods:
         real = b > a
         np.add.at(room, a[real], 1)
         np.add.at(room, b[real], -1)
-        at = np.flatnonzero(np.cumsum(room[:-1]))
+        at = np.flatnonzero(np.cumsum(room[:-1]) > 0)
         anchor = anchor[at]
         cut = np.concatenate(([True], (np.diff(at) != 1) | (np.diff(anchor) != 0)))
         begin = np.flatnonzero(cut)
@@ -219,11 +225,9 @@ class SuffixArrays:
 
 def _listed(column: pa.Array, fields: tuple[str, ...]) -> list[list[np.ndarray]]:
     """For each row the arrays of the named fields of its list of structs; null counts as an empty list."""
-    out = []
-    for item in column:
-        values = item.values if item.is_valid else None
-        out.append([np.empty(0, np.int64) if values is None else values.field(f).to_numpy() for f in fields])
-    return out
+    bounds, valid = column.offsets.to_numpy(), column.is_valid().to_pylist()
+    values = [column.values.field(f).to_numpy(zero_copy_only=False) for f in fields]
+    return [[v[a:b] if ok else v[:0] for v in values] for a, b, ok in zip(bounds[:-1].tolist(), bounds[1:].tolist(), valid)]
 
 
 def contested_texts(docs: DataFrame, contested: DataFrame, length: int, anchor_bytes: int) -> DataFrame:
@@ -233,25 +237,52 @@ def contested_texts(docs: DataFrame, contested: DataFrame, length: int, anchor_b
 
     def run(batch: pa.RecordBatch):
         found = Neighbourhoods(batch.column(1), length, anchor_bytes)
-        owners = batch.column(0).to_pylist()
         bounds = np.searchsorted(found.row, np.arange(batch.num_rows + 1))
-        out: list[list] = [[] for _ in range(7)]
+        picked, many = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i, (g, n) in enumerate(_listed(batch.column(2), ("g", "n"))):
             # once, however often the text holds it
             here, first = np.unique(found.g[bounds[i]:bounds[i + 1]], return_index=True)
-            at = np.searchsorted(here, g)
-            real = np.flatnonzero(here[np.minimum(at, len(here) - 1)] == g) if len(here) else []
-            j = first[at[real]] + bounds[i] if len(real) else np.empty(0, np.int64)
-            for cell, v in zip(out, (found.s1[j], found.h[j], n[real] if len(real) else j, found.g[j])):
-                cell.extend(v.tolist())
-            out[4].extend([owners[i]] * len(j))
-            out[5].extend(bytes(found.raw[a:b + length]) for a, b in zip(found.low[j].tolist(), found.high[j].tolist()))
-            out[6].extend((found.anchor[j] - found.low[j]).tolist())
-        return out
+            if len(here):
+                at = np.searchsorted(here, g)
+                real = np.flatnonzero(here[np.minimum(at, len(here) - 1)] == g)
+                picked.append(first[at[real]] + bounds[i])
+                many.append(n[real])
+        j = np.concatenate(picked)
+        around = [bytes(found.raw[a:b + length]) for a, b in zip(found.low[j].tolist(), found.high[j].tolist())]
+        owner = batch.column(0).to_numpy()[found.row[j]]
+        return [pa.array(x) for x in (found.s1[j], found.h[j], np.concatenate(many), found.g[j], owner)] + [
+            pa.array(around, pa.binary()), pa.array((found.anchor[j] - found.low[j]).astype(np.int32))]
 
     return map_arrow(rows, run, "s1 long, h long, n long, g long, owner long, around binary, place int")
 
 
+def _candidates(rows: pa.RecordBatch, reach: int, anchor_bytes: int) -> np.ndarray:
+    """The rows of whole groups that ``_may_share`` may keep, found by hashes of the bytes on both sides of the anchor."""
+    offsets, raw = _raw(rows.column("around"))
+    if reach < 8 or len(raw) < 8:
+        return np.arange(rows.num_rows)
+    words = np.ndarray((len(raw) - 7,), "<u8", buffer=raw, strides=(1,))
+    s1, h = (rows.column(c).to_numpy().view(np.uint64) for c in ("s1", "h"))
+    place = rows.column("place").to_numpy().astype(np.int64)
+    group = ((s1 * np.uint64(0x9E3779B97F4A7C15)) ^ h) * np.uint64(0xBF58476D1CE4E5B9)
+    group ^= group >> np.uint64(32)
+    keep = np.zeros(rows.num_rows, bool)
+    anchor = offsets[:-1] + place
+    after = anchor + anchor_bytes
+    for at, there in ((anchor - reach, place >= reach), (after, after + reach <= offsets[1:])):
+        mine = np.flatnonzero(there)
+        key = group[mine]
+        for step in [*range(0, reach - 8, 8), reach - 8]:
+            key ^= words[at[mine] + step]
+            key *= np.uint64(0xD6E8FEB86659FD93)
+            key ^= key >> np.uint64(29)
+        order = np.argsort(key)
+        same = np.diff(key[order]) == 0
+        keep[mine[order[1:][same]]] = True
+        keep[mine[order[:-1][same]]] = True
+    return np.flatnonzero(keep)
+
+
 def _may_share(group: list[tuple[int, int, bytes, int]], reach: int, anchor_bytes: int) -> list[tuple[int, int, bytes, int]]:
     """The neighbourhoods that agree with another one in the ``reach`` bytes before the anchor, or in those after it.
 
@@ -284,25 +315,33 @@ def _repeats(group: list[tuple[int, int, bytes, int]], length: int, anchor_bytes
 def window_repeats(texts: DataFrame, length: int, anchor_bytes: int, limit: int = GROUP_LIMIT) -> DataFrame:
     """(doc_id, g, mask) of the contested neighbourhoods with repeated windows; the mask has at most ``length`` bits."""
 
-    def compare(rows: Iterator[pa.RecordBatch]):
+    def shared(rows: pa.RecordBatch) -> pa.RecordBatch:
+        """The repeats of whole groups; most rows share no side with another one and never become Python objects."""
+        likely = rows.take(pa.array(_candidates(rows, (length - anchor_bytes + 1) // 2, anchor_bytes)))
         held: list[tuple[int, int, bytes, int]] = []
         now, out = None, []
+        for s1, h, g, owner, around, place in zip(*(likely.column(i).to_pylist() for i in range(6))):
+            if (s1, h) != now:
+                out.extend(_repeats(held, length, anchor_bytes))
+                held, now = [], (s1, h)
+            held.append((owner, g, around, place))
+        out.extend(_repeats(held, length, anchor_bytes))
+        cols = list(zip(*out)) if out else [[], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "g", "mask"])
 
-        def flush():
-            cols = list(zip(*out)) if out else [[], [], []]
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "g", "mask"])
-
+    def compare(rows: Iterator[pa.RecordBatch]):
+        rest = None  # the last group so far, which the next batch may go on with
         for batch in rows:
-            for s1, h, g, owner, around, place in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if (s1, h) != now:
-                    out.extend(_repeats(held, length, anchor_bytes))
-                    held, now = [], (s1, h)
-                held.append((owner, g, around, place))
-            if len(out) > 20_000:
-                yield flush()
-        out.extend(_repeats(held, length, anchor_bytes))
-        yield flush()
+            if rest is not None and rest.num_rows:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            s1, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ends = np.flatnonzero((np.diff(s1) != 0) | (np.diff(h) != 0))
+            cut = int(ends[-1]) + 1 if len(ends) else 0
+            rest = batch.slice(cut)
+            if cut:
+                yield shared(batch.slice(0, cut))
+        if rest is not None and rest.num_rows:
+            yield shared(rest)
 
     small = texts.where(F.col("n") <= limit).select("s1", "h", "g", "owner", "around", "place")
     near = small.repartition("s1", "h").sortWithinPartitions("s1", "h").mapInArrow(compare, "doc_id long, g long, mask long")
@@ -349,13 +388,18 @@ def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 16,
     return lost
 
 
-def kept_bytes(found: Neighbourhoods, lost: list[list[np.ndarray]], length: int) -> Iterator[tuple[memoryview, np.ndarray | None]]:
+def kept_bytes(texts: pa.Array, lost: list[list[np.ndarray]], length: int, anchor_bytes: int) -> Iterator[tuple[memoryview, np.ndarray | None]]:
     """For each row its bytes and a boolean of the bytes to keep, or None to keep all."""
+    offsets, raw = _raw(texts)
+    # only texts that lose something are cut into neighbourhoods (an empty text for the others: with a null, pyarrow 23
+    # gives wrong bytes on a slice)
+    cut = pa.array([len(g) > 0 for g, _ in lost], pa.bool_())
+    found = Neighbourhoods(pc.if_else(cut, texts, pa.scalar("", texts.type)), length, anchor_bytes)
     bounds = np.searchsorted(found.row, np.arange(len(lost) + 1))
     for i, (g, mask) in enumerate(lost):
-        a, b = int(found.offsets[i]), int(found.offsets[i + 1])
+        a, b = int(offsets[i]), int(offsets[i + 1])
         if not len(g):
-            yield found.raw[a:b], None
+            yield raw[a:b], None
             continue
         cover = np.zeros(b - a + 1, np.int32)
         order = np.argsort(g, kind="stable")
@@ -363,17 +407,16 @@ def kept_bytes(found: Neighbourhoods, lost: list[list[np.ndarray]], length: int)
         mine = slice(bounds[i], bounds[i + 1])
         at = np.searchsorted(g, found.g[mine])
         hit = np.flatnonzero(g[np.minimum(at, len(g) - 1)] == found.g[mine])
-        low, high = found.low[mine][hit] - a, found.high[mine][hit] - a
+        low, high = found.low[mine][hit] - found.offsets[i], found.high[mine][hit] - found.offsets[i]
         bits = mask[at[hit]]
         every = bits == -1
         np.add.at(cover, low[every], 1)
         np.add.at(cover, high[every] + length, -1)
-        for x, y, m in zip(low[~every].tolist(), high[~every].tolist(), bits[~every].tolist()):
-            for p in range(x, y + 1):
-                if m >> (p - x) & 1:
-                    cover[p] += 1
-                    cover[p + length] -= 1
-        yield found.raw[a:b], np.cumsum(cover[:-1]) == 0
+        which, bit = np.nonzero(bits[~every][:, None] >> np.arange(min(length, 63)) & 1)
+        start = low[~every][which] + bit
+        np.add.at(cover, start, 1)
+        np.add.at(cover, start + length, -1)
+        yield raw[a:b], np.cumsum(cover[:-1]) == 0
 
 
 def _left(raw: memoryview, keep: np.ndarray | None) -> bytes:
@@ -402,9 +445,8 @@ def kept_digests(docs: DataFrame, length: int = 50, anchor_bytes: int = 16, **ho
     found = _with_lost(docs.select("doc_id", "text"), length, anchor_bytes, **how)
 
     def run(batch: pa.RecordBatch):
-        where = Neighbourhoods(batch.column(1), length, anchor_bytes)
         size, gone, spans, digests = [], [], [], []
-        for raw, keep in kept_bytes(where, _listed(batch.column(2), ("g", "mask")), length):
+        for raw, keep in kept_bytes(batch.column(1), _listed(batch.column(2), ("g", "mask")), length, anchor_bytes):
             size.append(len(raw))
             gone.append(0 if keep is None else int(len(keep) - keep.sum()))
             spans.append(0 if keep is None else int((np.diff(np.concatenate(([0], ~keep))) == 1).sum()))
@@ -427,8 +469,7 @@ def without_repeats(docs: DataFrame, length: int = 50, anchor_bytes: int = 16, *
         for batch in batches:
             row = batch.column(0)
             cols = row.flatten()
-            where = Neighbourhoods(batch.column(1), length, anchor_bytes)
-            kept = kept_bytes(where, _listed(batch.column(2), ("g", "mask")), length)
+            kept = kept_bytes(batch.column(1), _listed(batch.column(2), ("g", "mask")), length, anchor_bytes)
             texts = [_left(raw, keep).decode("utf-8", "ignore") if ok else None
                      for ok, (raw, keep) in zip(batch.column(1).is_valid().to_pylist(), kept)]
             cols[at] = pa.array(texts, cols[at].type)

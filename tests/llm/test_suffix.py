@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -80,6 +81,50 @@ def test_long_texts_are_cut_between_windows(spark, monkeypatch):
     assert len(found.low) == len({(int(a)) for a in found.low})
 
 
+def test_candidates_are_all_that_may_share(spark):
+    # in this process: rows of several groups, as a slice of a longer batch, against the exact rule
+    rnd = random.Random(8)
+    reach, anchor = 17, 16
+    bits = ["".join(rnd.choice("ab") for _ in range(n)).encode() for n in (0, 5, 17, 17, 20, 30)]
+    rows = []
+    for group in range(12):
+        for owner in range(rnd.randint(1, 9)):
+            before, after = rnd.choice(bits) + rnd.choice([b"", bytes([owner])]), rnd.choice([b"", bytes([owner])]) + rnd.choice(bits)
+            rows.append((group // 4, group, rnd.randint(0, 99), owner, before + b"#" * anchor + after, len(before)))
+    types = [pa.int64()] * 4 + [pa.binary(), pa.int32()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["s1", "h", "g", "owner", "around", "place"])
+    batch, rows = batch.slice(3), rows[3:]
+    want = []
+    for key in sorted({r[:2] for r in rows}):
+        want += suffixarray._may_share([(r[3], r[2], r[4], r[5]) for r in rows if r[:2] == key], reach, anchor)
+    got = [(rows[i][3], rows[i][2], rows[i][4], rows[i][5]) for i in suffixarray._candidates(batch, reach, anchor)]
+    assert got == want and 0 < len(got) < len(rows)
+
+
+def test_groups_that_go_on_in_the_next_batch(spark, make_docs):
+    rows = corpus(seed=6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = collected(suffixarray.kept_digests(make_docs(rows), length=50))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute(rows, 50)
+
+
+def test_only_texts_that_lose_something_are_cut(monkeypatch):
+    texts = pa.array(["x" * 80, None, "y" * 90, "z" * 70]).slice(1)
+    whole = suffixarray.Neighbourhoods(texts, 50, 16)
+    g = whole.g[whole.row == 2]
+    none = np.empty(0, np.int64)
+    seen = []
+    real = suffixarray.Neighbourhoods
+    monkeypatch.setattr(suffixarray, "Neighbourhoods", lambda t, *a: seen.append(t.to_pylist()) or real(t, *a))
+    got = list(suffixarray.kept_bytes(texts, [[none, none], [none, none], [g, np.full(len(g), -1)]], 50, 16))
+    assert seen == [["", "", "z" * 70]]
+    assert [bytes(raw) for raw, _ in got] == [b"", b"y" * 90, b"z" * 70] and [k is None for _, k in got] == [True, True, False]
+    assert not got[2][1].any()
+
+
 def test_empty_tables_and_remaining_texts(spark, make_docs):
     assert suffixarray.kept_digests(make_docs([])).count() == 0
     assert suffixarray.without_repeats(make_docs([(1, None), (2, "short")])).select("doc_id", "text").collect() == [(1, None), (2, "short")]
