@@ -6,15 +6,17 @@ anchors at equal offsets, wherever they stand. Consecutive windows with one anch
 neighbourhood. The suffix array of a batch is sparse: it holds the suffixes that begin at anchors, about one for
 seventeen bytes, in lexicographic order of their first eight bytes, then by the hash of the
 anchor string and the digest of the neighbourhood, each distinct one once with its owner, the least
-doc_id that holds it.
+doc_id that holds it, and short hashes of the bytes on both sides of the anchor.
 
 New batches, of ascending doc_id, get their suffix arrays and are merge-scanned against the arrays
 of all levels: neighbourhoods found there belong to an earlier document. Two arrays of one level
 are merged into one of the next, so there are logarithmically many. What the scan settles:
 
 * every window of a neighbourhood whose owner is an earlier document is repeated;
-* a window can stand in two different neighbourhoods only if these have the same anchor string.
-  Such neighbourhoods (neighbours in the arrays) are compared window by window, byte for byte.
+* a window can stand in two different neighbourhoods only if these have the same anchor string and
+  agree on one side of it (see ``_may_share``). The share of neighbourhoods whose anchor string stands in
+  another one grows with the corpus, up to all of them; by the hashes of the sides most of these
+  are left out before any text is moved. The others are compared window by window, byte for byte.
 """
 
 from __future__ import annotations
@@ -50,8 +52,17 @@ def _raw(texts: pa.Array) -> tuple[np.ndarray, memoryview]:
     return offsets, memoryview(data) if data is not None else memoryview(b"")
 
 
+def _short(h: np.ndarray) -> np.ndarray:
+    """16 bits of each hash, never 0."""
+    return np.maximum(h & np.uint64(0xFFFF), np.uint64(1))
+
+
 class Neighbourhoods:
-    """The neighbourhoods of a batch of texts: row, first and last window start, s1, h, g, anchor (arrays)."""
+    """The neighbourhoods of a batch of texts: row, first and last window start, s1, h, g, anchor (arrays).
+
+    The upper half of h is from the anchor string; the lower has 16 bits from the bytes before it and 16 from those
+    after it, each 0 where the neighbourhood has too few there for a window to have most of its bytes on that side.
+    """
 
     def __init__(self, texts: pa.Array, length: int, anchor_bytes: int):
         self.offsets, self.raw = _raw(texts)
@@ -121,9 +132,14 @@ class Neighbourhoods:
             g ^= g >> np.uint64(32)
         g *= np.uint64(0x94D049BB133111EB)
         g ^= g >> np.uint64(31)
+        reach = (length - anchor_bytes + 1) // 2
+        step = min(reach, anchor_bytes)
+        before = np.where(place - low >= reach, _short(h[np.maximum(place - step, 0)]), 0)
+        after = np.where(high + length - place - anchor_bytes >= reach, _short(h[np.minimum(place + step, m - 1)]), 0)
+        key = h[place] << np.uint64(32) | before << np.uint64(16) | after
         row = np.searchsorted(self.offsets, low + start, "right") - 1
         s1 = (heads[place] ^ np.uint64(1 << 63)).view(np.int64)  # signed order is byte order
-        return row, low + start, high + start, s1, h[place].view(np.int64), g.view(np.int64), place + start
+        return row, low + start, high + start, s1, key.view(np.int64), g.view(np.int64), place + start
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -159,6 +175,29 @@ def occurrences(docs: DataFrame, length: int, anchor_bytes: int) -> DataFrame:
     return map_arrow(_rows(docs), run, "h long, g long, doc_id long")
 
 
+#: The two halves of Neighbourhoods.h as ints, and back: runs are dealt by the anchor's half.
+_ANCHOR, _SIDES = "cast(shiftright(h, 32) as int)", "cast((h & 4294967295) - 2147483648 as int)"
+_WHOLE_H = "shiftleft(cast(h as long), 32) | (cast(sides as long) + 2147483648)"
+
+
+def _agree_on_a_side(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """(g, owner, n) of whole groups, sorted by (s1, h): the rows whose side hash another row of their group has; n counts those."""
+    s1, h = rows.column("s1").to_numpy(), rows.column("h").to_numpy()
+    sides = rows.column("sides").to_numpy().astype(np.int64) + (1 << 31)
+    group = np.cumsum(np.concatenate(([0], (np.diff(s1) != 0) | (np.diff(h) != 0))))
+    keep = np.zeros(rows.num_rows, bool)
+    for side in (sides >> 16, sides & 0xFFFF):
+        mine = np.flatnonzero(side)
+        key = group[mine] << 16 | side[mine]
+        order = np.argsort(key)
+        same = np.diff(key[order]) == 0
+        keep[mine[order[1:][same]]] = True
+        keep[mine[order[:-1][same]]] = True
+    n = np.bincount(group[keep])[group[keep]]
+    picked = rows.filter(pa.array(keep))
+    return pa.RecordBatch.from_arrays([picked.column("g"), picked.column("owner"), pa.array(n, pa.int64())], names=["g", "owner", "n"])
+
+
 class SuffixArrays:
     """The family: at most one array a level, an array of level i is merged from about 2**i batches."""
 
@@ -175,10 +214,11 @@ class SuffixArrays:
             if len(self.levels[level]) < 2:
                 continue
             a, b = self.levels[level]
-            left = a.read().where("fresh").select(*KEYS, "owner")
-            right = b.read().where("fresh").select(*KEYS, F.col("owner").alias("other"))
+            left = a.read().where("fresh").select(*KEYS, "sides", "owner")
+            right = b.read().where("fresh").select(*KEYS, F.col("sides").alias("others"), F.col("owner").alias("other"))
             both = left.hint("merge").join(right, list(KEYS), "full_outer")
-            merged = both.select(*KEYS, F.coalesce("owner", "other").alias("owner"), F.lit(True).alias("fresh"))
+            merged = both.select(*KEYS, F.coalesce("sides", "others").alias("sides"), F.coalesce("owner", "other").alias("owner"),
+                                 F.lit(True).alias("fresh"))
             if level + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[level + 1].append(write_run(merged, f"suffixes{level + 1}", self.buckets, KEYS[:2], KEYS))
@@ -189,8 +229,8 @@ class SuffixArrays:
     def absorb(self, entries: DataFrame) -> DataFrame:
         """Take in a batch; return (h, g, owner) of its neighbourhoods that more than one document holds so far."""
         self.compact()
-        dealt = entries.repartition(self.buckets, *KEYS[:2])
-        mine = dealt.groupBy(*KEYS).agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        dealt = entries.repartition(self.buckets, "s1", F.expr(_ANCHOR)).selectExpr("s1", f"{_ANCHOR} AS h", "g", f"{_SIDES} AS sides", "least", "most")
+        mine = dealt.groupBy(*KEYS, "sides").agg(F.min("least").alias("least"), F.max("most").alias("most"))
         known = F.lit(None).cast("long")
         for i, run in enumerate(self.runs()):
             seen = run.read().where("fresh").select(*KEYS, F.col("owner").alias(f"owner{i}"))
@@ -198,13 +238,14 @@ class SuffixArrays:
             known = F.coalesce(known, F.col(f"owner{i}"))
         owner = F.coalesce(known, "least")
         # a row that is neither new nor shared says nothing
-        found = mine.select(*KEYS, owner.alias("owner"), known.isNull().alias("fresh"), (F.col("most") > owner).alias("shared"))
+        found = mine.select(*KEYS, "sides", owner.alias("owner"), known.isNull().alias("fresh"), (F.col("most") > owner).alias("shared"))
         run = write_run(found.where("fresh or shared"), "suffixes0", self.buckets, KEYS[:2], KEYS)
         self.levels[0].append(run)
-        return stored(run.read().where("shared").select("h", "g", "owner"), "shared")
+        return stored(run.read().where("shared").selectExpr(f"{_WHOLE_H} AS h", "g", "owner"), "shared")
 
-    def contested(self) -> DataFrame:
-        """(s1, h, g, owner, n): the n neighbourhoods of each anchor string that has several."""
+    def contested(self, limit: int = GROUP_LIMIT) -> DataFrame:
+        """(g, owner, n): the n neighbourhoods of each anchor string that has several; of groups within the limit only
+        those that agree on a side with another one, as far as their hashes say."""
         counts = None
         for i, run in enumerate(self.runs()):
             mine = run.read().where("fresh").groupBy(*KEYS[:2]).agg(F.count(F.lit(1)).alias(f"n{i}"))
@@ -213,9 +254,13 @@ class SuffixArrays:
         several = stored(counts.select(*KEYS[:2], total.alias("n")).where("n > 1"), "several")
         out = None
         for run in self.runs():
-            mine = run.read().where("fresh").select(*KEYS, "owner").join(several.hint("merge"), list(KEYS[:2]))
+            mine = run.read().where("fresh").select(*KEYS, "sides", "owner").join(several.hint("merge"), list(KEYS[:2]))
             out = mine if out is None else out.unionByName(mine)
-        return stored(out.select(*KEYS, "owner", "n"), "contested")
+        small = out.where(F.col("n") <= limit).select(*KEYS[:2], "sides", "g", "owner").repartition(*KEYS[:2]).sortWithinPartitions(*KEYS[:2])
+        near = small.mapInArrow(lambda rows: map(_agree_on_a_side, _whole_groups(rows)), "g long, owner long, n long")
+        found = stored(near.unionByName(out.where(F.col("n") > limit).select("g", "owner", "n")), "contested")
+        forget(self.spark, several)
+        return found
 
     def forget(self) -> None:
         for run in self.runs():
@@ -223,6 +268,22 @@ class SuffixArrays:
         self.levels = [[]]
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by their first two columns, cut anew so that no group of equal values of these goes on in the next one."""
+    rest = None  # the last group so far, which the next batch may go on with
+    for batch in batches:
+        if rest is not None and rest.num_rows:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        ends = np.flatnonzero((np.diff(a) != 0) | (np.diff(b) != 0))
+        cut = int(ends[-1]) + 1 if len(ends) else 0
+        rest = batch.slice(cut)
+        if cut:
+            yield batch.slice(0, cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 def _listed(column: pa.Array, fields: tuple[str, ...]) -> list[list[np.ndarray]]:
     """For each row the arrays of the named fields of its list of structs; null counts as an empty list."""
     bounds, valid = column.offsets.to_numpy(), column.is_valid().to_pylist()
@@ -250,7 +311,7 @@ def contested_texts(docs: DataFrame, contested: DataFrame, length: int, anchor_b
         j = np.concatenate(picked)
         around = [bytes(found.raw[a:b + length]) for a, b in zip(found.low[j].tolist(), found.high[j].tolist())]
         owner = batch.column(0).to_numpy()[found.row[j]]
-        return [pa.array(x) for x in (found.s1[j], found.h[j], np.concatenate(many), found.g[j], owner)] + [
+        return [pa.array(x) for x in (found.s1[j], found.h[j] >> 32, np.concatenate(many), found.g[j], owner)] + [
             pa.array(around, pa.binary()), pa.array((found.anchor[j] - found.low[j]).astype(np.int32))]
 
     return map_arrow(rows, run, "s1 long, h long, n long, g long, owner long, around binary, place int")
@@ -329,39 +390,29 @@ def window_repeats(texts: DataFrame, length: int, anchor_bytes: int, limit: int
         cols = list(zip(*out)) if out else [[], [], []]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "g", "mask"])
 
-    def compare(rows: Iterator[pa.RecordBatch]):
-        rest = None  # the last group so far, which the next batch may go on with
-        for batch in rows:
-            if rest is not None and rest.num_rows:
-                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-            s1, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            ends = np.flatnonzero((np.diff(s1) != 0) | (np.diff(h) != 0))
-            cut = int(ends[-1]) + 1 if len(ends) else 0
-            rest = batch.slice(cut)
-            if cut:
-                yield shared(batch.slice(0, cut))
-        if rest is not None and rest.num_rows:
-            yield shared(rest)
-
     small = texts.where(F.col("n") <= limit).select("s1", "h", "g", "owner", "around", "place")
-    near = small.repartition("s1", "h").sortWithinPartitions("s1", "h").mapInArrow(compare, "doc_id long, g long, mask long")
+    near = small.repartition("s1", "h").sortWithinPartitions("s1", "h").mapInArrow(lambda rows: map(shared, _whole_groups(rows)), "doc_id long, g long, mask long")
 
     def windows(batch: pa.RecordBatch):
-        w, owners, gs, at = [], [], [], []
-        for owner, g, around in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            for i in range(len(around) - length + 1):
-                w.append(around[i:i + length])
-                owners.append(owner)
-                gs.append(g)
-                at.append(i)
-        return w, owners, gs, at
-
-    # a group beyond the limit is never in one task: its windows are dealt out by their bytes
+        offsets, raw = _raw(batch.column(2))
+        many = np.diff(offsets) - length + 1
+        row = np.repeat(np.arange(batch.num_rows), many)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        cut = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), length)[offsets[row] + at]
+        bounds = np.arange(len(row) + 1, dtype=np.int32) * np.int32(length)
+        w = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(bounds), pa.py_buffer(cut.ravel())])
+        return w, batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), at
+
+    # a group beyond the limit is never in one task: its windows are dealt out by their bytes; those that several owners
+    # have are stored, so that the shuffles that find them are gone before all windows are joined with them
     large = map_arrow(texts.where(F.col("n") > limit).select("owner", "g", "around"), windows, "w binary, owner long, g long, i int")
-    least = large.groupBy("w").agg(F.min("owner").alias("least"))
-    far = large.join(least.hint("merge"), "w").where("least < owner").groupBy(F.col("owner").alias("doc_id"), "g").agg(
+    least = large.groupBy("w").agg(F.min("owner").alias("least"), F.max("owner").alias("most")).where("least < most").drop("most")
+    least = stored(least, "least")
+    far = large.join(least, "w").where("least < owner").groupBy(F.col("owner").alias("doc_id"), "g").agg(
         F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask"))
-    return near.unionByName(far)
+    found = stored(near.unionByName(far), "part")
+    forget(texts.sparkSession, least)
+    return found
 
 
 def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 16, batches: int = 3, buckets: int | None = None,
@@ -375,16 +426,18 @@ def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 16,
         for part in doc_id_batches(_rows(docs), batches):
             got = family.absorb(array_entries(docs.where(part), length, anchor_bytes))
             shared = got if shared is None else shared.unionByName(got)
-        contested = family.contested()
+        contested = family.contested(limit)
         family.forget()
         # a neighbourhood shared again in a later batch has the same owner there
         # (the build side is a partition's share of distinct neighbourhoods, so the occurrences need no sort)
         whole = stored(occurrences(docs, length, anchor_bytes).join(shared.distinct().hint("shuffle_hash"), ["h", "g"]).where("doc_id > owner")
                        .select("doc_id", "g", F.lit(-1).cast("long").alias("mask")), "whole")
+        forget(spark, shared)
         texts = stored(contested_texts(docs, contested, length, anchor_bytes), "around")
-        part = stored(window_repeats(texts, length, anchor_bytes, limit), "part")
+        forget(spark, contested)
+        part = window_repeats(texts, length, anchor_bytes, limit)
         lost = stored(whole.unionByName(part).groupBy("doc_id").agg(F.collect_list(F.struct("g", "mask")).alias("lost")), "lost")
-    forget(spark, shared, contested, whole, texts, part)
+    forget(spark, whole, texts, part)
     return lost
 
 

@@ -101,6 +101,32 @@ def test_candidates_are_all_that_may_share(spark):
     assert got == want and 0 < len(got) < len(rows)
 
 
+def test_only_neighbourhoods_that_agree_on_a_side_are_contested(spark, make_docs):
+    """A string that many texts have in other surroundings brings no text of theirs into the comparison."""
+    rnd = random.Random(4)
+
+    def noise(n):
+        return "".join(rnd.choice("abcdefgh") for _ in range(n))
+
+    phrase, passage = noise(24), noise(45)
+    texts = [noise(40) + phrase + noise(40) for _ in range(60)] + [noise(10) + passage + noise(10) for _ in range(5)]
+    texts += [noise(8) + texts[0][8:], texts[1][:-9] + noise(9), "=" * 90, "=" * 70 + noise(30)]
+    found = suffixarray.Neighbourhoods(pa.array(texts), 50, 16)
+    groups: dict[tuple, dict[int, tuple]] = {}
+    for low, high, s1, h, g, anchor in zip(*(x.tolist() for x in (found.low, found.high, found.s1, found.h, found.g, found.anchor))):
+        groups.setdefault((s1, h >> 32), {})[g] = (0, g, bytes(found.raw[low:high + 50]), anchor - low)
+    several = [list(group.values()) for group in groups.values() if len(group) > 1]
+    want = {item[1] for group in several for item in suffixarray._may_share(group, 17, 16)}
+    family = suffixarray.SuffixArrays(spark, 2)
+    with merge_settings(spark):
+        for k in range(3):
+            family.absorb(suffixarray.array_entries(make_docs([(i, t) for i, t in enumerate(texts) if i // 30 == k]), 50, 16))
+        got = [r["g"] for r in family.contested().collect()]
+        family.forget()
+    assert len(got) == len(set(got)) and want <= set(got)
+    assert 0 < len(got) <= len(want) + 3 < sum(map(len, several)) / 4
+
+
 def test_groups_that_go_on_in_the_next_batch(spark, make_docs):
     rows = corpus(seed=6)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
