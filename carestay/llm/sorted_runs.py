@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,12 +17,12 @@ from carestay.llm.store import shared_path
 
 
 @contextlib.contextmanager
-def merge_settings(spark: SparkSession) -> Iterator[None]:
+def merge_settings(spark: SparkSession, more: Mapping[str, str] | None = None) -> Iterator[None]:
     """Settings for jobs that read runs: order of one-file buckets is trusted, a join may use a run's own
-    bucketing where it is on fewer columns than the join, and shuffle files go when their job is done."""
+    bucketing where it is on fewer columns than the join, and shuffle files go when their job is done; and those in ``more``."""
     wanted = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
               "spark.sql.requireAllClusterKeysForCoPartition": "false",
-              "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+              "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", **(more or {})}
     before = {k: spark.conf.get(k, None) for k in wanted}
     try:
         for k, v in wanted.items():

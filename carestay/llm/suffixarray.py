@@ -41,6 +41,8 @@ CHUNK = 1 << 16
 #: Neighbourhoods of one anchor string that a task compares in memory; larger groups are dealt out window by window.
 GROUP_LIMIT = 4096
 KEYS = ("s1", "h", "g")
+#: Rows that lie in the order of their keys are aggregated in that order, which joins and runs then go on with.
+SORTED_SUMS = {"spark.sql.execution.replaceHashWithSortAgg": "true"}
 _POSITION = np.uint64((1 << 24) - 1)
 
 
@@ -153,7 +155,7 @@ def array_entries(docs: DataFrame, length: int, anchor_bytes: int) -> DataFrame:
         found = Neighbourhoods(batch.column(1), length, anchor_bytes)
         doc = batch.column(0).to_numpy()[found.row]
         # in order of the digests equal keys are adjacent (but for one digest of two keys, which only gives more rows)
-        order = np.argsort(found.g, kind="stable")
+        order = np.argsort(found.g)
         h, g, doc = found.h[order], found.g[order], doc[order]
         first = np.flatnonzero(np.concatenate(([True], (np.diff(h) != 0) | (np.diff(g) != 0)))) if len(h) else order
         least, most = (f.reduceat(doc, first) if len(h) else doc for f in (np.minimum, np.maximum))
@@ -230,7 +232,8 @@ class SuffixArrays:
         """Take in a batch; return (h, g, owner) of its neighbourhoods that more than one document holds so far."""
         self.compact()
         dealt = entries.repartition(self.buckets, "s1", F.expr(_ANCHOR)).selectExpr("s1", f"{_ANCHOR} AS h", "g", f"{_SIDES} AS sides", "least", "most")
-        mine = dealt.groupBy(*KEYS, "sides").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        mine = dealt.sortWithinPartitions(*KEYS).groupBy(*KEYS).agg(
+            F.first("sides").alias("sides"), F.min("least").alias("least"), F.max("most").alias("most"))
         known = F.lit(None).cast("long")
         for i, run in enumerate(self.runs()):
             seen = run.read().where("fresh").select(*KEYS, F.col("owner").alias(f"owner{i}"))
@@ -421,7 +424,7 @@ def repeated_windows(docs: DataFrame, length: int = 50, anchor_bytes: int = 16,
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     family = SuffixArrays(spark, buckets)
-    with merge_settings(spark):
+    with merge_settings(spark, SORTED_SUMS):
         shared = None
         for part in doc_id_batches(_rows(docs), batches):
             got = family.absorb(array_entries(docs.where(part), length, anchor_bytes))
